@@ -1,0 +1,103 @@
+"""Spark-vs-DuckDB parity check, as the driver does it: column names, row count and an
+order-insensitive comparison of normalised values. Usable from pytest or the command line:
+
+    python -m tests.parity_util /root/testdata/sf0.01 [name ...]
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+import decimal
+import math
+import sys
+import time
+
+import duckdb
+
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+          "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
+
+
+def duck(sf_dir: str):
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
+    return con
+
+
+def _norm(v):
+    if v is None:
+        return ("~null",)
+    if isinstance(v, bool):
+        return int(v)
+    if isinstance(v, float):
+        if math.isnan(v):
+            return "nan"
+        return repr(round(v, 9))
+    if isinstance(v, decimal.Decimal):
+        return repr(round(float(v), 9))
+    if isinstance(v, int):
+        return repr(round(float(v), 9))
+    if isinstance(v, (dt.date, dt.datetime)):
+        return v.isoformat()
+    if isinstance(v, (list, tuple)):
+        return tuple(_norm(x) for x in v)
+    return str(v)
+
+
+def _rows(cols, data):
+    order = sorted(range(len(cols)), key=lambda i: cols[i])
+    return sorted((tuple(_norm(r[i]) for i in order) for r in data), key=repr)
+
+
+def compare(spark, con, name, fn, sql, sf_dir):
+    t0 = time.time()
+    sdf = fn(spark, sf_dir)
+    s_cols = sdf.columns
+    s_rows = [tuple(r) for r in sdf.collect()]
+    t1 = time.time()
+    res = {"name": name, "spark_rows": len(s_rows), "spark_sec": round(t1 - t0, 2)}
+    if sql is None:
+        res["status"] = "rows-only"
+        return res
+    cur = con.execute(sql)
+    d_cols = [c[0] for c in cur.description]
+    d_rows = cur.fetchall()
+    res["oracle_rows"] = len(d_rows)
+    if sorted(s_cols) != sorted(d_cols):
+        res["status"] = f"COLUMNS spark={sorted(s_cols)} oracle={sorted(d_cols)}"
+        return res
+    a, b = _rows(s_cols, s_rows), _rows(d_cols, d_rows)
+    if a == b:
+        res["status"] = "match"
+    else:
+        sa, sb = set(a), set(b)
+        res["status"] = "MISMATCH"
+        res["only_spark"] = list(sa - sb)[:3]
+        res["only_oracle"] = list(sb - sa)[:3]
+    return res
+
+
+def main(argv):
+    sys.path.insert(0, ".")
+    import __spark_entry__ as E
+    from wardlens.session import get_session
+    sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
+    names = argv[2:]
+    spark = get_session(shuffle_partitions=8)
+    con = duck(sf_dir)
+    qs, sqls = E.queries(), E.oracle_sql()
+    bad = 0
+    for name in names or list(qs):
+        try:
+            r = compare(spark, con, name, qs[name], sqls.get(name), sf_dir)
+        except Exception as e:  # report and go on
+            r = {"name": name, "status": f"ERROR {type(e).__name__}: {str(e)[:300]}"}
+        bad += r["status"] not in ("match", "rows-only")
+        print(r, flush=True)
+    print(f"{len(names or qs) - bad} ok, {bad} failing")
+    return bad
+
+
+if __name__ == "__main__":
+    sys.exit(1 if main(sys.argv) else 0)
