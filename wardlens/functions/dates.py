@@ -17,7 +17,7 @@ def _c(col) -> Column:
 def parse_date(col, formats=DATE_FORMATS) -> Column:
     """TRY_CONVERT(DATE, text): first layout that parses wins; NULL when none does."""
     c = F.trim(_c(col))
-    return F.coalesce(*[F.try_to_date(c, F.lit(f)) for f in formats])
+    return F.coalesce(*[F.try_to_date(c, f) for f in formats])
 
 
 def stay_days(start, end) -> Column:

@@ -213,3 +213,95 @@ REPORTS = {
         "SELECT name AS patient_name, medical_condition, admission_type, billing_amount, admission_date "
         f"FROM admissions_clean WHERE admission_type = '{REPORT_TYPE}'"),
 }
+
+
+# ---------------------------------------------------------------------------------------------
+# cleaning (C1-C4, C9-C13, F2)
+
+NUMERIC_TEXT = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)\s*$"
+
+
+def safe_number_sql(col: str, dtype: str = "DECIMAL(18,2)") -> str:
+    return f"(CASE WHEN regexp_full_match({col}, '{NUMERIC_TEXT}') THEN TRY_CAST(trim({col}) AS {dtype}) END)"
+
+
+STAGING = """
+SELECT event_id AS staging_id, 'Patient ' || CAST(user_id AS VARCHAR) AS name, event_type AS medical_condition,
+       CASE WHEN event_id % 10 = 0 THEN '$' || amt ELSE amt END AS billing_amount,
+       strftime(CAST(ts AS DATE), '%Y-%m-%d') AS admission_date,
+       strftime(CAST(ts AS DATE) + CAST(event_id % 7 AS INTEGER), '%Y-%m-%d') AS discharge_date
+FROM (SELECT *, printf('%d.%02d', c // 100, c % 100) AS amt
+      FROM (SELECT *, CAST(round(value * 100) AS BIGINT) AS c FROM events))"""
+
+
+def with_staging(body: str) -> str:
+    return f"WITH staging AS ({STAGING}) {body}"
+
+
+def title_case_sql(col: str) -> str:
+    return (f"CASE WHEN {col} IS NOT NULL THEN array_to_string(list_transform("
+            f"regexp_extract_all({col}, '(\\p{{L}}+|[^\\p{{L}}]+)', 1), "
+            f"lambda r: upper(left(r, 1)) || lower(substr(r, 2))), '') END")
+
+
+CLEANING = {
+    "clean_warehouse": with_clean("SELECT * FROM admissions_clean"),
+    "first_token_entity": with_raw(f"SELECT hospital AS raw_hospital, {first_token_sql('hospital')} AS hospital "
+                                   f"FROM admissions"),
+    "title_case_names": with_raw(f"SELECT name AS raw_name, {title_case_sql('name')} AS name FROM admissions"),
+    "null_check": with_clean("SELECT count(*) FILTER (WHERE hospital IS NULL) AS null_hospital, "
+                             "count(*) FILTER (WHERE name IS NULL) AS null_name, count(*) AS total_rows "
+                             "FROM admissions_clean"),
+    "distinct_before_after": with_clean(
+        "SELECT 'Raw hospital distinct count' AS metric, count(DISTINCT hospital) AS value FROM admissions "
+        "UNION ALL SELECT 'Clean hospital distinct count', count(DISTINCT hospital) FROM admissions_clean"),
+    "conversion_issues": with_staging(
+        f"SELECT name, medical_condition, billing_amount AS raw_value, {safe_number_sql('billing_amount')} AS safe_value, "
+        f"CASE WHEN {safe_number_sql('billing_amount')} IS NULL THEN 'CONVERSION FAILED — investigate source row' "
+        f"ELSE 'Valid' END AS quality_flag, admission_date, discharge_date FROM staging "
+        f"WHERE {safe_number_sql('billing_amount')} IS NULL OR billing_amount IS NULL"),
+    "parse_dates": with_staging(
+        "SELECT staging_id, "
+        "CAST(coalesce(try_strptime(trim(admission_date), '%d/%m/%Y'), try_strptime(trim(admission_date), '%Y-%m-%d')) AS DATE) "
+        "AS admission_date, "
+        "CAST(coalesce(try_strptime(trim(discharge_date), '%d/%m/%Y'), try_strptime(trim(discharge_date), '%Y-%m-%d')) AS DATE) "
+        "AS discharge_date FROM staging"),
+}
+
+# ---------------------------------------------------------------------------------------------
+# entity resolution
+
+_NAMES = "names AS (SELECT rtrim(hospital, ',') AS hospital, count(*) AS w FROM admissions GROUP BY 1)"
+_TOKS = (f"toks AS (SELECT hospital, w, unnest(tk) AS token, generate_subscripts(tk, 1) AS pos "
+         f"FROM (SELECT hospital, w, {anchor_tokens_sql('hospital')} AS tk FROM names))")
+_COUNTS = "counts AS (SELECT token, sum(w) AS cnt FROM toks GROUP BY 1)"
+_BEST = ("best AS (SELECT hospital, token AS anchor FROM (SELECT t.hospital, t.token, row_number() OVER "
+         "(PARTITION BY t.hospital ORDER BY c.cnt, t.pos) AS rn FROM toks t JOIN counts c USING (token)) WHERE rn = 1)")
+_MAPPING = ("mapping AS (SELECT n.hospital, n.w, CASE WHEN n.hospital IS NOT NULL THEN coalesce(b.anchor, 'unknown') END "
+            "AS anchor FROM names n LEFT JOIN best b ON n.hospital = b.hospital)")
+_CANON = ("canon AS (SELECT anchor, hospital AS canonical FROM (SELECT anchor, hospital, row_number() OVER "
+          "(PARTITION BY anchor ORDER BY w DESC, hospital ASC) AS rn FROM mapping WHERE anchor IS NOT NULL) WHERE rn = 1)")
+_ENTITY_CTES = f"WITH admissions AS ({ADMISSIONS}), {_NAMES}, {_TOKS}, {_COUNTS}, {_BEST}, {_MAPPING}, {_CANON}"
+_ROWS = "(SELECT rtrim(hospital, ',') AS hospital FROM admissions) r"
+STRIPPED = "rtrim(hospital, ',')"
+
+ENTITY = {
+    "anchor_entity": (f"{_ENTITY_CTES} SELECT r.hospital, m.anchor AS hospital_anchor FROM {_ROWS} "
+                      f"LEFT JOIN mapping m ON r.hospital = m.hospital"),
+    "canonical_entity": (f"{_ENTITY_CTES} SELECT r.hospital, m.anchor AS hospital_anchor, c.canonical AS hospital_canonical "
+                         f"FROM {_ROWS} LEFT JOIN mapping m ON r.hospital = m.hospital "
+                         f"LEFT JOIN canon c ON m.anchor = c.anchor"),
+    "entity_audit": (f"{_ENTITY_CTES}, samples AS (SELECT anchor, string_agg(hospital, ' | ' ORDER BY hospital) AS sample_names "
+                     f"FROM (SELECT anchor, hospital, row_number() OVER (PARTITION BY anchor ORDER BY hospital) AS rn "
+                     f"FROM mapping WHERE anchor IS NOT NULL) WHERE rn <= 5 GROUP BY 1) "
+                     f"SELECT m.anchor, sum(m.w) AS group_rows, count(*) AS distinct_names, s.sample_names "
+                     f"FROM mapping m JOIN samples s USING (anchor) GROUP BY m.anchor, s.sample_names"),
+    "entity_audit_summary": (f"{_ENTITY_CTES} SELECT count(DISTINCT anchor) AS anchor_groups, sum(w) AS total_rows, "
+                             f"{xround('sum(w)', 'count(DISTINCT anchor)', 1)} AS avg_rows_per_group FROM mapping"),
+    "first_long_token_entity": with_raw(
+        f"SELECT rtrim(hospital, ',') AS hospital, coalesce({anchor_tokens_sql(STRIPPED, 4)}[1], "
+        f"lower(rtrim(hospital, ','))) AS hospital_anchor FROM admissions"),
+    "token_signature": with_raw(
+        f"SELECT hospital, array_to_string(list_sort(list_distinct({anchor_tokens_sql('hospital')})), ' ') "
+        f"AS hospital_clean FROM admissions"),
+}

@@ -7,6 +7,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
+from wardlens.functions.text import first_token, title_case
+from wardlens.operators import clean as C
+from wardlens.operators import entity as EN
 from wardlens.operators.clean import clean_warehouse
 from wardlens.plans import oracle
 from wardlens.plans import reports as R
@@ -53,13 +58,43 @@ REPORT_QUERIES: dict[str, Query] = {
 }
 
 
+CLEANING_QUERIES: dict[str, Query] = {
+    "clean_warehouse": clean_admissions,
+    "first_token_entity": lambda spark, d: standin.admissions(spark, d).select(
+        F.col("hospital").alias("raw_hospital"), first_token("hospital").alias("hospital")),
+    "title_case_names": lambda spark, d: standin.admissions(spark, d).select(
+        F.col("name").alias("raw_name"), title_case("name").alias("name")),
+    "null_check": lambda spark, d: C.null_check(clean_admissions(spark, d), ("hospital", "name")),
+    "distinct_before_after": lambda spark, d: C.distinct_before_after(
+        standin.admissions(spark, d), clean_admissions(spark, d), "hospital"),
+    "conversion_issues": lambda spark, d: C.conversion_issues(standin.billing_staging(spark, d)),
+    "parse_dates": lambda spark, d: C.parse_dates(standin.billing_staging(spark, d)).select(
+        "staging_id", "admission_date", "discharge_date"),
+}
+
+ENTITY_QUERIES: dict[str, Query] = {
+    "anchor_entity": lambda spark, d: EN.anchor_entity(standin.admissions(spark, d)).select(
+        "hospital", "hospital_anchor"),
+    "canonical_entity": lambda spark, d: EN.canonical_entity(standin.admissions(spark, d)).select(
+        "hospital", "hospital_anchor", "hospital_canonical"),
+    "entity_audit": lambda spark, d: EN.entity_audit(standin.admissions(spark, d)),
+    "entity_audit_summary": lambda spark, d: EN.entity_audit_summary(standin.admissions(spark, d)),
+    "first_long_token_entity": lambda spark, d: EN.anchor_entity(standin.admissions(spark, d), strategy="first")
+        .select("hospital", "hospital_anchor"),
+    "token_signature": lambda spark, d: EN.with_token_signature(standin.admissions(spark, d)).select(
+        "hospital", "hospital_clean"),
+}
+
+
 def all_queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
-    out.update(REPORT_QUERIES)
+    for group in (REPORT_QUERIES, CLEANING_QUERIES, ENTITY_QUERIES):
+        out.update(group)
     return out
 
 
 def all_oracles() -> dict[str, str]:
     out: dict[str, str] = {}
-    out.update(oracle.REPORTS)
+    for group in (oracle.REPORTS, oracle.CLEANING, oracle.ENTITY):
+        out.update(group)
     return out
