@@ -305,3 +305,60 @@ ENTITY = {
         f"SELECT hospital, array_to_string(list_sort(list_distinct({anchor_tokens_sql('hospital')})), ' ') "
         f"AS hospital_clean FROM admissions"),
 }
+
+
+# ---------------------------------------------------------------------------------------------
+# defensive loading
+
+def error_id_sql(run_id: str, key: str, context: str) -> str:
+    parts = ", ".join(f"coalesce(CAST(({p}) AS VARCHAR), chr(9216))" for p in (f"'{run_id}'", key, context))
+    return f"substr(sha256(concat_ws(chr(31), {parts})), 1, 32)"
+
+
+_CONV_OK = f"(billing_amount IS NULL OR {safe_number_sql('billing_amount')} IS NOT NULL)"
+_CONV_CTX = "'Scenario 1 — Billing_Amount conversion failure: ' || name"
+
+LOAD_BATCH_COLS = "order_key, line_number, patient_name, medical_condition, billing_amount, admission_date, discharge_date"
+_LOAD_CTES = (f"WITH lines AS ({ADMISSION_LINES}), "
+              f"batch AS (SELECT order_key, line_number, name AS patient_name, medical_condition, billing_amount, "
+              f"admission_date, discharge_date FROM lines WHERE line_status = 'O'), "
+              f"existing AS (SELECT DISTINCT name AS patient_name, admission_date FROM lines WHERE line_status = 'F'), "
+              f"d AS (SELECT {LOAD_BATCH_COLS}, count(*) AS copies FROM batch GROUP BY ALL), "
+              f"c AS (SELECT *, CASE WHEN patient_name IS NULL THEN 'NOT NULL violation: patient_name' "
+              f"WHEN NOT coalesce(billing_amount BETWEEN 0 AND 100000, true) "
+              f"THEN 'CHECK violation: billing_amount between 0 and 100000' END AS chk FROM d), "
+              f"r AS (SELECT *, row_number() OVER (PARTITION BY patient_name, admission_date ORDER BY "
+              + ", ".join(f"{c.strip()} ASC NULLS FIRST" for c in LOAD_BATCH_COLS.split(","))
+              + ") AS rn FROM c WHERE chk IS NULL), "
+              f"e AS (SELECT r.*, EXISTS (SELECT 1 FROM existing x WHERE x.patient_name IS NOT DISTINCT FROM r.patient_name "
+              f"AND x.admission_date IS NOT DISTINCT FROM r.admission_date) AS ex FROM r) ")
+
+LOADING = {
+    "load_typed_accepted": with_staging(
+        f"SELECT staging_id, name, medical_condition, {safe_number_sql('billing_amount')} AS billing_amount, "
+        f"admission_date, discharge_date FROM staging WHERE {_CONV_OK}"),
+    "load_typed_rejected": with_staging(
+        f"SELECT {error_id_sql('load', 'staging_id', _CONV_CTX)} AS error_id, 8114 AS error_number, "
+        f"16 AS error_severity, 1 AS error_state, 'Error converting data type nvarchar to numeric.' AS error_message, "
+        f"{_CONV_CTX} AS process_context FROM staging WHERE NOT {_CONV_OK}"),
+    "cost_per_day": with_clean(
+        f"SELECT name AS patient_name, billing_amount, {STAY} AS stay_days, "
+        f"{xround(BILL_CENTS, f'{STAY} * 100', 2)} AS cost_per_day, "
+        f"CASE WHEN {STAY} = 0 THEN 'Flagged — same day discharge, review source data' ELSE 'Valid' END "
+        f"AS data_quality_flag FROM admissions_clean"),
+    "insert_violations": (
+        f"WITH lines AS ({ADMISSION_LINES}), "
+        f"batch AS (SELECT name AS patient_name, admission_date, billing_amount FROM lines WHERE line_status = 'O'), "
+        f"existing AS (SELECT DISTINCT name AS patient_name, admission_date FROM lines WHERE line_status = 'F') "
+        f"SELECT patient_name, admission_date, 'DUPLICATE — violates unique key (existing row)' AS violation_type "
+        f"FROM batch b WHERE EXISTS (SELECT 1 FROM existing x WHERE x.patient_name IS NOT DISTINCT FROM b.patient_name "
+        f"AND x.admission_date IS NOT DISTINCT FROM b.admission_date) "
+        f"UNION ALL SELECT patient_name, admission_date, 'CHECK violation: billing_amount between 0 and 100000' "
+        f"FROM batch WHERE NOT coalesce(billing_amount BETWEEN 0 AND 100000, true)"),
+    "load_constrained_accepted": _LOAD_CTES + f"SELECT {LOAD_BATCH_COLS} FROM e WHERE rn = 1 AND NOT ex",
+    "load_constrained_rejected": _LOAD_CTES + (
+        f"SELECT {LOAD_BATCH_COLS}, chk AS reason, copies FROM c WHERE chk IS NOT NULL "
+        f"UNION ALL SELECT {LOAD_BATCH_COLS}, 'DUPLICATE — violates unique key (existing row)', copies FROM e WHERE ex "
+        f"UNION ALL SELECT {LOAD_BATCH_COLS}, 'DUPLICATE — violates unique key (earlier row in batch)', "
+        f"CASE WHEN rn = 1 THEN copies - 1 ELSE copies END FROM e WHERE NOT ex AND (rn > 1 OR copies > 1)"),
+}

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from wardlens.functions.text import first_token, title_case
 from wardlens.operators import clean as C
 from wardlens.operators import entity as EN
+from wardlens.operators import load as L
 from wardlens.operators.clean import clean_warehouse
 from wardlens.plans import oracle
 from wardlens.plans import reports as R
@@ -86,15 +87,56 @@ ENTITY_QUERIES: dict[str, Query] = {
 }
 
 
+# The loading scenario over the stand-in: the open lines arrive as a batch for a table that
+# already holds the finished lines; unique (patient_name, admission_date), billing 0..100000.
+def load_rules() -> L.Constraints:
+    return L.Constraints(unique=("patient_name", "admission_date"), not_null=("patient_name",),
+                         checks=(L.Constraints.billing_range(0, 100000),))
+LOAD_ORDER = ["order_key", "line_number"]
+LOAD_COLUMNS = ["order_key", "line_number", "patient_name", "medical_condition", "billing_amount",
+                "admission_date", "discharge_date"]
+
+
+def load_batch_and_existing(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    lines = standin.admission_lines(spark, sf_dir).withColumnRenamed("name", "patient_name")
+    batch = lines.filter(F.col("line_status") == "O").select(*LOAD_COLUMNS)
+    existing = lines.filter(F.col("line_status") == "F").select(*LOAD_COLUMNS)
+    return batch, existing
+
+
+def _constrained(part: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        batch, existing = load_batch_and_existing(spark, sf_dir)
+        return getattr(L.load_constrained(batch, existing, load_rules(), LOAD_ORDER), part)
+    return run
+
+
+def _violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    batch, existing = load_batch_and_existing(spark, sf_dir)
+    return L.violations(batch, existing, load_rules())
+
+
+LOADING_QUERIES: dict[str, Query] = {
+    "load_typed_accepted": lambda spark, d: L.load_typed(standin.billing_staging(spark, d), key_col="staging_id").accepted,
+    "load_typed_rejected": lambda spark, d: L.load_typed(standin.billing_staging(spark, d), key_col="staging_id")
+        .rejected.select("error_id", "error_number", "error_severity", "error_state", "error_message",
+                         "process_context"),
+    "cost_per_day": lambda spark, d: L.cost_per_day(clean_admissions(spark, d).withColumnRenamed("name", "patient_name")),
+    "insert_violations": _violations,
+    "load_constrained_accepted": _constrained("accepted"),
+    "load_constrained_rejected": _constrained("rejected"),
+}
+
+
 def all_queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
-    for group in (REPORT_QUERIES, CLEANING_QUERIES, ENTITY_QUERIES):
+    for group in (REPORT_QUERIES, CLEANING_QUERIES, ENTITY_QUERIES, LOADING_QUERIES):
         out.update(group)
     return out
 
 
 def all_oracles() -> dict[str, str]:
     out: dict[str, str] = {}
-    for group in (oracle.REPORTS, oracle.CLEANING, oracle.ENTITY):
+    for group in (oracle.REPORTS, oracle.CLEANING, oracle.ENTITY, oracle.LOADING):
         out.update(group)
     return out
