@@ -362,3 +362,38 @@ LOADING = {
         f"UNION ALL SELECT {LOAD_BATCH_COLS}, 'DUPLICATE — violates unique key (earlier row in batch)', "
         f"CASE WHEN rn = 1 THEN copies - 1 ELSE copies END FROM e WHERE NOT ex AND (rn > 1 OR copies > 1)"),
 }
+
+
+# ---------------------------------------------------------------------------------------------
+# hierarchies (H1-H5) over referral chains derived from conversations
+
+REFERRALS = """
+SELECT c.conv_id, c.turn, 'Conversation ' || CAST(c.conv_id AS VARCHAR) AS patient_name,
+       p.role AS from_department, c.role AS to_department,
+       CASE WHEN c.turn > 0 THEN c.turn - 1 END AS parent_turn
+FROM conversations c LEFT JOIN conversations p
+  ON c.conv_id = p.conv_id AND p.turn = CASE WHEN c.turn > 0 THEN c.turn - 1 END"""
+
+GUARD_DEPTH = 5
+
+
+def _chain(guard: int | None) -> str:
+    where = f"WHERE c.depth < {guard}" if guard else ""
+    return (f"WITH RECURSIVE refs AS ({REFERRALS}), chain AS ("
+            f"SELECT conv_id, turn, patient_name, from_department, to_department, parent_turn, 1 AS depth, "
+            f"patient_name || ' > ' || to_department AS referral_path FROM refs WHERE parent_turn IS NULL "
+            f"UNION ALL SELECT r.conv_id, r.turn, r.patient_name, r.from_department, r.to_department, r.parent_turn, "
+            f"c.depth + 1, c.referral_path || ' > ' || r.to_department FROM refs r JOIN chain c "
+            f"ON r.conv_id = c.conv_id AND r.parent_turn = c.turn {where}) ")
+
+
+HIERARCHY = {
+    "referral_chain": _chain(None) + ("SELECT conv_id, turn, patient_name, depth, from_department, to_department, "
+                                      "referral_path FROM chain"),
+    "referral_chain_guarded": _chain(GUARD_DEPTH) + "SELECT patient_name, depth, to_department FROM chain",
+    "referral_roots": (f"WITH refs AS ({REFERRALS}) SELECT conv_id, turn, patient_name, from_department, to_department, "
+                       f"parent_turn FROM refs WHERE parent_turn IS NULL"),
+    "referral_parent_links": (f"WITH refs AS ({REFERRALS}) SELECT c.conv_id, c.turn, c.patient_name, c.from_department, "
+                              f"c.to_department, c.parent_turn, p.turn AS parent_id FROM refs c JOIN refs p "
+                              f"ON c.conv_id = p.conv_id AND c.parent_turn = p.turn"),
+}

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from wardlens.functions.text import first_token, title_case
 from wardlens.operators import clean as C
 from wardlens.operators import entity as EN
+from wardlens.operators import hierarchy as H
 from wardlens.operators import load as L
 from wardlens.operators.clean import clean_warehouse
 from wardlens.plans import oracle
@@ -128,15 +129,37 @@ LOADING_QUERIES: dict[str, Query] = {
 }
 
 
+REF_IDS = ("conv_id", "turn")
+REF_PARENTS = ("conv_id", "parent_turn")
+
+
+def _parent_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The referral key is (conv_id, turn): the parent id reported is the parent's turn.
+    refs = standin.referrals(spark, sf_dir)
+    return H.parent_links(refs, REF_IDS, REF_PARENTS).withColumn("parent_id", F.col("parent_id.`_p1`"))
+
+
+HIERARCHY_QUERIES: dict[str, Query] = {
+    "referral_chain": lambda spark, d: H.walk_hierarchy(standin.referrals(spark, d), REF_IDS, REF_PARENTS,
+                                                        max_recursion=50).select(
+        "conv_id", "turn", "patient_name", "depth", "from_department", "to_department", "referral_path"),
+    "referral_chain_guarded": lambda spark, d: H.walk_hierarchy(
+        standin.referrals(spark, d), REF_IDS, REF_PARENTS, max_recursion=10,
+        depth_guard=oracle.GUARD_DEPTH).select("patient_name", "depth", "to_department"),
+    "referral_roots": lambda spark, d: H.roots(standin.referrals(spark, d), ("parent_turn",)),
+    "referral_parent_links": _parent_links,
+}
+
+
 def all_queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
-    for group in (REPORT_QUERIES, CLEANING_QUERIES, ENTITY_QUERIES, LOADING_QUERIES):
+    for group in (REPORT_QUERIES, CLEANING_QUERIES, ENTITY_QUERIES, LOADING_QUERIES, HIERARCHY_QUERIES):
         out.update(group)
     return out
 
 
 def all_oracles() -> dict[str, str]:
     out: dict[str, str] = {}
-    for group in (oracle.REPORTS, oracle.CLEANING, oracle.ENTITY, oracle.LOADING):
+    for group in (oracle.REPORTS, oracle.CLEANING, oracle.ENTITY, oracle.LOADING, oracle.HIERARCHY):
         out.update(group)
     return out
