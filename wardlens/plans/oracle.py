@@ -397,3 +397,12 @@ HIERARCHY = {
                               f"c.to_department, c.parent_turn, p.turn AS parent_id FROM refs c JOIN refs p "
                               f"ON c.conv_id = p.conv_id AND c.parent_turn = p.turn"),
 }
+
+
+# ---------------------------------------------------------------------------------------------
+# typed lookup (Y2): a text column searched with a numeric parameter
+
+LOOKUP_VALUE = 12.31
+LOOKUP = {
+    "typed_lookup": with_staging(f"SELECT * FROM staging WHERE billing_amount = '{LOOKUP_VALUE!r}'"),
+}

@@ -14,6 +14,7 @@ from wardlens.operators import clean as C
 from wardlens.operators import entity as EN
 from wardlens.operators import hierarchy as H
 from wardlens.operators import load as L
+from wardlens.operators import lookup as Y
 from wardlens.operators.clean import clean_warehouse
 from wardlens.plans import oracle
 from wardlens.plans import reports as R
@@ -151,15 +152,21 @@ HIERARCHY_QUERIES: dict[str, Query] = {
 }
 
 
+LOOKUP_QUERIES: dict[str, Query] = {
+    "typed_lookup": lambda spark, d: Y.typed_lookup(standin.billing_staging(spark, d), "billing_amount",
+                                                    oracle.LOOKUP_VALUE),
+}
+
+
 def all_queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
-    for group in (REPORT_QUERIES, CLEANING_QUERIES, ENTITY_QUERIES, LOADING_QUERIES, HIERARCHY_QUERIES):
+    for group in (REPORT_QUERIES, CLEANING_QUERIES, ENTITY_QUERIES, LOADING_QUERIES, HIERARCHY_QUERIES, LOOKUP_QUERIES):
         out.update(group)
     return out
 
 
 def all_oracles() -> dict[str, str]:
     out: dict[str, str] = {}
-    for group in (oracle.REPORTS, oracle.CLEANING, oracle.ENTITY, oracle.LOADING, oracle.HIERARCHY):
+    for group in (oracle.REPORTS, oracle.CLEANING, oracle.ENTITY, oracle.LOADING, oracle.HIERARCHY, oracle.LOOKUP):
         out.update(group)
     return out
