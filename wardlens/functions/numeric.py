@@ -69,11 +69,34 @@ def half_up_units(num, den, scale: int = 0) -> Column:
     return F.when(d != 0, (q * sign).cast("bigint"))
 
 
+# |n| * 2 * 10^6 + |d| stays inside a signed 64-bit integer below this bound.
+_LONG_SAFE = 4 * 10 ** 12
+
+
+def half_up_units_long(num, den, scale: int = 0) -> Column:
+    """``half_up_units`` for per-row use on bigint inputs: long arithmetic when the magnitudes
+    allow (every realistic amount), the exact decimal path otherwise. Same result either way."""
+    n = _c(num).cast("bigint")
+    d = _c(den).cast("bigint")
+    if 2 * 10 ** scale > 2 * 10 ** 6:
+        return half_up_units(n, d, scale)
+    an, ad = F.abs(n), F.abs(d)
+    fast = _idiv(an * F.lit(2 * 10 ** scale) + ad, ad * F.lit(2)) * F.signum(n).cast("bigint") * F.signum(d).cast("bigint")
+    return (F.when(d == 0, F.lit(None).cast("bigint"))
+             .when((an < F.lit(_LONG_SAFE)) & (ad < F.lit(_LONG_SAFE)), fast)
+             .otherwise(half_up_units(n, d, scale)))
+
+
 def exact_round(num, den, scale: int) -> Column:
     """round(num / den, scale) half away from zero, exact, returned as double."""
     return (half_up_units(num, den, scale).cast("double") / F.lit(float(10 ** scale)))
 
 
+def exact_round_row(num, den, scale: int) -> Column:
+    """``exact_round`` for per-row bigint inputs (long arithmetic fast path)."""
+    return half_up_units_long(num, den, scale).cast("double") / F.lit(float(10 ** scale))
+
+
 def exact_trunc(num, den) -> Column:
     """Integer average truncated toward zero (T-SQL AVG of an INT column)."""
     n = _c(num).cast("decimal(38,0)")
@@ -81,9 +104,14 @@ def exact_trunc(num, den) -> Column:
     return F.when(d != 0, _idiv(n, d).cast("bigint"))
 
 
+def cents_long(col) -> Column:
+    """decimal(18,2) money as an exact bigint number of cents (|cents| < 10^18 always fits)."""
+    return (_c(col).cast(MONEY) * F.lit(100)).cast("bigint")
+
+
 def cents(col) -> Column:
-    """decimal(18,2) money as an exact integer number of cents (decimal(38,0))."""
-    return (_c(col).cast(MONEY) * F.lit(100)).cast("decimal(38,0)")
+    """Cents widened to decimal(38,0), for sums over any number of rows."""
+    return cents_long(col).cast("decimal(38,0)")
 
 
 def money_avg_rounded(col, scale: int = 2) -> Column:
@@ -104,18 +132,18 @@ def micro_ratio(num_money, den_int) -> Column:
     NULL when the denominator is 0 or NULL (SAFE_DIVIDE); averaging these and rounding once
     gives engine-independent digits for averages of ratios such as cost per day.
     """
-    return half_up_units(cents(num_money), _c(den_int).cast("decimal(38,0)") * F.lit(100), 6)
+    return half_up_units_long(cents_long(num_money), _c(den_int).cast("bigint") * F.lit(100), 6)
 
 
 def micro_avg_rounded(micro_col, scale: int = 2) -> Column:
     """ROUND(AVG(ratio), scale) from a column of micro-unit ratios: an aggregate expression."""
-    return exact_round(F.sum(_c(micro_col)), F.count(_c(micro_col)) * F.lit(10 ** 6), scale)
+    return exact_round(F.sum(_c(micro_col).cast("decimal(38,0)")), F.count(_c(micro_col)) * F.lit(10 ** 6), scale)
 
 
 def micro_avg(micro_col) -> Column:
     """Unrounded AVG(ratio) from micro-unit ratios, as double."""
     n = F.count(_c(micro_col))
-    return F.when(n > 0, F.sum(_c(micro_col)).cast("double") / (n * F.lit(10 ** 6)).cast("double"))
+    return F.when(n > 0, F.sum(_c(micro_col).cast("decimal(38,0)")).cast("double") / (n * F.lit(10 ** 6)).cast("double"))
 
 
 def pct(part, whole, scale: int = 2) -> Column:

@@ -55,13 +55,17 @@ def strip_trailing(col, chars: str = ",") -> Column:
 
 
 def first_token(col, stopwords=FIRST_TOKEN_STOPWORDS) -> Column:
-    """Warehouse entity rule: first token (letters only, split on space) not in ``stopwords``.
+    """Warehouse entity rule: first letter run (``[A-Za-z]+``) that is not one of ``stopwords``.
 
-    NULL when no token is left or the input is NULL.
-    """
-    toks = F.split(letters_only(col), " ")
-    kept = F.filter(toks, lambda t: ~t.isin(list(stopwords)))
-    return F.get(kept, 0)
+    Same result as replacing non-letters by a space, splitting and filtering the array, but one
+    regex pass per row: a token start (string start or a non-letter before it), a lookahead that
+    rejects a token equal to a stopword, then the whole letter run. NULL when no token is left
+    or the input is NULL."""
+    import re
+    words = [re.escape(w) for w in stopwords if w]
+    reject = f"(?!(?:{'|'.join(words)})(?![A-Za-z]))" if words else ""
+    pattern = f"(?:^|[^A-Za-z]){reject}([A-Za-z]+)"
+    return F.nullif(F.regexp_extract(_c(col), pattern, 1), F.lit(""))
 
 
 def anchor_tokens(col, stopwords=ANCHOR_STOPWORDS, min_len: int = 3) -> Column:

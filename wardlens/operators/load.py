@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardlens.functions.dates import stay_days
-from wardlens.functions.numeric import MONEY, exact_round, cents, safe_number, strict_number
+from wardlens.functions.numeric import MONEY, cents_long, exact_round_row, safe_number, strict_number
 from wardlens.operators.errorlog import ErrorLog, log_rows
 from wardlens.session import cut_lineage
 
@@ -75,7 +75,7 @@ def cost_per_day(df: DataFrame, name_col: str = "patient_name", wording: str = "
     flag = FLAG_REVIEW if wording == "review" else FLAG_SHORT
     return df.select(
         F.col(name_col), "billing_amount", s.alias("stay_days"),
-        exact_round(cents("billing_amount"), s * F.lit(100), 2).alias("cost_per_day"),
+        exact_round_row(cents_long("billing_amount"), s.cast("bigint") * F.lit(100), 2).alias("cost_per_day"),
         F.when(s == 0, flag).otherwise("Valid").alias("data_quality_flag"))
 
 

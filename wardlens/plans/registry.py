@@ -28,37 +28,41 @@ def clean_admissions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_warehouse(standin.admissions(spark, sf_dir))
 
 
+# Reports as functions of the clean admissions table (the reference's reporting layer).
+REPORTS_ON_CLEAN: dict[str, Callable[[DataFrame], DataFrame]] = {
+    "average_stay": R.average_stay,
+    "average_stay_truncated": lambda df: R.average_stay(df, mode="truncated"),
+    "longest_stays": R.longest_stays,
+    "monthly_report": lambda df: R.monthly_report(df, oracle.REPORT_YEAR),
+    "monthly_admissions": R.monthly_admissions,
+    "cases_by_gender": R.cases_by_gender,
+    "top_conditions_by_gender": R.top_conditions_by_gender,
+    "medication_by_condition": R.medication_by_condition,
+    "hospital_condition_summary": R.hospital_condition_summary,
+    "top_conditions_by_hospital": R.top_conditions_by_hospital,
+    "cost_by_condition_hospital": R.cost_by_condition_hospital,
+    "busiest_hospitals": R.busiest_hospitals,
+    "condition_by_type": lambda df: R.condition_by_type(df, oracle.REPORT_HOSPITAL),
+    "results_by_type": R.results_by_type,
+    "cost_bands": R.cost_bands,
+    "result_categories": R.result_categories,
+    "gender_counts": R.gender_counts,
+    "emergency_vs_elective": R.emergency_vs_elective,
+    "billing_vs_daily_cost": R.billing_vs_daily_cost,
+    "hospital_count": R.hospital_count,
+    "billing_preview": R.billing_preview,
+    "billing_summary": R.billing_summary,
+    "filtered_summary": lambda df: R.filtered_summary(df, oracle.REPORT_TYPE, oracle.REPORT_CONDITION),
+    "value_distribution": lambda df: R.value_distribution(df, "admission_type"),
+    "admissions_by_type": lambda df: R.admissions_by_type(df, oracle.REPORT_TYPE),
+}
+
+
 def _on_clean(report: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: report(clean_admissions(spark, sf_dir))
 
 
-REPORT_QUERIES: dict[str, Query] = {
-    "average_stay": _on_clean(R.average_stay),
-    "average_stay_truncated": _on_clean(lambda df: R.average_stay(df, mode="truncated")),
-    "longest_stays": _on_clean(R.longest_stays),
-    "monthly_report": _on_clean(lambda df: R.monthly_report(df, oracle.REPORT_YEAR)),
-    "monthly_admissions": _on_clean(R.monthly_admissions),
-    "cases_by_gender": _on_clean(R.cases_by_gender),
-    "top_conditions_by_gender": _on_clean(R.top_conditions_by_gender),
-    "medication_by_condition": _on_clean(R.medication_by_condition),
-    "hospital_condition_summary": _on_clean(R.hospital_condition_summary),
-    "top_conditions_by_hospital": _on_clean(R.top_conditions_by_hospital),
-    "cost_by_condition_hospital": _on_clean(R.cost_by_condition_hospital),
-    "busiest_hospitals": _on_clean(R.busiest_hospitals),
-    "condition_by_type": _on_clean(lambda df: R.condition_by_type(df, oracle.REPORT_HOSPITAL)),
-    "results_by_type": _on_clean(R.results_by_type),
-    "cost_bands": _on_clean(R.cost_bands),
-    "result_categories": _on_clean(R.result_categories),
-    "gender_counts": _on_clean(R.gender_counts),
-    "emergency_vs_elective": _on_clean(R.emergency_vs_elective),
-    "billing_vs_daily_cost": _on_clean(R.billing_vs_daily_cost),
-    "hospital_count": _on_clean(R.hospital_count),
-    "billing_preview": _on_clean(R.billing_preview),
-    "billing_summary": _on_clean(R.billing_summary),
-    "filtered_summary": _on_clean(lambda df: R.filtered_summary(df, oracle.REPORT_TYPE, oracle.REPORT_CONDITION)),
-    "value_distribution": _on_clean(lambda df: R.value_distribution(df, "admission_type")),
-    "admissions_by_type": _on_clean(lambda df: R.admissions_by_type(df, oracle.REPORT_TYPE)),
-}
+REPORT_QUERIES: dict[str, Query] = {name: _on_clean(fn) for name, fn in REPORTS_ON_CLEAN.items()}
 
 
 CLEANING_QUERIES: dict[str, Query] = {
