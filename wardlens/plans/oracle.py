@@ -212,6 +212,24 @@ REPORTS = {
     "admissions_by_type": with_clean(
         "SELECT name AS patient_name, medical_condition, admission_type, billing_amount, admission_date "
         f"FROM admissions_clean WHERE admission_type = '{REPORT_TYPE}'"),
+    "quietest_hospitals": with_clean(
+        "SELECT hospital, count(*) AS cases FROM admissions_clean GROUP BY 1 "
+        "ORDER BY cases ASC NULLS LAST, hospital ASC NULLS LAST LIMIT 5"),
+    "admission_peaks": with_clean(
+        "SELECT * FROM (SELECT 'Busiest month' AS peak, year, month, admissions FROM (SELECT "
+        "CAST(year(admission_date) AS INTEGER) AS year, CAST(month(admission_date) AS INTEGER) AS month, "
+        "count(*) AS admissions FROM admissions_clean GROUP BY 1, 2) ORDER BY admissions DESC, year, month LIMIT 1) "
+        "UNION ALL SELECT * FROM (SELECT 'Quietest month', year, month, admissions FROM (SELECT "
+        "CAST(year(admission_date) AS INTEGER) AS year, CAST(month(admission_date) AS INTEGER) AS month, "
+        "count(*) AS admissions FROM admissions_clean GROUP BY 1, 2) ORDER BY admissions ASC, year, month LIMIT 1)"),
+    "row_count": with_clean("SELECT count(*) AS total_rows FROM admissions_clean"),
+    "profile_clean": with_clean(" UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, '{t}' AS data_type, count({c}) AS non_null, "
+        f"count(*) FILTER (WHERE {c} IS NULL) AS null_count, count(DISTINCT {c}) AS distinct_values FROM admissions_clean"
+        for c, t in (("gender", "string"), ("medical_condition", "string"), ("admission_date", "date"),
+                     ("discharge_date", "date"), ("billing_amount", "decimal(18,2)"), ("admission_type", "string"),
+                     ("medication", "string"), ("test_results", "string"), ("name", "string"),
+                     ("hospital", "string")))),
 }
 
 
@@ -260,6 +278,10 @@ CLEANING = {
         f"CASE WHEN {safe_number_sql('billing_amount')} IS NULL THEN 'CONVERSION FAILED — investigate source row' "
         f"ELSE 'Valid' END AS quality_flag, admission_date, discharge_date FROM staging "
         f"WHERE {safe_number_sql('billing_amount')} IS NULL OR billing_amount IS NULL"),
+    "conversion_diagnosis": with_staging(
+        f"SELECT name, medical_condition, billing_amount AS raw_value, {safe_number_sql('billing_amount')} AS safe_value, "
+        f"CASE WHEN {safe_number_sql('billing_amount')} IS NULL THEN 'CONVERSION FAILED — investigate source row' "
+        f"ELSE 'Valid' END AS quality_flag, admission_date, discharge_date FROM staging"),
     "parse_dates": with_staging(
         "SELECT staging_id, "
         "CAST(coalesce(try_strptime(trim(admission_date), '%d/%m/%Y'), try_strptime(trim(admission_date), '%Y-%m-%d')) AS DATE) "
@@ -346,6 +368,10 @@ LOADING = {
         f"{xround(BILL_CENTS, f'{STAY} * 100', 2)} AS cost_per_day, "
         f"CASE WHEN {STAY} = 0 THEN 'Flagged — same day discharge, review source data' ELSE 'Valid' END "
         f"AS data_quality_flag FROM admissions_clean"),
+    "diagnose_zero_stay": with_clean(
+        f"SELECT name AS patient_name, billing_amount, {STAY} AS stay_days, "
+        f"CASE WHEN {STAY} = 0 THEN 'ZERO STAY — will cause divide-by-zero' ELSE 'Valid' END AS diagnosis "
+        f"FROM admissions_clean"),
     "insert_violations": (
         f"WITH lines AS ({ADMISSION_LINES}), "
         f"batch AS (SELECT name AS patient_name, admission_date, billing_amount FROM lines WHERE line_status = 'O'), "

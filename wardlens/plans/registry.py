@@ -19,6 +19,7 @@ from wardlens.operators.clean import clean_warehouse
 from wardlens.plans import oracle
 from wardlens.plans import reports as R
 from wardlens.sources import standin
+from wardlens.sources import tables as T
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -55,6 +56,10 @@ REPORTS_ON_CLEAN: dict[str, Callable[[DataFrame], DataFrame]] = {
     "filtered_summary": lambda df: R.filtered_summary(df, oracle.REPORT_TYPE, oracle.REPORT_CONDITION),
     "value_distribution": lambda df: R.value_distribution(df, "admission_type"),
     "admissions_by_type": lambda df: R.admissions_by_type(df, oracle.REPORT_TYPE),
+    "quietest_hospitals": lambda df: R.busiest_hospitals(df, ascending=True),
+    "admission_peaks": R.admission_peaks,
+    "row_count": lambda df: T.row_count(df),
+    "profile_clean": lambda df: T.profile(df, approx=False),
 }
 
 
@@ -75,6 +80,8 @@ CLEANING_QUERIES: dict[str, Query] = {
     "distinct_before_after": lambda spark, d: C.distinct_before_after(
         standin.admissions(spark, d), clean_admissions(spark, d), "hospital"),
     "conversion_issues": lambda spark, d: C.conversion_issues(standin.billing_staging(spark, d)),
+    "conversion_diagnosis": lambda spark, d: C.conversion_issues(standin.billing_staging(spark, d),
+                                                                 only_problems=False),
     "parse_dates": lambda spark, d: C.parse_dates(standin.billing_staging(spark, d)).select(
         "staging_id", "admission_date", "discharge_date"),
 }
@@ -128,6 +135,8 @@ LOADING_QUERIES: dict[str, Query] = {
         .rejected.select("error_id", "error_number", "error_severity", "error_state", "error_message",
                          "process_context"),
     "cost_per_day": lambda spark, d: L.cost_per_day(clean_admissions(spark, d).withColumnRenamed("name", "patient_name")),
+    "diagnose_zero_stay": lambda spark, d: L.diagnose_zero_stay(
+        clean_admissions(spark, d).withColumnRenamed("name", "patient_name")),
     "insert_violations": _violations,
     "load_constrained_accepted": _constrained("accepted"),
     "load_constrained_rejected": _constrained("rejected"),

@@ -60,6 +60,15 @@ def monthly_admissions(df: DataFrame) -> DataFrame:
               .agg(F.count(F.lit(1)).alias("admissions")))
 
 
+def admission_peaks(df: DataFrame) -> DataFrame:
+    """The busiest and the quietest month over all time (earliest month on ties)."""
+    monthly = monthly_admissions(df)
+    busiest = top_n(monthly, [F.col("admissions").desc(), F.col("year"), F.col("month")], 1)
+    quietest = top_n(monthly, [F.col("admissions").asc(), F.col("year"), F.col("month")], 1)
+    return (busiest.select(F.lit("Busiest month").alias("peak"), "year", "month", "admissions")
+                   .unionByName(quietest.select(F.lit("Quietest month").alias("peak"), "year", "month", "admissions")))
+
+
 def cases_by_gender(df: DataFrame) -> DataFrame:
     """Cases per gender and condition."""
     return df.groupBy("gender", "medical_condition").agg(F.count(F.lit(1)).alias("total_cases"))
@@ -218,8 +227,10 @@ def value_distribution(df: DataFrame, column: str) -> DataFrame:
 
 def admissions_by_type(df: DataFrame, admission_type: str) -> DataFrame:
     """Q22: admissions of one type, newest first. The literal is typed like the column, so the
-    equality reaches the scan as a pushed filter whatever the value's skew."""
+    equality reaches the scan as a pushed filter whatever the value's skew. The extra sort keys
+    make the order total, and let the range partitioner split a date that holds many rows."""
     return (df.filter(F.col("admission_type") == F.lit(admission_type))
               .select(F.col("name").alias("patient_name"), "medical_condition", "admission_type",
                       "billing_amount", "admission_date")
-              .orderBy(F.col("admission_date").desc_nulls_last()))
+              .orderBy(F.col("admission_date").desc_nulls_last(), F.col("patient_name").asc_nulls_last(),
+                       F.col("medical_condition").asc_nulls_last(), F.col("billing_amount").asc_nulls_last()))
