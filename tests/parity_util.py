@@ -25,6 +25,9 @@ def duck(sf_dir: str):
     return con
 
 
+EXACT = False
+
+
 def _norm(v):
     if v is None:
         return ("~null",)
@@ -33,7 +36,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return repr(round(v, 9))
+        return repr(v) if EXACT else repr(round(v, 9))
     if isinstance(v, decimal.Decimal):
         return repr(round(float(v), 9))
     if isinstance(v, int):
@@ -82,6 +85,8 @@ def main(argv):
     sys.path.insert(0, ".")
     import __spark_entry__ as E
     from wardlens.session import get_session
+    global EXACT
+    EXACT = bool(int(__import__("os").environ.get("PARITY_EXACT", "0")))
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     names = argv[2:]
     spark = get_session(shuffle_partitions=8)
