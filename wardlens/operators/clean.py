@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from wardlens.functions.dates import DATE_FORMATS, parse_date
 from wardlens.functions.numeric import MONEY, safe_number
 from wardlens.functions.text import FIRST_TOKEN_STOPWORDS, first_token, initcap_name, title_case
-from wardlens.operators.ranking import labelled_counts
 
 
 def parse_dates(df: DataFrame, columns=("admission_date", "discharge_date"), formats=DATE_FORMATS) -> DataFrame:
@@ -53,6 +52,14 @@ def distinct_before_after(raw: DataFrame, clean: DataFrame, col: str = "hospital
     return a.unionByName(b)
 
 
+def distinct_change(df: DataFrame, before, after,
+                    labels=("Raw hospital distinct count", "Clean hospital distinct count")) -> DataFrame:
+    """C12 in one pass when the clean value is an expression of the raw row: both distinct
+    counts come from a single scan."""
+    wide = df.agg(F.count_distinct(before).alias("b"), F.count_distinct(after).alias("a"))
+    return wide.select(F.expr(f"stack(2, '{labels[0]}', b, '{labels[1]}', a) as (metric, value)"))
+
+
 # Fixed value: the diagnosis wording of the quality report (BQ:98).
 CONVERSION_FAILED = "CONVERSION FAILED — investigate source row"
 
@@ -71,7 +78,3 @@ def conversion_issues(df: DataFrame, col: str = "billing_amount", dtype: str = M
         out = out.filter(F.col("safe_value").isNull() | F.col("raw_value").isNull())
     return out
 
-
-def gender_balance(df: DataFrame) -> DataFrame:
-    return labelled_counts(df, {"Male": F.col("gender") == "Male", "Female": F.col("gender") == "Female"},
-                           "gender_group", "admissions")

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardlens.functions.text import ANCHOR_STOPWORDS, anchor_tokens, strip_trailing, token_signature
+from wardlens.session import cut_lineage
 
 
 def name_weights(df: DataFrame, col: str = "hospital", strip: str | None = ",") -> DataFrame:
@@ -60,16 +61,22 @@ def canonical_map(anchors: DataFrame) -> DataFrame:
 
 
 def entity_map(df: DataFrame, col: str = "hospital", strategy: str = "rarest", stopwords=ANCHOR_STOPWORDS,
-               min_len: int | None = None, strip: str | None = ",") -> DataFrame:
-    """entity_name -> (anchor, canonical) over the distinct names of ``df[col]``."""
+               min_len: int | None = None, strip: str | None = ",", checkpoint: bool = True) -> DataFrame:
+    """entity_name -> (anchor, canonical) over the distinct names of ``df[col]``.
+
+    The distinct-name table is read several times (token counts, anchors, canonical names), so
+    it is written once as a reliable checkpoint: the big input is scanned once for the map."""
     names = name_weights(df, col, strip)
+    if checkpoint:
+        names = cut_lineage(names)
     if strategy == "rarest":
         anchors = anchor_map(names, stopwords, 3 if min_len is None else min_len)
     elif strategy == "first":
         anchors = first_token_anchor_map(names, stopwords, 4 if min_len is None else min_len)
     else:
         raise ValueError(f"unknown strategy {strategy!r}")
-    return anchors.join(canonical_map(anchors), "anchor", "left")
+    out = anchors.join(canonical_map(anchors), "anchor", "left")
+    return cut_lineage(out) if checkpoint else out
 
 
 def resolve_entities(df: DataFrame, col: str = "hospital", strategy: str = "rarest", stopwords=ANCHOR_STOPWORDS,

@@ -134,22 +134,19 @@ def _check_violation(rules: Constraints) -> Column:
 def violations(batch: DataFrame, existing: DataFrame, rules: Constraints) -> DataFrame:
     """Pre-insert report, key columns + violation_type. Duplicates against *existing* rows
     UNION ALL failed CHECK rules; a row breaking both appears twice; duplicates inside the batch
-    are not listed. Existing keys are de-duplicated first (a semi join), so no row is paired
-    with every existing copy of its key."""
+    are not listed. One pass over the batch: a left join with the *distinct* existing keys (so
+    no row is paired with every existing copy of its key) flags duplicates, then an array of
+    violated rules is exploded."""
     keys = list(rules.unique)
-    ex_keys = _renamed_keys(existing, keys, "_x")
-    dup = (batch.join(ex_keys, _null_safe_on(batch, keys, ex_keys, "_x"), "left_semi")
-                .select(*keys, F.lit(DUPLICATE_EXISTING).alias("violation_type")))
-    parts = [dup]
-    for label, pred in rules.checks:
-        parts.append(batch.filter(~F.coalesce(pred, F.lit(True))).select(*keys, F.lit(label).alias("violation_type")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def label_batch(batch: DataFrame, existing: DataFrame, rules: Constraints, order_cols: list[str]) -> DataFrame:
+    ex_keys = _renamed_keys(existing, keys, "_x").withColumn("_exists", F.lit(True))
+    flagged = batch.join(ex_keys, _null_safe_on(batch, keys, ex_keys, "_x"), "left")
+    labels = [F.when(F.col("_exists"), F.lit(DUPLICATE_EXISTING))]
+    labels += [F.when(~F.coalesce(pred, F.lit(True)), F.lit(label)) for label, pred in rules.checks]
+    return flagged.select(*[batch[k] for k in keys], F.explode(F.array_compact(F.array(*labels))).alias("violation_type"))
+
+
+def label_batch(batch: DataFrame, existing: DataFrame, rules: Constraints, order_cols: list[str],
+                checkpoint: bool = True) -> DataFrame:
     """Label every distinct batch row: ``status`` accepted/rejected, ``reason``, ``copies``.
 
     Rows arrive in ``order_cols`` order (ties broken by the remaining columns). Semantics of a
@@ -166,6 +163,9 @@ def label_batch(batch: DataFrame, existing: DataFrame, rules: Constraints, order
     d = batch.groupBy(*cols).agg(F.count(F.lit(1)).alias("copies"))
     d = d.withColumn("_order", F.struct(*[F.col(c) for c in order_cols + rest]))
     d = d.withColumn("_check", _check_violation(rules))
+    if checkpoint:
+        # read twice below (first row per key, then the labelling join): scan the batch once
+        d = cut_lineage(d)
     passing = d.filter(F.col("_check").isNull())
     first = passing.groupBy(*keys).agg(F.min("_order").alias("_first"))
     ex_keys = _renamed_keys(existing, keys, "_x").withColumn("_exists", F.lit(True))

@@ -29,18 +29,19 @@ def share_within(df: DataFrame, keys, metric: str, out_col: str = "share_pct", s
     return df.withColumn(out_col, pct(F.col(metric), F.sum(metric).over(w), scale))
 
 
-def total_of(df: DataFrame, metric: str) -> Column:
-    """SUM(metric) over the whole input as a scalar subquery.
+def total_of(metric: str) -> Column:
+    """SUM(metric) OVER (): the grand total, for input that is already aggregated.
 
-    An empty OVER () window would move every group to one partition; the scalar subquery runs
-    as its own small aggregation and is then a constant in the main plan (no cross join).
-    """
-    return df.agg(F.sum(metric)).scalar()
+    The window moves only the group rows (one per group) to one task, and the total comes from
+    the same aggregation as the rows, so the source is scanned once. (A scalar subquery would be
+    planned once per use of the column and re-run the whole aggregation each time.)"""
+    return F.sum(metric).over(Window.partitionBy())
 
 
 def share_of_total(df: DataFrame, metric: str, out_col: str = "share_pct", scale: int = 2) -> DataFrame:
-    """metric * 100 / SUM(metric) OVER (), exact half-up at ``scale``."""
-    return df.withColumn(out_col, pct(F.col(metric), total_of(df, metric), scale))
+    """metric * 100 / SUM(metric) OVER (), exact half-up at ``scale``; ``df`` is aggregated."""
+    return df.withColumn("_total", total_of(metric)).withColumn(
+        out_col, pct(F.col(metric), F.col("_total"), scale)).drop("_total")
 
 
 def top_n(df: DataFrame, order: list[Column], n: int) -> DataFrame:

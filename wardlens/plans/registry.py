@@ -77,8 +77,8 @@ CLEANING_QUERIES: dict[str, Query] = {
     "title_case_names": lambda spark, d: standin.admissions(spark, d).select(
         F.col("name").alias("raw_name"), title_case("name").alias("name")),
     "null_check": lambda spark, d: C.null_check(clean_admissions(spark, d), ("hospital", "name")),
-    "distinct_before_after": lambda spark, d: C.distinct_before_after(
-        standin.admissions(spark, d), clean_admissions(spark, d), "hospital"),
+    "distinct_before_after": lambda spark, d: C.distinct_change(
+        standin.admissions(spark, d), F.col("hospital"), first_token("hospital")),
     "conversion_issues": lambda spark, d: C.conversion_issues(standin.billing_staging(spark, d)),
     "conversion_diagnosis": lambda spark, d: C.conversion_issues(standin.billing_staging(spark, d),
                                                                  only_problems=False),

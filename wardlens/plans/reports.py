@@ -14,7 +14,7 @@ from wardlens.functions.dates import between_dates, stay_days
 from wardlens.functions.numeric import (
     exact_round, exact_trunc, micro_avg, micro_avg_rounded, micro_ratio, money_avg, money_avg_rounded, pct,
 )
-from wardlens.operators.ranking import labelled_counts, rank_within, share_within, top_n, total_of
+from wardlens.operators.ranking import labelled_counts, rank_within, share_of_total, share_within, top_n
 
 
 def _stay(start="admission_date", end="discharge_date"):
@@ -61,12 +61,17 @@ def monthly_admissions(df: DataFrame) -> DataFrame:
 
 
 def admission_peaks(df: DataFrame) -> DataFrame:
-    """The busiest and the quietest month over all time (earliest month on ties)."""
+    """The busiest and the quietest month over all time (earliest month on ties).
+
+    One aggregation; both orders are row numbers over the monthly rows (a few hundred)."""
+    from pyspark.sql import Window
     monthly = monthly_admissions(df)
-    busiest = top_n(monthly, [F.col("admissions").desc(), F.col("year"), F.col("month")], 1)
-    quietest = top_n(monthly, [F.col("admissions").asc(), F.col("year"), F.col("month")], 1)
-    return (busiest.select(F.lit("Busiest month").alias("peak"), "year", "month", "admissions")
-                   .unionByName(quietest.select(F.lit("Quietest month").alias("peak"), "year", "month", "admissions")))
+    down = F.row_number().over(Window.orderBy(F.col("admissions").desc(), "year", "month"))
+    up = F.row_number().over(Window.orderBy(F.col("admissions").asc(), "year", "month"))
+    ranked = monthly.withColumn("_down", down).withColumn("_up", up).filter((F.col("_down") == 1) | (F.col("_up") == 1))
+    labels = F.array_compact(F.array(F.when(F.col("_down") == 1, F.lit("Busiest month")),
+                                     F.when(F.col("_up") == 1, F.lit("Quietest month"))))
+    return ranked.select(F.explode(labels).alias("peak"), "year", "month", "admissions")
 
 
 def cases_by_gender(df: DataFrame) -> DataFrame:
@@ -138,7 +143,7 @@ def condition_by_type(df: DataFrame, hospital_value: str, hospital: str = "hospi
 def results_by_type(df: DataFrame) -> DataFrame:
     """Q11: test results by admission type with the share of all rows."""
     counts = df.groupBy("admission_type", "test_results").agg(F.count(F.lit(1)).alias("total"))
-    return counts.withColumn("percentage_of_total", pct(F.col("total"), total_of(counts, "total")))
+    return share_of_total(counts, "total", "percentage_of_total")
 
 
 def cost_band(col="billing_amount", lo: float = 20000, hi: float = 40000):
@@ -222,7 +227,7 @@ def filtered_summary(df: DataFrame, admission_type: str = "Emergency", condition
 def value_distribution(df: DataFrame, column: str) -> DataFrame:
     """Q21: rows per value of a column with its share of all rows (2 dp)."""
     counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("row_count"))
-    return counts.withColumn("pct_of_total", pct(F.col("row_count"), total_of(counts, "row_count")))
+    return share_of_total(counts, "row_count", "pct_of_total")
 
 
 def admissions_by_type(df: DataFrame, admission_type: str) -> DataFrame:
