@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardlens.sources.tables import read_table
+from wardlens.sources.tables import ensure_parallelism, read_table
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,9 +24,9 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``spark.sql.autoBroadcastJoinThreshold`` and otherwise keeps a shuffle join, splitting
     skewed partitions.
     """
-    li = read_table(spark, sf_dir, "lineitem").select(
+    li = ensure_parallelism(read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice",
-        "l_returnflag", "l_linestatus")
+        "l_returnflag", "l_linestatus"))
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     p = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type")
@@ -87,7 +87,8 @@ def billing_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Every tenth amount carries a currency sign, which a strict numeric conversion rejects.
     """
-    ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    ev = ensure_parallelism(read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type",
+                                                                        "value"))
     c = F.round(F.col("value") * 100).cast("bigint")
     amount = F.format_string("%d.%02d", F.call_function("div", c, F.lit(100)), c % 100)
     day = F.to_date("ts")
