@@ -76,3 +76,14 @@ def test_warehouse_clean_and_validation(spark):
 def test_plan_has_no_cartesian_product(spark):
     plan = EN.canonical_entity(hospitals(spark))._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_group_id_is_stable_per_anchor(spark):
+    m = EN.entity_map(hospitals(spark)).collect()
+    by_anchor = {}
+    for r in m:
+        by_anchor.setdefault(r.anchor, set()).add(r.group_id)
+    assert all(len(v) == 1 for v in by_anchor.values())
+    assert by_anchor[None] == {None} and len({next(iter(v)) for k, v in by_anchor.items() if k}) == 3
+    again = {r.entity_name: r.group_id for r in EN.entity_map(hospitals(spark)).collect()}
+    assert again == {r.entity_name: r.group_id for r in m}

@@ -46,3 +46,16 @@ def test_profile_and_maintenance(spark, scratch):
     out = tables.materialise(df, f"{scratch}/t")
     tables.append_to(df.select("s", "n"), f"{scratch}/t", {"s": "s", "n": "n"})
     assert out.count() == 3 and spark.read.parquet(f"{scratch}/t").count() == 6
+
+
+def test_parallelism_floor_only_for_few_partitions(spark, scratch):
+    one = spark.range(1000).coalesce(1)
+    assert tables.ensure_parallelism(one, 4).rdd.getNumPartitions() == 4
+    many = spark.range(1000).repartition(6)
+    assert tables.ensure_parallelism(many, 4) is many
+
+
+def test_profile_approx_path(spark):
+    df = spark.createDataFrame([("a", 1), ("b", None), (None, None)], "s string, n int")
+    prof = {r.column_name: r for r in tables.profile(df).collect()}
+    assert (prof["s"].non_null, prof["s"].null_count, prof["s"].distinct_values) == (2, 1, 2)

@@ -75,10 +75,17 @@ def entity_map(df: DataFrame, col: str = "hospital", strategy: str = "rarest", s
         anchors = first_token_anchor_map(names, stopwords, 4 if min_len is None else min_len)
     else:
         raise ValueError(f"unknown strategy {strategy!r}")
-    out = anchors.join(canonical_map(anchors), "anchor", "left")
+    out = (anchors.join(canonical_map(anchors), "anchor", "left")
+                  .withColumn("group_id", group_id(F.col("anchor"))))
     return cut_lineage(out) if checkpoint else out
 
 
+def group_id(anchor) -> "F.Column":
+    """A stable group number per anchor (64-bit hash): the same on every run and cluster,
+    with no global numbering pass (first-appearance numbering would need one ordered task)."""
+    return F.when(anchor.isNotNull(), F.xxhash64(anchor))
+
+
 def resolve_entities(df: DataFrame, col: str = "hospital", strategy: str = "rarest", stopwords=ANCHOR_STOPWORDS,
                      min_len: int | None = None, strip: str | None = ",", anchor_col: str | None = None,
                      canonical_col: str | None = None) -> DataFrame:
