@@ -11,8 +11,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed value: the numeric text accepted by a strict SQL conversion (optional sign, digits,
-# optional fraction, surrounding blanks). Spark's try_cast alone also accepts '12d', 'NaN', '1e5'.
-NUMERIC_TEXT = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)\s*$"
+# optional fraction, surrounding ASCII blanks). Spark's try_cast alone also accepts '12d', 'NaN',
+# '1e5'. Blanks are spelled out: ``\s`` means different characters in Java, RE2 and Python.
+BLANKS = "[ \t\n\r\f]"
+NUMERIC_TEXT = rf"^{BLANKS}*[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+){BLANKS}*$"
 
 MONEY = "decimal(18,2)"
 
@@ -25,17 +27,21 @@ def is_numeric_text(col) -> Column:
     return _c(col).rlike(NUMERIC_TEXT)
 
 
+def strip_blanks(col) -> Column:
+    return F.regexp_replace(_c(col), rf"^{BLANKS}+|{BLANKS}+$", "")
+
+
 def safe_number(col, dtype: str = MONEY) -> Column:
     """TRY_CAST semantics: NULL when the text is not a plain number or does not fit ``dtype``."""
     c = _c(col)
-    return F.when(is_numeric_text(c), F.trim(c).try_cast(dtype))
+    return F.when(is_numeric_text(c), strip_blanks(c).try_cast(dtype))
 
 
 def strict_number(col, dtype: str = MONEY, message: str | None = None) -> Column:
     """CAST semantics: a single bad value fails the whole job, whatever the ANSI setting."""
     c = _c(col)
     msg = message or f"Error converting data type to {dtype}."
-    converted = F.trim(c).try_cast(dtype)
+    converted = strip_blanks(c).try_cast(dtype)
     return (F.when(c.isNull(), F.lit(None).cast(dtype))
              .when(converted.isNull() | ~is_numeric_text(c),
                    F.raise_error(F.concat(F.lit(msg + " Value: "), c)).cast(dtype))

@@ -236,11 +236,13 @@ REPORTS = {
 # ---------------------------------------------------------------------------------------------
 # cleaning (C1-C4, C9-C13, F2)
 
-NUMERIC_TEXT = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)\s*$"
+BLANKS = "[ \t\n\r\f]"
+NUMERIC_TEXT = rf"^{BLANKS}*[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+){BLANKS}*$"
 
 
 def safe_number_sql(col: str, dtype: str = "DECIMAL(18,2)") -> str:
-    return f"(CASE WHEN regexp_full_match({col}, '{NUMERIC_TEXT}') THEN TRY_CAST(trim({col}) AS {dtype}) END)"
+    stripped = f"regexp_replace({col}, '^{BLANKS}+|{BLANKS}+$', '', 'g')"
+    return f"(CASE WHEN regexp_full_match({col}, '{NUMERIC_TEXT}') THEN TRY_CAST({stripped} AS {dtype}) END)"
 
 
 STAGING = """
