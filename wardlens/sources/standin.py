@@ -26,7 +26,7 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     li = ensure_parallelism(read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice",
-        "l_returnflag", "l_linestatus"))
+        "l_returnflag", "l_linestatus"), keys=["l_orderkey"])
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     p = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type")
@@ -88,7 +88,7 @@ def billing_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
     Every tenth amount carries a currency sign, which a strict numeric conversion rejects.
     """
     ev = ensure_parallelism(read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type",
-                                                                        "value"))
+                                                                        "value"), keys=["event_id"])
     c = F.round(F.col("value") * 100).cast("bigint")
     amount = F.format_string("%d.%02d", F.call_function("div", c, F.lit(100)), c % 100)
     day = F.to_date("ts")

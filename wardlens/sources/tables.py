@@ -16,15 +16,19 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None, keys: list[str] | None = None) -> DataFrame:
     """Spread a scan over at least ``min_partitions`` tasks (default: the cluster's parallelism).
 
     A large table stored as one parquet row group is read by a single task, and everything
     pipelined after the scan (broadcast joins, projections, partial aggregation) then runs in
-    that one task. Only then is a round-robin repartition added; a table of many files or row
-    groups (any table at scale) is returned unchanged, without an extra shuffle."""
+    that one task. Only then is a hash repartition added (on ``keys``, else on all columns):
+    deterministic on a retry without the local sort a round-robin repartition needs. A table of
+    many files or row groups (any table at scale) is returned unchanged, without a shuffle."""
     want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    cols = [F.col(k) for k in keys] if keys else [F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])]
+    return df.repartition(want, *cols)
 
 
 def register_tables(spark: SparkSession, sf_dir: str, names=DRIVER_TABLES) -> None:
