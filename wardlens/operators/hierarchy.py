@@ -13,10 +13,12 @@ is the inline ``WHERE depth < n`` guard: rows at depth ``n`` are not expanded, s
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardlens.session import cut_lineage
+from wardlens.session import cut_lineage, scratch_path
 
 
 class RecursionLimitExceeded(RuntimeError):
@@ -68,6 +70,31 @@ def walk_hierarchy(df: DataFrame, id_cols=("referral_id",), parent_cols=("parent
     if on_limit not in ("fail", "truncate"):
         raise ValueError(f"unknown on_limit {on_limit!r}")
     id_cols, parent_cols = list(id_cols), list(parent_cols)
+    table = None
+    if checkpoint:
+        # The edges are written once as a table bucketed by the parent key (in the shared
+        # checkpoint folder): each level's join then reads them without a shuffle and moves only
+        # the frontier. (A checkpoint would not keep the partitioning.)
+        df, table = _bucketed_edges(df, parent_cols)
+    try:
+        return _walk(df, id_cols, parent_cols, root_label, step_label, max_recursion, depth_guard, on_limit,
+                     start, path_col, separator, checkpoint)
+    finally:
+        if table:
+            df.sparkSession.sql(f"DROP TABLE IF EXISTS {table}")
+
+
+def _bucketed_edges(df: DataFrame, parent_cols: list[str]) -> tuple[DataFrame, str]:
+    spark = df.sparkSession
+    name = f"wardlens_edges_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (df.write.bucketBy(buckets, *parent_cols).sortBy(*parent_cols)
+       .option("path", scratch_path(spark, name)).saveAsTable(name))
+    return spark.table(name), name
+
+
+def _walk(df, id_cols, parent_cols, root_label, step_label, max_recursion, depth_guard, on_limit, start, path_col,
+          separator, checkpoint) -> DataFrame:
     start_rows = df.filter(start if start is not None else _no_parent(parent_cols))
     level = start_rows.select(*df.columns, F.lit(1).alias("depth"),
                               F.concat(F.col(root_label), F.lit(separator), F.col(step_label)).alias(path_col))
