@@ -84,3 +84,13 @@ def test_busiest_and_lookup_reports(spark):
     assert R.condition_by_type(adm(spark), "Smith").collect()[0].frequency == 2
     assert R.filtered_summary(adm(spark), "Emergency", "Flu").first().avg_stay_days == 1
     assert [r.patient_name for r in R.admissions_by_type(adm(spark), "Elective").collect()] in (["C", "D"], ["D", "C"])
+
+
+def test_countif_vs_sum_case_on_empty_input(spark):
+    # A3: COUNTIF gives 0 on no rows, the T-SQL twin SUM(CASE ...) gives NULL
+    from pyspark.sql import functions as F
+    empty = adm(spark).filter("1 = 0")
+    row = empty.agg(F.count_if(F.col("test_results") == "Abnormal").alias("c"),
+                    F.sum(F.when(F.col("test_results") == "Abnormal", 1).otherwise(0)).alias("s")).first()
+    assert (row.c, row.s) == (0, None)
+    assert R.gender_counts(empty).collect()[0].admissions == 0

@@ -24,8 +24,11 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None, keys: l
     that one task. Only then is a hash repartition added (on ``keys``, else on all columns):
     deterministic on a retry without the local sort a round-robin repartition needs. A table of
     many files or row groups (any table at scale) is returned unchanged, without a shuffle."""
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
+    try:
+        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= want:
+            return df
+    except Exception:  # no RDD view (e.g. a Spark Connect session): leave the plan as it is
         return df
     cols = [F.col(k) for k in keys] if keys else [F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])]
     return df.repartition(want, *cols)
@@ -37,6 +40,11 @@ def register_tables(spark: SparkSession, sf_dir: str, names=DRIVER_TABLES) -> No
         read_table(spark, sf_dir, n).createOrReplaceTempView(n)
 
 
+def drop_table(spark: SparkSession, name: str) -> None:
+    """DROP TABLE IF EXISTS (scratch tables of tests and of the hierarchy walk)."""
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def rows(spark: SparkSession, schema: StructType | str, data: list) -> DataFrame:
     """Inline literal relation (VALUES)."""
     return spark.createDataFrame(data, schema)
