@@ -318,9 +318,10 @@ ENTITY = {
     "entity_audit": (f"{_ENTITY_CTES}, samples AS (SELECT anchor, string_agg(hospital, ' | ' ORDER BY hospital) AS sample_names "
                      f"FROM (SELECT anchor, hospital, row_number() OVER (PARTITION BY anchor ORDER BY hospital) AS rn "
                      f"FROM mapping WHERE anchor IS NOT NULL) WHERE rn <= 5 GROUP BY 1) "
-                     f"SELECT m.anchor, sum(m.w) AS group_rows, count(*) AS distinct_names, s.sample_names "
+                     f"SELECT m.anchor, CAST(sum(m.w) AS BIGINT) AS group_rows, count(*) AS distinct_names, s.sample_names "
                      f"FROM mapping m JOIN samples s USING (anchor) GROUP BY m.anchor, s.sample_names"),
-    "entity_audit_summary": (f"{_ENTITY_CTES} SELECT count(DISTINCT anchor) AS anchor_groups, sum(w) AS total_rows, "
+    "entity_audit_summary": (f"{_ENTITY_CTES} SELECT count(DISTINCT anchor) AS anchor_groups, "
+                             f"CAST(sum(w) AS BIGINT) AS total_rows, "
                              f"{xround('sum(w)', 'count(DISTINCT anchor)', 1)} AS avg_rows_per_group FROM mapping"),
     "first_long_token_entity": with_raw(
         f"SELECT rtrim(hospital, ',') AS hospital, coalesce({anchor_tokens_sql(STRIPPED, 4)}[1], "
