@@ -61,6 +61,10 @@ def test_skewed_generator_and_distribution(spark):
     df = G.gen_skewed_admissions(spark)
     dist = {r.admission_type: (r.row_count, r.pct_of_total) for r in R.value_distribution(df, "admission_type").collect()}
     assert dist == {"Emergency": (9500, 95.0), "Elective": (400, 4.0), "Urgent": (100, 1.0)}
+    many = R.value_distribution(df, "admission_type", many_values=True)
+    assert {r.admission_type: (r.row_count, r.pct_of_total) for r in many.collect()} == dist
+    final = many._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("Subquery subquery") == 1
     el = df.filter("admission_type = 'Elective'").agg(F.min("billing_amount"), F.max("billing_amount"),
                                                        F.count_distinct("medical_condition"), F.min("patient_name")).first()
     assert float(el[0]) >= 3000 and float(el[1]) <= 32999 and el[2] == 1 and el[3] == "Patient 1"

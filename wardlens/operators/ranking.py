@@ -38,9 +38,15 @@ def total_of(metric: str) -> Column:
     return F.sum(metric).over(Window.partitionBy())
 
 
-def share_of_total(df: DataFrame, metric: str, out_col: str = "share_pct", scale: int = 2) -> DataFrame:
-    """metric * 100 / SUM(metric) OVER (), exact half-up at ``scale``; ``df`` is aggregated."""
-    return df.withColumn("_total", total_of(metric)).withColumn(
+def share_of_total(df: DataFrame, metric: str, out_col: str = "share_pct", scale: int = 2,
+                   many_groups: bool = False) -> DataFrame:
+    """metric * 100 / SUM(metric) OVER (), exact half-up at ``scale``; ``df`` is aggregated.
+
+    ``many_groups``: the groups may be too many for one task (say, a distribution over a
+    high-cardinality column). The total is then a one-row scalar subquery over ``df``, placed
+    once in the plan: a second pass over the aggregation instead of a single-task window."""
+    total = df.agg(F.sum(metric)).scalar() if many_groups else total_of(metric)
+    return df.withColumn("_total", total).withColumn(
         out_col, pct(F.col(metric), F.col("_total"), scale)).drop("_total")
 
 

@@ -224,10 +224,11 @@ def filtered_summary(df: DataFrame, admission_type: str = "Emergency", condition
                    exact_trunc(F.sum(s), F.count(s)).alias("avg_stay_days")))
 
 
-def value_distribution(df: DataFrame, column: str) -> DataFrame:
-    """Q21: rows per value of a column with its share of all rows (2 dp)."""
+def value_distribution(df: DataFrame, column: str, many_values: bool = False) -> DataFrame:
+    """Q21: rows per value of a column with its share of all rows (2 dp). Set ``many_values``
+    for a high-cardinality column (see ``share_of_total``)."""
     counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("row_count"))
-    return share_of_total(counts, "row_count", "pct_of_total")
+    return share_of_total(counts, "row_count", "pct_of_total", many_groups=many_values)
 
 
 def admissions_by_type(df: DataFrame, admission_type: str) -> DataFrame:
