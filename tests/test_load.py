@@ -137,14 +137,28 @@ def test_adversarial_rows(spark):
 def test_run_load_writes_target_and_log(spark, scratch):
     log = ErrorLog(spark, f"{scratch}/error_log")
     target = f"{scratch}/admissions_constrained"
-    existing_df(spark).withColumn("seq", F.lit(-1)).write.parquet(target)
-    stats = L.run_constrained_load(with_seq(spark, BATCH), spark.read.parquet(target), rules(), ["seq"], target, log)
+    existing_df(spark).withColumn("seq", F.lit(-1)).write.parquet(f"{target}/run_id=initial")
+    existing = spark.read.parquet(target).filter("run_id <> 'r1'").drop("run_id")
+    stats = L.run_constrained_load(with_seq(spark, BATCH), existing, rules(), ["seq"], target, log, run_id="r1")
     assert stats == {"rows": 4, "accepted": 2, "rejected": 2}
     assert spark.read.parquet(target).count() == 5
+    # a retry of the same run rewrites its own folder: nothing is inserted twice
+    existing = spark.read.parquet(target).filter("run_id <> 'r1'").drop("run_id")
+    L.run_constrained_load(with_seq(spark, BATCH), existing, rules(), ["seq"], target, log, run_id="r1")
+    assert spark.read.parquet(target).count() == 5
+    assert log.read().select("error_id").distinct().count() == 2
     found = log.search("%Scenario 5%").collect()
-    assert len(found) == 2 and all(r.error_datetime is not None for r in found)
-    ids = [r.error_id for r in found]
-    assert len(set(ids)) == 2
+    assert len(found) == 4 and all(r.error_datetime is not None for r in found)
+
+
+def test_run_typed_load_is_idempotent(spark, scratch):
+    log = ErrorLog(spark, f"{scratch}/error_log")
+    staging = spark.createDataFrame(STAGING_ROWS, STAGING)
+    for _ in range(2):
+        stats = L.run_typed_load(staging, f"{scratch}/t", log, run_id="nightly-1")
+    assert stats == {"rows": 4, "accepted": 2, "rejected": 2}
+    assert spark.read.parquet(f"{scratch}/t").count() == 2
+    assert log.read().select("error_id").distinct().count() == 2
 
 
 def test_logged_job_and_findings(spark, scratch):

@@ -218,10 +218,12 @@ def rejected_log_rows(rejected: DataFrame, name_col: str, run_id: str) -> DataFr
 def run_constrained_load(batch: DataFrame, existing: DataFrame, rules: Constraints, order_cols: list[str],
                          target_path: str, log: ErrorLog, name_col: str = "patient_name",
                          run_id: str = "load") -> dict:
-    """Label once (checkpointed), append accepted rows to ``target_path``, log the rejects."""
+    """Label once (checkpointed), write accepted rows to ``target_path/run_id=<run_id>``, log the
+    rejects. A rerun of the same ``run_id`` overwrites its own folder, so a retried load never
+    inserts twice; its log rows carry the same ids (readers drop repeats by ``error_id``)."""
     labelled = cut_lineage(label_batch(batch, existing, rules, order_cols))
     res = split_labelled(labelled, batch.columns)
-    res.accepted.write.mode("append").parquet(target_path)
+    res.accepted.write.mode("overwrite").parquet(f"{target_path}/run_id={run_id}")
     log.append(rejected_log_rows(res.rejected, name_col, run_id))
     counts = labelled.agg(F.sum("copies").alias("rows"), F.sum("accepted_copies").alias("accepted")).first()
     return {"rows": counts["rows"] or 0, "accepted": counts["accepted"] or 0,
@@ -230,9 +232,10 @@ def run_constrained_load(batch: DataFrame, existing: DataFrame, rules: Constrain
 
 def run_typed_load(staging: DataFrame, target_path: str, log: ErrorLog, conversions: dict[str, str] | None = None,
                    name_col: str = "name", key_col: str | None = None, run_id: str = "load") -> dict:
-    """Convert once (checkpointed), append accepted rows, log the failed conversions."""
+    """Convert once (checkpointed), write accepted rows to ``target_path/run_id=<run_id>`` (a
+    rerun overwrites the same folder), log the failed conversions."""
     staged = cut_lineage(staging)
     res = load_typed(staged, conversions, name_col=name_col, key_col=key_col, run_id=run_id)
-    res.accepted.write.mode("append").parquet(target_path)
+    res.accepted.write.mode("overwrite").parquet(f"{target_path}/run_id={run_id}")
     log.append(res.rejected)
     return {"rows": staged.count(), "accepted": res.accepted.count(), "rejected": res.rejected.count()}
