@@ -174,3 +174,15 @@ def test_logged_job_and_findings(spark, scratch):
     failed = [r for r in rows if r.error_procedure == "usp_generate_billing_summary"][0]
     assert failed.error_number == 8134 and failed.error_severity == 16
     assert log.search("%Scenario 6%", ["error_id", "error_message"]).count() == 1
+
+
+def test_conversion_load_with_dates(spark):
+    rows = STAGING_ROWS + [("Bad Date", "x", "10.00", "31/02/2024", "2024-03-01"), ("Day First", "x", "1.00", "5/1/2024", None)]
+    res = L.load_typed(spark.createDataFrame(rows, STAGING),
+                       {"billing_amount": "decimal(18,2)", "admission_date": "date", "discharge_date": "date"})
+    acc = {r.name: r for r in res.accepted.collect()}
+    assert set(acc) == {"John Smith", "Bob Johnson", "Day First"}
+    assert str(acc["Day First"].admission_date) == "2024-01-05" and acc["Day First"].discharge_date is None
+    assert res.rejected.count() == 3
+    with pytest.raises(Exception):
+        L.load_typed(spark.createDataFrame(rows[-2:], STAGING), {"admission_date": "date"}, on_error="fail").accepted.collect()

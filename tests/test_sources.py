@@ -59,3 +59,11 @@ def test_profile_approx_path(spark):
     df = spark.createDataFrame([("a", 1), ("b", None), (None, None)], "s string, n int")
     prof = {r.column_name: r for r in tables.profile(df).collect()}
     assert (prof["s"].non_null, prof["s"].null_count, prof["s"].distinct_values) == (2, 1, 2)
+
+
+def test_scale_conf_sizes_shuffles():
+    from wardlens.session import scale_conf
+    big = scale_conf(100 * 10 ** 12)
+    assert big["spark.sql.shuffle.partitions"] == "200000"
+    assert scale_conf(10 ** 9)["spark.sql.shuffle.partitions"] == "8"
+    assert scale_conf(64 * 256 * 1024 * 1024)["spark.sql.shuffle.partitions"] == "64"

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardlens.functions.dates import stay_days
+from wardlens.functions.dates import parse_date, stay_days
 from wardlens.functions.numeric import MONEY, cents_long, exact_round_row, safe_number, strict_number
 from wardlens.operators.errorlog import ErrorLog, log_rows
 from wardlens.session import cut_lineage
@@ -38,22 +38,27 @@ CONVERSION_CONTEXT = "Scenario 1 — Billing_Amount conversion failure: "
 def load_typed(staging: DataFrame, conversions: dict[str, str] | None = None, *, name_col: str = "name",
                key_col: str | None = None, on_error: str = "route", run_id: str = "load",
                context_prefix: str = CONVERSION_CONTEXT) -> LoadResult:
-    """L3 (``route``): convert text columns; rows where a non-NULL value fails go to ``rejected``
-    as error-log rows, the rest to ``accepted`` with typed values. NULL stays NULL and is accepted.
+    """L3 (``route``): convert text columns (numeric types, or ``"date"`` with the accepted date
+    layouts); rows where a non-NULL value fails go to ``rejected`` as error-log rows, the rest to
+    ``accepted`` with typed values. NULL stays NULL and is accepted.
     L2 (``fail``): the accepted frame uses strict casts, so the first bad value fails the job."""
     conversions = conversions or {"billing_amount": MONEY}
     if on_error == "fail":
         typed = staging
         for col, dtype in conversions.items():
-            typed = typed.withColumn(col, strict_number(col, dtype))
+            strict = (F.when(F.col(col).isNotNull() & parse_date(col).isNull(),
+                             F.raise_error(F.concat(F.lit("Conversion failed when converting date: "), F.col(col))))
+                       .otherwise(parse_date(col)) if dtype == "date" else strict_number(col, dtype))
+            typed = typed.withColumn(col, strict)
         return LoadResult(typed, staging.limit(0))
     if on_error != "route":
         raise ValueError(f"unknown on_error {on_error!r}")
-    failed = [F.when(F.col(c).isNotNull() & safe_number(c, t).isNull(), F.lit(c)) for c, t in conversions.items()]
+    convert = {c: (parse_date(c) if t == "date" else safe_number(c, t)) for c, t in conversions.items()}
+    failed = [F.when(F.col(c).isNotNull() & conv.isNull(), F.lit(c)) for c, conv in convert.items()]
     labelled = staging.withColumn("_failed", F.array_compact(F.array(*failed)))
     ok = labelled.filter(F.size("_failed") == 0).drop("_failed")
-    for col, dtype in conversions.items():
-        ok = ok.withColumn(col, safe_number(col, dtype))
+    for col, conv in convert.items():
+        ok = ok.withColumn(col, conv)
     bad = labelled.filter(F.size("_failed") > 0)
     key = F.col(key_col) if key_col else F.col(name_col)
     rejected = log_rows(bad, run_id=run_id, key=key, number=CONVERSION_ERROR_NUMBER, message=CONVERSION_MESSAGE,

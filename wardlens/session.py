@@ -24,6 +24,20 @@ SCALE_CONF = {
 }
 
 
+def scale_conf(input_bytes: int, partition_bytes: int = 256 * 1024 * 1024, max_partitions: int = 200_000) -> dict:
+    """Shuffle sizing for a given input: enough initial partitions that each holds about
+    ``partition_bytes`` (so a task's shuffle block fits in executor memory without heavy spill),
+    and AQE coalesces the small ones at run time. For 100 TB this gives ~400,000, capped at
+    ``max_partitions`` (about 200 per core on a 1000-executor cluster of 1000 cores)."""
+    n = max(8, min(max_partitions, -(-int(input_bytes) // partition_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes // 2),
+        "spark.sql.files.maxPartitionBytes": str(min(partition_bytes, 512 * 1024 * 1024)),
+    }
+
+
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "wardlens", extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the scale settings above.
