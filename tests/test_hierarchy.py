@@ -64,3 +64,20 @@ def test_cycle_reachable_from_root_fails(spark):
     with pytest.raises(H.RecursionLimitExceeded):
         H.walk_hierarchy(refs(spark, rows), max_recursion=20)
     assert H.walk_hierarchy(refs(spark, rows), max_recursion=20, on_limit="truncate").count() > 7
+
+
+def test_loop_equals_spark_recursive_cte(spark):
+    refs(spark).createOrReplaceTempView("patient_referrals_t")
+    sql = """
+    WITH RECURSIVE chain (referral_id, patient_name, from_department, to_department, depth, referral_path) AS (
+      SELECT referral_id, patient_name, from_department, to_department, 1, patient_name || ' > ' || to_department
+      FROM patient_referrals_t WHERE parent_referral_id IS NULL
+      UNION ALL
+      SELECT p.referral_id, p.patient_name, p.from_department, p.to_department, c.depth + 1,
+             c.referral_path || ' > ' || p.to_department
+      FROM patient_referrals_t p JOIN chain c ON p.parent_referral_id = c.referral_id)
+    SELECT patient_name, depth, from_department, to_department, referral_path FROM chain"""
+    expected = sorted(map(tuple, spark.sql(sql).collect()), key=repr)
+    got = H.walk_hierarchy(refs(spark)).select("patient_name", "depth", "from_department", "to_department",
+                                               "referral_path").collect()
+    assert sorted(map(tuple, got), key=repr) == expected
