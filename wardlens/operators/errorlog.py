@@ -98,8 +98,7 @@ def logged_job(log: ErrorLog, name: str, context: str, number: int = 50001,
         yield
     except Exception as exc:  # noqa: BLE001 - every failure is logged, then re-raised cleanly
         text = str(exc).strip().splitlines()[0][:4000] if str(exc).strip() else type(exc).__name__
-        state = 1
         one = log.spark.range(1)
         log.append(log_rows(one, run_id=name, key=F.lit(text), number=_error_number(exc), message=text,
-                            context=context, severity=16, state=state, procedure=name))
+                            context=context, severity=16, state=1, procedure=name))
         raise JobFailed(number, message) from exc

@@ -50,7 +50,9 @@ def load_typed(staging: DataFrame, conversions: dict[str, str] | None = None, *,
                              F.raise_error(F.concat(F.lit("Conversion failed when converting date: "), F.col(col))))
                        .otherwise(parse_date(col)) if dtype == "date" else strict_number(col, dtype))
             typed = typed.withColumn(col, strict)
-        return LoadResult(typed, staging.limit(0))
+        nothing = log_rows(staging.limit(0), run_id=run_id, key=F.lit(None), number=CONVERSION_ERROR_NUMBER,
+                           message=CONVERSION_MESSAGE, context=CONVERSION_CONTEXT)
+        return LoadResult(typed, nothing)
     if on_error != "route":
         raise ValueError(f"unknown on_error {on_error!r}")
     convert = {c: (parse_date(c) if t == "date" else safe_number(c, t)) for c, t in conversions.items()}
