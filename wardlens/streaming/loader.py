@@ -22,27 +22,54 @@ from wardlens.session import cut_lineage
 
 def _existing(spark: SparkSession, target_path: str, schema: StructType, epoch_id: int) -> DataFrame:
     try:
-        df = spark.read.schema(StructType(schema.fields)).parquet(target_path)
-        return df.filter(F.col("epoch") != epoch_id) if "epoch" in df.columns else df
+        df = spark.read.parquet(target_path)
     except Exception:  # nothing loaded yet
         return spark.createDataFrame([], schema)
+    return df.filter(F.col("epoch") != epoch_id) if "epoch" in df.columns else df
+
+
+def existing_for_batch(existing: DataFrame, batch: DataFrame, partition_col: str | None,
+                       max_values: int = 1000) -> DataFrame:
+    """The existing rows that can collide with ``batch``.
+
+    With the target partitioned by ``partition_col`` (part of the unique key), only the partitions
+    whose value occurs in the batch need reading. At most ``max_values + 1`` distinct values are
+    fetched (a bounded read, never the batch): up to ``max_values`` they become a static partition
+    filter, so the scan lists and reads only those folders; beyond that a left-semi join keeps the
+    read correct without pruning. The NULL partition is always added, since UNIQUE treats NULL
+    keys as equal."""
+    if not partition_col or partition_col not in existing.columns:
+        return existing
+    values = batch.select(partition_col).distinct()
+    few = [r[0] for r in values.limit(max_values + 1).collect()]
+    if len(few) <= max_values:
+        present = [v for v in few if v is not None]
+        return existing.filter(F.col(partition_col).isin(present) | F.col(partition_col).isNull())
+    hit = existing.join(values, partition_col, "left_semi")
+    return hit.unionByName(existing.filter(F.col(partition_col).isNull()))
 
 
 def stream_constrained_load(spark: SparkSession, source: DataFrame, target_path: str, log_path: str,
                             checkpoint_location: str, rules: Constraints, order_cols: list[str],
                             name_col: str = "patient_name", query_name: str = "constrained_load",
-                            trigger_once: bool = True) -> StreamingQuery:
+                            trigger_once: bool = True, partition_col: str | None = None) -> StreamingQuery:
     """Run ``load_constrained`` on every micro-batch of the streaming ``source``.
 
-    Rows already in the target (earlier epochs) count as existing for the UNIQUE rule."""
+    Rows already in the target (earlier epochs) count as existing for the UNIQUE rule. Give
+    ``partition_col`` (a column of the unique key, such as the admission date) to lay the target
+    out by it, so that each micro-batch reads only the partitions it can collide with."""
     log = ErrorLog(spark, log_path)
     schema = source.schema
 
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
-        existing = _existing(batch.sparkSession, target_path, schema, epoch_id).select(*schema.fieldNames())
+        existing = existing_for_batch(_existing(batch.sparkSession, target_path, schema, epoch_id), batch,
+                                      partition_col).select(*schema.fieldNames())
         labelled = cut_lineage(label_batch(batch, existing, rules, order_cols))
         res = split_labelled(labelled, batch.columns)
-        res.accepted.write.mode("overwrite").parquet(f"{target_path}/epoch={epoch_id}")
+        writer = res.accepted.write.mode("overwrite")
+        if partition_col:
+            writer = writer.partitionBy(partition_col)
+        writer.parquet(f"{target_path}/epoch={epoch_id}")
         log.append(rejected_log_rows(res.rejected, name_col, f"{query_name}-{epoch_id}"))
 
     writer = source.writeStream.queryName(query_name).option("checkpointLocation", checkpoint_location)
