@@ -60,7 +60,7 @@ def distinct_change(df: DataFrame, before, after,
     return wide.select(F.expr(f"stack(2, '{labels[0]}', b, '{labels[1]}', a) as (metric, value)"))
 
 
-# Fixed value: the diagnosis wording of the quality report (BQ:98).
+# Fixed value: the diagnosis wording of the quality report.
 CONVERSION_FAILED = "CONVERSION FAILED — investigate source row"
 
 
@@ -69,7 +69,7 @@ def conversion_issues(df: DataFrame, col: str = "billing_amount", dtype: str = M
                       only_problems: bool = True) -> DataFrame:
     """Rows whose value is NULL or fails conversion, with the converted value and a flag.
 
-    ``only_problems=False`` gives the diagnosis over every row (ERR:43-53)."""
+    ``only_problems=False`` gives the diagnosis over every row."""
     converted = safe_number(col, dtype)
     out = df.select(*keep, F.col(col).alias("raw_value"), converted.alias("safe_value"),
                     F.when(converted.isNull(), CONVERSION_FAILED).otherwise("Valid").alias("quality_flag"),

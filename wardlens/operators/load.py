@@ -87,7 +87,7 @@ def cost_per_day(df: DataFrame, name_col: str = "patient_name", wording: str = "
 
 
 def diagnose_zero_stay(df: DataFrame, name_col: str = "patient_name") -> DataFrame:
-    """ERR:323-333: which rows would divide by zero."""
+    """L4 diagnosis: which rows would divide by zero."""
     s = stay_days("admission_date", "discharge_date")
     return df.select(F.col(name_col), "billing_amount", s.alias("stay_days"),
                      F.when(s == 0, "ZERO STAY — will cause divide-by-zero").otherwise("Valid").alias("diagnosis"))

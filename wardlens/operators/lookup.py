@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Fixed value: the wording of the finding logged for a type mismatch (ERR:949-951), with slots.
+# Fixed value: the wording of the finding logged for a type mismatch, with slots.
 MISMATCH_MESSAGE = ("Implicit conversion detected on {column} — {value_type} parameter passed to {column_type} column. "
                     "Fixed by aligning parameter type to {column_type}.")
 

@@ -30,7 +30,7 @@ ADMISSIONS = StructType([
     for f in ADMISSIONS_FILE.fields
 ])
 
-# Staging: every field text (ERR:13-19).
+# Staging: every field text.
 STAGING = _s(("name", StringType(), True), ("medical_condition", StringType(), True),
              ("billing_amount", StringType(), True), ("admission_date", StringType(), True),
              ("discharge_date", StringType(), True))
@@ -54,7 +54,7 @@ SKEWED_ADMISSIONS = _s(("admission_id", LongType(), False), ("patient_name", Str
                        ("medical_condition", StringType(), True), ("admission_type", StringType(), True),
                        ("billing_amount", MONEY, True), ("admission_date", DateType(), True))
 
-# The central error log (DDL:80-90); error_id is a deterministic string, not an identity.
+# The central error log; error_id is a deterministic string, not an identity.
 ERROR_LOG = _s(("error_id", StringType(), False), ("error_number", IntegerType(), True),
                ("error_severity", IntegerType(), True), ("error_state", IntegerType(), True),
                ("error_procedure", StringType(), True), ("error_line", IntegerType(), True),

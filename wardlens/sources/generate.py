@@ -38,7 +38,7 @@ def gen_transactions(spark: SparkSession, n: int = 10000, seed: int = 42, as_of:
     )
 
 
-# The skewed admissions of the parameter-sensitivity scenario (ERR:1225-1266):
+# The skewed admissions of the parameter-sensitivity scenario:
 # class -> (rows, conditions, billing low, billing span).
 SKEWED_CLASSES = (
     ("Emergency", 9500, ("Cancer", "Diabetes", "Obesity"), 5000, 50000),
