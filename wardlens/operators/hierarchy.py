@@ -75,7 +75,10 @@ def walk_hierarchy(df: DataFrame, id_cols=("referral_id",), parent_cols=("parent
         # The edges are written once as a table bucketed by the parent key (in the shared
         # checkpoint folder): each level's join then reads them without a shuffle and moves only
         # the frontier. (A checkpoint would not keep the partitioning.)
-        df, table = _bucketed_edges(df, parent_cols)
+        try:
+            df, table = _bucketed_edges(df, parent_cols)
+        except Exception:  # no usable session catalog: walk the plain edge table (shuffled per level)
+            table = None
     try:
         return _walk(df, id_cols, parent_cols, root_label, step_label, max_recursion, depth_guard, on_limit,
                      start, path_col, separator, checkpoint)
