@@ -149,6 +149,8 @@ def test_run_load_writes_target_and_log(spark, scratch):
     assert log.read().select("error_id").distinct().count() == 2
     found = log.search("%Scenario 5%").collect()
     assert len(found) == 4 and all(r.error_datetime is not None for r in found)
+    numbers = {r.process_context.split(": ")[1]: r.error_number for r in found}
+    assert numbers == {"Alice Brown": 2627, "Frank Harris": 547}
 
 
 def test_run_typed_load_is_idempotent(spark, scratch):

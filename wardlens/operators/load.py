@@ -109,6 +109,12 @@ class Constraints:
         return (f"CHECK violation: {col} between {lo:g} and {hi:g}", F.col(col).between(F.lit(lo), F.lit(hi)))
 
 
+# Error numbers a SQL engine reports for these violations (NULL into a NOT NULL
+# column, CHECK constraint, UNIQUE constraint).
+NOT_NULL_ERROR_NUMBER = 515
+CHECK_ERROR_NUMBER = 547
+UNIQUE_ERROR_NUMBER = 2627
+
 # Violation wordings.
 DUPLICATE_EXISTING = "DUPLICATE — violates unique key (existing row)"
 DUPLICATE_BATCH = "DUPLICATE — violates unique key (earlier row in batch)"
@@ -154,7 +160,8 @@ def violations(batch: DataFrame, existing: DataFrame, rules: Constraints) -> Dat
 
 def label_batch(batch: DataFrame, existing: DataFrame, rules: Constraints, order_cols: list[str],
                 checkpoint: bool = True) -> DataFrame:
-    """Label every distinct batch row: ``status`` accepted/rejected, ``reason``, ``copies``.
+    """Label every distinct batch row: ``copies`` (rows it stands for), ``accepted_copies`` (1 when
+    one copy is inserted) and ``reason`` (why the row, or its other copies, are rejected).
 
     Rows arrive in ``order_cols`` order (ties broken by the remaining columns). Semantics of a
     row-by-row insert: NOT NULL and CHECK first (a rejected row does not reserve its key); then
@@ -219,7 +226,11 @@ def rejected_log_rows(rejected: DataFrame, name_col: str, run_id: str) -> DataFr
                    F.when(F.col("copies") > 1, F.concat(F.lit(" (x"), F.col("copies").cast("string"), F.lit(")")))
                     .otherwise(F.lit("")))
     key = F.to_json(F.struct(*[F.col(c) for c in rejected.columns if c not in ("reason", "copies")]))
-    return log_rows(rejected, run_id=run_id, key=key, number=2627, message=F.col("reason"), context=ctx, state=1)
+    reason = F.col("reason")
+    number = (F.when(reason.startswith("NOT NULL"), F.lit(NOT_NULL_ERROR_NUMBER))
+               .when(reason.startswith("CHECK"), F.lit(CHECK_ERROR_NUMBER))
+               .otherwise(F.lit(UNIQUE_ERROR_NUMBER)))
+    return log_rows(rejected, run_id=run_id, key=key, number=number, message=reason, context=ctx, state=1)
 
 
 def run_constrained_load(batch: DataFrame, existing: DataFrame, rules: Constraints, order_cols: list[str],
