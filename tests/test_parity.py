@@ -24,11 +24,22 @@ def test_query_matches_oracle(spark, con, name):
     assert res["status"] in ("match", "rows-only"), res
 
 
+# Queries that read a base table more than once by construction: the violation report reads the
+# batch and the existing rows (two filters of one table); the referral stand-in joins each turn to
+# its parent turn (a self-join), and parent links join that derived table to itself.
+MULTI_SCAN = {"insert_violations": 2, "referral_roots": 2, "referral_parent_links": 4}
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_plan_shape(spark, name):
+    """No cartesian product, nested-loop join or Python UDF; the base table scanned once."""
+    import re
     plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "BatchEvalPython", "ArrowEvalPython"):
         assert bad not in plan, f"{name}: {bad}"
+    final = plan.split("== Initial Plan ==")[0]
+    scans = len(re.findall(r"FileScan parquet [^\n]*(lineitem|events|conversations)\.parquet", final))
+    assert scans <= MULTI_SCAN.get(name, 1), f"{name}: {scans} scans"
 
 
 def test_every_query_but_previews_has_an_oracle():
@@ -47,18 +58,3 @@ def test_pushdown_into_scan(spark):
     assert "PushedFilters" in plan
     plan = QUERIES["monthly_report"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(o_orderdate" in plan or "o_orderdate" in plan
-
-
-# Queries that read a base table more than once by construction: the violation report reads the
-# batch and the existing rows (two filters of one table); the referral stand-in joins each turn to
-# its parent turn (a self-join), and parent links join that derived table to itself.
-MULTI_SCAN = {"insert_violations": 2, "referral_roots": 2, "referral_parent_links": 4}
-
-
-@pytest.mark.parametrize("name", sorted(QUERIES))
-def test_base_table_scanned_once(spark, name):
-    import re
-    plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
-    plan = plan.split("== Initial Plan ==")[0]
-    scans = len(re.findall(r"FileScan parquet [^\n]*(lineitem|events|conversations)\.parquet", plan))
-    assert scans <= MULTI_SCAN.get(name, 1), f"{name}: {scans} scans"
