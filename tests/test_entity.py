@@ -47,6 +47,7 @@ def test_audit(spark):
     audit = {r.anchor: r for r in EN.entity_audit(hospitals(spark)).collect()}
     assert audit["smith"].group_rows == 6 and audit["smith"].distinct_names == 3
     assert audit["smith"].sample_names == "LLC Smith | Smith Ltd | Smith and Sons"
+    assert [r.anchor for r in EN.entity_audit(hospitals(spark), groups=2).collect()] == ["jones", "smith"]
     s = EN.entity_audit_summary(hospitals(spark)).first()
     assert (s.anchor_groups, s.total_rows, s.avg_rows_per_group) == (3, 9, 3.0)
 

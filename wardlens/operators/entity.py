@@ -115,8 +115,10 @@ def with_token_signature(df: DataFrame, col: str = "hospital", out_col: str | No
     return df.withColumn(out_col or f"{col}_clean", token_signature(col))
 
 
-def entity_audit(df: DataFrame, col: str = "hospital", sample: int = 5, **kw) -> DataFrame:
-    """Per anchor group, its rows, its distinct names and the ``sample`` smallest names.
+def entity_audit(df: DataFrame, col: str = "hospital", sample: int = 5, groups: int | None = None,
+                 **kw) -> DataFrame:
+    """Per anchor group, its rows, its distinct names and the ``sample`` smallest names;
+    ``groups`` keeps only the first groups by anchor (the printed audit shows 15).
 
     The sample is a row_number <= n filter over distinct names; Catalyst turns it into a
     WindowGroupLimit before the shuffle, so a group with millions of names ships n per task."""
@@ -127,7 +129,8 @@ def entity_audit(df: DataFrame, col: str = "hospital", sample: int = 5, **kw) ->
                                        .alias("sample_names")))
     sizes = m.groupBy("anchor").agg(F.sum("name_rows").alias("group_rows"),
                                     F.count(F.lit(1)).alias("distinct_names"))
-    return sizes.join(samples, "anchor")
+    out = sizes.join(samples, "anchor")
+    return out.orderBy("anchor").limit(groups) if groups else out
 
 
 def entity_audit_summary(df: DataFrame, col: str = "hospital", **kw) -> DataFrame:
