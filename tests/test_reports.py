@@ -94,3 +94,16 @@ def test_countif_vs_sum_case_on_empty_input(spark):
                     F.sum(F.when(F.col("test_results") == "Abnormal", 1).otherwise(0)).alias("s")).first()
     assert (row.c, row.s) == (0, None)
     assert R.gender_counts(empty).collect()[0].admissions == 0
+
+
+def test_small_helpers(spark):
+    import datetime as dt
+    from pyspark.sql import functions as F
+    from wardlens.functions import dates
+    from wardlens.operators import load as L
+    one = spark.range(1)
+    assert one.select(dates.days_before("2024-12-31", 364)).first()[0] == dt.date(2024, 1, 2)
+    assert one.select(dates.days_before(F.lit(dt.date(2024, 3, 1)), F.lit(1))).first()[0] == dt.date(2024, 2, 29)
+    assert R.hospital_count(adm(spark), approx=True).first()[0] == 2
+    diag = {r.patient_name: r.diagnosis for r in L.diagnose_zero_stay(adm(spark).withColumnRenamed("name", "patient_name")).collect()}
+    assert diag["C"] == "ZERO STAY — will cause divide-by-zero" and diag["A"] == "Valid"
