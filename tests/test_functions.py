@@ -98,3 +98,12 @@ def test_stay_days_calendar(spark):
 def test_no_python_udf_in_title_case_plan(spark):
     plan = one_col(spark, ["a"]).select(text.title_case("v"))._jdf.queryExecution().executedPlan().toString()
     assert "PythonUDF" not in plan and "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_unparsed_dates_report(spark):
+    from wardlens.operators.clean import clean_warehouse, unparsed_dates
+    df = spark.createDataFrame([("1/2/2024", None), ("31/02/2024", "2024-02-01"), ("junk", "x")], "admission_date string, discharge_date string")
+    got = {r.column_name: (r.unparsed, r.missing) for r in unparsed_dates(df).collect()}
+    assert got == {"admission_date": (2, 0), "discharge_date": (1, 1)}
+    names = spark.createDataFrame([("o'neil-SMITH", "Smith Ltd")], "name string, hospital string")
+    assert clean_warehouse(names, name_style="title").first().name == "O'Neil-Smith"

@@ -17,6 +17,17 @@ def parse_dates(df: DataFrame, columns=("admission_date", "discharge_date"), for
     return df
 
 
+def unparsed_dates(df: DataFrame, columns=("admission_date", "discharge_date"), formats=DATE_FORMATS) -> DataFrame:
+    """Per text date column, how many non-NULL values no accepted layout parses (one pass)."""
+    aggs = []
+    for i, c in enumerate(columns):
+        aggs.append(F.count_if(F.col(c).isNotNull() & parse_date(c, formats).isNull()).alias(f"u{i}"))
+        aggs.append(F.count_if(F.col(c).isNull()).alias(f"m{i}"))
+    wide = df.agg(*aggs)
+    parts = ", ".join(f"'{c}', u{i}, m{i}" for i, c in enumerate(columns))
+    return wide.select(F.expr(f"stack({len(columns)}, {parts}) as (column_name, unparsed, missing)"))
+
+
 def clean_names(df: DataFrame, col: str = "name", style: str = "initcap") -> DataFrame:
     """Name casing; ``initcap`` (space-delimited words) or ``title`` (Python str.title)."""
     fn = {"initcap": initcap_name, "title": title_case}[style]
@@ -29,11 +40,14 @@ def first_token_entity(df: DataFrame, col: str = "hospital", stopwords=FIRST_TOK
     return df.withColumn(out_col or col, first_token(col, stopwords))
 
 
-def clean_warehouse(df: DataFrame, name: str = "name", hospital: str = "hospital") -> DataFrame:
+def clean_warehouse(df: DataFrame, name: str = "name", hospital: str = "hospital",
+                    name_style: str = "initcap") -> DataFrame:
     """The warehouse clean table: every other column unchanged, then the cased name and the
-    first-token hospital appended last (``* EXCEPT (Name, Hospital), INITCAP(Name), token``)."""
+    first-token hospital appended last (``* EXCEPT (Name, Hospital), INITCAP(Name), token``).
+    ``name_style="title"`` cases names like Python's ``str.title`` instead."""
     rest = [c for c in df.columns if c not in (name, hospital)]
-    return df.select(*rest, initcap_name(name).alias(name), first_token(hospital).alias(hospital))
+    cased = {"initcap": initcap_name, "title": title_case}[name_style](name)
+    return df.select(*rest, cased.alias(name), first_token(hospital).alias(hospital))
 
 
 def null_check(df: DataFrame, columns=("hospital", "name"), total_col: str = "total_rows") -> DataFrame:

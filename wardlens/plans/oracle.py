@@ -284,6 +284,10 @@ CLEANING = {
         f"SELECT name, medical_condition, billing_amount AS raw_value, {safe_number_sql('billing_amount')} AS safe_value, "
         f"CASE WHEN {safe_number_sql('billing_amount')} IS NULL THEN 'CONVERSION FAILED — investigate source row' "
         f"ELSE 'Valid' END AS quality_flag, admission_date, discharge_date FROM staging"),
+    "unparsed_dates": with_staging(" UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NOT NULL AND coalesce("
+        f"try_strptime(trim({c}), '%d/%m/%Y'), try_strptime(trim({c}), '%Y-%m-%d')) IS NULL) AS unparsed, "
+        f"count(*) FILTER (WHERE {c} IS NULL) AS missing FROM staging" for c in ("admission_date", "discharge_date"))),
     "parse_dates": with_staging(
         "SELECT staging_id, "
         "CAST(coalesce(try_strptime(trim(admission_date), '%d/%m/%Y'), try_strptime(trim(admission_date), '%Y-%m-%d')) AS DATE) "

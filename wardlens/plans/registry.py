@@ -84,6 +84,7 @@ CLEANING_QUERIES: dict[str, Query] = {
                                                                  only_problems=False),
     "parse_dates": lambda spark, d: C.parse_dates(standin.billing_staging(spark, d)).select(
         "staging_id", "admission_date", "discharge_date"),
+    "unparsed_dates": lambda spark, d: C.unparsed_dates(standin.billing_staging(spark, d)),
 }
 
 ENTITY_QUERIES: dict[str, Query] = {
