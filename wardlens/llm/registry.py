@@ -6,21 +6,61 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import license_index, line_rules
+from . import (
+    chat_render,
+    flow_reshard,
+    html_extract,
+    license_index,
+    line_rules,
+    secret_grammar,
+    trie_bpe,
+)
 from .common import table
 
 
+def tokenizer_path() -> str:
+    """The public vocabulary that the contract names."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op1_site_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.page_rows(table(spark, sf_dir, "pages"))
+
+
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_index.license_rows(table(spark, sf_dir, "documents"))
 
 
+def op6_secret_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_grammar.secret_rows(table(spark, sf_dir, "documents"))
+
+
+def op7_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie_bpe.bpe_rows(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op8_chat_render(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_render.chat_rows(table(spark, sf_dir, "conversations"))
+
+
+def op9_flow_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flow_reshard.shard_rows(table(spark, sf_dir, "documents"))
+
+
 def op10_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.quality_rules(table(spark, sf_dir, "documents"))
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_site_templates": op1_site_templates,
         "op4_license_scan": op4_license_scan,
+        "op6_secret_grammar": op6_secret_grammar,
+        "op7_trie_bpe": op7_trie_bpe,
+        "op8_chat_render": op8_chat_render,
+        "op9_flow_reshard": op9_flow_reshard,
         "op10_line_rules": op10_line_rules,
     }
 
