@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import (
     chat_render,
+    co_training,
+    dart_minhash,
+    decontaminate,
     flow_reshard,
     html_extract,
     license_index,
@@ -29,10 +32,22 @@ def op1_site_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.page_rows(table(spark, sf_dir, "pages"))
 
 
+def op2_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dart_minhash.class_rows(table(spark, sf_dir, "documents"))
+
+
+def op3_co_training(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return co_training.quality_rows(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_index.license_rows(table(spark, sf_dir, "documents"))
 
 
+def op5_seed_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leak_rows(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_secret_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_grammar.secret_rows(table(spark, sf_dir, "documents"))
 
@@ -56,7 +71,10 @@ def op10_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_site_templates": op1_site_templates,
+        "op2_dart_minhash": op2_dart_minhash,
+        "op3_co_training": op3_co_training,
         "op4_license_scan": op4_license_scan,
+        "op5_seed_align": op5_seed_align,
         "op6_secret_grammar": op6_secret_grammar,
         "op7_trie_bpe": op7_trie_bpe,
         "op8_chat_render": op8_chat_render,
