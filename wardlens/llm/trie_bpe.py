@@ -7,7 +7,7 @@ encoded once, and a word's encoding is read back by following last tokens from i
 
 The walk visits the words in sorted order and keeps one stack of nodes (the trie is never stored whole),
 so memory is bounded by the distinct words of one Arrow batch plus a cache of a documented size
-(``CACHE_ENTRIES`` white-space chunks per Python worker; emptied when full, results do not depend on it).
+(``CACHE_ENTRIES`` white-space chunks per Python worker; thinned when full, results do not depend on it).
 Texts are not shuffled; each row depends on itself alone.
 
 Normalising and splitting into words is what the tokenizer file says (its own normalizer and
@@ -22,11 +22,12 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterable, Iterator
+from unicodedata import is_normalized
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CACHE_ENTRIES = 500_000
+CACHE_ENTRIES = 800_000
 _END = 1 << 60
 
 
@@ -48,17 +49,25 @@ class TrieBpe:
             a, b = pair if not isinstance(pair, str) else pair.split(" ")
             self.rank[a, b] = r
             self.parts.setdefault(a + b, (r, a, b))
-        lengths = [len(t) - cut if cut and t.endswith(self.end) else len(t) for t in self.vocab]
-        self.longest = max(lengths)
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
+        # the byte-level alphabet: a byte that is no printable mark stands for a later character
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        hidden = [b for b in range(256) if b not in shown]
+        self.byte_marks = {b: chr(256 + k) for k, b in enumerate(hidden)}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.special_at = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
         self.spines: dict[tuple[str, bool], list[tuple[int, str]]] = {}
         self.pairs: dict[tuple[str, str], bool] = {}
         self.whole: dict[str, bool] = {}
         self.packed = {t: i.to_bytes(4, "little") for t, i in self.vocab.items()}
+        # tokens that encode to themselves: inside a word, and (without the suffix) at its end
+        ok = [t for t in self.vocab if self.token_ok(t)]
+        plain = {t for t in ok if not cut or not t.endswith(self.end)}
+        self.final = {t[:-cut] for t in ok if t.endswith(self.end)} if cut else set()
+        # every beginning of such a token, and whether it is itself one of the first kind
+        self.known = {t[:k]: t[:k] in plain for t in (*plain, *self.final) for k in range(1, len(t) + 1)}
         # by white-space chunk: ids as bytes; tokens, each followed by a blank
         self.ids_of: dict[str, bytes] = {}
         self.decoded_of: dict[str, str] = {}
@@ -119,32 +128,53 @@ class TrieBpe:
 
     # the trie
 
-    def _last(self, word: str, d: int, tail: str, last: list[str]) -> str:
-        """Last token of the first d characters (``tail`` marks the word's end)."""
-        for j in range(max(0, d - self.longest), d):
-            t = word[j:d] + tail
-            if t in self.vocab and self.token_ok(t) and (not j or self.pair_ok(last[j], t)):
-                return t
-        raise ValueError(f"no token for a character of {word[:80]!r}")
-
     def encode_words(self, words: Iterable[str]) -> dict[str, list[str]]:
         """The tokens of each distinct word."""
         out: dict[str, list[str]] = {}
-        last, before, cut = [""], "", len(self.end)
+        known, final, end = self.known, self.final, self.end
+        pairs, pair_ok = self.pairs, self.pair_ok
+        # by depth: the last token, and the starts from which a longer token can still come
+        last, open_at, before, cut = [""], [[]], "", 1 if end else 0
         for word in sorted(set(words)):
-            n = len(word) - 1 if cut else len(word)  # nodes that other words may share
+            n = len(word) - cut  # nodes that other words may share
             shared, most = 0, min(n, len(before))
             while shared < most and word[shared] == before[shared]:
                 shared += 1
-            del last[shared + 1:]
+            del last[shared + 1:], open_at[shared + 1:]
             for d in range(shared + 1, n + 1):
-                last.append(self._last(word, d, "", last))
-            before = word[:n]
-            tokens, at = [], n
+                starts, found = [], None
+                for j in (*open_at[-1], d - 1):
+                    t = word[j:d]
+                    good = known.get(t)
+                    if good is None:
+                        continue
+                    starts.append(j)
+                    if good and found is None:
+                        if not j:
+                            found = t
+                        else:
+                            ok = pairs.get((last[j], t))
+                            if ok or ok is None and pair_ok(last[j], t):
+                                found = t
+                if found is None:
+                    raise ValueError(f"no token for a character of {word[:80]!r}")
+                last.append(found)
+                open_at.append(starts)
             if cut:
-                t = self._last(word, n + 1, self.end, last)
-                tokens.append(t)
-                at = n + 1 - (len(t) - cut)
+                for j in (*open_at[-1], n):
+                    if word[j:] in final:
+                        t = word[j:] + end
+                        if not j:
+                            break
+                        ok = pairs.get((last[j], t))
+                        if ok or ok is None and pair_ok(last[j], t):
+                            break
+                else:
+                    raise ValueError(f"no token for a character of {word[:80]!r}")
+                tokens, at = [t], j
+            else:
+                tokens, at = [], n
+            before = word[:n]
             while at:
                 tokens.append(last[at])
                 at -= len(last[at])
@@ -155,12 +185,14 @@ class TrieBpe:
     # texts
 
     def _words(self, chunk: str) -> list[str]:
-        body = chunk[:-1]
-        if chunk.isascii():  # the file's own rules, for the plainest case
-            if chunk.isalpha():
-                return [chunk.lower()]
-            if body.isalpha() and chunk[-1] in ".,":
-                return [body.lower(), chunk[-1]]
+        mark = chunk[-1:] if chunk[-1:] in (".", ",") else ""
+        body = chunk[:-1] if mark else chunk
+        if body.isascii() and body.isalpha():
+            return [body.lower(), mark] if mark else [body.lower()]
+        if body.isalpha() and max(body) < "\u0130" and is_normalized("NFC", body):
+            # letters of the first blocks: what the file's own rules give, without the library's objects
+            word = body.lower().encode().decode("latin-1").translate(self.byte_marks)
+            return [word, mark] if mark else [word]
         lib = self.library
         return [w for w, _ in lib.pre_tokenizer.pre_tokenize_str(lib.normalizer.normalize_str(chunk))]
 
@@ -189,9 +221,12 @@ class TrieBpe:
 
     def encode_batch(self, texts: list[str]) -> tuple[list[bytes], list[str]]:
         """Per text: its ids (little-endian 32-bit) and the decoded text."""
-        if len(self.ids_of) > CACHE_ENTRIES:
-            self.ids_of.clear()
-            self.decoded_of.clear()
+        if len(self.ids_of) > CACHE_ENTRIES:  # long chunks are the rare ones
+            for c in [c for c in self.ids_of if len(c) > 7]:
+                del self.ids_of[c], self.decoded_of[c]
+            if len(self.ids_of) > CACHE_ENTRIES // 2:
+                self.ids_of.clear()
+                self.decoded_of.clear()
         self.ids_of[""], self.decoded_of[""] = b"", ""
         for s, i in self.special.items():
             self.ids_of[s], self.decoded_of[s] = i.to_bytes(4, "little"), s + " "
