@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardlens.llm import co_training, dart_minhash, decontaminate, secret_grammar, trie_bpe
-from wardlens.llm.common import stored, table
+from wardlens.llm.common import mark, release, stored, table
 from wardlens.llm.registry import tokenizer_path
 
 
@@ -58,8 +58,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last stage's rows, over the whole documents table."""
-    docs = table(spark, sf_dir, "documents")
+    """The last stage's rows, over the whole documents table. What a stage stored on its way, and its
+    predecessor's documents, are deleted once its own documents are written."""
+    docs, since = table(spark, sf_dir, "documents"), mark()
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
+        release(spark, since, keep=1)
     return STAGES[-1][1](spark, docs, sf_dir)

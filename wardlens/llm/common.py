@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import delete_folder, scratch_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,10 +22,29 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+_STORED: list[str] = []  # paths that this process has stored and not released
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder of ``spark.checkpoint.dir`` and read back: lineage is cut,
-    lost executors lose nothing, and the planner knows the real size of the table."""
+    lost executors lose nothing, and the planner knows the real size of the table. The files stay until
+    ``release``: results that are not yet written read them."""
     spark = df.sparkSession
     path = scratch_path(spark, f"llm/{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
+    _STORED.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def mark() -> int:
+    """A point to release from."""
+    return len(_STORED)
+
+
+def release(spark: SparkSession, since: int = 0, keep: int = 0) -> None:
+    """Delete the files stored since a mark, but for the last ``keep``. To call when what was made of them is
+    written elsewhere."""
+    done = _STORED[since:len(_STORED) - keep]
+    del _STORED[since:len(_STORED) - keep]
+    for path in done:
+        delete_folder(spark, path)

@@ -22,7 +22,7 @@ Weights are 1 for each distinct shingle (``weighting="distinct"``, plain Jaccard
 
 Defined results: a null text is an empty text; texts without words are alike only if equal; rows that share
 an id are one document, so their texts are one class; a row without an id gets a negative stand-in made of
-its text; repeated rows and ties are of one class; an empty table gives an empty result; extra columns
+its text, which the result shows as its id; repeated rows and ties are of one class; an empty table gives an empty result; extra columns
 are ignored by ``near_duplicates`` and kept by ``keep_one``.
 """
 

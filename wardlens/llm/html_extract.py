@@ -222,7 +222,8 @@ def main_text(pages: DataFrame, *, min_pages: int = 5, min_share: float = 0.005)
     """The input (columns ``url`` and ``html`` required) plus ``host`` and ``text``."""
     rows = pages.drop("host", "text").withColumn("host", host_of(F.col("url")))
     templates = stored(site_templates(rows, min_pages, min_share), "templates")
-    joined = rows.join(templates, "host", "left").select(*rows.columns, F.col("templates").alias("__templates"))
+    joined = rows.join(templates.withColumnRenamed("templates", "__templates"), "host", "left").select(
+        *rows.columns, "__templates")
     schema = rows.schema.add("text", "string")
     html_at, host_at, list_at = (joined.columns.index(c) for c in ("html", "host", "__templates"))
 

@@ -15,6 +15,7 @@ from . import (
     html_extract,
     license_index,
     line_rules,
+    oracle,
     secret_grammar,
     trie_bpe,
 )
@@ -84,4 +85,8 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def all_oracles() -> dict[str, str]:
-    return {}
+    return {
+        "op4_license_scan": oracle.license_scan(),
+        "op8_chat_render": oracle.chat_render(),
+        "op10_line_rules": oracle.line_rules(),
+    }
