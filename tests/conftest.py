@@ -13,7 +13,7 @@ def spark():
     s = (SparkSession.builder.master("local[4]").appName("wardlens-tests")
          .config("spark.sql.shuffle.partitions", "8")
          .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
-         .config("spark.sql.session.timeZone", "UTC")
+         .config("spark.sql.session.timeZone", "UTC").config("spark.sql.maxMetadataStringLength", "2000")
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     if not s.sparkContext.getCheckpointDir():

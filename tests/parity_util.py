@@ -53,6 +53,18 @@ def _rows(cols, data):
     return sorted((tuple(_norm(r[i]) for i in order) for r in data), key=repr)
 
 
+def in_order(spark, con, fn, sql, sf_dir):
+    """Rows of both sides in the order they come, columns sorted by name."""
+    df = fn(spark, sf_dir)
+    cur = con.execute(sql)
+    names = [x[0] for x in cur.description]
+    sides = []
+    for cols, data in ((df.columns, df.collect()), (names, cur.fetchall())):
+        order = sorted(range(len(cols)), key=lambda i: cols[i])
+        sides.append([tuple(_norm(r[i]) for i in order) for r in data])
+    return sides
+
+
 def compare(spark, con, name, fn, sql, sf_dir):
     t0 = time.time()
     sdf = fn(spark, sf_dir)

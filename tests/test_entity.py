@@ -39,10 +39,25 @@ def test_token_counts_every_occurrence(spark):
 
 def test_first_long_token_strategy(spark):
     df = spark.createDataFrame([("Ann Smith Ltd",), ("Ann Bo",), (None,)], "hospital string")
-    got = [r.hospital_anchor for r in EN.anchor_entity(df, strategy="first").collect()]
+    got = [r.hospital_anchor for r in EN.first_long_token_entity(df).collect()]
     assert got == ["smith", "ann bo", None]
 
 
+def test_names_without_a_token_can_keep_their_own_name(spark):
+    df = spark.createDataFrame([("and LLC, 9",), ("9 ltd",), ("9 ltd",), (None,), ("Kent",)], "hospital string")
+    label = {r.hospital: r.hospital_canonical for r in EN.canonical_entity(df).collect()}
+    assert label["and LLC, 9"] == "9 ltd" and label[None] is None
+    own = {r.hospital: r.hospital_canonical for r in EN.canonical_entity(df, on_unknown="own_name").collect()}
+    assert own == {"and LLC, 9": "and LLC, 9", "9 ltd": "9 ltd", None: None, "Kent": "Kent"}
+
+
+def test_nameless_rows_spread_over_partitions(spark):
+    df = spark.createDataFrame([(i, None if i % 3 else "Kent") for i in range(600)], "i int, hospital string")
+    out = EN.anchor_entity(df)
+    assert out.count() == 600 and out.filter("hospital_anchor is null").count() == 400
+    assert out.columns == ["i", "hospital", "hospital_anchor"]
+
+
 def test_audit(spark):
     audit = {r.anchor: r for r in EN.entity_audit(hospitals(spark)).collect()}
     assert audit["smith"].group_rows == 6 and audit["smith"].distinct_names == 3

@@ -1,5 +1,7 @@
 """Referral chains (FIXTURES.md section 6)."""
 
+import os
+
 import pytest
 
 from wardlens.operators import hierarchy as H
@@ -38,9 +40,29 @@ def test_roots_and_parent_links(spark):
 def test_recursion_limit_counts_rounds(spark):
     # a 4-deep chain needs 3 recursive rounds: limit 3 passes, limit 2 fails
     assert H.walk_hierarchy(refs(spark), max_recursion=3).count() == 7
-    with pytest.raises(H.RecursionLimitExceeded):
+    with pytest.raises(H.RecursionLimitExceeded) as e:
         H.walk_hierarchy(refs(spark), max_recursion=2)
-    assert H.walk_hierarchy(refs(spark), max_recursion=2, on_limit="truncate").agg({"depth": "max"}).first()[0] == 3
+    assert (e.value.error_number, e.value.max_recursion, e.value.unfinished) == (530, 2, 1)
+
+
+def test_edges_are_one_file_per_bucket_and_dropped(spark, monkeypatch):
+    rows = spark.range(3000).selectExpr(
+        "cast(id as int) referral_id", "'p' patient_name", "'a' from_department", "'b' to_department",
+        "cast(id - 1 as int) parent_referral_id").repartition(16)
+    df, name = H._bucketed_edges(rows, ["parent_referral_id"])
+    assert len(df.inputFiles()) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    folder = df.inputFiles()[0].removeprefix("file:").rsplit("/", 1)[0]
+    assert os.path.isdir(folder)
+    spark.sql(f"DROP TABLE {name}")
+    assert not os.path.exists(folder)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "40")
+        spark.conf.set("spark.sql.sources.bucketing.maxBuckets", "16")  # more partitions than buckets allowed
+        assert H.walk_hierarchy(refs(spark), max_recursion=3).count() == 7
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.sources.bucketing.maxBuckets")
 
 
 def test_depth_guard_truncates_silently(spark):
@@ -63,7 +85,6 @@ def test_cycle_reachable_from_root_fails(spark):
                    (9, "Cy", "Y", "X", 10)]
     with pytest.raises(H.RecursionLimitExceeded):
         H.walk_hierarchy(refs(spark, rows), max_recursion=20)
-    assert H.walk_hierarchy(refs(spark, rows), max_recursion=20, on_limit="truncate").count() > 7
 
 
 def test_loop_equals_spark_recursive_cte(spark):

@@ -59,38 +59,22 @@ def strict_ratio(num, den) -> Column:
 
 
 def _idiv(a: Column, b: Column) -> Column:
-    return F.call_function("div", a, b)
+    """Integer quotient of non-negative decimals, as decimal(38,0): the division is exact, since the
+    remainder is taken off first."""
+    return ((a - a % b) / b).cast("decimal(38,0)")
 
 
 def half_up_units(num, den, scale: int = 0) -> Column:
-    """round(num / den, scale) half away from zero, as an exact integer count of 10^-scale units.
+    """round(num / den, scale) half away from zero, as an exact count of 10^-scale units, decimal(38,0).
 
     ``num`` and ``den`` must be integer-valued; they are widened to decimal(38,0) so sums over
     billions of rows cannot overflow. NULL when ``den`` is 0 or NULL.
     """
     n = _c(num).cast("decimal(38,0)")
     d = _c(den).cast("decimal(38,0)")
-    q = _idiv(F.abs(n) * F.lit(2 * 10 ** scale) + F.abs(d), F.abs(d) * F.lit(2))
-    sign = F.signum(n) * F.signum(d)
-    return F.when(d != 0, (q * sign).cast("bigint"))
-
-
-# |n| * 2 * 10^6 + |d| stays inside a signed 64-bit integer below this bound.
-_LONG_SAFE = 4 * 10 ** 12
-
-
-def half_up_units_long(num, den, scale: int = 0) -> Column:
-    """``half_up_units`` for per-row use on bigint inputs: long arithmetic when the magnitudes
-    allow (every realistic amount), the exact decimal path otherwise. Same result either way."""
-    n = _c(num).cast("bigint")
-    d = _c(den).cast("bigint")
-    if 2 * 10 ** scale > 2 * 10 ** 6:
-        return half_up_units(n, d, scale)
-    an, ad = F.abs(n), F.abs(d)
-    fast = _idiv(an * F.lit(2 * 10 ** scale) + ad, ad * F.lit(2)) * F.signum(n).cast("bigint") * F.signum(d).cast("bigint")
-    return (F.when(d == 0, F.lit(None).cast("bigint"))
-             .when((an < F.lit(_LONG_SAFE)) & (ad < F.lit(_LONG_SAFE)), fast)
-             .otherwise(half_up_units(n, d, scale)))
+    size = F.nullif(F.abs(d), F.lit(0).cast("decimal(38,0)"))
+    q = _idiv(F.abs(n) * F.lit(2 * 10 ** scale) + size, size * F.lit(2))
+    return F.when((n < 0) != (d < 0), -q).otherwise(q)
 
 
 def exact_round(num, den, scale: int) -> Column:
@@ -98,16 +82,13 @@ def exact_round(num, den, scale: int) -> Column:
     return (half_up_units(num, den, scale).cast("double") / F.lit(float(10 ** scale)))
 
 
-def exact_round_row(num, den, scale: int) -> Column:
-    """``exact_round`` for per-row bigint inputs (long arithmetic fast path)."""
-    return half_up_units_long(num, den, scale).cast("double") / F.lit(float(10 ** scale))
-
-
 def exact_trunc(num, den) -> Column:
     """Integer average truncated toward zero (T-SQL AVG of an INT column)."""
     n = _c(num).cast("decimal(38,0)")
     d = _c(den).cast("decimal(38,0)")
-    return F.when(d != 0, _idiv(n, d).cast("bigint"))
+    zero = F.lit(0).cast("decimal(38,0)")
+    q = _idiv(F.abs(n), F.nullif(F.abs(d), zero))
+    return F.when((n < 0) != (d < 0), -q).otherwise(q).cast("bigint")
 
 
 def cents_long(col) -> Column:
@@ -132,24 +113,29 @@ def money_avg(col) -> Column:
     return F.when(n > 0, s.cast("double") / (n * F.lit(100)).cast("double"))
 
 
-def micro_ratio(num_money, den_int) -> Column:
-    """Per-row money / integer quantised half-up to 1e-6 (a bigint of micro-units).
+# Units of a ratio sum: 10^-RATIO_SCALE.
+RATIO_SCALE = 12
 
-    NULL when the denominator is 0 or NULL (SAFE_DIVIDE); averaging these and rounding once
-    gives engine-independent digits for averages of ratios such as cost per day.
-    """
-    return half_up_units_long(cents_long(num_money), _c(den_int).cast("bigint") * F.lit(100), 6)
+
+def ratio_units(sum_cents, den) -> Column:
+    """sum_cents / 100 / den in units of 10^-RATIO_SCALE: the sum of a ratio over rows that share the
+    denominator, rounded once. NULL when the denominator is 0 or NULL (SAFE_DIVIDE)."""
+    return half_up_units(sum_cents, _c(den).cast("decimal(38,0)") * F.lit(100), RATIO_SCALE)
 
 
-def micro_avg_rounded(micro_col, scale: int = 2) -> Column:
-    """ROUND(AVG(ratio), scale) from a column of micro-unit ratios: an aggregate expression."""
-    return exact_round(F.sum(_c(micro_col).cast("decimal(38,0)")), F.count(_c(micro_col)) * F.lit(10 ** 6), scale)
+def ratio_avg(units, count, scale: int) -> Column:
+    """ROUND(AVG(ratio), scale) from ``ratio_units`` per distinct denominator and their row counts: an
+    aggregate expression. Each part is at most half a unit off; half a unit per part, away from
+    zero, keeps an exact tie a tie."""
+    total = F.sum(_c(units))
+    slack = F.ceil(F.count(_c(units)) / 2).cast("decimal(38,0)")
+    nudged = total + F.when(total < 0, -slack).otherwise(slack)
+    return exact_round(nudged, F.sum(_c(count)).cast("decimal(38,0)") * F.lit(10 ** RATIO_SCALE), scale)
 
 
-def micro_avg(micro_col) -> Column:
-    """Unrounded AVG(ratio) from micro-unit ratios, as double."""
-    n = F.count(_c(micro_col))
-    return F.when(n > 0, F.sum(_c(micro_col).cast("decimal(38,0)")).cast("double") / (n * F.lit(10 ** 6)).cast("double"))
+def pct_decimal(part, whole) -> Column:
+    """ROUND(part * 100 / whole, 2), exact, as decimal(5,2)."""
+    return (half_up_units(_c(part) * F.lit(100), _c(whole), 2).cast("decimal(7,0)") / F.lit(100)).cast("decimal(5,2)")
 
 
 def pct(part, whole, scale: int = 2) -> Column:

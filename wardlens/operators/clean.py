@@ -44,10 +44,12 @@ def clean_warehouse(df: DataFrame, name: str = "name", hospital: str = "hospital
                     name_style: str = "initcap") -> DataFrame:
     """The warehouse clean table: every other column unchanged, then the cased name and the
     first-token hospital appended last (``* EXCEPT (Name, Hospital), INITCAP(Name), token``).
-    ``name_style="title"`` cases names like Python's ``str.title`` instead."""
+    ``name_style="title"`` cases names like Python's ``str.title`` instead. A projection without one of
+    the two columns stays without it."""
     rest = [c for c in df.columns if c not in (name, hospital)]
-    cased = {"initcap": initcap_name, "title": title_case}[name_style](name)
-    return df.select(*rest, cased.alias(name), first_token(hospital).alias(hospital))
+    cased = {"initcap": initcap_name, "title": title_case}[name_style]
+    return df.select(*rest, *([cased(name).alias(name)] if name in df.columns else []),
+                     *([first_token(hospital).alias(hospital)] if hospital in df.columns else []))
 
 
 def null_check(df: DataFrame, columns=("hospital", "name"), total_col: str = "total_rows") -> DataFrame:

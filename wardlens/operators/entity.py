@@ -86,21 +86,49 @@ def group_id(anchor) -> "F.Column":
     return F.when(anchor.isNotNull(), F.xxhash64(anchor))
 
 
+def _on_name(df: DataFrame, names: DataFrame, col: str) -> DataFrame:
+    """Rows with the columns of their name. Rows without a name match nothing; each gets a key of its own,
+    so a third of the rows being nameless does not end in one partition."""
+    spread = F.concat(F.lit("\x00"), F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).cast("string"))
+    keyed = df.withColumn("_name", F.coalesce(F.col(col), spread))
+    return keyed.join(names.withColumnRenamed("entity_name", "_name"), "_name", "left").drop("_name")
+
+
+def _stripped(df: DataFrame, col: str, strip: str | None) -> DataFrame:
+    return df.withColumn(col, strip_trailing(col, strip) if strip else F.col(col))
+
+
 def resolve_entities(df: DataFrame, col: str = "hospital", strategy: str = "rarest", stopwords=ANCHOR_STOPWORDS,
                      min_len: int | None = None, strip: str | None = ",", anchor_col: str | None = None,
-                     canonical_col: str | None = None) -> DataFrame:
-    """Rows of ``df`` with ``col`` comma-stripped and ``<col>_anchor`` / ``<col>_canonical`` added."""
-    anchor_col = anchor_col or f"{col}_anchor"
-    canonical_col = canonical_col or f"{col}_canonical"
-    m = entity_map(df, col, strategy, stopwords, min_len, strip).select(
-        F.col("entity_name"), F.col("anchor").alias(anchor_col), F.col("canonical").alias(canonical_col))
-    stripped = df.withColumn(col, strip_trailing(col, strip) if strip else F.col(col))
-    return (stripped.join(m, stripped[col] == m["entity_name"], "left").drop("entity_name"))
-
-
-def anchor_entity(df: DataFrame, col: str = "hospital", **kw) -> DataFrame:
-    """Rows with the rarest-token anchor."""
-    return resolve_entities(df, col, **kw).drop(f"{col}_canonical")
+                     canonical_col: str | None = None, on_unknown: str = "label") -> DataFrame:
+    """Rows of ``df`` with ``col`` comma-stripped and ``<col>_anchor`` / ``<col>_canonical`` added. Names without
+    a usable token share the anchor 'unknown' (``on_unknown="label"``) and its canonical name, or keep
+    their own name as canonical (``"own_name"``)."""
+    if on_unknown not in ("label", "own_name"):
+        raise ValueError(f"unknown on_unknown {on_unknown!r}")
+    m = entity_map(df, col, strategy, stopwords, min_len, strip)
+    canonical = F.col("canonical")
+    if on_unknown == "own_name":
+        canonical = F.when(F.col("anchor") == "unknown", F.col("entity_name")).otherwise(canonical)
+    m = m.select("entity_name", F.col("anchor").alias(anchor_col or f"{col}_anchor"),
+                 canonical.alias(canonical_col or f"{col}_canonical")).filter(F.col("entity_name").isNotNull())
+    return _on_name(_stripped(df, col, strip), m, col)
+
+
+def anchor_entity(df: DataFrame, col: str = "hospital", stopwords=ANCHOR_STOPWORDS, min_len: int = 3,
+                  strip: str | None = ",") -> DataFrame:
+    """Rows with the rarest-token anchor (no canonical names are computed)."""
+    names = cut_lineage(name_weights(df, col, strip))
+    m = anchor_map(names, stopwords, min_len).filter(F.col("entity_name").isNotNull()).select(
+        "entity_name", F.col("anchor").alias(f"{col}_anchor"))
+    return _on_name(_stripped(df, col, strip), m, col)
+
+
+def first_long_token_entity(df: DataFrame, col: str = "hospital", stopwords=ANCHOR_STOPWORDS, min_len: int = 4,
+                            strip: str | None = ",") -> DataFrame:
+    """The first token of at least ``min_len`` letters, else the lowercased name: a row expression."""
+    return _stripped(df, col, strip).withColumn(
+        f"{col}_anchor", F.coalesce(F.get(anchor_tokens(col, stopwords, min_len), 0), F.lower(col)))
 
 
 def canonical_entity(df: DataFrame, col: str = "hospital", drop_source: bool = False, **kw) -> DataFrame:

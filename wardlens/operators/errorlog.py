@@ -1,13 +1,15 @@
-"""The central error log: an append-only parquet table.
+"""The central error log: a parquet table with one folder per run.
 
-``error_id`` is a hash of the run, the source row and the rule, so a task retried after an
-executor loss writes the same id again instead of a new one; readers can drop repeats with
-``distinct()`` on the id. Rows are never deleted.
+A run (a batch load, a streaming epoch) writes its rows to its own folder, so a repeated run
+replaces its rows instead of doubling them; rows of other runs are never touched. ``error_id`` is
+a hash of the run, the source row's key and the context: unique for a unique key.
 """
 
 from __future__ import annotations
 
 import contextlib
+import re
+import uuid
 from dataclasses import dataclass
 
 from pyspark.errors import PySparkException
@@ -15,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardlens.schema import ERROR_LOG
+from wardlens.session import path_exists, replace_folder
 
 # Error numbers the reference's log carries for these failures.
 ERROR_NUMBERS = {"CAST_INVALID_INPUT": 8114, "DIVIDE_BY_ZERO": 8134, "RECURSION_LEVEL_LIMIT_EXCEEDED": 530}
@@ -47,17 +50,21 @@ class ErrorLog:
     spark: SparkSession
     path: str
 
-    def append(self, rows: DataFrame) -> None:
-        """Append log rows; ``error_datetime`` defaults to the write time (GETDATE())."""
+    def append(self, rows: DataFrame, run_id: str | None = None) -> None:
+        """Write log rows; ``error_datetime`` defaults to the write time (GETDATE()). With a
+        ``run_id`` they take the place of what an earlier try of that run wrote (written beside
+        it first, then swapped); without one they are a run of their own."""
+        run = run_id or uuid.uuid4().hex
         out = rows.select(*LOG_COLUMNS).withColumn(
             "error_datetime", F.coalesce(F.col("error_datetime"), F.current_timestamp()))
-        out.write.mode("append").parquet(self.path)
+        written = f"{self.path}/_writing_{uuid.uuid4().hex}"
+        out.write.parquet(written)
+        replace_folder(self.spark, written, f"{self.path}/log_run={run}")
 
     def read(self) -> DataFrame:
-        try:
-            return self.spark.read.schema(ERROR_LOG).parquet(self.path)
-        except Exception:  # no file written yet
+        if not path_exists(self.spark, self.path):  # nothing logged yet; any read error raises
             return self.spark.createDataFrame([], ERROR_LOG)
+        return self.spark.read.schema(ERROR_LOG).parquet(self.path).select(*LOG_COLUMNS)
 
     def search(self, context_like: str | None = None, columns: list[str] | None = None) -> DataFrame:
         """Newest first, optionally filtered by ``process_context LIKE``."""
@@ -83,9 +90,22 @@ class JobFailed(RuntimeError):
         self.number = number
 
 
+# What a strict conversion raises (functions.numeric.strict_number, load_typed).
+_CONVERSION = re.compile(r"Error converting data type|Conversion failed when converting")
+
+
 def _error_number(exc: BaseException) -> int:
-    cond = exc.getCondition() if isinstance(exc, PySparkException) else None
-    return ERROR_NUMBERS.get(cond or "", 50000)
+    own = getattr(exc, "error_number", None)
+    if own is not None:
+        return int(own)
+    condition = exc.getCondition() if isinstance(exc, PySparkException) else None
+    if condition in ERROR_NUMBERS:
+        return ERROR_NUMBERS[condition]
+    return ERROR_NUMBERS["CAST_INVALID_INPUT"] if _CONVERSION.search(str(exc)) else 50000
+
+
+# Fixed value: the width of the log's message column.
+MESSAGE_WIDTH = 4000
 
 
 @contextlib.contextmanager
@@ -97,7 +117,7 @@ def logged_job(log: ErrorLog, name: str, context: str, number: int = 50001,
     try:
         yield
     except Exception as exc:  # noqa: BLE001 - every failure is logged, then re-raised cleanly
-        text = str(exc).strip().splitlines()[0][:4000] if str(exc).strip() else type(exc).__name__
+        text = (str(exc).strip() or type(exc).__name__)[:MESSAGE_WIDTH]
         one = log.spark.range(1)
         log.append(log_rows(one, run_id=name, key=F.lit(text), number=_error_number(exc), message=text,
                             context=context, severity=16, state=1, procedure=name))

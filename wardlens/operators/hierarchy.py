@@ -7,7 +7,7 @@ costs one level, not the whole walk.
 
 Limits, as in a recursive CTE: ``max_recursion`` counts recursive rounds (depth can reach
 ``max_recursion + 1``); a walk that still has rows to expand after that many rounds fails with
-:class:`RecursionLimitExceeded` (``on_limit="fail"``) or stops (``"truncate"``). ``depth_guard``
+:class:`RecursionLimitExceeded`, never with a silently incomplete result. ``depth_guard``
 is the inline ``WHERE depth < n`` guard: rows at depth ``n`` are not expanded, silently.
 """
 
@@ -18,7 +18,7 @@ import uuid
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardlens.session import cut_lineage, scratch_path
+from wardlens.session import cut_lineage
 
 
 class RecursionLimitExceeded(RuntimeError):
@@ -26,6 +26,11 @@ class RecursionLimitExceeded(RuntimeError):
 
     error_number = 530
 
+    def __init__(self, message: str, max_recursion: int | None = None, unfinished: int | None = None):
+        super().__init__(message)
+        self.max_recursion = max_recursion
+        self.unfinished = unfinished  # rows of the first round beyond the limit
+
 
 def _no_parent(cols) -> Column:
     """A (composite) parent reference with any NULL part points nowhere, as a SQL foreign key."""
@@ -58,7 +63,7 @@ def parent_links(df: DataFrame, id_cols=("referral_id",), parent_cols=("parent_r
 
 def walk_hierarchy(df: DataFrame, id_cols=("referral_id",), parent_cols=("parent_referral_id",),
                    root_label: str = "patient_name", step_label: str = "to_department",
-                   max_recursion: int = 50, depth_guard: int | None = None, on_limit: str = "fail",
+                   max_recursion: int = 50, depth_guard: int | None = None,
                    start: Column | None = None, path_col: str = "referral_path", separator: str = " > ",
                    checkpoint: bool = True) -> DataFrame:
     """H1-H3: every row reachable from the start rows, with ``depth`` (from 1) and a path
@@ -67,20 +72,15 @@ def walk_hierarchy(df: DataFrame, id_cols=("referral_id",), parent_cols=("parent
     The recursive step joins ``child.parent_cols = frontier.id_cols`` (equi-join on the id, so
     at most one parent per child: no pairing within a group). String concatenation propagates
     NULL, like ``+`` on text in the reference."""
-    if on_limit not in ("fail", "truncate"):
-        raise ValueError(f"unknown on_limit {on_limit!r}")
     id_cols, parent_cols = list(id_cols), list(parent_cols)
     table = None
     if checkpoint:
-        # The edges are written once as a table bucketed by the parent key (in the shared
-        # checkpoint folder): each level's join then reads them without a shuffle and moves only
-        # the frontier. (A checkpoint would not keep the partitioning.)
-        try:
-            df, table = _bucketed_edges(df, parent_cols)
-        except Exception:  # no usable session catalog: walk the plain edge table (shuffled per level)
-            table = None
+        # The edges are written once as a managed table bucketed by the parent key (in the shared
+        # warehouse; dropped with its files at the end): each level's join then reads them without a
+        # shuffle and moves only the frontier. (A checkpoint would not keep the partitioning.)
+        df, table = _bucketed_edges(df, parent_cols)
     try:
-        return _walk(df, id_cols, parent_cols, root_label, step_label, max_recursion, depth_guard, on_limit,
+        return _walk(df, id_cols, parent_cols, root_label, step_label, max_recursion, depth_guard,
                      start, path_col, separator, checkpoint)
     finally:
         if table:
@@ -90,13 +90,15 @@ def walk_hierarchy(df: DataFrame, id_cols=("referral_id",), parent_cols=("parent
 def _bucketed_edges(df: DataFrame, parent_cols: list[str]) -> tuple[DataFrame, str]:
     spark = df.sparkSession
     name = f"wardlens_edges_{uuid.uuid4().hex}"
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    (df.write.bucketBy(buckets, *parent_cols).sortBy(*parent_cols)
-       .option("path", scratch_path(spark, name)).saveAsTable(name))
+    buckets = min(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                  int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets")))
+    # dealt out by the bucket key first: one file per bucket, not one per task and bucket
+    (df.repartition(buckets, *parent_cols).write.bucketBy(buckets, *parent_cols).sortBy(*parent_cols)
+       .saveAsTable(name))
     return spark.table(name), name
 
 
-def _walk(df, id_cols, parent_cols, root_label, step_label, max_recursion, depth_guard, on_limit, start, path_col,
+def _walk(df, id_cols, parent_cols, root_label, step_label, max_recursion, depth_guard, start, path_col,
           separator, checkpoint) -> DataFrame:
     start_rows = df.filter(start if start is not None else _no_parent(parent_cols))
     level = start_rows.select(*df.columns, F.lit(1).alias("depth"),
@@ -122,11 +124,9 @@ def _walk(df, id_cols, parent_cols, root_label, step_label, max_recursion, depth
             break
         rounds += 1
         if rounds > max_recursion:
-            if on_limit == "fail":
-                raise RecursionLimitExceeded(
-                    f"The statement terminated. The maximum recursion {max_recursion} has been exhausted "
-                    f"before statement completion.")
-            break
+            raise RecursionLimitExceeded(
+                f"The statement terminated. The maximum recursion {max_recursion} has been exhausted "
+                f"before statement completion.", max_recursion, nxt.count())
         levels.append(nxt)
         level = nxt
     out = levels[0]

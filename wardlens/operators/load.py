@@ -4,20 +4,24 @@ row in one pass; bad rows are routed to the error log instead of failing the job
 The reference walks the batch with a cursor and a TRY/CATCH per row. Here every rule is a
 column expression; the batch is labelled once, then split into accepted and rejected rows.
 ``run_*`` helpers materialise the labelled batch once (a reliable checkpoint in the shared
-folder) before writing both outputs, so a non-deterministic input cannot land in both.
+folder) before writing both outputs, so a non-deterministic input cannot land in both. A run owns
+one folder of the target and one of the log: a repeated run replaces both, and its own earlier
+rows never count as existing.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from wardlens.functions.dates import parse_date, stay_days
-from wardlens.functions.numeric import MONEY, cents_long, exact_round_row, safe_number, strict_number
+from wardlens.functions.numeric import MONEY, cents_long, exact_round, safe_number, strict_number
 from wardlens.operators.errorlog import ErrorLog, log_rows
-from wardlens.session import cut_lineage
+from wardlens.session import cut_lineage, path_exists, replace_folder
 
 
 @dataclass
@@ -35,12 +39,13 @@ CONVERSION_MESSAGE = "Error converting data type nvarchar to numeric."
 CONVERSION_CONTEXT = "Scenario 1 — Billing_Amount conversion failure: "
 
 
-def load_typed(staging: DataFrame, conversions: dict[str, str] | None = None, *, name_col: str = "name",
-               key_col: str | None = None, on_error: str = "route", run_id: str = "load",
+def load_typed(staging: DataFrame, conversions: dict[str, str] | None = None, *, key_col: str,
+               name_col: str = "name", on_error: str = "route", run_id: str = "load",
                context_prefix: str = CONVERSION_CONTEXT) -> LoadResult:
     """L3 (``route``): convert text columns (numeric types, or ``"date"`` with the accepted date
     layouts); rows where a non-NULL value fails go to ``rejected`` as error-log rows, the rest to
-    ``accepted`` with typed values. NULL stays NULL and is accepted.
+    ``accepted`` with typed values. NULL stays NULL and is accepted. ``key_col`` is the source
+    row's key: two rejected rows have different log ids if their keys differ.
     L2 (``fail``): the accepted frame uses strict casts, so the first bad value fails the job."""
     conversions = conversions or {"billing_amount": MONEY}
     if on_error == "fail":
@@ -62,8 +67,7 @@ def load_typed(staging: DataFrame, conversions: dict[str, str] | None = None, *,
     for col, conv in convert.items():
         ok = ok.withColumn(col, conv)
     bad = labelled.filter(F.size("_failed") > 0)
-    key = F.col(key_col) if key_col else F.col(name_col)
-    rejected = log_rows(bad, run_id=run_id, key=key, number=CONVERSION_ERROR_NUMBER, message=CONVERSION_MESSAGE,
+    rejected = log_rows(bad, run_id=run_id, key=F.col(key_col), number=CONVERSION_ERROR_NUMBER, message=CONVERSION_MESSAGE,
                         context=F.concat(F.lit(context_prefix), F.col(name_col)))
     return LoadResult(ok, rejected)
 
@@ -82,7 +86,7 @@ def cost_per_day(df: DataFrame, name_col: str = "patient_name", wording: str = "
     flag = FLAG_REVIEW if wording == "review" else FLAG_SHORT
     return df.select(
         F.col(name_col), "billing_amount", s.alias("stay_days"),
-        exact_round_row(cents_long("billing_amount"), s.cast("bigint") * F.lit(100), 2).alias("cost_per_day"),
+        exact_round(cents_long("billing_amount"), s.cast("bigint") * F.lit(100), 2).alias("cost_per_day"),
         F.when(s == 0, flag).otherwise("Valid").alias("data_quality_flag"))
 
 
@@ -115,25 +119,16 @@ NOT_NULL_ERROR_NUMBER = 515
 CHECK_ERROR_NUMBER = 547
 UNIQUE_ERROR_NUMBER = 2627
 
-# Violation wordings.
+# The labels of the pre-insert violation report.
+VIOLATION_DUPLICATE = "DUPLICATE — violates UQ_patient_admission"
+VIOLATION_RANGE = "BILLING OUT OF RANGE — violates CHK_billing_range"
+
+# Reasons of a routed load; the context is the reference's (fixed value).
 DUPLICATE_EXISTING = "DUPLICATE — violates unique key (existing row)"
 DUPLICATE_BATCH = "DUPLICATE — violates unique key (earlier row in batch)"
 CONSTRAINT_CONTEXT = "Scenario 5 — constraint violation: "
 
 
-def _renamed_keys(df: DataFrame, keys, prefix: str) -> DataFrame:
-    """Distinct key rows under fresh names, so a join with a frame of the same lineage is unambiguous."""
-    return df.select(*[F.col(k).alias(f"{prefix}{i}") for i, k in enumerate(keys)]).distinct()
-
-
-def _null_safe_on(left: DataFrame, keys, right: DataFrame, prefix: str) -> Column:
-    cond = None
-    for i, k in enumerate(keys):
-        c = left[k].eqNullSafe(right[f"{prefix}{i}"])
-        cond = c if cond is None else cond & c
-    return cond
-
-
 def _check_violation(rules: Constraints) -> Column:
     """First violated NOT NULL / CHECK rule, or NULL."""
     branches = [(F.col(c).isNull(), f"NOT NULL violation: {c}") for c in rules.not_null]
@@ -144,75 +139,89 @@ def _check_violation(rules: Constraints) -> Column:
     return out if out is not None else F.lit(None).cast("string")
 
 
-def violations(batch: DataFrame, existing: DataFrame, rules: Constraints) -> DataFrame:
+def _keys_hit(existing: DataFrame, wanted: DataFrame, keys: list[str], null_safe: bool) -> DataFrame:
+    """The distinct keys of ``existing`` (as _x0, _x1, ...) that ``wanted`` (as _w0, _w1, ...) asks for. A
+    semi-join, so a batch small enough to broadcast leaves the existing table unshuffled, and the
+    distinct sees only the keys that can collide."""
+    rows = existing.select(*[F.col(k).alias(f"_x{i}") for i, k in enumerate(keys)])
+    cond = None
+    for i in range(len(keys)):
+        c = rows[f"_x{i}"].eqNullSafe(wanted[f"_w{i}"]) if null_safe else rows[f"_x{i}"] == wanted[f"_w{i}"]
+        cond = c if cond is None else cond & c
+    return rows.join(wanted, cond, "left_semi").distinct().withColumn("_exists", F.lit(True))
+
+
+def violations(batch: DataFrame, existing: DataFrame, rules: Constraints,
+               labels: dict[str, str] | None = None) -> DataFrame:
     """Pre-insert report, key columns + violation_type. Duplicates against *existing* rows
     UNION ALL failed CHECK rules; a row breaking both appears twice; duplicates inside the batch
-    are not listed. One pass over the batch: a left join with the *distinct* existing keys (so
-    no row is paired with every existing copy of its key) flags duplicates, then an array of
-    violated rules is exploded."""
+    are not listed; keys match by plain equality, so a NULL key part never does. One pass over the
+    batch: a left join with the distinct colliding keys flags duplicates, then an array of violated
+    rules is exploded. ``labels`` renames a CHECK rule (default: the billing range's label)."""
     keys = list(rules.unique)
-    ex_keys = _renamed_keys(existing, keys, "_x").withColumn("_exists", F.lit(True))
-    flagged = batch.join(ex_keys, _null_safe_on(batch, keys, ex_keys, "_x"), "left")
-    labels = [F.when(F.col("_exists"), F.lit(DUPLICATE_EXISTING))]
-    labels += [F.when(~F.coalesce(pred, F.lit(True)), F.lit(label)) for label, pred in rules.checks]
-    return flagged.select(*[batch[k] for k in keys], F.explode(F.array_compact(F.array(*labels))).alias("violation_type"))
-
-
-def label_batch(batch: DataFrame, existing: DataFrame, rules: Constraints, order_cols: list[str],
-                checkpoint: bool = True) -> DataFrame:
-    """Label every distinct batch row: ``copies`` (rows it stands for), ``accepted_copies`` (1 when
-    one copy is inserted) and ``reason`` (why the row, or its other copies, are rejected).
-
-    Rows arrive in ``order_cols`` order (ties broken by the remaining columns). Semantics of a
-    row-by-row insert: NOT NULL and CHECK first (a rejected row does not reserve its key); then
-    UNIQUE over the existing rows and the earlier accepted rows of the batch, NULL keys equal.
-
-    Scale: identical rows are first collapsed with a count (``copies``), so a group of copies
-    holding a third of the batch is one row after the map-side combine. The first row per key
-    is a ``min(struct(order...))`` aggregate (partial aggregation, no per-key sort), and the
-    existing table contributes only its distinct keys."""
+    wanted = batch.select(*[F.col(k).alias(f"_w{i}") for i, k in enumerate(keys)])
+    hit = _keys_hit(existing, wanted, keys, null_safe=False)
+    cond = None
+    for i, k in enumerate(keys):
+        c = batch[k] == hit[f"_x{i}"]
+        cond = c if cond is None else cond & c
+    flagged = batch.join(hit, cond, "left")
+    found = [F.when(F.col("_exists"), F.lit(VIOLATION_DUPLICATE))]
+    found += [F.when(~F.coalesce(pred, F.lit(True)), F.lit((labels or {}).get(label, VIOLATION_RANGE)))
+              for label, pred in rules.checks]
+    return flagged.select(*[batch[k] for k in keys], F.explode(F.array_compact(F.array(*found))).alias("violation_type"))
+
+
+def label_batch(batch: DataFrame, existing: DataFrame, rules: Constraints, order_cols: list[str]) -> DataFrame:
+    """Every batch row with ``row_tag`` (unique in the batch) and ``reason`` (NULL when it is accepted).
+
+    Rows arrive in ``order_cols`` order (ties broken by the remaining columns, then by the tag).
+    Semantics of a row-by-row insert: NOT NULL and CHECK first (a rejected row does not reserve
+    its key); then UNIQUE over the existing rows and the earlier accepted rows of the batch, NULL
+    keys equal.
+
+    Scale: the batch is written once (a reliable checkpoint: tags of written rows do not change
+    when a task is retried). The first row per key is a ``min(struct(order..., tag))`` aggregate
+    with map-side combine (no per-key sort, a hot key is one row per task), joined back on the
+    key (AQE splits a hot key's rows). Existing rows enter through a semi-join on the batch's keys."""
     cols = batch.columns
     keys = list(rules.unique)
     rest = [c for c in cols if c not in order_cols]
-    d = batch.groupBy(*cols).agg(F.count(F.lit(1)).alias("copies"))
-    d = d.withColumn("_order", F.struct(*[F.col(c) for c in order_cols + rest]))
-    d = d.withColumn("_check", _check_violation(rules))
-    if checkpoint:
-        # read twice below (first row per key, then the labelling join): scan the batch once
-        d = cut_lineage(d)
-    passing = d.filter(F.col("_check").isNull())
-    first = passing.groupBy(*keys).agg(F.min("_order").alias("_first"))
-    ex_keys = _renamed_keys(existing, keys, "_x").withColumn("_exists", F.lit(True))
-    first = (first.join(ex_keys, _null_safe_on(first, keys, ex_keys, "_x"), "left")
-                  .select(*[first[k].alias(f"_f{i}") for i, k in enumerate(keys)], "_first",
-                          F.coalesce("_exists", F.lit(False)).alias("_exists")))
-    lab = d.join(first, _null_safe_on(d, keys, first, "_f"), "left").select(*[d[c] for c in d.columns], "_first", "_exists")
-    is_first = F.col("_order").eqNullSafe(F.col("_first"))
+    d = cut_lineage(batch.withColumn("_check", _check_violation(rules)))
+    d = d.withColumn("row_tag", F.monotonically_increasing_id())
+    d = d.withColumn("_order", F.struct(*[F.col(c) for c in [*order_cols, *rest, "row_tag"]]))
+    first = (d.filter(F.col("_check").isNull()).groupBy(*[F.col(k).alias(f"_w{i}") for i, k in enumerate(keys)])
+             .agg(F.min("_order").alias("_first")))
+    hit = _keys_hit(existing, first, keys, null_safe=True)
+    cond = None
+    for i in range(len(keys)):
+        c = first[f"_w{i}"].eqNullSafe(hit[f"_x{i}"])
+        cond = c if cond is None else cond & c
+    first = first.join(hit, cond, "left").select(
+        *[f"_w{i}" for i in range(len(keys))], F.col("_first.row_tag").alias("_first_tag"),
+        F.coalesce("_exists", F.lit(False)).alias("_exists"))
+    cond = None
+    for i, k in enumerate(keys):
+        c = d[k].eqNullSafe(first[f"_w{i}"])
+        cond = c if cond is None else cond & c
     reason = (F.when(F.col("_check").isNotNull(), F.col("_check"))
                .when(F.col("_exists"), F.lit(DUPLICATE_EXISTING))
-               .when(~is_first, F.lit(DUPLICATE_BATCH)))
-    return (lab.withColumn("reason", reason)
-               .withColumn("accepted_copies", F.when(F.col("reason").isNull(), F.lit(1)).otherwise(F.lit(0)))
-               .select(*cols, "copies", "accepted_copies", "reason"))
+               .when(F.col("row_tag") != F.col("_first_tag"), F.lit(DUPLICATE_BATCH)))
+    return d.join(first, cond, "left").select(*[d[c] for c in cols], "row_tag", reason.alias("reason"))
 
 
 def split_labelled(labelled: DataFrame, cols: list[str]) -> LoadResult:
-    accepted = labelled.filter(F.col("accepted_copies") == 1).select(*cols)
-    rejected = (labelled.withColumn("rejected_copies", F.col("copies") - F.col("accepted_copies"))
-                        .filter(F.col("rejected_copies") > 0)
-                        .withColumn("reason", F.coalesce("reason", F.lit(DUPLICATE_BATCH)))
-                        .select(*cols, "reason", F.col("rejected_copies").alias("copies")))
-    return LoadResult(accepted, rejected)
+    return LoadResult(labelled.filter(F.col("reason").isNull()).select(*cols),
+                      labelled.filter(F.col("reason").isNotNull()).select(*cols, "reason", "row_tag"))
 
 
 def load_constrained(batch: DataFrame, existing: DataFrame, rules: Constraints, order_cols: list[str],
                      on_error: str = "route") -> LoadResult:
-    """L6 (``route``): accepted rows and rejected rows (with reason and number of copies).
+    """L6 (``route``): accepted rows and rejected rows (with reason and row tag), one per input row.
     L7 (``atomic``): raise when any row would be rejected, before anything is written."""
-    labelled = label_batch(batch, existing, rules, order_cols)
-    result = split_labelled(labelled, batch.columns)
+    result = split_labelled(label_batch(batch, existing, rules, order_cols), batch.columns)
     if on_error == "atomic":
-        n = result.rejected.agg(F.coalesce(F.sum("copies"), F.lit(0))).first()[0]
+        n = result.rejected.count()
         if n:
             raise ValueError(f"batch rejected: {n} row(s) violate constraints; nothing inserted")
     elif on_error != "route":
@@ -221,11 +230,9 @@ def load_constrained(batch: DataFrame, existing: DataFrame, rules: Constraints,
 
 
 def rejected_log_rows(rejected: DataFrame, name_col: str, run_id: str) -> DataFrame:
-    """Error-log rows for constraint rejections (one per distinct rejected row)."""
-    ctx = F.concat(F.lit(CONSTRAINT_CONTEXT), F.col(name_col).cast("string"),
-                   F.when(F.col("copies") > 1, F.concat(F.lit(" (x"), F.col("copies").cast("string"), F.lit(")")))
-                    .otherwise(F.lit("")))
-    key = F.to_json(F.struct(*[F.col(c) for c in rejected.columns if c not in ("reason", "copies")]))
+    """Error-log rows for constraint rejections: one per rejected row, each with its own id."""
+    ctx = F.concat(F.lit(CONSTRAINT_CONTEXT), F.coalesce(F.col(name_col).cast("string"), F.lit("NULL")))
+    key = F.to_json(F.struct(*[F.col(c) for c in rejected.columns if c != "reason"]))
     reason = F.col("reason")
     number = (F.when(reason.startswith("NOT NULL"), F.lit(NOT_NULL_ERROR_NUMBER))
                .when(reason.startswith("CHECK"), F.lit(CHECK_ERROR_NUMBER))
@@ -233,27 +240,46 @@ def rejected_log_rows(rejected: DataFrame, name_col: str, run_id: str) -> DataFr
     return log_rows(rejected, run_id=run_id, key=key, number=number, message=reason, context=ctx, state=1)
 
 
-def run_constrained_load(batch: DataFrame, existing: DataFrame, rules: Constraints, order_cols: list[str],
-                         target_path: str, log: ErrorLog, name_col: str = "patient_name",
-                         run_id: str = "load") -> dict:
-    """Label once (checkpointed), write accepted rows to ``target_path/run_id=<run_id>``, log the
-    rejects. A rerun of the same ``run_id`` overwrites its own folder, so a retried load never
-    inserts twice; its log rows carry the same ids (readers drop repeats by ``error_id``)."""
+def existing_rows(spark: SparkSession, target_path: str, schema: StructType, part: str, own: str) -> DataFrame:
+    """Rows that other runs (folders ``<part>=<run>``) have loaded. Only a missing folder is an empty
+    table; anything that cannot be read raises."""
+    if not path_exists(spark, target_path):
+        return spark.createDataFrame([], schema)
+    whole = StructType([f for f in schema.fields if f.name != part] + [StructField(part, StringType())])
+    return spark.read.schema(whole).parquet(target_path).filter(F.col(part) != F.lit(own)).select(*schema.fieldNames())
+
+
+def write_run(df: DataFrame, target_path: str, part: str, run: str, partition_col: str | None = None) -> None:
+    """Write a run's rows beside the target, then put them in place of what the run wrote before."""
+    written = f"{target_path}/_writing_{uuid.uuid4().hex}"
+    writer = df.write.partitionBy(partition_col) if partition_col else df.write
+    writer.parquet(written)
+    replace_folder(df.sparkSession, written, f"{target_path}/{part}={run}")
+
+
+def run_constrained_load(batch: DataFrame, rules: Constraints, order_cols: list[str], target_path: str,
+                         log: ErrorLog, name_col: str = "patient_name", run_id: str = "load", part: str = "run_id",
+                         partition_col: str | None = None) -> dict:
+    """Label the batch once against what other runs have loaded into ``target_path``, write the
+    accepted rows to ``<target_path>/<part>=<run_id>`` and log every rejected row. A rerun of the same
+    ``run_id`` gives the same target and the same number of log rows."""
+    existing = existing_rows(batch.sparkSession, target_path, batch.schema, part, run_id)
     labelled = cut_lineage(label_batch(batch, existing, rules, order_cols))
     res = split_labelled(labelled, batch.columns)
-    res.accepted.write.mode("overwrite").parquet(f"{target_path}/run_id={run_id}")
-    log.append(rejected_log_rows(res.rejected, name_col, run_id))
-    counts = labelled.agg(F.sum("copies").alias("rows"), F.sum("accepted_copies").alias("accepted")).first()
-    return {"rows": counts["rows"] or 0, "accepted": counts["accepted"] or 0,
-            "rejected": (counts["rows"] or 0) - (counts["accepted"] or 0)}
+    write_run(res.accepted, target_path, part, run_id, partition_col)
+    log.append(rejected_log_rows(res.rejected, name_col, run_id), run_id)
+    counts = labelled.agg(F.count(F.lit(1)).alias("rows"), F.count("reason").alias("rejected")).first()
+    return {"rows": counts["rows"], "accepted": counts["rows"] - counts["rejected"], "rejected": counts["rejected"]}
 
 
 def run_typed_load(staging: DataFrame, target_path: str, log: ErrorLog, conversions: dict[str, str] | None = None,
-                   name_col: str = "name", key_col: str | None = None, run_id: str = "load") -> dict:
-    """Convert once (checkpointed), write accepted rows to ``target_path/run_id=<run_id>`` (a
-    rerun overwrites the same folder), log the failed conversions."""
-    staged = cut_lineage(staging)
-    res = load_typed(staged, conversions, name_col=name_col, key_col=key_col, run_id=run_id)
-    res.accepted.write.mode("overwrite").parquet(f"{target_path}/run_id={run_id}")
-    log.append(res.rejected)
-    return {"rows": staged.count(), "accepted": res.accepted.count(), "rejected": res.rejected.count()}
+                   *, key_col: str, name_col: str = "name", run_id: str = "load", part: str = "run_id") -> dict:
+    """Convert once (checkpointed), write the accepted rows to ``<target_path>/<part>=<run_id>`` and log the
+    failed conversions; a rerun replaces both. The counts come from the written rows."""
+    spark = staging.sparkSession
+    res = load_typed(cut_lineage(staging), conversions, name_col=name_col, key_col=key_col, run_id=run_id)
+    write_run(res.accepted, target_path, part, run_id)
+    log.append(res.rejected, run_id)
+    accepted = spark.read.schema(res.accepted.schema).parquet(f"{target_path}/{part}={run_id}").count()
+    rejected = spark.read.parquet(f"{log.path}/log_run={run_id}").count()
+    return {"rows": accepted + rejected, "accepted": accepted, "rejected": rejected}

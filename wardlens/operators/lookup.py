@@ -8,6 +8,9 @@ the comparison is a pushed-down ``EqualTo`` on the stored values.
 
 from __future__ import annotations
 
+import datetime as dt
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,40 +19,48 @@ MISMATCH_MESSAGE = ("Implicit conversion detected on {column} — {value_type} p
                     "Fixed by aligning parameter type to {column_type}.")
 
 
+# Spark types by the family in which a comparison converts no stored value to another kind.
+_FAMILIES = {"tinyint": "number", "smallint": "number", "int": "number", "bigint": "number", "float": "number",
+             "double": "number", "decimal": "number", "string": "string", "varchar": "string", "char": "string",
+             "boolean": "boolean", "date": "date", "timestamp": "timestamp", "timestamp_ntz": "timestamp",
+             "binary": "binary"}
+
+
 def _spark_type_of(value) -> str:
-    if isinstance(value, bool):
-        return "boolean"
-    if isinstance(value, int):
-        return "bigint"
-    if isinstance(value, float):
-        return "double"
-    if isinstance(value, str):
-        return "string"
+    for kind, name in ((bool, "boolean"), (int, "bigint"), (float, "double"), (Decimal, "decimal"), (str, "string"),
+                       (dt.datetime, "timestamp"), (dt.date, "date"), (bytes, "binary")):
+        if isinstance(value, kind):
+            return name
     return type(value).__name__
 
 
+def _family(type_name: str) -> str:
+    return _FAMILIES.get(type_name.split("(")[0], type_name)
+
+
 def naive_lookup(df: DataFrame, column: str, value) -> DataFrame:
     """Equality with the value as given; kept only to show the mistyped case in tests."""
     return df.filter(F.col(column) == F.lit(value))
 
 
 def typed_lookup(df: DataFrame, column: str, value) -> DataFrame:
-    """Y2: ``column = CAST(value AS <column type>)``; a float value prints without exponent."""
+    """Y2: ``column = CAST(value AS <column type>)``; a number searched in a text column is written out
+    without exponent, with every digit of its shortest form."""
     dtype = df.schema[column].dataType
     lit = F.lit(value)
-    if dtype.simpleString() == "string" and isinstance(value, float):
-        lit = F.lit(repr(value) if abs(value) >= 1e-4 and abs(value) < 1e16 else format(value, "f"))
+    if dtype.simpleString() == "string" and isinstance(value, (float, Decimal)):
+        lit = F.lit(format(Decimal(repr(value)) if isinstance(value, float) else value, "f"))
     return df.filter(F.col(column) == lit.cast(dtype))
 
 
 def audit_lookup(spark: SparkSession, df: DataFrame, column: str, value, table: str = "table") -> DataFrame:
-    """One finding row when the parameter type differs from the column type, else none.
+    """One finding row when the parameter is of another type family than the column, else none.
 
     Reads only the schema (S15); the result feeds ``ErrorLog.finding``."""
     column_type = df.schema[column].dataType.simpleString()
     value_type = _spark_type_of(value)
     rows = []
-    if value_type != column_type:
+    if _family(value_type) != _family(column_type):
         rows.append((f"{table}.{column}", column_type, value_type,
                      MISMATCH_MESSAGE.format(column=f"{table}.{column}", value_type=value_type,
                                              column_type=column_type)))

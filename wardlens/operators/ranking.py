@@ -24,30 +24,27 @@ def rank_within(df: DataFrame, keys, metric: str, top: int | None = None, rank_c
 
 
 def share_within(df: DataFrame, keys, metric: str, out_col: str = "share_pct", scale: int = 2) -> DataFrame:
-    """metric * 100 / SUM(metric) OVER (PARTITION BY keys), exact half-up at ``scale``."""
-    w = Window.partitionBy(*_cols(keys))
-    return df.withColumn(out_col, pct(F.col(metric), F.sum(metric).over(w), scale))
-
-
-def total_of(metric: str) -> Column:
-    """SUM(metric) OVER (): the grand total, for input that is already aggregated.
-
-    The window moves only the group rows (one per group) to one task, and the total comes from
-    the same aggregation as the rows, so the source is scanned once. (A scalar subquery would be
-    planned once per use of the column and re-run the whole aggregation each time.)"""
-    return F.sum(metric).over(Window.partitionBy())
-
-
-def share_of_total(df: DataFrame, metric: str, out_col: str = "share_pct", scale: int = 2,
-                   many_groups: bool = False) -> DataFrame:
-    """metric * 100 / SUM(metric) OVER (), exact half-up at ``scale``; ``df`` is aggregated.
-
-    ``many_groups``: the groups may be too many for one task (say, a distribution over a
-    high-cardinality column). The total is then a one-row scalar subquery over ``df``, placed
-    once in the plan: a second pass over the aggregation instead of a single-task window."""
-    total = df.agg(F.sum(metric)).scalar() if many_groups else total_of(metric)
-    return df.withColumn("_total", total).withColumn(
-        out_col, pct(F.col(metric), F.col("_total"), scale)).drop("_total")
+    """metric * 100 / SUM(metric) per ``keys``, exact half-up at ``scale``; ``df`` is aggregated.
+
+    The totals are a second, small aggregate (partial sums per task) joined back null-safe on the
+    keys, so a key with very many groups is not gathered in one task."""
+    keys = _cols(keys)
+    totals = df.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(F.sum(metric).alias("_total"))
+    cond = None
+    for i, k in enumerate(keys):
+        c = df[k].eqNullSafe(totals[f"_k{i}"])
+        cond = c if cond is None else cond & c
+    return df.join(totals, cond).withColumn(out_col, pct(F.col(metric), F.col("_total"), scale)).drop(
+        "_total", *[f"_k{i}" for i in range(len(keys))])
+
+
+def share_of_total(df: DataFrame, metric: str, out_col: str = "share_pct", share=pct) -> DataFrame:
+    """metric * 100 / SUM(metric) over all rows, exact half-up at 2 dp; ``df`` is aggregated.
+
+    The total is a one-row scalar subquery over the same aggregation (whose exchange is reused), so
+    any number of groups stays spread over the tasks."""
+    return (df.withColumn("_total", df.agg(F.sum(metric)).scalar())
+              .withColumn(out_col, share(F.col(metric), F.col("_total"))).drop("_total"))
 
 
 def top_n(df: DataFrame, order: list[Column], n: int) -> DataFrame:

@@ -37,8 +37,15 @@ def money_avg(col: str) -> str:
     return f"(CASE WHEN count({col}) > 0 THEN CAST(sum({cents(col)}) AS DOUBLE) / CAST(count({col}) * 100 AS DOUBLE) END)"
 
 
-def micro_ratio(money: str, days: str) -> str:
-    return half_up(cents(money), f"CAST(({days}) AS HUGEINT) * 100", 6)
+# lcm(1..30), the lengths of stay of the stand-in: sums of money / days over it are whole numbers
+DAYS_LCM = 2329089562800
+
+
+def ratio_avg(money: str, days: str, scale: int) -> str:
+    """ROUND(AVG(money / days), scale) over rows with money and a stay, exact: every ratio over one denominator."""
+    counted = f"FILTER (WHERE ({days}) <> 0 AND {money} IS NOT NULL)"
+    return xround(f"sum({cents(money)} * ({DAYS_LCM} // nullif({days}, 0))) {counted}",
+                  f"count(*) {counted} * CAST({100 * DAYS_LCM} AS HUGEINT)", scale)
 
 
 def trunc_avg(total: str, n: str) -> str:
@@ -135,51 +142,54 @@ REPORTS = {
         f"SELECT CAST(year(admission_date) AS INTEGER) AS year, CAST(month(admission_date) AS INTEGER) AS month, "
         f"count(*) AS admissions, {money_avg_rounded('billing_amount')} AS avg_billing, "
         f"count(*) FILTER (WHERE test_results = 'Abnormal') AS abnormal_results FROM admissions_clean "
-        f"WHERE admission_date BETWEEN DATE '{REPORT_YEAR}-01-01' AND DATE '{REPORT_YEAR}-12-31' GROUP BY 1, 2"),
+        f"WHERE admission_date BETWEEN DATE '{REPORT_YEAR}-01-01' AND DATE '{REPORT_YEAR}-12-31' GROUP BY 1, 2 ORDER BY 1, 2"),
     "monthly_admissions": with_clean(
         "SELECT CAST(year(admission_date) AS INTEGER) AS year, CAST(month(admission_date) AS INTEGER) AS month, "
-        "count(*) AS admissions FROM admissions_clean GROUP BY 1, 2"),
+        "count(*) AS admissions FROM admissions_clean GROUP BY 1, 2 ORDER BY 1 NULLS LAST, 2 NULLS LAST"),
     "cases_by_gender": with_clean(
-        "SELECT gender, medical_condition, count(*) AS total_cases FROM admissions_clean GROUP BY 1, 2"),
+        "SELECT gender, medical_condition, count(*) AS total_cases FROM admissions_clean GROUP BY 1, 2 "
+        "ORDER BY 3 DESC, 1 NULLS LAST, 2 NULLS LAST"),
     "top_conditions_by_gender": with_clean(
         "SELECT gender, medical_condition, total_cases, condition_rank, pct_of_gender_admissions FROM ("
         "  SELECT *, rank() OVER (PARTITION BY gender ORDER BY total_cases DESC) AS condition_rank, "
         f"  {pct('total_cases', 'sum(total_cases) OVER (PARTITION BY gender)')} AS pct_of_gender_admissions "
         "  FROM (SELECT gender, medical_condition, count(*) AS total_cases FROM admissions_clean GROUP BY 1, 2)) "
-        "WHERE condition_rank <= 3"),
+        "WHERE condition_rank <= 3 ORDER BY gender NULLS LAST, condition_rank, medical_condition NULLS LAST"),
     "medication_by_condition": with_clean(
         "SELECT medical_condition, medication, count(*) AS prescription_count, "
         "count(*) FILTER (WHERE gender = 'Female') AS female_prescriptions, "
         f"{pct(FEMALE, 'count(*)')} AS female_percentage "
-        "FROM admissions_clean GROUP BY 1, 2"),
+        "FROM admissions_clean GROUP BY 1, 2 ORDER BY 1 NULLS LAST, 3 DESC, 2 NULLS LAST"),
     "hospital_condition_summary": with_clean(
         f"SELECT hospital, medical_condition, count(*) AS total_cases, "
         f"{money_avg_rounded('billing_amount')} AS avg_billing, "
         f"{xround(f'sum({STAY})', f'count({STAY})', 1)} AS avg_stay_days FROM admissions_clean "
-        f"WHERE hospital IS NOT NULL AND medical_condition IS NOT NULL GROUP BY 1, 2"),
+        f"WHERE hospital IS NOT NULL AND medical_condition IS NOT NULL GROUP BY 1, 2 ORDER BY 1, 3 DESC, 2"),
     "top_conditions_by_hospital": with_clean(
         "SELECT hospital, medical_condition, cases, condition_rank FROM ("
         "  SELECT *, rank() OVER (PARTITION BY hospital ORDER BY cases DESC) AS condition_rank FROM ("
         "    SELECT hospital, medical_condition, count(*) AS cases FROM admissions_clean "
-        "    WHERE hospital IS NOT NULL GROUP BY 1, 2)) WHERE condition_rank <= 3"),
+        "    WHERE hospital IS NOT NULL GROUP BY 1, 2)) WHERE condition_rank <= 3 "
+        "ORDER BY hospital, condition_rank, medical_condition NULLS LAST"),
     "cost_by_condition_hospital": with_clean(
         f"SELECT medical_condition, hospital, {money_avg_rounded('billing_amount')} AS avg_total_bill, "
-        f"{xround('sum(r)', 'count(r) * 1000000', 2)} AS avg_cost_per_day, "
-        f"count(*) FILTER (WHERE {STAY} = 0) AS zero_stay_anomalies "
-        f"FROM (SELECT *, {micro_ratio('billing_amount', STAY)} AS r FROM admissions_clean) GROUP BY 1, 2"),
+        f"{ratio_avg('billing_amount', STAY, 2)} AS avg_cost_per_day, "
+        f"count(*) FILTER (WHERE {STAY} = 0) AS zero_stay_anomalies FROM admissions_clean GROUP BY 1, 2 "
+        f"ORDER BY 4 DESC NULLS LAST, 1 NULLS LAST, 2 NULLS LAST"),
     "busiest_hospitals": with_clean(
         "SELECT hospital, count(*) AS cases FROM admissions_clean GROUP BY 1 "
         "ORDER BY cases DESC NULLS LAST, hospital ASC NULLS LAST LIMIT 5"),
     "condition_by_type": with_clean(
         "SELECT medical_condition, admission_type, count(*) AS frequency FROM admissions_clean "
-        f"WHERE hospital = '{REPORT_HOSPITAL}' GROUP BY 1, 2"),
+        f"WHERE hospital = '{REPORT_HOSPITAL}' GROUP BY 1, 2 ORDER BY 2 NULLS LAST, 3 DESC, 1 NULLS LAST"),
     "results_by_type": with_clean(
         f"SELECT admission_type, test_results, count(*) AS total, "
-        f"{pct('count(*)', 'sum(count(*)) OVER ()')} AS percentage_of_total FROM admissions_clean GROUP BY 1, 2"),
+        f"{pct('count(*)', 'sum(count(*)) OVER ()')} AS percentage_of_total FROM admissions_clean GROUP BY 1, 2 "
+        f"ORDER BY 2 NULLS LAST, 3 DESC, 1 NULLS LAST"),
     "cost_bands": with_clean(
         "SELECT admission_type, CASE WHEN billing_amount > 40000 THEN 'High Cost' "
         "WHEN billing_amount BETWEEN 20000 AND 40000 THEN 'Medium Cost' ELSE 'Low Cost' END AS cost_category, "
-        "count(*) AS cases FROM admissions_clean GROUP BY 1, 2"),
+        "count(*) AS cases FROM admissions_clean GROUP BY 1, 2 ORDER BY 1 NULLS LAST, 2"),
     "result_categories": with_clean(
         "SELECT CASE WHEN test_results = 'Abnormal' THEN 'Requires Attention' WHEN test_results = 'Normal' "
         "THEN 'Stable' ELSE 'Inconclusive' END AS result_category, count(*) AS total_cases "
@@ -193,9 +203,7 @@ REPORTS = {
         "FROM admissions_clean WHERE admission_type = 'Elective'"),
     "billing_vs_daily_cost": with_clean(
         f"SELECT 'Average Billing' AS metric, {money_avg('billing_amount')} AS value FROM admissions_clean "
-        f"UNION ALL SELECT 'Average Cost Per Day', "
-        f"CASE WHEN count(r) > 0 THEN CAST(sum(r) AS DOUBLE) / CAST(count(r) * 1000000 AS DOUBLE) END "
-        f"FROM (SELECT {micro_ratio('billing_amount', STAY)} AS r FROM admissions_clean)"),
+        f"UNION ALL SELECT 'Average Cost Per Day', {ratio_avg('billing_amount', STAY, 12)} FROM admissions_clean"),
     "hospital_count": with_clean("SELECT count(DISTINCT hospital) AS number_of_hospitals FROM admissions_clean"),
     "billing_summary": with_clean(
         f"SELECT medical_condition, {xround(f'sum({BILL_CENTS})', 'count(billing_amount) * 100', 6)} "
@@ -205,13 +213,16 @@ REPORTS = {
         f"SELECT hospital, medical_condition, admission_type, count(*) AS total_cases, "
         f"{xround(f'sum({BILL_CENTS})', 'count(billing_amount) * 100', 6)} AS avg_billing, "
         f"{trunc_avg(f'sum({STAY})', f'count({STAY})')} AS avg_stay_days FROM admissions_clean "
-        f"WHERE admission_type = '{REPORT_TYPE}' AND medical_condition = '{REPORT_CONDITION}' GROUP BY 1, 2, 3"),
+        f"WHERE admission_type = '{REPORT_TYPE}' AND medical_condition = '{REPORT_CONDITION}' GROUP BY 1, 2, 3 "
+        f"ORDER BY 4 DESC, 1 NULLS LAST, 2, 3"),
     "value_distribution": with_clean(
-        f"SELECT admission_type, count(*) AS row_count, {pct('count(*)', 'sum(count(*)) OVER ()')} AS pct_of_total "
-        f"FROM admissions_clean GROUP BY 1"),
+        f"SELECT admission_type, count(*) AS row_count, "
+        f"CAST(CAST({half_up('count(*) * 100', 'sum(count(*)) OVER ()', 2)} AS DECIMAL(7,0)) * 0.01 AS DECIMAL(5,2)) "
+        f"AS pct_of_total FROM admissions_clean GROUP BY 1"),
     "admissions_by_type": with_clean(
         "SELECT name AS patient_name, medical_condition, admission_type, billing_amount, admission_date "
-        f"FROM admissions_clean WHERE admission_type = '{REPORT_TYPE}'"),
+        f"FROM admissions_clean WHERE admission_type = '{REPORT_TYPE}' ORDER BY admission_date DESC NULLS LAST, "
+        "patient_name NULLS LAST, medical_condition NULLS LAST, billing_amount NULLS LAST"),
     "quietest_hospitals": with_clean(
         "SELECT hospital, count(*) AS cases FROM admissions_clean GROUP BY 1 "
         "ORDER BY cases ASC NULLS LAST, hospital ASC NULLS LAST LIMIT 5"),
@@ -225,7 +236,7 @@ REPORTS = {
     "row_count": with_clean("SELECT count(*) AS total_rows FROM admissions_clean"),
     "profile_clean": with_clean(" UNION ALL ".join(
         f"SELECT '{c}' AS column_name, '{t}' AS data_type, count({c}) AS non_null, "
-        f"count(*) FILTER (WHERE {c} IS NULL) AS null_count, count(DISTINCT {c}) AS distinct_values FROM admissions_clean"
+        f"count(*) FILTER (WHERE {c} IS NULL) AS null_count FROM admissions_clean"
         for c, t in (("gender", "string"), ("medical_condition", "string"), ("admission_date", "date"),
                      ("discharge_date", "date"), ("billing_amount", "decimal(18,2)"), ("admission_type", "string"),
                      ("medication", "string"), ("test_results", "string"), ("name", "string"),
@@ -272,6 +283,14 @@ CLEANING = {
     "null_check": with_clean("SELECT count(*) FILTER (WHERE hospital IS NULL) AS null_hospital, "
                              "count(*) FILTER (WHERE name IS NULL) AS null_name, count(*) AS total_rows "
                              "FROM admissions_clean"),
+    "raw_null_check": with_raw("SELECT count(*) FILTER (WHERE name IS NULL) AS null_name, "
+                               "count(*) FILTER (WHERE admission_date IS NULL) AS null_admission_date, "
+                               "count(*) AS total_rows FROM admissions"),
+    "billing_preview": with_staging(
+        f"SELECT billing_amount, {safe_number_sql('billing_amount', 'DOUBLE')} AS safe_billing FROM staging "
+        "ORDER BY staging_id LIMIT 5"),
+    "delete_abnormal": with_raw("SELECT count(*) AS total_rows FROM admissions WHERE NOT coalesce("
+                                "test_results IN ('Abnormal', 'Inconclusive'), false)"),
     "distinct_before_after": with_clean(
         "SELECT 'Raw hospital distinct count' AS metric, count(DISTINCT hospital) AS value FROM admissions "
         "UNION ALL SELECT 'Clean hospital distinct count', count(DISTINCT hospital) FROM admissions_clean"),
@@ -352,7 +371,7 @@ _LOAD_CTES = (f"WITH lines AS ({ADMISSION_LINES}), "
               f"batch AS (SELECT order_key, line_number, name AS patient_name, medical_condition, billing_amount, "
               f"admission_date, discharge_date FROM lines WHERE line_status = 'O'), "
               f"existing AS (SELECT DISTINCT name AS patient_name, admission_date FROM lines WHERE line_status = 'F'), "
-              f"d AS (SELECT {LOAD_BATCH_COLS}, count(*) AS copies FROM batch GROUP BY ALL), "
+              f"d AS (SELECT {LOAD_BATCH_COLS} FROM batch), "
               f"c AS (SELECT *, CASE WHEN patient_name IS NULL THEN 'NOT NULL violation: patient_name' "
               f"WHEN NOT coalesce(billing_amount BETWEEN 0 AND 100000, true) "
               f"THEN 'CHECK violation: billing_amount between 0 and 100000' END AS chk FROM d), "
@@ -362,6 +381,11 @@ _LOAD_CTES = (f"WITH lines AS ({ADMISSION_LINES}), "
               f"e AS (SELECT r.*, EXISTS (SELECT 1 FROM existing x WHERE x.patient_name IS NOT DISTINCT FROM r.patient_name "
               f"AND x.admission_date IS NOT DISTINCT FROM r.admission_date) AS ex FROM r) ")
 
+_REJECTED = (f"SELECT {LOAD_BATCH_COLS}, chk AS reason FROM c WHERE chk IS NOT NULL "
+             f"UNION ALL SELECT {LOAD_BATCH_COLS}, 'DUPLICATE — violates unique key (existing row)' FROM e WHERE ex "
+             f"UNION ALL SELECT {LOAD_BATCH_COLS}, 'DUPLICATE — violates unique key (earlier row in batch)' "
+             f"FROM e WHERE NOT ex AND rn > 1")
+
 LOADING = {
     "load_typed_accepted": with_staging(
         f"SELECT staging_id, name, medical_condition, {safe_number_sql('billing_amount')} AS billing_amount, "
@@ -383,17 +407,20 @@ LOADING = {
         f"WITH lines AS ({ADMISSION_LINES}), "
         f"batch AS (SELECT name AS patient_name, admission_date, billing_amount FROM lines WHERE line_status = 'O'), "
         f"existing AS (SELECT DISTINCT name AS patient_name, admission_date FROM lines WHERE line_status = 'F') "
-        f"SELECT patient_name, admission_date, 'DUPLICATE — violates unique key (existing row)' AS violation_type "
-        f"FROM batch b WHERE EXISTS (SELECT 1 FROM existing x WHERE x.patient_name IS NOT DISTINCT FROM b.patient_name "
-        f"AND x.admission_date IS NOT DISTINCT FROM b.admission_date) "
-        f"UNION ALL SELECT patient_name, admission_date, 'CHECK violation: billing_amount between 0 and 100000' "
+        f"SELECT patient_name, admission_date, 'DUPLICATE — violates UQ_patient_admission' AS violation_type "
+        f"FROM batch b WHERE EXISTS (SELECT 1 FROM existing x WHERE x.patient_name = b.patient_name "
+        f"AND x.admission_date = b.admission_date) "
+        f"UNION ALL SELECT patient_name, admission_date, 'BILLING OUT OF RANGE — violates CHK_billing_range' "
         f"FROM batch WHERE NOT coalesce(billing_amount BETWEEN 0 AND 100000, true)"),
     "load_constrained_accepted": _LOAD_CTES + f"SELECT {LOAD_BATCH_COLS} FROM e WHERE rn = 1 AND NOT ex",
-    "load_constrained_rejected": _LOAD_CTES + (
-        f"SELECT {LOAD_BATCH_COLS}, chk AS reason, copies FROM c WHERE chk IS NOT NULL "
-        f"UNION ALL SELECT {LOAD_BATCH_COLS}, 'DUPLICATE — violates unique key (existing row)', copies FROM e WHERE ex "
-        f"UNION ALL SELECT {LOAD_BATCH_COLS}, 'DUPLICATE — violates unique key (earlier row in batch)', "
-        f"CASE WHEN rn = 1 THEN copies - 1 ELSE copies END FROM e WHERE NOT ex AND (rn > 1 OR copies > 1)"),
+    "load_constrained_rejected": _LOAD_CTES + _REJECTED,
+    "load_constrained_log": _LOAD_CTES + (
+        f"SELECT CASE WHEN reason LIKE 'NOT NULL%' THEN 515 WHEN reason LIKE 'CHECK%' THEN 547 ELSE 2627 END AS error_number, "
+        f"reason AS error_message, count(*) AS log_rows, count(*) AS ids, "
+        f"count(DISTINCT coalesce(patient_name, 'NULL')) AS contexts FROM ({_REJECTED}) GROUP BY 1, 2"),
+    "strict_load_failures": _LOAD_CTES + (
+        f"SELECT 'conversion' AS load, count(*) AS failing_rows FROM ({STAGING}) WHERE NOT {_CONV_OK} "
+        f"UNION ALL SELECT 'constraints', count(*) FROM ({_REJECTED})"),
 }
 
 
@@ -408,6 +435,7 @@ FROM conversations c LEFT JOIN conversations p
   ON c.conv_id = p.conv_id AND p.turn = CASE WHEN c.turn > 0 THEN c.turn - 1 END"""
 
 GUARD_DEPTH = 5
+RUNAWAY_ROUNDS = 3
 
 
 def _chain(guard: int | None) -> str:
@@ -422,8 +450,12 @@ def _chain(guard: int | None) -> str:
 
 HIERARCHY = {
     "referral_chain": _chain(None) + ("SELECT conv_id, turn, patient_name, depth, from_department, to_department, "
-                                      "referral_path FROM chain"),
-    "referral_chain_guarded": _chain(GUARD_DEPTH) + "SELECT patient_name, depth, to_department FROM chain",
+                                      "referral_path FROM chain ORDER BY patient_name, depth, conv_id, turn"),
+    "referral_chain_guarded": _chain(GUARD_DEPTH) + ("SELECT patient_name, depth, to_department FROM chain "
+                                                     "ORDER BY patient_name, depth, to_department"),
+    "referral_runaway": _chain(RUNAWAY_ROUNDS + 2) + (
+        f"SELECT 530 AS error_number, {RUNAWAY_ROUNDS} AS max_recursion, count(*) AS unfinished FROM chain "
+        f"WHERE depth = {RUNAWAY_ROUNDS + 2} HAVING count(*) > 0"),
     "referral_roots": (f"WITH refs AS ({REFERRALS}) SELECT conv_id, turn, patient_name, from_department, to_department, "
                        f"parent_turn FROM refs WHERE parent_turn IS NULL"),
     "referral_parent_links": (f"WITH refs AS ({REFERRALS}) SELECT c.conv_id, c.turn, c.patient_name, c.from_department, "
@@ -437,5 +469,7 @@ HIERARCHY = {
 
 LOOKUP_VALUE = 12.31
 LOOKUP = {
+    "lookup_audit": with_staging("SELECT 'staging.billing_amount' AS column_name, 'string' AS column_type, "
+                                 "'double' AS value_type, count(*) AS converted_rows FROM staging"),
     "typed_lookup": with_staging(f"SELECT * FROM staging WHERE billing_amount = '{LOOKUP_VALUE!r}'"),
 }

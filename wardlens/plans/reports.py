@@ -12,11 +12,17 @@ from pyspark.sql import functions as F
 
 from wardlens.functions.dates import between_dates, stay_days
 from wardlens.functions.numeric import (
-    exact_round, exact_trunc, micro_avg, micro_avg_rounded, micro_ratio, money_avg, money_avg_rounded, pct,
+    RATIO_SCALE, cents, exact_round, exact_trunc, money_avg_rounded, pct, pct_decimal, ratio_avg, ratio_units,
+    safe_number,
 )
 from wardlens.operators.ranking import labelled_counts, rank_within, share_of_total, share_within, top_n
 
 
+def _by(*keys: str) -> list:
+    """Sort keys, nulls last; a leading minus is descending. Reports end their keys with a full tie-break."""
+    return [F.col(k[1:]).desc_nulls_last() if k.startswith("-") else F.col(k).asc_nulls_last() for k in keys]
+
+
 def _stay(start="admission_date", end="discharge_date"):
     return stay_days(start, end)
 
@@ -51,42 +57,48 @@ def monthly_report(df: DataFrame, year: int) -> DataFrame:
     return (f.groupBy(F.year("admission_date").alias("year"), F.month("admission_date").alias("month"))
              .agg(F.count(F.lit(1)).alias("admissions"),
                   money_avg_rounded("billing_amount").alias("avg_billing"),
-                  F.count_if(F.col("test_results") == "Abnormal").alias("abnormal_results")))
+                  F.count_if(F.col("test_results") == "Abnormal").alias("abnormal_results"))
+             .orderBy("year", "month"))
 
 
 def monthly_admissions(df: DataFrame) -> DataFrame:
     """Admissions per year and month over all time."""
     return (df.groupBy(F.year("admission_date").alias("year"), F.month("admission_date").alias("month"))
-              .agg(F.count(F.lit(1)).alias("admissions")))
+              .agg(F.count(F.lit(1)).alias("admissions"))
+              .orderBy(*_by("year", "month")))
 
 
 def admission_peaks(df: DataFrame) -> DataFrame:
-    """The busiest and the quietest month over all time (earliest month on ties).
-
-    One aggregation; both orders are row numbers over the monthly rows (a few hundred)."""
-    from pyspark.sql import Window
-    monthly = monthly_admissions(df)
-    down = F.row_number().over(Window.orderBy(F.col("admissions").desc(), "year", "month"))
-    up = F.row_number().over(Window.orderBy(F.col("admissions").asc(), "year", "month"))
-    ranked = monthly.withColumn("_down", down).withColumn("_up", up).filter((F.col("_down") == 1) | (F.col("_up") == 1))
-    labels = F.array_compact(F.array(F.when(F.col("_down") == 1, F.lit("Busiest month")),
-                                     F.when(F.col("_up") == 1, F.lit("Quietest month"))))
-    return ranked.select(F.explode(labels).alias("peak"), "year", "month", "admissions")
+    """The busiest and the quietest month over all time (earliest month on ties): two minima over the
+    monthly rows, with partial aggregation."""
+    monthly = (df.groupBy(F.year("admission_date").alias("year"), F.month("admission_date").alias("month"))
+                 .agg(F.count(F.lit(1)).alias("admissions")))
+    best = monthly.agg(F.min(F.struct((-F.col("admissions")).alias("k"), "year", "month", "admissions")).alias("b"),
+                       F.min(F.struct(F.col("admissions").alias("k"), "year", "month", "admissions")).alias("q"))
+    peaks = F.array(F.struct(F.lit("Busiest month").alias("peak"), F.col("b").alias("m")),
+                    F.struct(F.lit("Quietest month").alias("peak"), F.col("q").alias("m")))
+    return (best.filter(F.col("b").isNotNull()).select(F.explode(peaks).alias("p"))
+                .select("p.peak", "p.m.year", "p.m.month", "p.m.admissions"))
 
 
 def cases_by_gender(df: DataFrame) -> DataFrame:
     """Cases per gender and condition."""
+    return (_gender_counts(df).orderBy(*_by("-total_cases", "gender", "medical_condition")))
+
+
+def _gender_counts(df: DataFrame) -> DataFrame:
     return df.groupBy("gender", "medical_condition").agg(F.count(F.lit(1)).alias("total_cases"))
 
 
 def top_conditions_by_gender(df: DataFrame, top: int = 3) -> DataFrame:
     """Q4: top conditions per gender with their share of that gender's admissions.
 
-    The share is computed over all conditions before the rank filter."""
-    counts = cases_by_gender(df)
+    The share is of all the gender's cases: the totals come from the counts, not from the ranked rows."""
+    counts = _gender_counts(df)
     shared = share_within(counts, "gender", "total_cases", out_col="pct_of_gender_admissions")
     ranked = rank_within(shared, "gender", "total_cases", top=top, rank_col="condition_rank")
-    return ranked.select("gender", "medical_condition", "total_cases", "condition_rank", "pct_of_gender_admissions")
+    return ranked.select("gender", "medical_condition", "total_cases", "condition_rank",
+                         "pct_of_gender_admissions").orderBy(*_by("gender", "condition_rank", "medical_condition"))
 
 
 def medication_by_condition(df: DataFrame) -> DataFrame:
@@ -95,7 +107,8 @@ def medication_by_condition(df: DataFrame) -> DataFrame:
     n = F.count(F.lit(1))
     return (df.groupBy("medical_condition", "medication")
               .agg(n.alias("prescription_count"), female.alias("female_prescriptions"),
-                   pct(female, n).alias("female_percentage")))
+                   pct(female, n).alias("female_percentage"))
+              .orderBy(*_by("medical_condition", "-prescription_count", "medication")))
 
 
 def hospital_condition_summary(df: DataFrame, hospital: str = "hospital") -> DataFrame:
@@ -105,26 +118,38 @@ def hospital_condition_summary(df: DataFrame, hospital: str = "hospital") -> Dat
               .groupBy(hospital, "medical_condition")
               .agg(F.count(F.lit(1)).alias("total_cases"),
                    money_avg_rounded("billing_amount").alias("avg_billing"),
-                   exact_round(F.sum(s), F.count(s), 1).alias("avg_stay_days")))
+                   exact_round(F.sum(s), F.count(s), 1).alias("avg_stay_days"))
+              .orderBy(*_by(hospital, "-total_cases", "medical_condition")))
 
 
 def top_conditions_by_hospital(df: DataFrame, top: int = 3, hospital: str = "hospital") -> DataFrame:
     """Q7: top conditions per hospital (ties kept); NULL hospitals dropped."""
     counts = (df.filter(F.col(hospital).isNotNull())
                 .groupBy(hospital, "medical_condition").agg(F.count(F.lit(1)).alias("cases")))
-    return rank_within(counts, hospital, "cases", top=top, rank_col="condition_rank")
+    return rank_within(counts, hospital, "cases", top=top, rank_col="condition_rank").orderBy(
+        *_by(hospital, "condition_rank", "medical_condition"))
 
 
 def cost_by_condition_hospital(df: DataFrame, hospital: str = "hospital") -> DataFrame:
     """Q8: average bill, average cost per day (zero stays drop out) and zero-stay count.
 
     NULL hospitals are kept here, unlike Q6/Q7 (trap T14)."""
-    s = _stay()
-    ratio = micro_ratio("billing_amount", s)
-    return (df.groupBy("medical_condition", hospital)
-              .agg(money_avg_rounded("billing_amount").alias("avg_total_bill"),
-                   micro_avg_rounded(ratio).alias("avg_cost_per_day"),
-                   F.count_if(s == 0).alias("zero_stay_anomalies")))
+    parts = _per_stay(df, ["medical_condition", hospital])
+    return (parts.groupBy("medical_condition", hospital)
+                 .agg(exact_round(F.sum("_cents"), F.sum("_bills") * F.lit(100), 2).alias("avg_total_bill"),
+                      ratio_avg("_units", "_ratios", 2).alias("avg_cost_per_day"),
+                      F.coalesce(F.sum(F.when(F.col("_stay") == 0, F.col("_rows"))), F.lit(0)).alias("zero_stay_anomalies"))
+                 .orderBy(*_by("-avg_cost_per_day", "medical_condition", hospital)))
+
+
+def _per_stay(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Exact sums per key and length of stay: rows, bills, cents, and the sum of cents per day over the
+    rows (``_units``, of ``_ratios`` rows). An average of ratios is then rounded once, not per row."""
+    parts = df.groupBy(*keys, _stay().alias("_stay")).agg(
+        F.count(F.lit(1)).alias("_rows"), F.count("billing_amount").alias("_bills"),
+        F.sum(cents("billing_amount")).alias("_cents"))
+    return (parts.withColumn("_units", ratio_units("_cents", "_stay"))
+                 .withColumn("_ratios", F.when(F.col("_units").isNotNull(), F.col("_bills"))))
 
 
 def busiest_hospitals(df: DataFrame, n: int = 5, ascending: bool = False, hospital: str = "hospital") -> DataFrame:
@@ -137,13 +162,15 @@ def busiest_hospitals(df: DataFrame, n: int = 5, ascending: bool = False, hospit
 def condition_by_type(df: DataFrame, hospital_value: str, hospital: str = "hospital") -> DataFrame:
     """Q10: condition x admission type for one hospital (an equality filter pushed to the scan)."""
     return (df.filter(F.col(hospital) == F.lit(hospital_value))
-              .groupBy("medical_condition", "admission_type").agg(F.count(F.lit(1)).alias("frequency")))
+              .groupBy("medical_condition", "admission_type").agg(F.count(F.lit(1)).alias("frequency"))
+              .orderBy(*_by("admission_type", "-frequency", "medical_condition")))
 
 
 def results_by_type(df: DataFrame) -> DataFrame:
     """Q11: test results by admission type with the share of all rows."""
     counts = df.groupBy("admission_type", "test_results").agg(F.count(F.lit(1)).alias("total"))
-    return share_of_total(counts, "total", "percentage_of_total")
+    return share_of_total(counts, "total", "percentage_of_total").orderBy(
+        *_by("test_results", "-total", "admission_type"))
 
 
 def cost_band(col="billing_amount", lo: float = 20000, hi: float = 40000):
@@ -156,7 +183,8 @@ def cost_band(col="billing_amount", lo: float = 20000, hi: float = 40000):
 def cost_bands(df: DataFrame, lo: float = 20000, hi: float = 40000) -> DataFrame:
     """Q12: cases per admission type and cost band."""
     return (df.groupBy("admission_type", cost_band("billing_amount", lo, hi).alias("cost_category"))
-              .agg(F.count(F.lit(1)).alias("cases")))
+              .agg(F.count(F.lit(1)).alias("cases"))
+              .orderBy(*_by("admission_type", "cost_category")))
 
 
 def result_category(col="test_results"):
@@ -183,11 +211,12 @@ def emergency_vs_elective(df: DataFrame) -> DataFrame:
 
 
 def billing_vs_daily_cost(df: DataFrame) -> DataFrame:
-    """Q16: average bill and average cost per day (unrounded), one scan, two rows."""
-    ratio = micro_ratio("billing_amount", _stay())
-    return labelled_counts(df, {"Average Billing": None, "Average Cost Per Day": None}, "metric", "value",
-                           value_exprs={"Average Billing": money_avg("billing_amount"),
-                                        "Average Cost Per Day": micro_avg(ratio)})
+    """Q16: average bill and average cost per day, one scan, two rows. Both are exact sums divided once;
+    the cost per day is given to 12 decimals (a double holds no more of it)."""
+    bill = F.when(F.sum("_bills") > 0, F.sum("_cents").cast("double") / (F.sum("_bills") * F.lit(100)).cast("double"))
+    return labelled_counts(_per_stay(df, []), {"Average Billing": None, "Average Cost Per Day": None}, "metric", "value",
+                           value_exprs={"Average Billing": bill,
+                                        "Average Cost Per Day": ratio_avg("_units", "_ratios", RATIO_SCALE)})
 
 
 def hospital_count(df: DataFrame, hospital: str = "hospital", approx: bool = False) -> DataFrame:
@@ -196,15 +225,16 @@ def hospital_count(df: DataFrame, hospital: str = "hospital", approx: bool = Fal
     return df.agg(fn(hospital).alias("number_of_hospitals"))
 
 
-def billing_preview(df: DataFrame, n: int = 5, col: str = "billing_amount") -> DataFrame:
-    """Q18: a few rows with the safe conversion next to the raw value; which rows is undefined."""
-    return df.select(F.col(col), F.col(col).try_cast("double").alias("safe_billing")).limit(n)
+def billing_preview(df: DataFrame, n: int = 5, col: str = "billing_amount", order: list[str] | None = None) -> DataFrame:
+    """Q18: a few rows of a text column with the safe conversion next to the raw value. Which rows is
+    undefined, unless ``order`` says so."""
+    rows = df.orderBy(*order).limit(n) if order else df.limit(n)
+    return rows.select(F.col(col), safe_number(col, "double").alias("safe_billing"))
 
 
 def billing_summary(df: DataFrame) -> DataFrame:
     """Q19: per condition, AVG(bill) and SUM(bill) / COUNT(*) (rows with no bill count in the
     second denominator only), both at 6 decimals."""
-    from wardlens.functions.numeric import cents
     s = F.sum(cents("billing_amount"))
     return (df.groupBy("medical_condition")
               .agg(exact_round(s, F.count("billing_amount") * F.lit(100), 6).alias("avg_billing"),
@@ -214,21 +244,20 @@ def billing_summary(df: DataFrame) -> DataFrame:
 def filtered_summary(df: DataFrame, admission_type: str = "Emergency", condition: str = "Cancer",
                      hospital: str = "hospital") -> DataFrame:
     """Q20: the regulatory report: one type and condition, per hospital; average stay truncated."""
-    from wardlens.functions.numeric import cents
     s = _stay()
     return (df.filter((F.col("admission_type") == admission_type) & (F.col("medical_condition") == condition))
               .groupBy(hospital, "medical_condition", "admission_type")
               .agg(F.count(F.lit(1)).alias("total_cases"),
                    exact_round(F.sum(cents("billing_amount")), F.count("billing_amount") * F.lit(100), 6)
                    .alias("avg_billing"),
-                   exact_trunc(F.sum(s), F.count(s)).alias("avg_stay_days")))
+                   exact_trunc(F.sum(s), F.count(s)).alias("avg_stay_days"))
+              .orderBy(*_by("-total_cases", hospital, "medical_condition", "admission_type")))
 
 
-def value_distribution(df: DataFrame, column: str, many_values: bool = False) -> DataFrame:
-    """Q21: rows per value of a column with its share of all rows (2 dp). Set ``many_values``
-    for a high-cardinality column (see ``share_of_total``)."""
+def value_distribution(df: DataFrame, column: str) -> DataFrame:
+    """Q21: rows per value of a column with its share of all rows, decimal(5,2)."""
     counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("row_count"))
-    return share_of_total(counts, "row_count", "pct_of_total", many_groups=many_values)
+    return share_of_total(counts, "row_count", "pct_of_total", share=pct_decimal)
 
 
 def admissions_by_type(df: DataFrame, admission_type: str) -> DataFrame:

@@ -24,17 +24,16 @@ SCALE_CONF = {
 }
 
 
-def scale_conf(input_bytes: int, partition_bytes: int = 256 * 1024 * 1024, max_partitions: int = 200_000) -> dict:
-    """Shuffle sizing for a given input: enough initial partitions that each holds about
-    ``partition_bytes`` (so a task's shuffle block fits in executor memory without heavy spill),
-    and AQE coalesces the small ones at run time. For 100 TB this gives ~400,000, capped at
-    ``max_partitions`` (about 200 per core on a 1000-executor cluster of 1000 cores)."""
-    n = max(8, min(max_partitions, -(-int(input_bytes) // partition_bytes)))
+def scale_conf(input_bytes: int, partition_bytes: int = 512 * 1024 * 1024) -> dict:
+    """Shuffle sizing for a given input: enough initial partitions that each holds at most
+    ``partition_bytes`` (so a task's shuffle block fits in executor memory without heavy spill);
+    AQE coalesces the small ones at run time. 100 TB gives about 190,000 partitions."""
+    n = max(8, -(-int(input_bytes) // partition_bytes))
     return {
         "spark.sql.shuffle.partitions": str(n),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes // 2),
-        "spark.sql.files.maxPartitionBytes": str(min(partition_bytes, 512 * 1024 * 1024)),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes // 4),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes // 2),
     }
 
 
@@ -96,3 +95,31 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint (written to the shared folder, survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def _file_system(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists in the store that Spark reads (any other failure raises)."""
+    fs, target = _file_system(spark, path)
+    return fs.exists(target)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder of this library."""
+    fs, target = _file_system(spark, path)
+    fs.delete(target, True)
+
+
+def replace_folder(spark: SparkSession, written: str, final: str) -> None:
+    """Put a folder that was written whole in the place of ``final`` (which may exist)."""
+    fs, source = _file_system(spark, written)
+    target = spark._jvm.org.apache.hadoop.fs.Path(final)
+    fs.mkdirs(target.getParent())
+    if fs.exists(target):
+        fs.delete(target, True)
+    if not fs.rename(source, target):
+        raise OSError(f"cannot move {written} to {final}")

@@ -13,29 +13,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardlens.sources.tables import ensure_parallelism, read_table
+from wardlens.sources.tables import read_table
 
 
-def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """lineitem joined to its order, customer and part (one row per line, no fan-out).
+# Columns of an admission by the table they come from; the rest come from the line itself.
+_FROM = {"customer": {"name"}, "part": {"medical_condition", "medication", "hospital"},
+         "orders": {"name", "admission_date", "discharge_date", "admission_type"}}
+
+
+def _lines(spark: SparkSession, sf_dir: str, wanted: set[str]) -> DataFrame:
+    """lineitem joined to those of order, customer and part that the wanted columns need (one row per
+    line, no fan-out: each is found by its key, and every line has one).
 
     At scale every side here is large (customer and part grow with the data too), so the joins
     are left to AQE: it broadcasts a side only when its runtime size is under
     ``spark.sql.autoBroadcastJoinThreshold`` and otherwise keeps a shuffle join, splitting
     skewed partitions.
     """
-    li = ensure_parallelism(read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice",
-        "l_returnflag", "l_linestatus"), keys=["l_orderkey"])
-    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
-    c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name")
-    p = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type")
-    return (li.join(o, li.l_orderkey == o.o_orderkey)
-              .join(c, o.o_custkey == c.c_custkey)
-              .join(p, li.l_partkey == p.p_partkey))
-
-
-def _admission_columns() -> list:
+    out = read_table(spark, sf_dir, "lineitem")
+    if wanted & _FROM["orders"]:
+        o = read_table(spark, sf_dir, "orders")
+        out = out.join(o, out.l_orderkey == o.o_orderkey)
+    if wanted & _FROM["customer"]:
+        c = read_table(spark, sf_dir, "customer")
+        out = out.join(c, out.o_custkey == c.c_custkey)
+    if wanted & _FROM["part"]:
+        p = read_table(spark, sf_dir, "part")
+        out = out.join(p, out.l_partkey == p.p_partkey)
+    return out
+
+
+def _admission_columns(wanted: set[str]) -> list:
     pk = F.col("l_partkey")
     adm = F.to_date("o_orderdate")
     hospital = (F.when(pk % 11 == 0, F.lit(None).cast("string"))
@@ -44,7 +52,7 @@ def _admission_columns() -> list:
                  .when(pk % 4 == 2, F.concat(F.lit("Group "), "p_name"))
                  .otherwise(F.concat("p_name", F.lit(","))))
     ck = F.col("c_custkey") % 3
-    return [
+    columns = [
         F.when(ck == 0, F.upper("c_name")).when(ck == 1, F.lower("c_name")).otherwise(F.col("c_name")).alias("name"),
         F.when(F.col("l_linestatus") == "O", "Male").otherwise("Female").alias("gender"),
         F.when(pk % 13 == 0, F.lit(None).cast("string")).otherwise(F.col("p_type")).alias("medical_condition"),
@@ -60,15 +68,18 @@ def _admission_columns() -> list:
          .when(F.col("l_returnflag") == "N", "Normal").otherwise("Inconclusive").alias("test_results"),
         hospital.alias("hospital"),
     ]
+    return [c for name, c in zip(ADMISSION_COLUMNS, columns, strict=True) if name in wanted]
 
 
 ADMISSION_COLUMNS = ("name", "gender", "medical_condition", "admission_date", "discharge_date",
                      "billing_amount", "admission_type", "medication", "test_results", "hospital")
 
 
-def admissions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw admissions: messy name casing, decorated hospital names, some NULLs."""
-    return _lines(spark, sf_dir).select(*_admission_columns())
+def admissions(spark: SparkSession, sf_dir: str, columns: tuple[str, ...] = ADMISSION_COLUMNS) -> DataFrame:
+    """Raw admissions: messy name casing, decorated hospital names, some NULLs. Tables that none of the
+    ``columns`` needs are not read."""
+    wanted = set(columns)
+    return _lines(spark, sf_dir, wanted).select(*_admission_columns(wanted))
 
 
 def admission_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,9 +88,10 @@ def admission_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``line_status`` splits the data into what is already loaded ('F', finished lines) and the
     incoming batch ('O', open lines); (order_key, line_number) gives an arrival order.
     """
-    return _lines(spark, sf_dir).select(
+    wanted = set(ADMISSION_COLUMNS)
+    return _lines(spark, sf_dir, wanted).select(
         F.col("l_orderkey").alias("order_key"), F.col("l_linenumber").alias("line_number"),
-        F.col("l_linestatus").alias("line_status"), *_admission_columns())
+        F.col("l_linestatus").alias("line_status"), *_admission_columns(wanted))
 
 
 def billing_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,8 +99,7 @@ def billing_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Every tenth amount carries a currency sign, which a strict numeric conversion rejects.
     """
-    ev = ensure_parallelism(read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type",
-                                                                        "value"), keys=["event_id"])
+    ev = read_table(spark, sf_dir, "events")
     c = F.round(F.col("value") * 100).cast("bigint")
     amount = F.format_string("%d.%02d", F.call_function("div", c, F.lit(100)), c % 100)
     day = F.to_date("ts")

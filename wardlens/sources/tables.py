@@ -16,24 +16,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def ensure_parallelism(df: DataFrame, min_partitions: int | None = None, keys: list[str] | None = None) -> DataFrame:
-    """Spread a scan over at least ``min_partitions`` tasks (default: the cluster's parallelism).
-
-    A large table stored as one parquet row group is read by a single task, and everything
-    pipelined after the scan (broadcast joins, projections, partial aggregation) then runs in
-    that one task. Only then is a hash repartition added (on ``keys``, else on all columns):
-    deterministic on a retry without the local sort a round-robin repartition needs. A table of
-    many files or row groups (any table at scale) is returned unchanged, without a shuffle."""
-    try:
-        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= want:
-            return df
-    except Exception:  # no RDD view (e.g. a Spark Connect session): leave the plan as it is
-        return df
-    cols = [F.col(k) for k in keys] if keys else [F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])]
-    return df.repartition(want, *cols)
-
-
 def register_tables(spark: SparkSession, sf_dir: str, names=DRIVER_TABLES) -> None:
     """Expose the driver tables as temp views for SQL."""
     for n in names:
@@ -81,34 +63,18 @@ def describe_columns(df: DataFrame) -> list[tuple[str, str]]:
     return [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
 
 
-def profile(df: DataFrame, approx: bool = True) -> DataFrame:
-    """Per column: type, non-null count, null count, distinct count.
-
-    ``approx`` (default): one aggregate over the table with HyperLogLog++ distinct counts.
-    Exact: every row is unpivoted into (column position, value as text) pairs and counted per
-    pair once (partial aggregation, so a hot value is combined map-side), then per column. This
-    avoids Spark's multi-distinct rewrite, which expands every row once per distinct column with
-    all columns in the grouping key."""
+def profile(df: DataFrame, distinct: bool = True) -> DataFrame:
+    """Per column: type, non-null count, null count and (``distinct``) the HyperLogLog++ distinct
+    count. One aggregate over the table: partial counts per task, no row is shuffled."""
     fields = df.schema.fields
-    if approx:
-        aggs = []
-        for i, f in enumerate(fields):
-            c = F.col(f"`{f.name}`")
-            aggs += [F.count(c).alias(f"nn_{i}"), F.count_if(c.isNull()).alias(f"nc_{i}"),
-                     F.approx_count_distinct(c).alias(f"dc_{i}")]
-        wide = df.agg(*aggs)
-        parts = [f"'{f.name}', '{f.dataType.simpleString()}', nn_{i}, nc_{i}, dc_{i}" for i, f in enumerate(fields)]
-        expr = (f"stack({len(parts)}, {', '.join(parts)}) "
-                "as (column_name, data_type, non_null, null_count, distinct_values)")
-        return wide.select(F.expr(expr))
-    pairs = df.select(F.posexplode(F.array(*[F.col(f"`{f.name}`").cast("string") for f in fields]))
-                      .alias("pos", "value"))
-    per_value = pairs.groupBy("pos", "value").agg(F.count(F.lit(1)).alias("n"))
-    per_column = per_value.groupBy("pos").agg(
-        F.sum(F.when(F.col("value").isNotNull(), F.col("n")).otherwise(0)).alias("non_null"),
-        F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("null_count"),
-        F.count("value").alias("distinct_values"))
-    meta = df.sparkSession.createDataFrame(
-        [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(fields)], "pos int, column_name string, data_type string")
-    # meta has one row per column: a fixed, tiny side that AQE broadcasts
-    return meta.join(per_column, "pos").select("column_name", "data_type", "non_null", "null_count", "distinct_values")
+    names = ["non_null", "null_count"] + (["distinct_values"] if distinct else [])
+    aggs = []
+    for i, f in enumerate(fields):
+        c = F.col(f"`{f.name}`")
+        aggs += [F.count(c).alias(f"non_null_{i}"), F.count_if(c.isNull()).alias(f"null_count_{i}")]
+        if distinct:
+            aggs.append(F.approx_count_distinct(c).alias(f"distinct_values_{i}"))
+    wide = df.agg(*aggs)
+    parts = [", ".join([f"'{f.name}'", f"'{f.dataType.simpleString()}'", *(f"{n}_{i}" for n in names)])
+             for i, f in enumerate(fields)]
+    return wide.select(F.expr(f"stack({len(parts)}, {', '.join(parts)}) as (column_name, data_type, {', '.join(names)})"))

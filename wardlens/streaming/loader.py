@@ -2,51 +2,18 @@
 reference, run continuously): each micro-batch goes through the same set-based rules as a batch
 load (``load_constrained`` / ``load_typed``) inside ``foreachBatch``.
 
-Exactly-once in practice: every epoch writes its accepted rows to its own ``epoch=<id>``
-folder with overwrite, and its log rows carry ids derived from the epoch, so a replayed epoch
-(after a driver restart) rewrites the same output instead of appending it twice. The source
+Exactly-once in practice: every epoch owns one folder of the target and one of the log, so a
+replayed epoch (after a driver restart) replaces its output instead of appending it twice. The source
 offsets live in ``checkpoint_location`` (shared storage).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
 
 from wardlens.operators.errorlog import ErrorLog
-from wardlens.operators.load import Constraints, label_batch, load_typed, rejected_log_rows, split_labelled
-from wardlens.session import cut_lineage
-
-
-def _existing(spark: SparkSession, target_path: str, schema: StructType, epoch_id: int) -> DataFrame:
-    try:
-        df = spark.read.parquet(target_path)
-    except Exception:  # nothing loaded yet
-        return spark.createDataFrame([], schema)
-    return df.filter(F.col("epoch") != epoch_id) if "epoch" in df.columns else df
-
-
-def existing_for_batch(existing: DataFrame, batch: DataFrame, partition_col: str | None,
-                       max_values: int = 1000) -> DataFrame:
-    """The existing rows that can collide with ``batch``.
-
-    With the target partitioned by ``partition_col`` (part of the unique key), only the partitions
-    whose value occurs in the batch need reading. At most ``max_values + 1`` distinct values are
-    fetched (a bounded read, never the batch): up to ``max_values`` they become a static partition
-    filter, so the scan lists and reads only those folders; beyond that a left-semi join keeps the
-    read correct without pruning. The NULL partition is always added, since UNIQUE treats NULL
-    keys as equal."""
-    if not partition_col or partition_col not in existing.columns:
-        return existing
-    values = batch.select(partition_col).distinct()
-    few = [r[0] for r in values.limit(max_values + 1).collect()]
-    if len(few) <= max_values:
-        present = [v for v in few if v is not None]
-        return existing.filter(F.col(partition_col).isin(present) | F.col(partition_col).isNull())
-    hit = existing.join(values, partition_col, "left_semi")
-    return hit.unionByName(existing.filter(F.col(partition_col).isNull()))
+from wardlens.operators.load import Constraints, run_constrained_load, run_typed_load
 
 
 def stream_constrained_load(spark: SparkSession, source: DataFrame, target_path: str, log_path: str,
@@ -55,22 +22,14 @@ def stream_constrained_load(spark: SparkSession, source: DataFrame, target_path:
                             trigger_once: bool = True, partition_col: str | None = None) -> StreamingQuery:
     """Run ``load_constrained`` on every micro-batch of the streaming ``source``.
 
-    Rows already in the target (earlier epochs) count as existing for the UNIQUE rule. Give
+    Rows already in the target (other epochs) count as existing for the UNIQUE rule. Give
     ``partition_col`` (a column of the unique key, such as the admission date) to lay the target
-    out by it, so that each micro-batch reads only the partitions it can collide with."""
+    out by it: the semi-join on the batch's keys then prunes partitions at run time."""
     log = ErrorLog(spark, log_path)
-    schema = source.schema
 
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
-        existing = existing_for_batch(_existing(batch.sparkSession, target_path, schema, epoch_id), batch,
-                                      partition_col).select(*schema.fieldNames())
-        labelled = cut_lineage(label_batch(batch, existing, rules, order_cols))
-        res = split_labelled(labelled, batch.columns)
-        writer = res.accepted.write.mode("overwrite")
-        if partition_col:
-            writer = writer.partitionBy(partition_col)
-        writer.parquet(f"{target_path}/epoch={epoch_id}")
-        log.append(rejected_log_rows(res.rejected, name_col, f"{query_name}-{epoch_id}"))
+        run_constrained_load(batch, rules, order_cols, target_path, log, name_col, f"{query_name}-{epoch_id}",
+                             part="epoch", partition_col=partition_col)
 
     writer = source.writeStream.queryName(query_name).option("checkpointLocation", checkpoint_location)
     writer = writer.trigger(availableNow=True) if trigger_once else writer
@@ -78,17 +37,14 @@ def stream_constrained_load(spark: SparkSession, source: DataFrame, target_path:
 
 
 def stream_typed_load(spark: SparkSession, source: DataFrame, target_path: str, log_path: str,
-                      checkpoint_location: str, conversions: dict[str, str] | None = None, name_col: str = "name",
-                      key_col: str | None = None, query_name: str = "typed_load",
-                      trigger_once: bool = True) -> StreamingQuery:
+                      checkpoint_location: str, conversions: dict[str, str] | None = None, *, key_col: str,
+                      name_col: str = "name", query_name: str = "typed_load", trigger_once: bool = True) -> StreamingQuery:
     """Run ``load_typed`` (row-routed conversion) on every micro-batch of ``source``."""
     log = ErrorLog(spark, log_path)
 
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
-        res = load_typed(cut_lineage(batch), conversions, name_col=name_col, key_col=key_col,
-                         run_id=f"{query_name}-{epoch_id}")
-        res.accepted.write.mode("overwrite").parquet(f"{target_path}/epoch={epoch_id}")
-        log.append(res.rejected)
+        run_typed_load(batch, target_path, log, conversions, key_col=key_col, name_col=name_col,
+                       run_id=f"{query_name}-{epoch_id}", part="epoch")
 
     writer = source.writeStream.queryName(query_name).option("checkpointLocation", checkpoint_location)
     writer = writer.trigger(availableNow=True) if trigger_once else writer
