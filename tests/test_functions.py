@@ -56,8 +56,10 @@ def test_title_case_matches_python(spark):
     assert got == [s.title() for s in samples] + [None]
 
 
-def test_initcap_is_space_delimited(spark):
-    assert one_col(spark, ["o'neil-SMITH jr"]).select(text.initcap_name("v")).first()[0] == "O'neil-smith Jr"
+def test_initcap_breaks_on_blanks_and_punctuation(spark):
+    assert one_col(spark, ["a.b_c-d/e (f) [g] x+y", None, ""]).select(text.initcap_name("v")).collect()[0][0] == (
+        "A.B_C-D/E (F) [G] X+Y")
+    assert one_col(spark, ["o'neil-SMITH jr"]).select(text.initcap_name("v")).first()[0] == "O'neil-Smith Jr"
 
 
 def test_first_token_rule(spark):

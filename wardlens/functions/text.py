@@ -27,22 +27,30 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def initcap_name(col) -> Column:
-    """INITCAP: first letter of each space-separated word upper, the rest lower."""
-    return F.initcap(_c(col))
-
+# Fixed value: the characters after which the warehouse's INITCAP starts a new word.
+INITCAP_BREAKS = r"""\s\[\](){}/|\\<>!?@"^#$&~_,.:;*%+\-"""
 
-def title_case(col) -> Column:
-    """Python ``str.title``: upper-case a letter that follows a non-letter, lower-case the rest.
 
-    The text is cut into alternating letter / non-letter runs; each letter run becomes
-    Upper + lower. "o'neil-SMITH" -> "O'Neil-Smith" (Spark's initcap gives "O'neil-smith").
-    """
-    runs = F.regexp_extract_all(_c(col), F.lit(r"(\p{L}+|[^\p{L}]+)"), 1)
+def _cased_runs(col, run: str) -> Column:
+    """The text cut into alternating runs of ``run`` characters and others, each run Upper + lower (a run of
+    breaks has no case)."""
+    runs = F.regexp_extract_all(_c(col), F.lit(rf"([{run}]+|[^{run}]+)"), 1)
     cased = F.transform(runs, lambda r: F.concat(F.upper(F.substring(r, 1, 1)), F.lower(F.substring(r, 2, 1 << 30))))
     return F.when(_c(col).isNotNull(), F.array_join(cased, ""))
 
 
+def initcap_name(col) -> Column:
+    """The warehouse's INITCAP: a word starts after white space or punctuation ("o'neil-SMITH" -> "O'neil-Smith";
+    Spark's initcap, which knows blanks only, gives "O'neil-smith")."""
+    return _cased_runs(col, INITCAP_BREAKS)
+
+
+def title_case(col) -> Column:
+    """Python ``str.title``: upper-case a letter that follows a non-letter, lower-case the rest
+    ("o'neil-SMITH" -> "O'Neil-Smith")."""
+    return _cased_runs(col, r"\p{L}")
+
+
 def letters_only(col, pattern: str = "[^A-Za-z]+") -> Column:
     """REGEXP_REPLACE(col, '[^A-Za-z]+', ' ')."""
     return F.regexp_replace(_c(col), pattern, " ")

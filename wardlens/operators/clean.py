@@ -29,7 +29,7 @@ def unparsed_dates(df: DataFrame, columns=("admission_date", "discharge_date"),
 
 
 def clean_names(df: DataFrame, col: str = "name", style: str = "initcap") -> DataFrame:
-    """Name casing; ``initcap`` (space-delimited words) or ``title`` (Python str.title)."""
+    """Name casing; ``initcap`` (words between blanks and punctuation) or ``title`` (Python str.title)."""
     fn = {"initcap": initcap_name, "title": title_case}[style]
     return df.withColumn(col, fn(col))
 

@@ -95,9 +95,14 @@ def first_token_sql(col: str) -> str:
             f"lambda t: t NOT IN ({_FIRST_STOP}))[1]")
 
 
+# Fixed value: word breaks of the warehouse's INITCAP.
+_BREAKS = r"""\s\[\](){}/|\\<>!?@"^#$&~_,.:;*%+\-"""
+
+
 def initcap_sql(col: str) -> str:
-    return (f"array_to_string(list_transform(string_split(lower({col}), ' '), "
-            f"lambda w: upper(left(w, 1)) || substr(w, 2)), ' ')")
+    return (f"CASE WHEN {col} IS NOT NULL THEN array_to_string(list_transform("
+            f"regexp_extract_all(lower({col}), '([^{_BREAKS}]+|[{_BREAKS}]+)', 1), "
+            f"lambda w: upper(left(w, 1)) || substr(w, 2)), '') END")
 
 
 def anchor_tokens_sql(col: str, min_len: int = 3) -> str:
@@ -467,6 +472,18 @@ HIERARCHY = {
 # ---------------------------------------------------------------------------------------------
 # typed lookup (Y2): a text column searched with a numeric parameter
 
+SINKS = {
+    "csv_round_trip": with_staging("SELECT CAST(staging_id AS VARCHAR) AS staging_id, * EXCLUDE (staging_id) FROM staging"),
+    "materialised_distribution": REPORTS["value_distribution"],
+    "append_mapped": with_raw("SELECT label, count(*) AS rows, sum(amount) AS amount FROM (SELECT gender AS label, "
+                              "billing_amount AS amount FROM admissions UNION ALL SELECT test_results, billing_amount "
+                              "FROM admissions) GROUP BY 1"),
+    "error_log_search": _LOAD_CTES + (
+        f"SELECT CASE WHEN reason LIKE 'NOT NULL%' THEN 515 WHEN reason LIKE 'CHECK%' THEN 547 ELSE 2627 END AS error_number, "
+        f"reason AS error_message, 'Scenario 5 — constraint violation: ' || coalesce(patient_name, 'NULL') AS process_context "
+        f"FROM ({_REJECTED})"),
+}
+
 LOOKUP_VALUE = 12.31
 LOOKUP = {
     "lookup_audit": with_staging("SELECT 'staging.billing_amount' AS column_name, 'string' AS column_type, "

@@ -3,6 +3,7 @@ over the driver tables, with its oracle SQL (DuckDB) where SQL can state the sem
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,10 +17,13 @@ from wardlens.operators import hierarchy as H
 from wardlens.operators import load as L
 from wardlens.operators import lookup as Y
 from wardlens.operators.clean import clean_warehouse
+from wardlens.operators.errorlog import ErrorLog
 from wardlens.plans import oracle
 from wardlens.plans import reports as R
+from wardlens.session import scratch_path
 from wardlens.sources import standin
 from wardlens.sources import tables as T
+from wardlens.sources.delimited import read_delimited, write_delimited
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -249,6 +253,50 @@ def _lookup_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
         "column_name", "column_type", "value_type", "converted_rows")
 
 
+# Sinks: what is written to the shared scratch folder and read back equals what was written.
+def _csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3 then S1: the staging batch as a ';' file."""
+    staging = standin.billing_staging(spark, sf_dir).withColumn("staging_id", F.col("staging_id").cast("string"))
+    path = scratch_path(spark, f"csv-{uuid.uuid4().hex}")
+    write_delimited(staging, path)
+    return read_delimited(spark, path, staging.schema).drop("_corrupt_record")
+
+
+def _materialised_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S5 then Q21: the clean table written by admission type, its distribution read from the written table."""
+    clean = clean_admissions(spark, sf_dir)
+    table = T.materialise(clean, scratch_path(spark, f"clean-{uuid.uuid4().hex}"), ["admission_type"])
+    return R.value_distribution(table, "admission_type")
+
+
+def _append_mapped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two renamed projections of the admissions appended to one table."""
+    raw = standin.admissions(spark, sf_dir, ("gender", "billing_amount", "test_results"))
+    path = scratch_path(spark, f"append-{uuid.uuid4().hex}")
+    for source in ("gender", "test_results"):
+        T.append_to(raw, path, {source: "label", "billing_amount": "amount"})
+    return spark.read.schema("label string, amount decimal(18,2)").parquet(path).groupBy("label").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("amount").alias("amount"))
+
+
+def _log_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The load's rejections logged by two tries of one run, a finding beside them, then searched."""
+    log = ErrorLog(spark, scratch_path(spark, f"log-{uuid.uuid4().hex}"))
+    rows = L.rejected_log_rows(_load(spark, sf_dir).rejected, "patient_name", "load")
+    for _ in range(2):
+        log.append(rows, "load")
+    log.finding("Stand-in batch checked", "Scenario 6 — investigation")
+    return log.search("Scenario 5%", ["error_number", "error_message", "process_context"])
+
+
+SINK_QUERIES: dict[str, Query] = {
+    "csv_round_trip": _csv_round_trip,
+    "materialised_distribution": _materialised_distribution,
+    "append_mapped": _append_mapped,
+    "error_log_search": _log_search,
+}
+
+
 LOOKUP_QUERIES: dict[str, Query] = {
     "lookup_audit": _lookup_audit,
     "typed_lookup": lambda spark, d: Y.typed_lookup(standin.billing_staging(spark, d), "billing_amount",
@@ -258,13 +306,15 @@ LOOKUP_QUERIES: dict[str, Query] = {
 
 def all_queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
-    for group in (REPORT_QUERIES, CLEANING_QUERIES, ENTITY_QUERIES, LOADING_QUERIES, HIERARCHY_QUERIES, LOOKUP_QUERIES):
+    for group in (REPORT_QUERIES, CLEANING_QUERIES, ENTITY_QUERIES, LOADING_QUERIES, HIERARCHY_QUERIES, SINK_QUERIES,
+                  LOOKUP_QUERIES):
         out.update(group)
     return out
 
 
 def all_oracles() -> dict[str, str]:
     out: dict[str, str] = {}
-    for group in (oracle.REPORTS, oracle.CLEANING, oracle.ENTITY, oracle.LOADING, oracle.HIERARCHY, oracle.LOOKUP):
+    for group in (oracle.REPORTS, oracle.CLEANING, oracle.ENTITY, oracle.LOADING, oracle.HIERARCHY, oracle.SINKS,
+                  oracle.LOOKUP):
         out.update(group)
     return out
