@@ -25,6 +25,11 @@ def test_what_is_no_article_goes():
     assert article(page) == ["T", "a", "b"]
 
 
+def test_a_wrapper_with_such_a_class_does_not_empty_the_page(make):
+    page = "<body><div class='layout has-sidebar'><article><p>a</p></article></div></body>"
+    assert h.page_rows(make([(1, "http://x/", page)], PAGES)).first().text == "a"
+
+
 def test_broken_pages():
     assert article("") == [] and article("plain & simple") == ["plain & simple"]
     assert article("<p>a<p>b</div></span><p class='x>c") == ["a", "b", "c"] or article("<p>a<p>b</div></span>") == ["a", "b"]

@@ -76,17 +76,19 @@ def host_of(url: Column) -> Column:
     return F.lower(F.regexp_replace(F.regexp_replace(authority, r"^.*@", ""), r":\d*$", ""))
 
 
-def _no_article(tag: str, attrs: str, in_main: bool) -> bool:
+def _no_article(tag: str, attrs: str, in_main: bool, by_class: bool) -> bool:
     if tag in NO_ARTICLE or (tag == "header" and not in_main):
         return True
-    if not attrs or tag in ("html", "body"):
+    if not by_class or not attrs or tag in ("html", "body"):
         return False
     return any(w in NO_ARTICLE_WORDS for m in NAMES.finditer(attrs) for w in WORD.findall(m[1].lower()))
 
 
-def parse(page: str, templates: frozenset[int] = frozenset()) -> tuple[list[str], list[str], set[int]]:
+def parse(page: str, templates: frozenset[int] = frozenset(), by_class: bool = True,
+          ) -> tuple[list[str], list[str], set[int]]:
     """Blocks of the marked article, blocks of the whole page, and hashes of the subtrees that could be
-    template, after deleting the subtrees in ``templates``."""
+    template, after deleting the subtrees in ``templates`` (``by_class``: and elements whose class, id or
+    role says that they are no article)."""
     from xxhash import xxh3_64_intdigest
 
     blocks: list[tuple[bool, str]] = []
@@ -172,7 +174,7 @@ def parse(page: str, templates: frozenset[int] = frozenset()) -> tuple[list[str]
             if not up.skip:
                 inline.append(" ")
             continue
-        stack.append(Open(tag, attrs, up.skip or _no_article(tag, attrs, up.main),
+        stack.append(Open(tag, attrs, up.skip or _no_article(tag, attrs, up.main, by_class),
                           up.main or tag in MAIN, len(blocks), len(inline)))
         if attrs.rstrip().endswith("/") and tag not in BLOCK:
             close()
@@ -241,6 +243,8 @@ def main_text(pages: DataFrame, *, min_pages: int = 5, min_share: float = 0.005)
                         known.clear()
                     known[host] = frozenset(lists[k].as_py() or ())
                 article, whole, _ = parse(page or "", known[host])
+                if not whole and page:  # a wrapper of the whole page can bear such a class
+                    article, whole, _ = parse(page, known[host], by_class=False)
                 texts.append("\n\n".join(article or whole))
             columns = [c for i, c in enumerate(batch.columns) if i != list_at]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.string())], names=schema.names)
