@@ -8,7 +8,7 @@ labelled documents, their calibrated log odds are combined by a third logistic f
 scored by the combination.
 
 Features of all whole texts are computed by Spark in one pass and stored; the driver sees at most
-``max_labelled`` labelled and ``max_pool`` unlabelled feature rows (documented bounds; those with the smallest
+``max_labelled`` labelled and ``max_pool`` unlabelled feature rows (documented bounds; those with a small
 hash of their id, so the choice does not depend on partitions). Scoring is a DataFrame expression over the stored
 features. The cut is the held-out quantile that keeps ``keep`` of the good documents, 0.5 at most.
 
@@ -21,12 +21,13 @@ score; an empty table gives an empty result; extra columns are ignored by ``qual
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import hash_sample, stored
 
 BUCKETS = 16  # hashed values of a metadata column
 
@@ -195,19 +196,22 @@ def fit(features: DataFrame, labels: DataFrame, label_col: str = "quality", *, m
 
     votes = (labels.filter(F.col(label_col).isNotNull() & F.col("doc_id").isNotNull())
              .groupBy(F.col("doc_id").alias("id")).agg((F.avg(label_col) >= 0.5).cast("int").alias("y")))
-    joined = (features.filter("id is not null").join(votes, "id", "left")
-              .select("y", "text_view", "meta_view", F.xxhash64("id").alias("h"), "id"))
+    joined = features.filter("id is not null").join(votes, "id", "left")
+    n = joined.agg(F.count("y").alias("labelled"), F.count(F.lit(1)).alias("all")).first()
+    if not n["labelled"]:
+        return None
+    view = ["id", "y", "text_view", "meta_view"]
+    labelled = hash_sample(joined.filter("y is not null"), n["labelled"], max_labelled, "id").select(*view)
+    pool = hash_sample(joined.filter("y is null"), n["all"] - n["labelled"], max_pool, "id").select(*view)
+
+    def fixed(rows: list) -> list:  # an order of their own, whatever the partitions
+        return sorted(rows, key=lambda r: (zlib.crc32(str(r["id"]).encode()), r["id"], r["text_view"], r["meta_view"]))
 
-    def sample(part: DataFrame, n: int) -> list:
-        return part.orderBy("h", "id", "text_view", "meta_view").limit(n).collect()
+    labelled, pool = fixed(labelled.collect()), fixed(pool.collect())
 
     def matrix(rows: list, view: str, width: int):
         return np.array([r[view] for r in rows], float).reshape(len(rows), width)
 
-    labelled = sample(joined.filter("y is not null"), max_labelled)
-    if not labelled:
-        return None
-    pool = sample(joined.filter("y is null"), max_pool)
     widths = [(v, len(labelled[0][v])) for v in ("text_view", "meta_view")]
     return co_train([matrix(labelled, *v) for v in widths], np.array([r["y"] for r in labelled], float),
                     [matrix(pool, *v) for v in widths], rounds, per_round, keep)
