@@ -7,7 +7,8 @@ encoded once, and a word's encoding is read back by following last tokens from i
 
 The walk visits the words in sorted order and keeps one stack of nodes (the trie is never stored whole),
 so memory is bounded by the distinct words of one Arrow batch plus a cache of a documented size
-(``CACHE_ENTRIES`` white-space chunks per Python worker; thinned when full, results do not depend on it).
+(``CACHE_ENTRIES`` white-space chunks per Python worker; thinned when full and emptied at the end of a task,
+results do not depend on it). Decoding gathers the tokens' bytes of a whole batch of ids at once.
 Texts are not shuffled; each row depends on itself alone.
 
 Normalising and splitting into words is what the tokenizer file says (its own normalizer and
@@ -27,7 +28,7 @@ from unicodedata import is_normalized
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CACHE_ENTRIES = 800_000
+CACHE_ENTRIES = 600_000
 _END = 1 << 60
 
 
@@ -68,9 +69,8 @@ class TrieBpe:
         self.final = {t[:-cut] for t in ok if t.endswith(self.end)} if cut else set()
         # every beginning of such a token, and whether it is itself one of the first kind
         self.known = {t[:k]: t[:k] in plain for t in (*plain, *self.final) for k in range(1, len(t) + 1)}
-        # by white-space chunk: ids as bytes; tokens, each followed by a blank
-        self.ids_of: dict[str, bytes] = {}
-        self.decoded_of: dict[str, str] = {}
+        self.ids_of: dict[str, bytes] = {}  # by white-space chunk, little-endian 32-bit
+        self.table: tuple | None = None
 
     # merges
 
@@ -203,11 +203,10 @@ class TrieBpe:
             return
         split = [(c, self._words(c)) for c in new]
         of = self.encode_words(w for _, ws in split for w in ws)
-        packed, ids_of, decoded_of = self.packed, self.ids_of, self.decoded_of
+        packed, ids_of = self.packed, self.ids_of
         for c, ws in split:
             tokens = of[ws[0]] if len(ws) == 1 else [t for w in ws for t in of[w]]
             ids_of[c] = b"".join([packed[t] for t in tokens])
-            decoded_of[c] = " ".join(tokens) + " " if tokens else ""
 
     def pieces(self, text: str) -> list[str]:
         """White-space chunks (some empty) and special tokens of a text, in order. Neither the file's normal form nor
@@ -219,21 +218,44 @@ class TrieBpe:
             out += [part] if k % 2 else part.replace("\n", " ").split(" ")
         return out
 
-    def encode_batch(self, texts: list[str]) -> tuple[list[bytes], list[str]]:
-        """Per text: its ids (little-endian 32-bit) and the decoded text."""
-        if len(self.ids_of) > CACHE_ENTRIES:  # long chunks are the rare ones
-            for c in [c for c in self.ids_of if len(c) > 7]:
-                del self.ids_of[c], self.decoded_of[c]
-            if len(self.ids_of) > CACHE_ENTRIES // 2:
-                self.ids_of.clear()
-                self.decoded_of.clear()
-        self.ids_of[""], self.decoded_of[""] = b"", ""
+    def thin(self) -> None:
+        """Forget the long chunks, which are the rare ones (all, if that is not enough)."""
+        for c in [c for c in self.ids_of if len(c) > 7]:
+            del self.ids_of[c]
+        if len(self.ids_of) > CACHE_ENTRIES // 2:
+            self.ids_of.clear()
+
+    def encode_batch(self, texts: list[str]) -> list[bytes]:
+        """Per text: its ids (little-endian 32-bit)."""
+        if len(self.ids_of) > CACHE_ENTRIES:
+            self.thin()
+        self.ids_of[""] = b""
         for s, i in self.special.items():
-            self.ids_of[s], self.decoded_of[s] = i.to_bytes(4, "little"), s + " "
+            self.ids_of[s] = i.to_bytes(4, "little")
         split = [self.pieces(t) for t in texts]
         self.learn(set().union(*split))
-        ids = [b"".join(map(self.ids_of.__getitem__, pieces)) for pieces in split]
-        return ids, ["".join(map(self.decoded_of.__getitem__, pieces))[:-1] for pieces in split]
+        return [b"".join(map(self.ids_of.__getitem__, pieces)) for pieces in split]
+
+    def decode_batch(self, ids, ends) -> list[str]:
+        """The decoded texts of a batch: ``ids`` one after the other (int32), ``ends`` their offsets. The tokens
+        are joined by a blank, as the file names no decoder."""
+        import numpy as np
+
+        if self.table is None:
+            whole = self.vocab | self.special
+            tokens = [b""] * (max(whole.values()) + 1)
+            for t, i in whole.items():
+                tokens[i] = t.encode() + b" "
+            sizes = np.array([len(t) for t in tokens], np.int64)
+            self.table = (np.frombuffer(b"".join(tokens), np.uint8), np.cumsum(sizes) - sizes, sizes)
+        data, starts, sizes = self.table
+        size = sizes[ids]
+        place = np.cumsum(size) - size
+        at = np.repeat((starts[ids] - place).astype(np.int32), size)
+        at += np.arange(len(at), dtype=np.int32)
+        text = data[at].tobytes()
+        cuts = np.r_[place, len(text)][ends]
+        return [text[a:max(a, b - 1)].decode() for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
 
 
 _LOADED: dict[str, TrieBpe] = {}
@@ -257,16 +279,15 @@ def bpe(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "tex
 
         tok = loaded(path)
         for batch in batches:
-            for start in range(0, batch.num_rows, 1000):
-                part = batch.slice(start, 1000)
-                ids, decoded = tok.encode_batch([t or "" for t in part.column(1).to_pylist()])
-                ends = np.cumsum([0, *(len(b) // 4 for b in ids)], dtype=np.int64)
-                if ends[-1] >= 1 << 31:
-                    raise ValueError("a batch of texts has over 2^31 tokens: lower maxRecordsPerBatch")
-                flat = pa.array(np.frombuffer(b"".join(ids), dtype="<i4"))
+            for start in range(0, batch.num_rows, 500):
+                part = batch.slice(start, 500)
+                packed = tok.encode_batch([t or "" for t in part.column(1).to_pylist()])
+                ends = np.cumsum([0, *(len(b) // 4 for b in packed)], dtype=np.int64)
+                flat = np.frombuffer(b"".join(packed), "<i4")
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), flat),
-                     pa.array(decoded, pa.string())], names=["id", "ids", "decoded"])
+                    [part.column(0), pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat)),
+                     pa.array(tok.decode_batch(flat, ends), pa.string())], names=["id", "ids", "decoded"])
+        tok.ids_of.clear()  # the worker may next run something else
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     return (rows.mapInArrow(run, f"id {id_type}, ids array<int>, decoded string")
