@@ -29,7 +29,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 CACHE_ENTRIES = 600_000
+PAIR_BITS = 20
 _END = 1 << 60
+# A full stop or comma beside another mark: they are one word.
+_JOINED = re.compile(r"[.,](?:(?=[^\w \n])|(?=_)|(?<=[^\w \n][.,])|(?<=_[.,]))")
 
 
 class TrieBpe:
@@ -60,15 +63,21 @@ class TrieBpe:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.special_at = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
         self.spines: dict[tuple[str, bool], list[tuple[int, str]]] = {}
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.pairs: dict[int, bool] = {}
         self.whole: dict[str, bool] = {}
-        self.packed = {t: i.to_bytes(4, "little") for t, i in self.vocab.items()}
+        self.names = [""] * (max((self.vocab | self.special).values()) + 1)
+        for t, i in (self.vocab | self.special).items():
+            self.names[i] = t
+        if len(self.names) > 1 << PAIR_BITS:
+            raise ValueError("more tokens than a pair's bits hold")
+        self.packed = [i.to_bytes(4, "little") for i in range(len(self.names))]
         # tokens that encode to themselves: inside a word, and (without the suffix) at its end
         ok = [t for t in self.vocab if self.token_ok(t)]
         plain = {t for t in ok if not cut or not t.endswith(self.end)}
-        self.final = {t[:-cut] for t in ok if t.endswith(self.end)} if cut else set()
-        # every beginning of such a token, and whether it is itself one of the first kind
-        self.known = {t[:k]: t[:k] in plain for t in (*plain, *self.final) for k in range(1, len(t) + 1)}
+        self.final = {t[:-cut]: self.vocab[t] for t in ok if t.endswith(self.end)} if cut else {}
+        # every beginning of such a token: its id if it is itself one of the first kind, else -1
+        self.known = {t[:k]: self.vocab[t[:k]] if t[:k] in plain else -1
+                      for t in (*plain, *self.final) for k in range(1, len(t) + 1)}
         self.ids_of: dict[str, bytes] = {}  # by white-space chunk, little-endian 32-bit
         self.table: tuple | None = None
 
@@ -106,12 +115,11 @@ class TrieBpe:
                     return True
                 j += 1
 
-    def pair_ok(self, a: str, b: str) -> bool:
-        got = self.pairs.get((a, b))
-        if got is None:
-            if len(self.pairs) > CACHE_ENTRIES:
-                self.pairs.clear()
-            got = self.pairs[a, b] = self._apart(a, b)
+    def pair_ok(self, pair: int) -> bool:
+        """Whether two tokens stay apart; a pair is the first id times 2^PAIR_BITS plus the second."""
+        if len(self.pairs) > CACHE_ENTRIES:
+            self.pairs.clear()
+        got = self.pairs[pair] = self._apart(self.names[pair >> PAIR_BITS], self.names[pair & (1 << PAIR_BITS) - 1])
         return got
 
     def token_ok(self, t: str) -> bool:
@@ -128,58 +136,53 @@ class TrieBpe:
 
     # the trie
 
-    def encode_words(self, words: Iterable[str]) -> dict[str, list[str]]:
-        """The tokens of each distinct word."""
-        out: dict[str, list[str]] = {}
-        known, final, end = self.known, self.final, self.end
-        pairs, pair_ok = self.pairs, self.pair_ok
-        # by depth: the last token, and the starts from which a longer token can still come
-        last, open_at, before, cut = [""], [[]], "", 1 if end else 0
+    def encode_words(self, words: Iterable[str]) -> dict[str, list[int]]:
+        """The ids of each distinct word."""
+        out: dict[str, list[int]] = {}
+        known, final, pairs, pair_ok = self.known.get, self.final.get, self.pairs.get, self.pair_ok
+        # by depth: id of the last token, where it starts, and the starts from which a longer token can come
+        last, start, open_at, before, cut = [0], [0], [[0]], "", 1 if self.end else 0
         for word in sorted(set(words)):
             n = len(word) - cut  # nodes that other words may share
             shared, most = 0, min(n, len(before))
             while shared < most and word[shared] == before[shared]:
                 shared += 1
-            del last[shared + 1:], open_at[shared + 1:]
+            del last[shared + 1:], start[shared + 1:], open_at[shared + 1:]
             for d in range(shared + 1, n + 1):
-                starts, found = [], None
-                for j in (*open_at[-1], d - 1):
-                    t = word[j:d]
-                    good = known.get(t)
-                    if good is None:
+                starts, found, at = [], -1, 0
+                for j in open_at[-1]:
+                    t = known(word[j:d])
+                    if t is None:
                         continue
                     starts.append(j)
-                    if good and found is None:
-                        if not j:
-                            found = t
-                        else:
-                            ok = pairs.get((last[j], t))
-                            if ok or ok is None and pair_ok(last[j], t):
-                                found = t
-                if found is None:
+                    if found < 0 <= t:
+                        if j:
+                            ok = pairs(last[j] << PAIR_BITS | t)
+                            if not ok and (ok is not None or not pair_ok(last[j] << PAIR_BITS | t)):
+                                continue
+                        found, at = t, j
+                if found < 0:
                     raise ValueError(f"no token for a character of {word[:80]!r}")
+                starts.append(d)
                 last.append(found)
+                start.append(at)
                 open_at.append(starts)
+            ids, at = [], n
             if cut:
-                for j in (*open_at[-1], n):
-                    if word[j:] in final:
-                        t = word[j:] + end
-                        if not j:
-                            break
-                        ok = pairs.get((last[j], t))
-                        if ok or ok is None and pair_ok(last[j], t):
-                            break
+                for j in open_at[-1]:
+                    t = final(word[j:])
+                    if t is not None and (not j or (
+                            pairs(last[j] << PAIR_BITS | t) or pair_ok(last[j] << PAIR_BITS | t))):
+                        break
                 else:
                     raise ValueError(f"no token for a character of {word[:80]!r}")
-                tokens, at = [t], j
-            else:
-                tokens, at = [], n
+                ids, at = [t], j
             before = word[:n]
             while at:
-                tokens.append(last[at])
-                at -= len(last[at])
-            tokens.reverse()
-            out[word] = tokens
+                ids.append(last[at])
+                at = start[at]
+            ids.reverse()
+            out[word] = ids
         return out
 
     # texts
@@ -205,13 +208,17 @@ class TrieBpe:
         of = self.encode_words(w for _, ws in split for w in ws)
         packed, ids_of = self.packed, self.ids_of
         for c, ws in split:
-            tokens = of[ws[0]] if len(ws) == 1 else [t for w in ws for t in of[w]]
-            ids_of[c] = b"".join([packed[t] for t in tokens])
+            ids = of[ws[0]] if len(ws) == 1 else [i for w in ws for i in of[w]]
+            ids_of[c] = b"".join([packed[i] for i in ids])
 
     def pieces(self, text: str) -> list[str]:
         """White-space chunks (some empty) and special tokens of a text, in order. Neither the file's normal form nor
-        its word pattern reaches over a blank or a line feed."""
+        its word pattern reaches over a blank or a line feed. Where nothing in the text depends on its
+        surroundings, it is lower-cased and its full stops and commas are cut off at once, which leaves
+        fewer distinct chunks."""
         if "<|" not in text or not any(s in text for s in self.special):
+            if not _JOINED.search(text) and not ("Σ" in text or "İ" in text) and is_normalized("NFC", text):
+                text = text.lower().replace(",", " , ").replace(".", " . ")
             return text.replace("\n", " ").split(" ")
         out: list[str] = []
         for k, part in enumerate(self.special_at.split(text)):
@@ -242,10 +249,7 @@ class TrieBpe:
         import numpy as np
 
         if self.table is None:
-            whole = self.vocab | self.special
-            tokens = [b""] * (max(whole.values()) + 1)
-            for t, i in whole.items():
-                tokens[i] = t.encode() + b" "
+            tokens = [t.encode() + b" " for t in self.names]
             sizes = np.array([len(t) for t in tokens], np.int64)
             self.table = (np.frombuffer(b"".join(tokens), np.uint8), np.cumsum(sizes) - sizes, sizes)
         data, starts, sizes = self.table
