@@ -108,6 +108,16 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
+def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
+    """A small file in the store that Spark reads."""
+    fs, target = _file_system(spark, path)
+    out = fs.create(target, True)
+    try:
+        out.write(bytearray(data))
+    finally:
+        out.close()
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     """Delete a scratch folder of this library."""
     fs, target = _file_system(spark, path)
