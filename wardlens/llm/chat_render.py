@@ -27,6 +27,8 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import map_arrow
+
 Turn = tuple[str, str]
 Template = Callable[[list[Turn]], str]
 
@@ -144,7 +146,7 @@ def format_conversations(turns: DataFrame, template: Template = marked_turns, tr
         if done:
             yield emit(done)
 
-    return (rows.mapInArrow(run, f"id {id_type}, formatted string, spans {span_type}, rewrites array<int>")
+    return (map_arrow(rows, run, f"id {id_type}, formatted string, spans {span_type}, rewrites array<int>")
             .withColumnRenamed("id", "conv_id"))
 
 

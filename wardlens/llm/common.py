@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import hashlib
+import io
 import uuid
+import zipfile
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import delete_folder, scratch_path
+from ..session import delete_folder, scratch_path, write_bytes
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +26,37 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+_SHIPPED: set[tuple[str, str]] = set()  # (application, digest) whose executors have this package
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Give the executors this package (as --py-files does), through the shared folder: their Python may not
+    have it on its path."""
+    root = Path(__file__).resolve().parents[2]
+    files = sorted((root / "wardlens").rglob("*.py"))
+    if not files:  # run from a zip that the executors already have
+        return
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as z:
+        for f in files:
+            z.writestr(zipfile.ZipInfo(str(f.relative_to(root))), f.read_bytes())
+    data = out.getvalue()
+    sc = spark.sparkContext
+    digest = hashlib.sha256(data).hexdigest()[:16]
+    if (sc.applicationId, digest) in _SHIPPED:
+        return
+    path = scratch_path(spark, f"code/wardlens-{digest}-{uuid.uuid4().hex}.zip")
+    write_bytes(spark, path, data)
+    sc.addPyFile(path)
+    _SHIPPED.add((sc.applicationId, digest))
+
+
+def map_arrow(df: DataFrame, run: Callable, schema) -> DataFrame:
+    """``mapInArrow`` with a function of this package."""
+    ship_code(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def hash_sample(df: DataFrame, total: int, n: int, *cols: str) -> DataFrame:
     """About nine tenths of ``n`` rows of a table of ``total`` rows, never more than ``n``: those whose hash of
     ``cols`` is small, whatever the partitions. All rows if they are no more than ``n``. Each task hands

@@ -34,7 +34,7 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import map_arrow, stored
 from .graph import components
 
 SHINGLE = 5
@@ -185,8 +185,8 @@ def signature_table(rows: DataFrame, weighting: str) -> DataFrame:
                      pa.array([low[i].tobytes() for i in range(part.num_rows)], pa.binary())],
                     names=["id", "fp", "bands", "sig"])
 
-    return (rows.select("id", F.unhex(F.md5("text")).alias("fp"), hashed_words(F.col("text")).alias("w"))
-            .mapInArrow(run, "id bigint, fp binary, bands array<bigint>, sig binary"))
+    hashed = rows.select("id", F.unhex(F.md5("text")).alias("fp"), hashed_words(F.col("text")).alias("w"))
+    return map_arrow(hashed, run, "id bigint, fp binary, bands array<bigint>, sig binary")
 
 
 def shingle_sets(rows: DataFrame) -> DataFrame:
@@ -208,8 +208,8 @@ def shingle_sets(rows: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), _lists(h[first], ends, pa.int64())], names=["node", "set"])
 
-    return (rows.select("node", hashed_words(F.col("text")).alias("w"))
-            .mapInArrow(run, "node bigint, set array<bigint>"))
+    hashed = rows.select("node", hashed_words(F.col("text")).alias("w"))
+    return map_arrow(hashed, run, "node bigint, set array<bigint>")
 
 
 def _agreeing(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
@@ -231,7 +231,7 @@ def _agreeing(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame
                 [batch.column(0).filter(keep), batch.column(1).filter(keep), pa.array(same, pa.int32()).filter(keep)],
                 names=["a", "b", "agree"])
 
-    return joined.mapInArrow(run, "a bigint, b bigint, agree int")
+    return map_arrow(joined, run, "a bigint, b bigint, agree int")
 
 
 def _checked(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:

@@ -29,7 +29,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import map_arrow, stored
 
 WORD = re.compile(r"\w+")
 SEED = 4
@@ -171,9 +171,8 @@ def seed_hits(docs: DataFrame, index: SeedIndex, slack: float, id_col: str, text
                      pa.array(out[3], pa.list_(pa.list_(pa.int32())))],
                     names=["id", "item", "seeds", "starts", "stretches"])
 
-    return (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-            .mapInArrow(run, f"id {id_type}, item int, seeds array<bigint>, starts array<bigint>, "
-                             "stretches array<array<int>>"))
+    return map_arrow(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), run,
+                     f"id {id_type}, item int, seeds array<bigint>, starts array<bigint>, stretches array<array<int>>")
 
 
 def _block(docs: DataFrame, items: list, id_col: str, text_col: str, threshold: float, min_seeds: int,
@@ -224,8 +223,8 @@ def _block(docs: DataFrame, items: list, id_col: str, text_col: str, threshold:
                  pa.array(out[1], pa.float64()), pa.array(out[2], pa.int64()), pa.array(out[3], pa.int64())],
                 names=["id", "item_id", "score", "first_word", "end_word"])
 
-    return found.mapInArrow(
-        run, f"id {id_type}, item_id bigint, score double, first_word bigint, end_word bigint").withColumnRenamed(
+    return map_arrow(
+        found, run, f"id {id_type}, item_id bigint, score double, first_word bigint, end_word bigint").withColumnRenamed(
         "id", id_col)
 
 

@@ -29,7 +29,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import map_arrow, stored
 
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
                  r"|<(?P<end2>/?)(?P<tag2>[a-zA-Z][^\s/>]*)(?P<attrs2>[^>]*)>|<[!?][^>]*>", re.S)
@@ -210,7 +210,7 @@ def site_templates(pages: DataFrame, min_pages: int, min_share: float) -> DataFr
                 [pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int64()),
                  pa.array([r[2] for r in rows], pa.int64())], names=["host", "hash", "n"])
 
-    counts = (pages.select("host", "html").mapInArrow(run, "host string, hash bigint, n bigint")
+    counts = (map_arrow(pages.select("host", "html"), run, "host string, hash bigint, n bigint")
               .groupBy("host", "hash").agg(F.sum("n").alias("n"))
               .filter(F.col("hash").isNull() | (F.col("n") >= min_pages)))
     by_host = counts.groupBy("host").agg(
@@ -249,7 +249,7 @@ def main_text(pages: DataFrame, *, min_pages: int = 5, min_share: float = 0.005)
             columns = [c for i, c in enumerate(batch.columns) if i != list_at]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.string())], names=schema.names)
 
-    return joined.mapInArrow(run, schema)
+    return map_arrow(joined, run, schema)
 
 
 def page_rows(pages: DataFrame) -> DataFrame:

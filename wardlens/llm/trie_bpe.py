@@ -28,6 +28,8 @@ from unicodedata import is_normalized
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import map_arrow
+
 CACHE_ENTRIES = 600_000
 PAIR_BITS = 20
 _END = 1 << 60
@@ -294,7 +296,7 @@ def bpe(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "tex
         tok.ids_of.clear()  # the worker may next run something else
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return (rows.mapInArrow(run, f"id {id_type}, ids array<int>, decoded string")
+    return (map_arrow(rows, run, f"id {id_type}, ids array<int>, decoded string")
             .withColumnRenamed("id", id_col))
 
 
