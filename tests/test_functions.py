@@ -59,6 +59,10 @@ def test_title_case_matches_python(spark):
 def test_initcap_breaks_on_blanks_and_punctuation(spark):
     assert one_col(spark, ["a.b_c-d/e (f) [g] x+y", None, ""]).select(text.initcap_name("v")).collect()[0][0] == (
         "A.B_C-D/E (F) [G] X+Y")
+    texts = ["o'NEIL-smith\x01 jr.x", "ÉCOLE d'été", "  two  BLANKS ", "tab\tNEW\nline", "#9a~b", "\\x|Y<z>", "-", "x" * 5000]
+    df = one_col(spark, texts)
+    assert [r[0] for r in df.select(text.initcap_name("v")).collect()] == [
+        r[0] for r in df.select(text._cased_runs("v", text.INITCAP_BREAKS)).collect()]
     assert one_col(spark, ["o'neil-SMITH jr"]).select(text.initcap_name("v")).first()[0] == "O'neil-Smith Jr"
 
 

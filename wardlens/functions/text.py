@@ -41,8 +41,12 @@ def _cased_runs(col, run: str) -> Column:
 
 def initcap_name(col) -> Column:
     """The warehouse's INITCAP: a word starts after white space or punctuation ("o'neil-SMITH" -> "O'neil-Smith";
-    Spark's initcap, which knows blanks only, gives "O'neil-smith")."""
-    return _cased_runs(col, INITCAP_BREAKS)
+    Spark's initcap, which knows blanks only, gives "O'neil-smith"). A blank behind a stop mark after every break
+    lets the built-in do the casing; a text that itself holds the stop mark is cased run by run."""
+    stop = "\x01 "
+    spaced = F.regexp_replace(_c(col), f"([{INITCAP_BREAKS}])", f"$1{stop}")
+    return F.when(_c(col).contains(stop[0]), _cased_runs(col, INITCAP_BREAKS)).otherwise(
+        F.replace(F.initcap(spaced), F.lit(stop), F.lit("")))
 
 
 def title_case(col) -> Column:

@@ -198,9 +198,10 @@ LOADING_QUERIES: dict[str, Query] = {
     "load_typed_rejected": lambda spark, d: L.load_typed(standin.billing_staging(spark, d), key_col="staging_id")
         .rejected.select("error_id", "error_number", "error_severity", "error_state", "error_message",
                          "process_context"),
-    "cost_per_day": lambda spark, d: L.cost_per_day(clean_admissions(spark, d).withColumnRenamed("name", "patient_name")),
+    "cost_per_day": lambda spark, d: L.cost_per_day(
+        clean_admissions(spark, d, ("name", "billing_amount", *STAY)).withColumnRenamed("name", "patient_name")),
     "diagnose_zero_stay": lambda spark, d: L.diagnose_zero_stay(
-        clean_admissions(spark, d).withColumnRenamed("name", "patient_name")),
+        clean_admissions(spark, d, ("name", "billing_amount", *STAY)).withColumnRenamed("name", "patient_name")),
     "insert_violations": _violations,
     "load_constrained_accepted": lambda spark, d: _load(spark, d).accepted,
     "load_constrained_rejected": _rejected,
