@@ -31,8 +31,8 @@ from pyspark.sql import functions as F
 
 from .common import map_arrow, stored
 
-TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
-                 r"|<(?P<end2>/?)(?P<tag2>[a-zA-Z][^\s/>]*)(?P<attrs2>[^>]*)>|<[!?][^>]*>", re.S)
+NAME = re.compile(r"<(/?)([a-zA-Z][^\s/<>]*)")
+UNQUOTED = re.compile(r"[^>\"']*")
 NAMES = re.compile(r"""(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 WORD = re.compile(r"[a-z]+")
 
@@ -139,15 +139,36 @@ def parse(page: str, templates: frozenset[int] = frozenset(), by_class: bool = T
             if stack[k].tag in SCOPE and tag not in BLOCK:
                 return
 
-    at = 0
-    while m := TAG.search(page, at):
-        text(page[at:m.start()])
-        at = m.end()
-        tag = m["tag"] or m["tag2"]
-        if not tag:
-            continue  # comment or declaration
-        tag, attrs = tag.lower(), m["attrs"] or m["attrs2"] or ""
-        if m["end"] or m["end2"]:
+    loose = False  # after a tag whose quotes never close: tags end at the next ">"
+
+    def tag_end(start: int) -> int:
+        nonlocal loose
+        i = start
+        while not loose:
+            i = UNQUOTED.match(page, i).end()
+            if page[i:i + 1] == ">":
+                return i
+            i = page.find(page[i], i + 1) + 1 if i < len(page) else 0
+            loose = not i
+        return page.find(">", start)
+
+    at, last_end = 0, page.rfind(">")
+    while (lt := page.find("<", at)) >= 0 and (lt < last_end or page.startswith("<!--", lt)):
+        if page[lt + 1] in "!?":  # comment or declaration
+            text(page[at:lt])
+            comment = page.startswith("<!--", lt)
+            stop = page.find("-->" if comment else ">", lt)
+            at = len(page) if stop < 0 else stop + (3 if comment else 1)
+            continue
+        m = NAME.match(page, lt)
+        if not m:
+            text(page[at:lt + 1])
+            at = lt + 1
+            continue
+        text(page[at:lt])
+        stop = tag_end(m.end())
+        tag, attrs, at = m[2].lower(), page[m.end():stop], stop + 1
+        if m[1]:
             end(tag)
             continue
         if tag in BLOCK:
