@@ -82,6 +82,16 @@ def exact_round(num, den, scale: int) -> Column:
     return (half_up_units(num, den, scale).cast("double") / F.lit(float(10 ** scale)))
 
 
+def money_per_day(col, days) -> Column:
+    """ROUND(money / days, 2) of one row, half away from zero, exact, as a double; NULL for 0 or NULL days.
+
+    Whole cents by whole days need no more than 64 bits: money is decimal(18,2), so twice its cents is below
+    2 * 10^18, and days are an int."""
+    n, d = cents_long(col), F.nullif(_c(days).cast("bigint"), F.lit(0).cast("bigint"))
+    q = F.call_function("div", F.abs(n) * F.lit(2) + F.abs(d), F.abs(d) * F.lit(2))
+    return F.when((n < 0) != (d < 0), -q).otherwise(q).cast("double") / F.lit(100.0)
+
+
 def exact_trunc(num, den) -> Column:
     """Integer average truncated toward zero (T-SQL AVG of an INT column)."""
     n = _c(num).cast("decimal(38,0)")

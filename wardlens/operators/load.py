@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from wardlens.functions.dates import parse_date, stay_days
-from wardlens.functions.numeric import MONEY, cents_long, exact_round, safe_number, strict_number
+from wardlens.functions.numeric import MONEY, money_per_day, safe_number, strict_number
 from wardlens.operators.errorlog import ErrorLog, log_rows
 from wardlens.session import cut_lineage, path_exists, replace_folder
 
@@ -86,7 +86,7 @@ def cost_per_day(df: DataFrame, name_col: str = "patient_name", wording: str = "
     flag = FLAG_REVIEW if wording == "review" else FLAG_SHORT
     return df.select(
         F.col(name_col), "billing_amount", s.alias("stay_days"),
-        exact_round(cents_long("billing_amount"), s.cast("bigint") * F.lit(100), 2).alias("cost_per_day"),
+        money_per_day("billing_amount", s).alias("cost_per_day"),
         F.when(s == 0, flag).otherwise("Valid").alias("data_quality_flag"))
 
 
