@@ -68,3 +68,20 @@ def test_nulls_repeats_empty_table_and_clashes(make):
     extra = make(rows, PAGES).withColumn("text", F.lit("old")).withColumn("templates", F.lit(1))
     out = h.main_text(extra)
     assert out.filter("page_id = 2").first().text == "" and "templates" in out.columns
+
+
+def test_copies_of_a_page_keep_their_text(make):
+    body = "<div class=content><p>The same long article.</p><table><tr><td>Colour<td>red</table></div>"
+    rows = [(i, f"http://a.example/{i}", f"<body><div>Menu of the site</div>{body}</body>") for i in range(9)]
+    rows += [(100 + i, f"http://a.example/o{i}", f"<body><div>Menu of the site</div><div><p>Other article number {i}."
+              "</p></div></body>") for i in range(20)]
+    # near copies, and products with an equal row
+    rows += [(200 + i, f"http://a.example/n{i}", f"<body><div>Date {i}</div><div><p>An article printed often, "
+              "nearly the same each time.</p></div></body>") for i in range(6)]
+    rows += [(300 + i, f"http://a.example/p{i}", f"<body><p>Product {i} of our catalogue</p><table><tr><td>Size<td>{i}"
+              "<tr><td>Made of<td>wood</table></body>") for i in range(6)]
+    got = {r.page_id: r.text for r in h.page_rows(make(rows, PAGES)).collect()}
+    assert {got[i] for i in range(9)} == {"The same long article.\n\nColour\n\nred"}
+    assert all(got[100 + i] == f"Other article number {i}." for i in range(20))
+    assert all("An article printed often" in got[200 + i] for i in range(6))
+    assert all("Made of\n\nwood" in got[300 + i] for i in range(6))

@@ -1,17 +1,21 @@
 """Main text of web pages by site template removal.
 
 1. One pass parses every page and hashes its element subtrees bottom up (tag, attributes, text and the hashes
-   of the children). Spark counts on how many pages of each host a subtree stands (counted per batch first,
-   so a host with a third of all pages sends few rows).
-2. Subtrees on many pages of their host are that host's template. The list per host is bounded: a page has
-   finitely many subtrees and each must be on ``min_share`` of the host's pages.
-3. A second pass parses the pages again and deletes template subtrees, and elements that are no article by
-   their kind (navigation, forms, scripts, adverts by class and so on) for templates too rare to recur. Prose
-   elements (paragraphs, headings, list items) are never deleted for recurring alone: articles may quote each
-   other. Where a page marks its article, text outside it is dropped last.
-
-Pages meet their host's list in a join that Spark broadcasts only while the stored list is below its
-threshold; beyond it is a sort-merge join whose hot hosts are split.
+   of the children). Spark counts on how many distinct pages of each host a subtree stands: copies, pages with
+   the same text, count once.
+2. Subtrees on ``min_pages`` distinct pages recur, whatever the size of the host; those that are also on
+   ``prose_share`` of the host's distinct pages are common. Each page gets the list of its own subtrees that
+   recur, so no list grows with the host.
+3. A second pass parses the pages again and deletes subtrees without prose, and outside the marked article
+   containers of prose other than lists and tables, for recurring; paragraphs and the like outside the article, lists,
+   tables and containers of prose inside the article for being common. Paragraphs inside the marked article stay:
+   articles may quote each other. Containers of prose that are not common are not deleted where they would
+   take over half of a page's text (near copies of an article), and nothing is where under a tenth would be left.
+   Elements that are no article by their kind (navigation, forms, scripts, adverts by class and so on) go in any case.
+   Where a page marks its article, text outside it is dropped last.
+
+Pages meet their lists in a join that Spark broadcasts only while the stored lists are below its
+threshold; beyond it is a sort-merge join whose hot pages (copies) are split.
 
 Defined results: null html is an empty page (empty text, 0 characters); a null url is a host of its own; unclosed and
 stray tags close where a browser would close them or are text; repeated rows each get their own result; an empty
@@ -22,7 +26,6 @@ from __future__ import annotations
 
 import html as entities
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -55,6 +58,8 @@ NO_ARTICLE_WORDS = frozenset(
 # Start tags that end an open paragraph, and elements that end their like.
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
             "th": {"td", "th"}, "option": {"option"}}
+# Containers whose equal parts are data (rows of products, lists of features) unless they are common.
+DATA = frozenset("ul ol dl menu table thead tbody tfoot tr".split())
 SCOPE = frozenset("ul ol dl table select article main section div body html td th".split())
 
 
@@ -65,8 +70,8 @@ class Open:
     skip: bool
     main: bool
     blocks: int
-    inline: int
     prose: bool = False
+    table: bool = False
     parts: list = field(default_factory=list)
 
 
@@ -84,17 +89,63 @@ def _no_article(tag: str, attrs: str, in_main: bool, by_class: bool) -> bool:
     return any(w in NO_ARTICLE_WORDS for m in NAMES.finditer(attrs) for w in WORD.findall(m[1].lower()))
 
 
-def parse(page: str, templates: frozenset[int] = frozenset(), by_class: bool = True,
-          ) -> tuple[list[str], list[str], set[int]]:
-    """Blocks of the marked article, blocks of the whole page, and hashes of the subtrees that could be
-    template, after deleting the subtrees in ``templates`` (``by_class``: and elements whose class, id or
-    role says that they are no article)."""
+@dataclass(slots=True)
+class Cut:
+    """A subtree that could be template: its hash and its blocks [start, end)."""
+    digest: int
+    start: int
+    end: int
+    prose: bool   # holds prose
+    common: bool  # deleted only where it is common
+
+
+@dataclass(slots=True)
+class Parsed:
+    """Blocks of a page (in the marked article, text) and its subtrees that could be template."""
+    blocks: list[tuple[bool, str]]
+    cuts: list[Cut]
+
+    def text(self, gone: frozenset[int] | set[int] = frozenset()) -> list[str]:
+        """Blocks of the marked article, of the whole page where none is marked, without those ``gone``."""
+        article = any(main for main, _ in self.blocks)
+        return [t for k, (main, t) in enumerate(self.blocks) if (main or not article) and k not in gone]
+
+    def without(self, recurring: dict[int, bool]) -> list[str]:
+        """The text without templates (``recurring``: is a hash that recurs on the host common there)."""
+        found = [c for c in self.cuts if c.digest in recurring and (recurring[c.digest] or not c.common)]
+        if not found:
+            return self.text()
+
+        def blocks(cuts: list[Cut]) -> set[int]:
+            out: set[int] = set()
+            done = 0
+            for c in sorted(cuts, key=lambda c: c.start):  # nested ones overlap: every block once
+                out.update(range(max(c.start, done), c.end))
+                done = max(done, c.end)
+            return out
+
+        def size(texts: list[str]) -> int:
+            return sum(map(len, texts))
+
+        whole = self.text()
+        gone = blocks([c for c in found if recurring[c.digest] or not c.prose])
+        left = self.text(gone)
+        if size(left) * 10 < size(whole):
+            gone, left = set(), whole
+        more = gone | blocks([c for c in found if c.prose and not recurring[c.digest]])
+        fewer = self.text(more)
+        return fewer if size(fewer) * 2 >= size(left) else left
+
+
+def parse(page: str, by_class: bool = True) -> tuple[list[str], list[str], Parsed]:
+    """Blocks of the marked article, blocks of the whole page, and both with the subtrees that could be
+    template (``by_class``: without elements whose class, id or role says that they are no article)."""
     from xxhash import xxh3_64_intdigest
 
     blocks: list[tuple[bool, str]] = []
     inline: list[str] = []
-    hashes: set[int] = set()
-    stack: list[Open] = [Open("", "", False, False, 0, 0)]
+    cuts: list[Cut] = []
+    stack: list[Open] = [Open("", "", False, False, 0)]
     low: str | None = None
 
     def flush() -> None:
@@ -122,13 +173,12 @@ def parse(page: str, templates: frozenset[int] = frozenset(), by_class: bool = T
         up = stack[-1]
         up.parts.append(str(digest))
         up.prose = up.prose or top.prose or top.tag in PROSE
+        up.table = up.table or top.table or top.tag == "table"
         # a container of prose inside the article is article; elsewhere it can be template
-        if block and top.tag not in PROSE and top.tag not in MAIN and top.tag not in ("html", "body", "head") \
-                and not (top.main and top.prose):
-            hashes.add(digest)
-            if digest in templates:
-                del blocks[top.blocks:]
-                del inline[top.inline:]
+        if block and top.blocks < len(blocks) and top.tag not in PROSE and top.tag not in MAIN \
+                and top.tag not in ("html", "body", "head") and not (top.main and top.prose):
+            cuts.append(Cut(digest, top.blocks, len(blocks), top.prose,
+                            top.prose and (top.tag in DATA or top.table)))
 
     def end(tag: str) -> None:
         for k in range(len(stack) - 1, 0, -1):
@@ -196,7 +246,7 @@ def parse(page: str, templates: frozenset[int] = frozenset(), by_class: bool = T
                 inline.append(" ")
             continue
         stack.append(Open(tag, attrs, up.skip or _no_article(tag, attrs, up.main, by_class),
-                          up.main or tag in MAIN, len(blocks), len(inline)))
+                          up.main or tag in MAIN, len(blocks)))
         if attrs.rstrip().endswith("/") and tag not in BLOCK:
             close()
         elif tag in RAW:
@@ -209,64 +259,88 @@ def parse(page: str, templates: frozenset[int] = frozenset(), by_class: bool = T
     while len(stack) > 1:
         close()
     flush()
-    return [t for main, t in blocks if main], [t for _, t in blocks], hashes
+    return [t for main, t in blocks if main], [t for _, t in blocks], Parsed(blocks, cuts)
+
+
+def read(page: str | None) -> Parsed:
+    """A page, without the elements that are no article."""
+    article, whole, parsed = parse(page or "")
+    if not whole and page:  # a wrapper of the whole page can bear such a class
+        parsed = parse(page, by_class=False)[2]
+    return parsed
+
 
+def page_key() -> Column:
+    """A page's number: copies of one host share it."""
+    return F.xxhash64("host", "html")
 
-def site_templates(pages: DataFrame, min_pages: int, min_share: float) -> DataFrame:
-    """``host`` and ``templates``: hashes of the subtrees on at least ``min_pages`` pages and ``min_share`` of the
-    pages of the host."""
+
+def subtrees(pages: DataFrame) -> DataFrame:
+    """``site`` (a number of the host), ``page`` (of the page's html), ``body`` (of its text: equal for copies) and
+    ``hashes`` of its subtrees that could be template; repeated pages of a batch once."""
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
+        from xxhash import xxh3_64_intdigest
+
+        def number(s: str) -> int:
+            return xxh3_64_intdigest(s.encode("utf-8", "surrogatepass")) - (1 << 63)
 
         for batch in batches:
-            seen: Counter = Counter()
-            n: Counter = Counter()
-            for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                n[host] += 1
-                for h in parse(page or "")[2]:
-                    seen[host, h] += 1
-            rows = [*((h, None, c) for h, c in n.items()), *((h, d, c) for (h, d), c in seen.items())]
+            seen: set[int] = set()
+            out: tuple[list, ...] = ([], [], [], [])
+            for host, html, page in zip(*[batch.column(k).to_pylist() for k in range(3)], strict=True):
+                if page in seen:
+                    continue
+                seen.add(page)
+                parsed = read(html)
+                for column, value in zip(out, (number(host), page, number("\x00".join(parsed.text())),
+                                               sorted({c.digest for c in parsed.cuts})), strict=True):
+                    column.append(value)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int64()),
-                 pa.array([r[2] for r in rows], pa.int64())], names=["host", "hash", "n"])
+                [*[pa.array(column, pa.int64()) for column in out[:3]], pa.array(out[3], pa.list_(pa.int64()))],
+                names=["site", "page", "body", "hashes"])
+
+    return map_arrow(pages.select("host", "html", page_key()), run,
+                     "site bigint, page bigint, body bigint, hashes array<bigint>")
+
+
+def site_templates(found: DataFrame, min_pages: int, min_share: float, prose_share: float) -> DataFrame:
+    """``site``, ``hash`` and ``common`` of the subtrees on at least ``min_pages`` distinct pages and ``min_share`` of
+    the distinct pages of their host; common ones are on ``prose_share`` of them."""
+    sizes = found.select("site", "body").distinct().groupBy("site").agg(F.count(F.lit(1)).alias("bodies"))
+    counts = (found.select("site", "body", F.explode("hashes").alias("hash")).distinct()
+              .groupBy("site", "hash").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_pages))
+    return (counts.join(sizes, "site").filter(F.col("n") >= F.col("bodies") * min_share)
+            .select("site", "hash", (F.col("n") >= F.col("bodies") * prose_share).alias("common")))
+
 
-    counts = (map_arrow(pages.select("host", "html"), run, "host string, hash bigint, n bigint")
-              .groupBy("host", "hash").agg(F.sum("n").alias("n"))
-              .filter(F.col("hash").isNull() | (F.col("n") >= min_pages)))
-    by_host = counts.groupBy("host").agg(
-        F.max(F.when(F.col("hash").isNull(), F.col("n"))).alias("pages"),
-        F.collect_list(F.when(F.col("hash").isNotNull(), F.struct("hash", "n"))).alias("found"))
-    return by_host.select("host", F.transform(
-        F.filter("found", lambda x: x["n"] >= F.col("pages") * min_share), lambda x: x["hash"]).alias("templates"))
+def page_templates(pages: DataFrame, min_pages: int, min_share: float, prose_share: float) -> DataFrame:
+    """``page`` and ``templates``: the recurring subtrees of every page that has some, with whether they are common."""
+    found = stored(subtrees(pages), "subtrees")
+    templates = stored(site_templates(found, min_pages, min_share, prose_share), "templates")
+    return (found.select("site", "page", F.explode("hashes").alias("hash")).join(templates, ["site", "hash"])
+            .groupBy("page").agg(F.collect_set(F.struct("hash", "common")).alias("templates")))
 
 
-def main_text(pages: DataFrame, *, min_pages: int = 5, min_share: float = 0.005) -> DataFrame:
+def main_text(pages: DataFrame, *, min_pages: int = 5, min_share: float = 0.005,
+              prose_share: float = 0.5) -> DataFrame:
     """The input (columns ``url`` and ``html`` required) plus ``host`` and ``text``."""
     rows = pages.drop("host", "text").withColumn("host", host_of(F.col("url")))
-    templates = stored(site_templates(rows, min_pages, min_share), "templates")
-    joined = rows.join(templates.withColumnRenamed("templates", "__templates"), "host", "left").select(
+    templates = stored(page_templates(rows, min_pages, min_share, prose_share), "page-templates").select(
+        F.col("page").alias("__page"), F.col("templates").alias("__templates"))
+    joined = rows.withColumn("__page", page_key()).join(templates, "__page", "left").select(
         *rows.columns, "__templates")
     schema = rows.schema.add("text", "string")
-    html_at, host_at, list_at = (joined.columns.index(c) for c in ("html", "host", "__templates"))
+    html_at, list_at = (joined.columns.index(c) for c in ("html", "__templates"))
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        known: dict[str, frozenset[int]] = {}
         for batch in batches:
-            hosts, lists = batch.column(host_at).to_pylist(), batch.column(list_at)
-            texts = []
-            for k, page in enumerate(batch.column(html_at).to_pylist()):
-                host = hosts[k]
-                if host not in known:
-                    if len(known) > 1000:
-                        known.clear()
-                    known[host] = frozenset(lists[k].as_py() or ())
-                article, whole, _ = parse(page or "", known[host])
-                if not whole and page:  # a wrapper of the whole page can bear such a class
-                    article, whole, _ = parse(page, known[host], by_class=False)
-                texts.append("\n\n".join(article or whole))
+            lists = batch.column(list_at).to_pylist()
+            texts = ["\n\n".join(read(page).without({t["hash"]: t["common"] for t in lists[k] or ()}))
+                     for k, page in enumerate(batch.column(html_at).to_pylist())]
             columns = [c for i, c in enumerate(batch.columns) if i != list_at]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.string())], names=schema.names)
 
