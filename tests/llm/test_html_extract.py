@@ -85,3 +85,19 @@ def test_copies_of_a_page_keep_their_text(make):
     assert all(got[100 + i] == f"Other article number {i}." for i in range(20))
     assert all("An article printed often" in got[200 + i] for i in range(6))
     assert all("Made of\n\nwood" in got[300 + i] for i in range(6))
+
+
+def test_prose_on_most_pages_goes_and_the_size_of_the_host_does_not_matter(make):
+    box = "<div class=box><p>Join our list</p></div>"
+    rows = [(i, f"http://a.example/{i}", f"<body><main><p>Text number {i}.</p><p>Same quote.</p>{box}</main></body>")
+            for i in range(12)]
+    rows += [(100 + i, f"http://b.example/{i}", f"<body><p>Notice of the site</p><p>Text number {i}.</p></body>")
+             for i in range(12)]
+    # five of 1,500 pages
+    rows += [(1000 + i, f"http://c.example/{i}", f"<body>{'<div>Seasonal offer</div>' if i < 5 else ''}"
+              f"<article><p>Text number {i}.</p>{'<div>Rare partner</div>' if i < 5 else ''}</article></body>")
+             for i in range(1500)]
+    got = {r.page_id: r.text for r in h.page_rows(make(rows, PAGES)).collect()}
+    assert all(got[i] == f"Text number {i}.\n\nSame quote." for i in range(12))
+    assert all(got[100 + i] == f"Text number {i}." for i in range(12))
+    assert all(got[1000 + i] == f"Text number {i}." for i in range(1500))

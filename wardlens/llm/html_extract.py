@@ -174,11 +174,12 @@ def parse(page: str, by_class: bool = True) -> tuple[list[str], list[str], Parse
         up.parts.append(str(digest))
         up.prose = up.prose or top.prose or top.tag in PROSE
         up.table = up.table or top.table or top.tag == "table"
-        # a container of prose inside the article is article; elsewhere it can be template
-        if block and top.blocks < len(blocks) and top.tag not in PROSE and top.tag not in MAIN \
-                and top.tag not in ("html", "body", "head") and not (top.main and top.prose):
-            cuts.append(Cut(digest, top.blocks, len(blocks), top.prose,
-                            top.prose and (top.tag in DATA or top.table)))
+        # prose inside the article is article, a container of it unless common
+        prose = top.prose or top.tag in PROSE
+        if block and top.blocks < len(blocks) and top.tag not in MAIN and top.tag not in ("html", "body", "head") \
+                and not (top.main and top.tag in PROSE):
+            cuts.append(Cut(digest, top.blocks, len(blocks), prose,
+                            prose and (top.main or top.tag in PROSE or top.tag in DATA or top.table)))
 
     def end(tag: str) -> None:
         for k in range(len(stack) - 1, 0, -1):
@@ -305,29 +306,28 @@ def subtrees(pages: DataFrame) -> DataFrame:
                      "site bigint, page bigint, body bigint, hashes array<bigint>")
 
 
-def site_templates(found: DataFrame, min_pages: int, min_share: float, prose_share: float) -> DataFrame:
-    """``site``, ``hash`` and ``common`` of the subtrees on at least ``min_pages`` distinct pages and ``min_share`` of
-    the distinct pages of their host; common ones are on ``prose_share`` of them."""
+def site_templates(found: DataFrame, min_pages: int, prose_share: float) -> DataFrame:
+    """``site``, ``hash`` and ``common`` of the subtrees on at least ``min_pages`` distinct pages of their host;
+    common ones are on ``prose_share`` of its distinct pages."""
     sizes = found.select("site", "body").distinct().groupBy("site").agg(F.count(F.lit(1)).alias("bodies"))
     counts = (found.select("site", "body", F.explode("hashes").alias("hash")).distinct()
               .groupBy("site", "hash").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_pages))
-    return (counts.join(sizes, "site").filter(F.col("n") >= F.col("bodies") * min_share)
-            .select("site", "hash", (F.col("n") >= F.col("bodies") * prose_share).alias("common")))
+    return counts.join(sizes, "site").select(
+        "site", "hash", (F.col("n") >= F.col("bodies") * prose_share).alias("common"))
 
 
-def page_templates(pages: DataFrame, min_pages: int, min_share: float, prose_share: float) -> DataFrame:
+def page_templates(pages: DataFrame, min_pages: int, prose_share: float) -> DataFrame:
     """``page`` and ``templates``: the recurring subtrees of every page that has some, with whether they are common."""
     found = stored(subtrees(pages), "subtrees")
-    templates = stored(site_templates(found, min_pages, min_share, prose_share), "templates")
+    templates = stored(site_templates(found, min_pages, prose_share), "templates")
     return (found.select("site", "page", F.explode("hashes").alias("hash")).join(templates, ["site", "hash"])
             .groupBy("page").agg(F.collect_set(F.struct("hash", "common")).alias("templates")))
 
 
-def main_text(pages: DataFrame, *, min_pages: int = 5, min_share: float = 0.005,
-              prose_share: float = 0.5) -> DataFrame:
+def main_text(pages: DataFrame, *, min_pages: int = 5, prose_share: float = 0.5) -> DataFrame:
     """The input (columns ``url`` and ``html`` required) plus ``host`` and ``text``."""
     rows = pages.drop("host", "text").withColumn("host", host_of(F.col("url")))
-    templates = stored(page_templates(rows, min_pages, min_share, prose_share), "page-templates").select(
+    templates = stored(page_templates(rows, min_pages, prose_share), "page-templates").select(
         F.col("page").alias("__page"), F.col("templates").alias("__templates"))
     joined = rows.withColumn("__page", page_key()).join(templates, "__page", "left").select(
         *rows.columns, "__templates")
