@@ -101,3 +101,17 @@ def test_prose_on_most_pages_goes_and_the_size_of_the_host_does_not_matter(make)
     assert all(got[i] == f"Text number {i}.\n\nSame quote." for i in range(12))
     assert all(got[100 + i] == f"Text number {i}." for i in range(12))
     assert all(got[1000 + i] == f"Text number {i}." for i in range(1500))
+
+
+def test_names_of_a_layout_do_not_hide_the_article():
+    stray = "<p>(c) 2020</p>"
+    for wrapper in ("<div class='layout has-sidebar'><article>{}</article></div>", "<article class='post no-comments'>{}</article>",
+                    "<div class='page search-enabled menu-open'><div>{}</div></div>", "<div class='page page--sidebar'>{}</div>",
+                    "<div class=sidebar><main>{}</main></div>", "<main class='related'>{}</main>",
+                    "<div id=menu><div class=nav>{}</div></div>"):
+        got = article("<body>" + wrapper.format("<p>" + "The text itself. " * 10 + "</p><div class='ad'>buy</div>") + stray)
+        assert got[0] == ("The text itself. " * 10).strip() and "buy" not in got, wrapper
+    assert article("<div class='site-footer'><p>foot</p></div><div class='comments-area'><article><p>first!</p></article></div>"
+                   "<article><p>a</p></article><div id=comments><p>" + "c " * 500 + "</p></div>") == ["a"]
+    assert article("<p>a short post of some words</p><div class='cookie-notice'><p>We use cookies here.</p></div>") == [
+        "a short post of some words"]

@@ -55,6 +55,9 @@ NO_ARTICLE_WORDS = frozenset(
     "gdpr notice notices popup modal overlay sidebar menu nav navbar navigation breadcrumb breadcrumbs comment "
     "comments disqus share sharing social related recommended newsletter subscribe footer masthead toolbar "
     "pagination pager search login signup complementary contentinfo".split())
+# Names with such a word tell a state of the layout (has-sidebar, comments-open), not a kind of element.
+STATE_WORDS = frozenset(
+    "has have no non not with without hide hides show shows open opened closed enabled disabled collapsed expanded free".split())
 # Start tags that end an open paragraph, and elements that end their like.
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
             "th": {"td", "th"}, "option": {"option"}}
@@ -67,9 +70,13 @@ SCOPE = frozenset("ul ol dl table select article main section div body html td t
 class Open:
     tag: str
     attrs: str
-    skip: bool
+    skip: bool        # no article by its kind or its name, or inside of such
+    kind: bool        # by its kind, or inside of such
+    named: int        # its number if its name says so, or 0
     main: bool
     blocks: int
+    lost: int = 0     # characters below it that names hide
+    article: bool = False  # is or contains a marked article, not inside of another
     prose: bool = False
     table: bool = False
     parts: list = field(default_factory=list)
@@ -81,12 +88,16 @@ def host_of(url: Column) -> Column:
     return F.lower(F.regexp_replace(F.regexp_replace(authority, r"^.*@", ""), r":\d*$", ""))
 
 
-def _no_article(tag: str, attrs: str, in_main: bool, by_class: bool) -> bool:
-    if tag in NO_ARTICLE or (tag == "header" and not in_main):
-        return True
-    if not by_class or not attrs or tag in ("html", "body"):
+def _no_article(tag: str, in_main: bool) -> bool:
+    return tag in NO_ARTICLE or (tag == "header" and not in_main)
+
+
+def _no_article_name(tag: str, attrs: str) -> bool:
+    """Does a name (of class, id or role) say so: with a word of those, and none of state; of block--modifier the block."""
+    if not attrs or tag in ("html", "body"):
         return False
-    return any(w in NO_ARTICLE_WORDS for m in NAMES.finditer(attrs) for w in WORD.findall(m[1].lower()))
+    names = (WORD.findall(name.split("--")[0]) for m in NAMES.finditer(attrs) for name in m[1].lower().strip("\"'").split())
+    return any(not NO_ARTICLE_WORDS.isdisjoint(words) and STATE_WORDS.isdisjoint(words) for words in names)
 
 
 @dataclass(slots=True)
@@ -137,15 +148,20 @@ class Parsed:
         return fewer if size(fewer) * 2 >= size(left) else left
 
 
-def parse(page: str, by_class: bool = True) -> tuple[list[str], list[str], Parsed]:
+def parse(page: str, by_class: bool = True, spared: frozenset[int] = frozenset(),
+          ) -> tuple[list[str], list[str], Parsed]:
     """Blocks of the marked article, blocks of the whole page, and both with the subtrees that could be
-    template (``by_class``: without elements whose class, id or role says that they are no article)."""
+    template (``by_class``: without elements whose class, id or role says that they are no article, but for those
+    ``spared`` by their number). Where names hide the marked article, or nine tenths of a page that marks none, the
+    elements that hold it are spared."""
     from xxhash import xxh3_64_intdigest
 
     blocks: list[tuple[bool, str]] = []
     inline: list[str] = []
     cuts: list[Cut] = []
-    stack: list[Open] = [Open("", "", False, False, 0)]
+    stack: list[Open] = [Open("", "", False, False, 0, False, 0)]
+    named: list[tuple[int, int, bool]] = []  # number, characters and whether with the article
+    kept = number = 0
     low: str | None = None
 
     def flush() -> None:
@@ -156,11 +172,16 @@ def parse(page: str, by_class: bool = True) -> tuple[list[str], list[str], Parse
             inline.clear()
 
     def text(s: str) -> None:
+        nonlocal kept
         if s:
             top = stack[-1]
-            top.parts.append(s.strip())
+            bare = s.strip()
+            top.parts.append(bare)
             if not top.skip:
                 inline.append(s)
+                kept += len(bare)
+            elif not top.kind:
+                top.lost += len(bare)
 
     def close() -> None:
         top = stack[-1]
@@ -172,6 +193,10 @@ def parse(page: str, by_class: bool = True) -> tuple[list[str], list[str], Parse
             "utf-8", "surrogatepass")) - (1 << 63)
         up = stack[-1]
         up.parts.append(str(digest))
+        up.lost += top.lost
+        up.article = up.article or top.article
+        if top.named:
+            named.append((top.named, top.lost, top.article))
         up.prose = up.prose or top.prose or top.tag in PROSE
         up.table = up.table or top.table or top.tag == "table"
         # prose inside the article is article, a container of it unless common
@@ -246,8 +271,11 @@ def parse(page: str, by_class: bool = True) -> tuple[list[str], list[str], Parse
             if not up.skip:
                 inline.append(" ")
             continue
-        stack.append(Open(tag, attrs, up.skip or _no_article(tag, attrs, up.main, by_class),
-                          up.main or tag in MAIN, len(blocks)))
+        number += 1
+        kind = up.kind or _no_article(tag, up.main)
+        hides = by_class and not kind and number not in spared and _no_article_name(tag, attrs)
+        stack.append(Open(tag, attrs, up.skip or kind or hides, kind, number if hides else 0, up.main or tag in MAIN,
+                          len(blocks), article=tag in MAIN and not up.main and not kind))
         if attrs.rstrip().endswith("/") and tag not in BLOCK:
             close()
         elif tag in RAW:
@@ -260,6 +288,11 @@ def parse(page: str, by_class: bool = True) -> tuple[list[str], list[str], Parse
     while len(stack) > 1:
         close()
     flush()
+    if named and not spared and not any(main for main, _ in blocks):
+        size = kept + stack[0].lost
+        holds = frozenset(n for n, lost, article in named if lost and (article or lost * 10 > size * 9))
+        if holds:
+            return parse(page, by_class, holds)
     return [t for main, t in blocks if main], [t for _, t in blocks], Parsed(blocks, cuts)
 
 
