@@ -82,3 +82,14 @@ def test_seeds_by_number():
     number = np.array([index.number.get(w, 0) for w in "z a b c d e x y".split()], np.int64)
     hits = {(place, tuple(index.at[s])) for place, s in index.hits(number)}
     assert hits == {(1, ((0, 0),)), (2, ((0, 1), (1, 0))), (6, ((2, 0),))}
+
+
+def test_one_exact_copy_changes_no_other_verdict(make):
+    rng = random.Random(5)
+    item = [f"w{k}" for k in range(40)]
+    edited = [f"x{k}" if k >= 20 and k % 3 == 0 else w for k, w in enumerate(item)]
+    rows = [doc(k, " ".join(words(rng, 30) + edited)) for k in range(40)]
+    bench = make([(1, " ".join(item))], BENCH)
+    without = {(r.doc_id, r.score) for r in d.leak_rows(make(rows), bench).collect()}
+    with_copy = {(r.doc_id, r.score) for r in d.leak_rows(make([*rows, doc(99, " ".join(item))]), bench).collect()}
+    assert len(without) == 40 and with_copy == without | {(99, 1.0)}

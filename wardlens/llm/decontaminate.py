@@ -1,38 +1,42 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
-
-1. The benchmark's words get numbers; the n-grams of its items are the seed index. The index is sent to every
-   task while the benchmark is under ``max_items`` words (checked; beyond it is cut in blocks of items, and
-   the documents are passed over once per block).
-2. One pass over all whole texts marks the words that the benchmark knows, finds every seed by its number
-   and writes the places hit, with the stretch of word numbers around them that an alignment needs (an item's
-   length and slack to either side). Documents without a seed leave nothing.
-3. Document frequencies of the seeds are counted on Spark over the whole corpus. The rarest half of an item's
-   seeds (at least ``min_seeds``) join passages to the item: rarity is relative to the item, so an item
-   that a third of all documents copy is found like any other.
-4. Each candidate stretch is aligned with its item (match 2, mismatch -1, gap -1). The score is the best local
+"""Benchmark decontamination: seeds that the threshold implies, then Smith-Waterman alignment.
+
+1. The benchmark's words get numbers; pairs of words of its items, next to each other or with one word between
+   them, are the seed index. The index is sent to every task while the benchmark is under ``max_items`` items and
+   ``max_words`` words (beyond it is cut in blocks of items, and the documents are passed over once per block).
+2. One pass over all whole texts marks the words that the benchmark knows and finds every seed, again next to
+   each other or with one word between them. Where enough places of a stretch hold seeds of an item, the
+   stretch of word numbers is written. Documents without such a stretch leave nothing.
+3. Each stretch is aligned with its item (match 2, mismatch -1, gap -1). The score is the best local
    alignment over the score of the item aligned with itself; from ``threshold`` on the document is contaminated
-   by the item.
+   by the item. An item of four to seven words needs 7 points (four matches, one fault), a shorter one all its words.
+
+Nothing is lost on the way: R points by m matches leave at most 2m - R faults, so at most m - R/2 of the
+m - 1 steps from match to match hold two or more, and at least R/2 - 1 steps hold one at most and are seeds, within
+3n - R words of text for an item of n words. No document's verdict depends on another.
 
 Documents with equal stretches are aligned once per task. No text is shuffled.
 
-Words are lower-cased runs of letters, digits and underscores. Items of fewer words than a seed are one seed of
-their own length. Defined results: null texts and items are empty; empty items match nothing; repeated rows each
+Words are lower-cased runs of letters, digits and underscores. An item of one word is one seed. Defined results: null texts and items are empty; empty items match nothing; repeated rows each
 get a result; ties between stretches go to the first; an empty corpus or benchmark gives an empty result;
 extra columns are ignored by ``contamination`` and kept by ``clean``.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import map_arrow, stored
 
 WORD = re.compile(r"\w+")
 SEED = 4
+PAIR, STEPS = 2, (1, 2)
+COMMON = 64  # a seed at more places of the benchmark is looked up only where the rarer ones do not suffice
+LEAST = 7    # points that an item of SEED words or more needs
 MATCH, MISMATCH, GAP = 2, -1, -1
 
 
@@ -41,60 +45,126 @@ def words_of(text: str | None) -> list[str]:
 
 
 class SeedIndex:
-    """Seeds of benchmark items: word numbers, seed codes and where in which item each seed stands."""
+    """Seeds of benchmark items (``size`` words, each ``step`` words after the one before): word numbers, seed codes and
+    where in which item each seed stands."""
 
-    def __init__(self, items: list[tuple[int, str | None]]):
+    def __init__(self, items: list[tuple[int, str | None]], size: int = SEED, steps: tuple[int, ...] = (1,)):
+        self.size, self.steps = size, steps
         self.ids = [i for i, _ in items]
         split = [words_of(t) for _, t in items]
         self.number = {w: k for k, w in enumerate(dict.fromkeys(w for ws in split for w in ws), 1)}
         self.words = [[self.number[w] for w in ws] for ws in split]
-        # a seed: SEED words, or all words of a shorter item
+        # a seed: size words, or all words of a shorter item
         self.seeds: dict[tuple[int, ...], int] = {}
         self.at: list[list[tuple[int, int]]] = []
         for k, ws in enumerate(self.words):
-            n = min(SEED, len(ws))
-            for p in range(len(ws) - n + 1 if n else 0):
-                s = self.seeds.setdefault(tuple(ws[p:p + n]), len(self.at))
-                if s == len(self.at):
-                    self.at.append([])
-                self.at[s].append((k, p))
+            n = min(size, len(ws))
+            for step in steps if n > 1 else (1,):
+                for p in range(len(ws) - (n - 1) * step if n else 0):
+                    s = self.seeds.setdefault(tuple(ws[p:p + (n - 1) * step + 1:step]), len(self.at))
+                    if s == len(self.at):
+                        self.at.append([])
+                    self.at[s].append((k, p))
         self.tables()
 
     def tables(self) -> None:
         import numpy as np
 
         base = len(self.number) + 1
-        if base ** SEED >= 1 << 63:
+        if base ** self.size >= 1 << 63:
             raise ValueError("too many benchmark words for one index: use smaller blocks")
         self.base, self.codes = base, {}
-        for n in range(1, SEED + 1):
+        for n in range(1, self.size + 1):
             of = sorted((sum(w * base ** (n - 1 - k) for k, w in enumerate(s)), i)
                         for s, i in self.seeds.items() if len(s) == n)
             if of:
                 self.codes[n] = (np.array([c for c, _ in of], np.int64), np.array([i for _, i in of], np.int64))
 
-    def hits(self, numbers) -> list[tuple[int, int]]:
-        """(place, seed) of every seed in a text given as word numbers (0: unknown), an int64 array."""
+    def found(self, numbers):
+        """Places and seeds, as arrays, of every seed in a text given as word numbers (0: unknown), an int64 array."""
         import numpy as np
 
-        out = []
+        places, seeds = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for n, (codes, seed) in self.codes.items():
-            if len(numbers) < n:
-                continue
-            m = len(numbers) - n + 1
-            whole = numbers[:m] > 0
-            for k in range(1, n):
-                whole &= numbers[k:k + m] > 0
-            at = np.flatnonzero(whole)
-            if not len(at):
-                continue
-            code = np.zeros(len(at), np.int64)
-            for k in range(n):
-                code = code * self.base + numbers[at + k]
-            spot = np.minimum(np.searchsorted(codes, code), len(codes) - 1)
-            found = codes[spot] == code
-            out += zip(at[found].tolist(), seed[spot[found]].tolist(), strict=True)
-        return sorted(out)
+            for step in self.steps if n > 1 else (1,):
+                m = len(numbers) - (n - 1) * step
+                if m <= 0:
+                    continue
+                whole = numbers[:m] > 0
+                for k in range(1, n):
+                    whole &= numbers[k * step:k * step + m] > 0
+                at = np.flatnonzero(whole)
+                if not len(at):
+                    continue
+                code = np.zeros(len(at), np.int64)
+                for k in range(n):
+                    code = code * self.base + numbers[at + k * step]
+                spot = np.minimum(np.searchsorted(codes, code), len(codes) - 1)
+                hit = codes[spot] == code
+                places.append(at[hit])
+                seeds.append(seed[spot[hit]])
+        return np.concatenate(places), np.concatenate(seeds)
+
+    def hits(self, numbers) -> list[tuple[int, int]]:
+        """(place, seed) of every seed in a text, by place."""
+        places, seeds = self.found(numbers)
+        return sorted(zip(places.tolist(), seeds.tolist(), strict=True))
+
+
+class PairIndex(SeedIndex):
+    """Pairs of words, how many of them a stretch must hold and how long it can be for the item to reach its points."""
+
+    def __init__(self, items: list[tuple[int, str | None]], threshold: float):
+        import numpy as np
+
+        super().__init__(items, PAIR, STEPS)
+        sizes = [len(ws) for ws in self.words]
+        self.points = [max(threshold * MATCH * n, min(LEAST, MATCH * n)) for n in sizes]
+        need = [max(1, math.ceil(r / 2 - 1 - 1e-9)) for r in self.points]
+        self.width = np.array([max(n, int(3 * n - r + 1e-9)) for n, r in zip(sizes, self.points, strict=True)], np.int64)
+        # common places of an item are left out, and as many fewer are needed: none is lost by it
+        common: dict[int, dict[int, int]] = {}
+        for at in self.at:
+            if len(at) > COMMON:
+                for k, p in at:
+                    common.setdefault(k, {})[p] = max(len(at), common.get(k, {}).get(p, 0))
+        left_out = set()
+        for k, of in common.items():
+            most = sorted(of, key=lambda p: (-of[p], p))[:need[k] // 2]
+            left_out.update((k, p) for p in most)
+            need[k] -= len(most)
+        self.need = np.array(need, np.int64)
+        kept = [sorted({k for k, p in at if (k, p) not in left_out}) for at in self.at]
+        self.first = np.cumsum([0, *map(len, kept)])
+        self.item = np.array([k for ks in kept for k in ks], np.int64)
+
+    def stretches(self, numbers) -> dict[int, list[list[int]]]:
+        """The stretches [start, end) of a text in which an item can reach its points, by item."""
+        import numpy as np
+
+        places, seeds = self.found(numbers)
+        times = self.first[seeds + 1] - self.first[seeds]
+        total = int(times.sum())
+        if not total:
+            return {}
+        nth = np.arange(total) - np.repeat(np.cumsum(times) - times, times)
+        items = self.item[np.repeat(self.first[seeds], times) + nth]
+        both = np.unique(items * (len(numbers) + 1) + np.repeat(places, times))
+        items, places = np.divmod(both, len(numbers) + 1)
+        last = np.arange(len(both)) + self.need[items] - 1
+        inside = last < len(both)
+        last = np.minimum(last, len(both) - 1)
+        width = self.width[items]
+        enough = inside & (items[last] == items) & (places[last] - places < width)
+        out: dict[int, list[list[int]]] = {}
+        for item, place, w in zip(items[enough].tolist(), places[enough].tolist(), width[enough].tolist(), strict=True):
+            spans = out.setdefault(item, [])
+            low, high = max(0, place - w), min(len(numbers), place + w)
+            if spans and low <= spans[-1][1]:
+                spans[-1][1] = max(high, spans[-1][1])
+            else:
+                spans.append([low, high])
+        return out
 
 
 def align(item: list[int], text) -> tuple[int, int, int]:
@@ -131,67 +201,39 @@ def align(item: list[int], text) -> tuple[int, int, int]:
     return best
 
 
-def seed_hits(docs: DataFrame, index: SeedIndex, slack: float, id_col: str, text_col: str) -> DataFrame:
-    """A row per (document, item) with a seed: ``seeds`` hit, and the stretches of word numbers around them
-    (``starts``, ``stretches``): hits nearer than the item's reach share one."""
+def seed_hits(docs: DataFrame, index: PairIndex, id_col: str, text_col: str) -> DataFrame:
+    """A row per (document, item) that may reach its points: the stretches of word numbers to align (``starts``,
+    ``stretches``)."""
     id_type = dict(docs.dtypes)[id_col]
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
-        number, words = index.number, index.words
+        number = index.number
         for whole in batches:
             for at in range(0, whole.num_rows, 1000):
                 part = whole.slice(at, 1000)
-                rows, out = [], ([], [], [], [])
+                rows, out = [], ([], [], [])
                 for row, text in enumerate(part.column(1).to_pylist()):
                     numbers = np.array([number.get(w, 0) for w in words_of(text)], np.int64)
-                    by_item: dict[int, list[tuple[int, int, int]]] = {}
-                    for place, seed in index.hits(numbers):
-                        for item, p in index.at[seed]:
-                            by_item.setdefault(item, []).append((place, p, seed))
-                    for item, found in by_item.items():
-                        n = len(words[item])
-                        reach = int(n * slack) + 1
-                        spans: list[list[int]] = []
-                        for low, high in sorted((max(0, place - p - reach), min(len(numbers), place - p + n + reach))
-                                                for place, p, _ in found):
-                            if spans and low <= spans[-1][1]:
-                                spans[-1][1] = max(high, spans[-1][1])
-                            else:
-                                spans.append([low, high])
+                    for item, spans in index.stretches(numbers).items():
                         rows.append(row)
-                        for column, value in zip(out, (item, sorted({s for _, _, s in found}), [a for a, _ in spans],
+                        for column, value in zip(out, (item, [a for a, _ in spans],
                                                        [numbers[a:b].tolist() for a, b in spans]), strict=True):
                             column.append(value)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0).take(pa.array(rows, pa.int64())), pa.array(out[0], pa.int32()),
-                     pa.array(out[1], pa.list_(pa.int64())), pa.array(out[2], pa.list_(pa.int64())),
-                     pa.array(out[3], pa.list_(pa.list_(pa.int32())))],
-                    names=["id", "item", "seeds", "starts", "stretches"])
+                     pa.array(out[1], pa.list_(pa.int64())), pa.array(out[2], pa.list_(pa.list_(pa.int32())))],
+                    names=["id", "item", "starts", "stretches"])
 
     return map_arrow(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), run,
-                     f"id {id_type}, item int, seeds array<bigint>, starts array<bigint>, stretches array<array<int>>")
-
-
-def _block(docs: DataFrame, items: list, id_col: str, text_col: str, threshold: float, min_seeds: int,
-           slack: float) -> DataFrame:
-    index = SeedIndex(items)
-    spark = docs.sparkSession
-    hits = stored(seed_hits(docs, index, slack, id_col, text_col), "seed-hits")
-    # a seed that several items share must count a document once
-    df = (hits.select("id", F.explode("seeds").alias("seed")).groupBy("seed").agg(F.count(F.lit(1)).alias("df")))
-    seeds = spark.createDataFrame(
-        [(s, k) for s, at in enumerate(index.at) for k in sorted({i for i, _ in at})] or [(-1, -1)],
-        "seed bigint, item int")  # bounded: the words of one block of the benchmark
-    ranked = seeds.join(df, "seed").withColumn("place", F.row_number().over(
-        Window.partitionBy("item").orderBy("df", "seed"))).withColumn(
-        "half", F.ceil(F.count(F.lit(1)).over(Window.partitionBy("item")) / 2))
-    rare = (ranked.filter((F.col("place") <= F.col("half")) | (F.col("place") <= min_seeds))
-            .groupBy("item").agg(F.collect_set("seed").alias("rare")))  # an item's own seeds
-    found = hits.join(F.broadcast(rare), "item").filter(F.arrays_overlap("seeds", "rare")).select(
-        "id", "item", "starts", "stretches")
+                     f"id {id_type}, item int, starts array<bigint>, stretches array<array<int>>")
+
+
+def _block(docs: DataFrame, items: list, id_col: str, text_col: str, threshold: float) -> DataFrame:
+    index = PairIndex(items, threshold)
+    found = stored(seed_hits(docs, index, id_col, text_col), "seed-hits")
     id_type = dict(docs.dtypes)[id_col]
 
     def run(batches: Iterator) -> Iterator:
@@ -214,7 +256,7 @@ def _block(docs: DataFrame, items: list, id_col: str, text_col: str, threshold:
                     if score > best[0]:
                         best = (score, start + a, start + b)
                 score = best[0] / (MATCH * len(words))
-                if score >= threshold:
+                if best[0] >= index.points[item] - 1e-9:
                     keep.append(row)
                     for column, value in zip(out, (index.ids[item], score, best[1], best[2]), strict=True):
                         column.append(value)
@@ -229,23 +271,24 @@ def _block(docs: DataFrame, items: list, id_col: str, text_col: str, threshold:
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
-                  threshold: float = 0.5, min_seeds: int = 8, slack: float = 0.3,
-                  max_items: int = 20_000) -> DataFrame:
+                  threshold: float = 0.5, max_items: int = 20_000, max_words: int = 2_000_000) -> DataFrame:
     """``id_col``, ``item_id``, ``score``, ``first_word`` and ``end_word`` (the aligned words of the document, from
     0, end exclusive) for every document contaminated by an item. The benchmark (columns item_id, text) is read to the
-    driver in blocks of ``max_items`` items; the rows of one block are its size bound."""
+    driver in blocks of ``max_items`` items, fewer where they reach ``max_words`` words: the size bound of a block."""
     out = None
+    n_words = 0
     block: list[tuple[int, str | None]] = []
 
     def flush():
-        nonlocal out, block
-        part = _block(docs, block, id_col, text_col, threshold, min_seeds, slack)
+        nonlocal out, block, n_words
+        part = _block(docs, block, id_col, text_col, threshold)
         out = part if out is None else out.union(part)
-        block = []
+        block, n_words = [], 0
 
     for r in benchmark.select("item_id", "text").orderBy("item_id", "text").toLocalIterator():
         block.append((r["item_id"], r["text"]))
-        if len(block) == max_items:
+        n_words += len(words_of(r["text"]))
+        if len(block) == max_items or n_words >= max_words:
             flush()
     if block or out is None:
         flush()
