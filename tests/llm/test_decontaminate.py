@@ -32,6 +32,13 @@ def test_alignment_score(a, b):
         assert plain_alignment(a, b[start:end]) == score
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.tuples(st.lists(st.integers(1, 5), min_size=1, max_size=14), st.lists(st.integers(0, 5), max_size=20)),
+                max_size=8))
+def test_scores_of_many(pairs):
+    assert d.best_scores(pairs) == [plain_alignment(a, b) for a, b in pairs]
+
+
 def words(rng, n):
     return [f"v{rng.randrange(3000)}" for _ in range(n)]
 
@@ -93,3 +100,44 @@ def test_one_exact_copy_changes_no_other_verdict(make):
     without = {(r.doc_id, r.score) for r in d.leak_rows(make(rows), bench).collect()}
     with_copy = {(r.doc_id, r.score) for r in d.leak_rows(make([*rows, doc(99, " ".join(item))]), bench).collect()}
     assert len(without) == 40 and with_copy == without | {(99, 1.0)}
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.integers(1, 6), min_size=1, max_size=14), st.lists(st.integers(0, 6), max_size=40))
+def test_stretches_lose_nothing_against_brute_force(item, text):
+    """Every text whose best alignment reaches the points is proposed, and so is that alignment."""
+    index = d.PairIndex([(1, " ".join(f"w{w}" for w in item))], 0.5)
+    numbers = np.array([index.number.get(f"w{w}", 0) for w in text], np.int64)
+    spans = index.stretches(numbers).get(0, [])
+    found = max((d.align(index.words[0], numbers[a:b])[0] for a, b in spans), default=0)
+    best = plain_alignment(index.words[0], numbers.tolist())
+    assert index.points[0] == max(len(item), min(7, 2 * len(item)))
+    assert found == best if best >= index.points[0] else found <= best
+
+
+def test_edits_every_few_words_are_found(make, monkeypatch):
+    rng = random.Random(6)
+    rows, want = [], {}
+    item = [f"i{k}" for k in range(40)]
+    edits = [[w if k % n else "changed" for k, w in enumerate(item, 1)] for n in (4, 5)]
+    edits += [[w for k, w in enumerate(item, 1) if k % n] for n in (3, 4, 5)]
+    edits += [[x for k, w in enumerate(item, 1) for x in ([w] if k % n else [w, "more"])] for n in (2, 3, 4, 5)]
+    edits.append([w if k % 3 else "changed" for k, w in enumerate(item[:-1] + ["z"], 1)])
+    for k, w in enumerate(edits):
+        text = words(rng, 60) + w + words(rng, 60)
+        rows.append(doc(k, " ".join(text)))
+        want[k] = plain_alignment(item, text) / 80
+    for common in (64, 0):  # with all places, and with the common ones left out
+        monkeypatch.setattr(d, "COMMON", common)
+        got = {r.doc_id: r.score for r in d.leak_rows(make(rows), make([(1, " ".join(item))], BENCH)).collect()}
+        assert got == {k: s for k, s in want.items() if s >= 0.5}
+        assert len(got) >= 9
+
+
+def test_a_benchmark_of_many_words_and_blocks_by_words(make):
+    items = [" ".join(f"b{k}" for k in range(at, at + 30)) for at in range(0, 60_000, 30)]
+    bench = make(list(enumerate(items)), BENCH)
+    docs = make([doc(k, "before " + items[k] + " after") for k in (0, 7, 1999)])
+    for bound in (2_000_000, 25_000):
+        got = d.contamination(docs, bench, max_words=bound).collect()
+        assert sorted((r.doc_id, r.item_id, r.score) for r in got) == [(k, k, 1.0) for k in (0, 7, 1999)]

@@ -201,6 +201,35 @@ def align(item: list[int], text) -> tuple[int, int, int]:
     return best
 
 
+def best_scores(pairs: list[tuple[list[int], list[int]]]) -> list[int]:
+    """Scores of the best local alignments of many (item, stretch): ``align`` without places, many tables at once."""
+    import numpy as np
+
+    out = [0] * len(pairs)
+    order = sorted(range(len(pairs)), key=lambda k: (len(pairs[k][1]), len(pairs[k][0])))
+    while order:
+        n = max(1, min(256, 100_000 // (len(pairs[order[-1]][1]) + 1)))
+        part, order = order[-n:], order[:-n]
+        # numbers that match nothing fill up items and stretches: they add no points
+        item = np.full((max(len(pairs[k][0]) for k in part), len(part), 1), -1, np.int32)
+        text = np.zeros((len(part), len(pairs[part[-1]][1])), np.int32)
+        for row, k in enumerate(part):
+            item[:len(pairs[k][0]), row, 0] = pairs[k][0]
+            text[row, :len(pairs[k][1])] = pairs[k][1]
+        column = np.arange(text.shape[1] + 1, dtype=np.int32) * np.int32(-GAP)
+        score = np.zeros((len(part), text.shape[1] + 1), np.int32)
+        top = np.zeros_like(score)
+        for w in item:
+            new = np.maximum(score + np.int32(GAP), 0)
+            np.maximum(new[:, 1:], score[:, :-1] + np.where(text == w, np.int32(MATCH), np.int32(MISMATCH)), out=new[:, 1:])
+            new += column
+            score = np.maximum.accumulate(new, axis=1) - column
+            np.maximum(top, score, out=top)
+        for k, best in zip(part, top.max(1).tolist(), strict=True):
+            out[k] = best
+    return out
+
+
 def seed_hits(docs: DataFrame, index: PairIndex, id_col: str, text_col: str) -> DataFrame:
     """A row per (document, item) that may reach its points: the stretches of word numbers to align (``starts``,
     ``stretches``)."""
@@ -243,16 +272,18 @@ def _block(docs: DataFrame, items: list, id_col: str, text_col: str, threshold:
         for batch in batches:
             keep, out = [], ([], [], [], [])
             columns = [batch.column(k).to_pylist() for k in (1, 2, 3)]
+            if len(known) > 20_000:
+                known.clear()
+            new = {(item, *stretch): None for item, _, stretches in zip(*columns, strict=True) for stretch in stretches}
+            new = [key for key in new if key not in known]
+            for key, score in zip(new, best_scores([(index.words[key[0]], key[1:]) for key in new]), strict=True):
+                # places only where the points are reached
+                known[key] = align(index.words[key[0]], key[1:]) if score >= index.points[key[0]] - 1e-9 else (0, 0, 0)
             for row, (item, starts, stretches) in enumerate(zip(*columns, strict=True)):
                 words = index.words[item]
                 best = (0, 0, 0)
                 for start, stretch in zip(starts, stretches, strict=True):
-                    key = (item, *stretch)
-                    if key not in known:
-                        if len(known) > 20_000:
-                            known.clear()
-                        known[key] = align(words, stretch)
-                    score, a, b = known[key]
+                    score, a, b = known[item, *stretch]
                     if score > best[0]:
                         best = (score, start + a, start + b)
                 score = best[0] / (MATCH * len(words))
