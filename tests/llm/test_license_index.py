@@ -63,3 +63,12 @@ def test_empty_table_and_clashing_columns(make):
     extra = make([doc(1, "mit license")]).withColumn("found", F.lit(3)).withColumn("n_words", F.lit("x"))
     r = lic.license_scan(extra).first()
     assert r.n_words == 2 and [x.start for x in r.base] == [0] and r.source == "s"
+
+
+def test_words_elsewhere_in_the_file_hide_no_notice(make):
+    grant = lic.TEMPLATES[1].text
+    cut = grant[:grant.index(" and associated")]
+    rows = [doc(0, "associated documentation " + "word " * 3000 + cut + " end")]
+    rows += [doc(k, grant.replace("associated documentation ", "")) for k in range(1, 6)]
+    got = {r.doc_id: r for r in lic.license_rows(make(rows)).collect()}
+    assert got[0].labels == "mit-grant" and got[0].score == len(cut.split()) / len(grant.split())

@@ -3,7 +3,8 @@
 Each template (a licence notice or a key phrase) is indexed by its words of highest inverse document
 frequency over the whole corpus, with their positions. In a file, the rarest indexed words of a template
 that occur are looked up; each occurrence proposes a start (position in the file less position in the
-template); a start counts when the template's words agree there and its mandatory key phrase stands at
+template); the rarest word of its key phrase is looked up in any case, so no notice is lost to words that stand
+elsewhere in the file; a start counts when the template's words agree there and its mandatory key phrase stands at
 its relative place. Key phrases themselves are templates whose words must all agree.
 
 All work is row-wise DataFrame expressions over one scan, after a first scan that counts document
@@ -111,12 +112,13 @@ def license_scan(docs: DataFrame, text_col: str = "text", templates: tuple[Templ
     """The input's columns plus ``n_words``, ``base`` (struct<start, label> of every place of a base phrase,
     by start) and ``found`` (struct<label, start, score> of every template place with at least
     ``min_score`` of its words agreeing and its key phrase whole). ``index_words`` words of each template are
-    indexed; of those that a file holds, the ``lookups`` rarest are looked up."""
+    indexed; of those that a file holds, the ``lookups`` rarest are looked up, and the rarest of the key phrase."""
     vocabulary = sorted({w for t in templates for w in t.words} | {w for p, _ in BASE for w in p.split()})
     df = document_frequency(docs, text_col, vocabulary)
     index = {t: _rarest(t.words, df, index_words) for t in templates}
+    keys = {t: _rarest(t.key.split(), df, 1) for t in templates}
     anchors = {p: _rarest(p.split(), df, 1) for p, _ in BASE}
-    indexed = sorted({w for v in (*index.values(), *anchors.values()) for w in v})
+    indexed = sorted({w for v in (*index.values(), *keys.values(), *anchors.values()) for w in v})
 
     def scan(words: Column) -> Column:
         hits = F.filter(F.transform(words, lambda w, i: F.struct(w.alias("w"), i.alias("i"))),
@@ -129,7 +131,8 @@ def license_scan(docs: DataFrame, text_col: str = "text", templates: tuple[Templ
 
         def template_places(h: Column, present: Column, t: Template) -> Column:
             w, key = t.words, t.key.split()
-            chosen = F.slice(F.array_intersect(_words(index[t]), present), 1, lookups)
+            # a place counts only with its key phrase whole, so a word of that phrase proposes all that count
+            chosen = F.concat(_words(keys[t]), F.slice(F.array_intersect(_words(index[t]), present), 1, lookups))
             scored = F.transform(_starts(h, w, chosen), lambda s: F.struct(
                 F.lit(t.label).alias("label"), s.cast("long").alias("start"),
                 F.when(_agree(words, s + t.key_at, key) == len(key),
