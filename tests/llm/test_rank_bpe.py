@@ -1,0 +1,94 @@
+import hashlib
+
+import numpy as np
+import pytest
+import regex
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tests.llm.conftest import doc
+from wardlens.llm import rank_bpe
+from wardlens.llm.registry import rank_file
+
+tiktoken = pytest.importorskip("tiktoken")
+
+
+@pytest.fixture(scope="module")
+def own():
+    return rank_bpe.RankBpe(*rank_file())
+
+
+@pytest.fixture(scope="module")
+def brute(own):
+    """Every match of the pattern by itself, merged by the plain rule: the pair of lowest rank first."""
+    pattern, ranks = regex.compile(rank_file()[1]), own.texts._mergeable_ranks
+
+    def encode(text):
+        out = []
+        for match in pattern.findall(text):
+            raw = match.encode()
+            if raw in ranks:
+                out.append(ranks[raw])
+                continue
+            piece = [raw[k:k + 1] for k in range(len(raw))]
+            while len(piece) > 1:
+                best = min(((ranks[a + b], k) for k, (a, b) in enumerate(zip(piece, piece[1:], strict=False)) if a + b in ranks), default=None)
+                if best is None:
+                    break
+                k = best[1]
+                piece[k:k + 2] = [piece[k] + piece[k + 1]]
+            out += [ranks[p] for p in piece]
+        return out
+    return encode
+
+
+HARD = ["", " ", "\n\t", "a  b", "a   b", "a \n b\n\n  c\t\td ", "<|endoftext|>hello <|endoftext|>", "World's  don't\tÅngström 'LL 's 'x '",
+        "  lead", "trail   ", "日本語テキスト 🎉👩‍👩‍👧", "a 　 b\x1c\x1dc", "x" * 300, "!?" * 100, "\x00\x01\x7f", "1234567 89a1b2", "́abc"]
+
+
+def test_hard_texts_equal_the_plain_rule(own, brute):
+    for t in HARD:
+        assert own.encode(t) == brute(t), t[:60]
+        assert own.texts.decode_bytes(own.encode(t)) == t.encode()
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="ab'sré1. ,\n\t  日", max_size=120), st.integers(1, 30), st.integers(2, 6))
+def test_cuts_change_nothing(own, brute, text, segment, long_run):
+    pieces = list(rank_bpe.segments(text, segment, long_run))
+    assert "".join(p for p, _ in pieces) == text
+    assert own.encode(text, segment, long_run) == own.texts.encode_ordinary(text) == brute(text)
+
+
+def test_runs_that_the_library_cannot_read(own):
+    n = 1_500_000
+    run, word = own.encode(" " * n), own.texts.encode_ordinary(" x")
+    assert own.texts.decode_bytes(run) == b" " * n
+    assert own.encode("a" + " " * (n + 1) + "x") == own.texts.encode_ordinary("a") + run + word
+    assert own.encode("a" + " " * n) == own.texts.encode_ordinary("a") + run
+    text = "word, " * 300_000
+    assert own.encode(text) == own.texts.encode_ordinary(text)
+
+
+def test_rows(make, own, brute):
+    texts = dict(enumerate(HARD))
+    docs = make([doc(i, t) for i, t in texts.items()] + [doc(99, None), doc(None, "x y"), doc(1, " ")])
+    rows = rank_bpe.rank_rows(docs.withColumn("packed", F.lit(1)).withColumn("id", F.lit("c")), *rank_file()).collect()
+    assert len(rows) == len(HARD) + 3
+    for r in rows:
+        text = "x y" if r.doc_id is None else texts.get(r.doc_id, "")
+        ids = brute(text)
+        assert r.n_tokens == len(ids)
+        assert r.ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256(text.encode()).hexdigest()
+    assert rank_bpe.rank_rows(make([]), *rank_file()).count() == 0
+
+
+def test_batches_of_any_size_and_null_ids(make, own, monkeypatch):
+    monkeypatch.setattr(rank_bpe, "BATCH_BYTES", 7)
+    docs = make([doc(i, "ab " * i) for i in range(40)], partitions=2)
+    rows = rank_bpe.encode(docs, *rank_file()).collect()
+    assert {r.doc_id: bytes(r.packed) for r in rows} == {i: np.array(own.encode("ab " * i), "<u4").tobytes() for i in range(40)}
+    none = make([], "doc_id string, packed binary").union(make([("z", None)], "doc_id string, packed binary"))
+    assert [(r.doc_id, r.decoded) for r in rank_bpe.decode(none, *rank_file()).collect()] == [("z", None)]

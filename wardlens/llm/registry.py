@@ -16,6 +16,7 @@ from . import (
     license_index,
     line_rules,
     oracle,
+    rank_bpe,
     secret_grammar,
     trie_bpe,
 )
@@ -29,6 +30,13 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def rank_file() -> tuple[str, str]:
+    """The rank file and the pattern that the contract names."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+
+
 def op1_site_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.page_rows(table(spark, sf_dir, "pages"))
 
@@ -69,6 +77,10 @@ def op10_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op13_rank_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank_bpe.rank_rows(table(spark, sf_dir, "documents"), *rank_file())
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_site_templates": op1_site_templates,
@@ -81,6 +93,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_chat_render": op8_chat_render,
         "op9_flow_reshard": op9_flow_reshard,
         "op10_line_rules": op10_line_rules,
+        "op13_rank_bpe": op13_rank_bpe,
     }
 
 
