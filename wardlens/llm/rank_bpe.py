@@ -36,7 +36,7 @@ LONG_RUN = 5_000  # characters of white space that are encoded apart; results do
 BATCH_BYTES = 4 << 20  # texts (or ids) handed on at once
 
 # The characters that the pattern's \s means.
-WHITE = r"\t-\r \x85\xa0  -     　"
+WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _SAFE = re.compile(r"(?<=[!-~])[ \n]")
 
 
