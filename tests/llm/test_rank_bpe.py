@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tests.llm.conftest import doc
-from wardlens.llm import rank_bpe
+from wardlens.llm import common, rank_bpe
 from wardlens.llm.registry import rank_file
 
 tiktoken = pytest.importorskip("tiktoken")
@@ -86,7 +86,7 @@ def test_rows(make, own, brute):
 
 
 def test_batches_of_any_size_and_null_ids(make, own, monkeypatch):
-    monkeypatch.setattr(rank_bpe, "BATCH_BYTES", 7)
+    monkeypatch.setattr(common, "PART_BYTES", 7)
     docs = make([doc(i, "ab " * i) for i in range(40)], partitions=2)
     rows = rank_bpe.encode(docs, *rank_file()).collect()
     assert {r.doc_id: bytes(r.packed) for r in rows} == {i: np.array(own.encode("ab " * i), "<u4").tobytes() for i in range(40)}

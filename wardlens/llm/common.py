@@ -6,7 +6,7 @@ import hashlib
 import io
 import uuid
 import zipfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 from ..session import delete_folder, scratch_path, write_bytes
 
 
+PART_BYTES = 4 << 20  # texts that a task handles at once; results do not depend on it
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables, whole."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -57,6 +60,21 @@ def map_arrow(df: DataFrame, run: Callable, schema) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
+def parts(batches: Iterator) -> Iterator:
+    """The rows of two-column batches in slices whose second column holds about ``PART_BYTES`` at most, or one row."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        lengths = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
+        group = np.cumsum(lengths, dtype=np.int64) // PART_BYTES
+        cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows]
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            yield batch.slice(a, b - a)
+
+
 def hash_sample(df: DataFrame, total: int, n: int, *cols: str) -> DataFrame:
     """About nine tenths of ``n`` rows of a table of ``total`` rows, never more than ``n``: those whose hash of
     ``cols`` is small, whatever the partitions. All rows if they are no more than ``n``. Each task hands

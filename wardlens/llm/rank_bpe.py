@@ -29,11 +29,10 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow
+from .common import map_arrow, parts
 
 SEGMENT = 50_000  # characters after which a text is cut at the next safe place; results do not depend on it
 LONG_RUN = 5_000  # characters of white space that are encoded apart; results do not depend on it
-BATCH_BYTES = 4 << 20  # texts (or ids) handed on at once
 
 # The characters that the pattern's \s means.
 WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -90,21 +89,6 @@ def loaded(path: str, pattern: str) -> RankBpe:
     return _LOADED[path, pattern]
 
 
-def parts(batches: Iterator, size: int = BATCH_BYTES) -> Iterator:
-    """The rows of two-column batches in slices whose second column holds about ``size`` bytes at most, or one row."""
-    import numpy as np
-    import pyarrow.compute as pc
-
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        lengths = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
-        group = np.cumsum(lengths, dtype=np.int64) // size
-        cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows]
-        for a, b in zip(cuts, cuts[1:], strict=False):
-            yield batch.slice(a, b - a)
-
-
 def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col`` and ``packed`` (the ids, little-endian unsigned 32-bit) of every whole text. ``path`` names the rank
     file, which must be installed on every executor."""

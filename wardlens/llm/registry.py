@@ -18,6 +18,7 @@ from . import (
     oracle,
     rank_bpe,
     secret_grammar,
+    token_align,
     trie_bpe,
 )
 from .common import table
@@ -77,6 +78,17 @@ def op10_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def aligned_paths() -> tuple[str, str]:
+    """The two vocabularies that the contract names, A and B."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op11_token_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_align.align_rows(table(spark, sf_dir, "documents"), *aligned_paths())
+
+
 def op13_rank_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rank_bpe.rank_rows(table(spark, sf_dir, "documents"), *rank_file())
 
@@ -93,6 +105,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_chat_render": op8_chat_render,
         "op9_flow_reshard": op9_flow_reshard,
         "op10_line_rules": op10_line_rules,
+        "op11_token_align": op11_token_align,
         "op13_rank_bpe": op13_rank_bpe,
     }
 
