@@ -3,6 +3,7 @@ flow) are tested against brute force, exact round trips or held-out accuracy."""
 
 from __future__ import annotations
 
+from . import divergence
 from . import license_index as lic
 from . import line_rules as rules
 from .chat_render import BODY, END, PROBE, TURN
@@ -105,3 +106,30 @@ def chat_render() -> str:
                  sum({marks} + {escaped('role')} + {escaped('text')}) AS formatted_chars FROM c GROUP BY conv_id)
     SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256,
            formatted_chars, TRUE AS append_only FROM g"""
+
+
+def source_divergence() -> str:
+    """Every kept term for every pair of sources, term by term."""
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    return rf"""
+    WITH d AS (SELECT row_number() OVER () AS rid, translate(coalesce(text, ''), '{upper}', '{lower}') AS text,
+                      coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents),
+    w AS (SELECT rid, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+    k AS (SELECT lang, term, count(*)::HUGEINT AS n FROM w GROUP BY lang, term HAVING count(DISTINCT rid) >= {divergence.MIN_DOCS}),
+    v AS (SELECT lang, count(*)::HUGEINT AS v, sum(n)::HUGEINT AS total FROM k GROUP BY lang),
+    g AS (SELECT DISTINCT lang, source FROM d),
+    c AS (SELECT w.lang, w.source, w.term, count(*)::HUGEINT AS n FROM w JOIN k USING (lang, term) GROUP BY ALL),
+    t AS (SELECT lang, source, sum(n)::HUGEINT AS total FROM c GROUP BY lang, source),
+    p AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+                 1 + {divergence.UNIT}::HUGEINT * (coalesce(c.n, 0) + 1) // (coalesce(t.total, 0) + v.v) AS p
+          FROM g JOIN k USING (lang) JOIN v USING (lang) LEFT JOIN t USING (lang, source) LEFT JOIN c USING (lang, source, term)),
+    q AS (SELECT lang, term, 1 + {divergence.UNIT}::HUGEINT * (n + 1) // (total + v) AS q FROM k JOIN v USING (lang)),
+    f AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+          FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+    r AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+          FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+          LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+          UNION ALL SELECT lang, source, 'term', term, ((p - q) * (p - q) // q)::BIGINT FROM p JOIN q USING (lang, term)
+          WHERE n > 0 AND p > q)
+    SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INTEGER AS rank FROM r
+    QUALIFY part = 'pair' OR rank <= {divergence.TOP_TERMS}"""

@@ -11,6 +11,7 @@ from . import (
     co_training,
     dart_minhash,
     decontaminate,
+    divergence,
     flow_reshard,
     html_extract,
     license_index,
@@ -89,6 +90,10 @@ def op11_token_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_align.align_rows(table(spark, sf_dir, "documents"), *aligned_paths())
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 def op13_rank_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rank_bpe.rank_rows(table(spark, sf_dir, "documents"), *rank_file())
 
@@ -106,6 +111,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_flow_reshard": op9_flow_reshard,
         "op10_line_rules": op10_line_rules,
         "op11_token_align": op11_token_align,
+        "op12_source_divergence": op12_source_divergence,
         "op13_rank_bpe": op13_rank_bpe,
     }
 
@@ -115,4 +121,5 @@ def all_oracles() -> dict[str, str]:
         "op4_license_scan": oracle.license_scan(),
         "op8_chat_render": oracle.chat_render(),
         "op10_line_rules": oracle.line_rules(),
+        "op12_source_divergence": oracle.source_divergence(),
     }
