@@ -124,4 +124,4 @@ def test_a_long_interval_without_cuts_is_one_group():
 def test_chunks_are_safe(sides, text):
     got = token_align.Block(*sides, [text])
     want = ";".join(",".join(map(str, xs)) + "|" + ",".join(map(str, ys)) for xs, ys in plain(sides, text))
-    assert got.groups[0].decode() == want
+    assert got.groups(0).decode() == want

@@ -28,7 +28,7 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import chain
 
 from pyspark.sql import DataFrame
@@ -36,7 +36,9 @@ from pyspark.sql import functions as F
 
 from .common import map_arrow, parts, ship_code, stored
 
-BLOCK_BYTES = 16 << 20  # text of a block; results do not depend on it
+BLOCK_BYTES = 4 << 20  # text of a block; results do not depend on it
+STEP = 10_000  # chunks that are handled as Python objects at once; results do not depend on it
+LOW = (1 << 32) - 1  # lower half of a pair of ids
 _CHUNK = re.compile(r"[ \n]\s*\S*(?:[^\S \n]\s*\S*)*")
 _SPACE = "▁"
 
@@ -63,10 +65,7 @@ class ByteSide:
             self.raw[i] = bytes(byte[c] for c in name)
 
     def encode(self, chunks: list[str]) -> list[list[int]]:
-        out: list[list[int]] = []
-        for k in range(0, len(chunks), 10_000):
-            out += [e.ids for e in self.library.encode_batch_fast(chunks[k:k + 10_000], add_special_tokens=False)]
-        return out
+        return [e.ids for e in self.library.encode_batch_fast(chunks, add_special_tokens=False)]
 
 
 class PieceSide:
@@ -80,7 +79,7 @@ class PieceSide:
         self.raw = [bytes([int(n[3:5], 16)]) if self.library.is_byte(i) else n.replace(_SPACE, " ").encode()
                     for i, n in enumerate(names)]
         self.space = self.library.piece_to_id(_SPACE)
-        #: whether no piece holds a blank after another character, or a line feed
+        # whether no piece holds a blank after another character, or a line feed
         self.chunks_apart = not any(re.search(f"[^{_SPACE}]{_SPACE}|\n", n) for n in names)
 
     def encode(self, chunks: list[str]) -> list[list[int]]:
@@ -169,6 +168,20 @@ def _distinct(keys, weights=None):
     return values, total
 
 
+def _encoded(side, chunks: list[str]):
+    """Per chunk its number of tokens and whether it is given back byte by byte, and all ids in a row."""
+    import numpy as np
+
+    sizes, good, flat = [], [], [np.zeros(0, np.int64)]
+    for k in range(0, len(chunks), STEP):
+        part = chunks[k:k + STEP]
+        ids = side.encode(part)
+        sizes += map(len, ids)
+        good += [b"".join([side.raw[i] for i in x]) == c.encode() for x, c in zip(ids, part, strict=True)]
+        flat.append(np.fromiter(chain.from_iterable(ids), np.int64, sum(sizes[k:])))
+    return np.array(sizes, np.int64), np.array(good, bool), np.concatenate(flat)
+
+
 def _strings(vocabulary: int, last: bytes) -> list[bytes]:
     return [b"%d," % i for i in range(vocabulary)] + [b"%d%s" % (i, last) for i in range(vocabulary)]
 
@@ -176,46 +189,46 @@ def _strings(vocabulary: int, last: bytes) -> list[bytes]:
 class Block:
     """The alignment of a block of texts."""
 
-    def __init__(self, a: ByteSide, b: PieceSide, texts: list[str | None]):
+    def __init__(self, a: ByteSide, b: PieceSide, texts: Iterable[str | None]):
         import numpy as np
 
         index: dict[str, int] = {}
-        of_text = []
+        self.chunks = []  # of each text
         for t in texts:
             chunks = (_CHUNK.findall(" " + t) if b.chunks_apart else [" " + t]) if t else ()
-            of_text.append([index.setdefault(c, len(index)) for c in chunks])
+            self.chunks.append(np.array([index.setdefault(c, len(index)) for c in chunks], np.int32))
         self._align(a, b, list(index))
-        sizes = np.array([len(c) for c in of_text], np.int64)
-        flat = np.fromiter(chain.from_iterable(of_text), np.int64, int(sizes.sum()))
+        del index
+        sizes = np.array([len(c) for c in self.chunks], np.int64)
+        flat = np.concatenate([np.zeros(0, np.int32), *self.chunks])
         # texts of which every chunk is given back
-        whole = _sums(~self.good[flat], sizes) == 0
+        self.whole = _sums(~self.good[flat], sizes) == 0
         row, _ = _spread(sizes)
-        keep = whole[row]
+        keep = self.whole[row]
         keys, self.times = _distinct(row[keep] << 32 | flat[keep])
-        row, self.words = keys >> 32, keys & (1 << 32) - 1
-        self.sizes = np.bincount(row, minlength=len(texts))
+        row, self.words = keys >> 32, keys & LOW
+        self.sizes = np.bincount(row, minlength=len(sizes))
         self.totals = [_sums(per_chunk[self.words] * self.times, self.sizes)
                        for per_chunk in (self.n_a, self.n_b, self.n_groups, self.n_links)]
-        self.groups = [b"".join([self.shown[c] for c in chunks])[:-1] if ok else b""
-                       for chunks, ok in zip(of_text, whole.tolist(), strict=True)]
         # documents of each pair: the distinct pairs of a text's chunks
-        per_word = self.pair_sizes[self.words]
-        word, place = _spread(per_word)
+        word, place = _spread(self.pair_sizes[self.words])
         start = np.cumsum(self.pair_sizes) - self.pair_sizes
         held = self.pair_of[start[self.words[word]] + place]
-        self.holders = np.bincount(np.unique(row[word] << 32 | held) & (1 << 32) - 1, minlength=len(self.keys))
+        self.holders = np.bincount(np.unique(row[word] << 32 | held) & LOW, minlength=len(self.keys))
+
+    def groups(self, text: int) -> bytes:
+        """The groups of a text as ``a1,a2|b1;a3|b2``."""
+        return b"".join([self.shown[c] for c in self.chunks[text].tolist()])[:-1] if self.whole[text] else b""
 
     def _align(self, a: ByteSide, b: PieceSide, chunks: list[str]) -> None:
         """Groups and links of the distinct chunks."""
         import numpy as np
 
-        ids = [side.encode(chunks) if chunks else [] for side in (a, b)]
-        said = [c.encode() for c in chunks]
-        self.good = np.array([b"".join([a.raw[i] for i in x]) == c == b"".join([b.raw[i] for i in y])
-                              for x, y, c in zip(*ids, said, strict=True)], bool)
-        ids = [[x for x, ok in zip(side, self.good, strict=True) if ok] for side in ids]
-        sizes = [np.array([len(x) for x in side], np.int64) for side in ids]
-        flat = [np.fromiter(chain.from_iterable(side), np.int64, int(n.sum())) for side, n in zip(ids, sizes, strict=True)]
+        sides = [_encoded(side, chunks) for side in (a, b)]
+        self.good = sides[0][1] & sides[1][1]
+        flat = [x[np.repeat(self.good, n)] for n, _, x in sides]
+        sizes = [n[self.good] for n, _, _ in sides]
+        del sides
         ends = [np.cumsum(np.array([len(t) for t in side.raw], np.int64)[x]) for side, x in zip((a, b), flat, strict=True)]
         hi = np.cumsum(sizes[0])
         cuts = shared_cuts(*ends, hi - sizes[0], hi)
@@ -228,36 +241,42 @@ class Block:
 
         count = len(chunks)
         good = np.flatnonzero(self.good)
+        groups = np.bincount(chunk, minlength=len(good))
 
         def per_chunk(values):
             out = np.zeros(count, np.int64)
             out[good] = values
             return out
 
-        self.n_a, self.n_b = per_chunk(sizes[0]), per_chunk(sizes[1])
-        self.n_groups = per_chunk(np.bincount(chunk, minlength=len(good)))
-        self.n_links = per_chunk(_sums(size_a * size_b, np.bincount(chunk, minlength=len(good))))
+        self.n_a, self.n_b, self.n_groups = per_chunk(sizes[0]), per_chunk(sizes[1]), per_chunk(groups)
+        self.n_links = per_chunk(_sums(size_a * size_b, groups))
 
         # a1,a2|b1; for each group, as one row of marks
-        marks = _strings(len(a.raw), b"|") + _strings(len(b.raw), b";")
-        code = np.zeros(len(flat[0]) + len(flat[1]), np.int64)
+        if not hasattr(a, "marks"):
+            a.marks = _strings(len(a.raw), b"|")
+        if not hasattr(b, "marks"):
+            b.marks = _strings(len(b.raw), b";")
+        marks, after = a.marks + b.marks, len(a.marks)
+        code = np.zeros(len(flat[0]) + len(flat[1]), np.int32)
         last_a, last_b = np.zeros(len(flat[0]), np.int64), np.zeros(len(flat[1]), np.int64)
         last_a[end_a - 1], last_b[end_b - 1] = 1, 1
         code[np.arange(len(flat[0])) + (end_b - size_b)[group_a]] = flat[0] + len(a.raw) * last_a
-        code[np.arange(len(flat[1])) + end_a[group_b]] = flat[1] + len(b.raw) * last_b + 2 * len(a.raw)
-        at, code = np.concatenate([[0], np.cumsum(self.n_a + self.n_b)]).tolist(), code.tolist()
-        self.shown = [b"".join([marks[m] for m in code[s:e]]) for s, e in zip(at[:-1], at[1:], strict=True)]
+        code[np.arange(len(flat[1])) + end_a[group_b]] = flat[1] + len(b.raw) * last_b + after
+        at = np.concatenate([[0], np.cumsum(self.n_a + self.n_b)])
+        self.shown: list[bytes] = []
+        for k in range(0, count, STEP):
+            ends_here = at[k:k + STEP + 1] - at[k]
+            here, spans = code[at[k]:at[k] + ends_here[-1]].tolist(), ends_here.tolist()
+            self.shown += [b"".join([marks[m] for m in here[s:e]]) for s, e in zip(spans, spans[1:], strict=False)]
 
         # links: the distinct ids of a group on both sides, with their numbers
         (of_a, times_a), (of_b, times_b) = _distinct(group_a << 32 | flat[0]), _distinct(group_b << 32 | flat[1])
         distinct_b = np.bincount(of_b >> 32, minlength=len(end_a))
         left, place = _spread(distinct_b[of_a >> 32])
         right = (np.cumsum(distinct_b) - distinct_b)[of_a[left] >> 32] + place
-        low = (1 << 32) - 1
-        pair = (of_a[left] & low) << 32 | of_b[right] & low
-        self.keys, index = np.unique(pair, return_inverse=True)
+        self.keys, index = np.unique((of_a[left] & LOW) << 32 | of_b[right] & LOW, return_inverse=True)
         entries, self.pair_times = _distinct(good[chunk[of_a[left] >> 32]] << 32 | index, times_a[left] * times_b[right])
-        self.pair_of = entries & low
+        self.pair_of = entries & LOW
         self.pair_sizes = np.bincount(entries >> 32, minlength=count)
 
 
@@ -278,25 +297,28 @@ def _blocks(docs: DataFrame, a_path: str, b_path: str, id_col: str, text_col: st
         task, number, size, held = TaskContext.get().partitionId(), 0, 0, []
 
         def rows():
-            ids = pa.chunked_array([p.column(0) for p in held]).combine_chunks()
-            got = Block(a, b, [t for p in held for t in p.column(1).to_pylist()])
-            n, block = len(ids), task << 32 | number
+            ids = pa.chunked_array([i for i, _ in held]).combine_chunks()
+            got = Block(a, b, chain.from_iterable(t.to_pylist() for _, t in held))
+            block = task << 32 | number
             ends = np.cumsum(got.sizes)
-            spans = list(zip((ends - got.sizes).tolist(), ends.tolist(), strict=True))
             words, times = got.words.astype("<i4"), got.times.astype("<i4")
-            docs_part = [ids, *(pa.array(t) for t in got.totals), pa.array([g.decode() for g in got.groups], pa.string()),
-                         pa.array(np.full(n, block)), pa.array([words[s:e].tobytes() for s, e in spans], pa.binary()),
-                         pa.array([times[s:e].tobytes() for s, e in spans], pa.binary())]
             types = [pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary(), pa.binary(), pa.binary()]
-            yield pa.RecordBatch.from_arrays(docs_part + [pa.nulls(n, t) for t in types], names=names)
-            alike = [pa.nulls(1, x.type) for x in docs_part]
-            alike[6] = pa.array([block])
+            for k in range(0, len(ids), 500):
+                some = range(k, min(k + 500, len(ids)))
+                n, spans = len(some), [slice(ends[i] - got.sizes[i], ends[i]) for i in some]
+                yield pa.RecordBatch.from_arrays([
+                    ids[k:k + n], *(pa.array(t[k:k + n]) for t in got.totals), pa.array([got.groups(i) for i in some], pa.string()),
+                    pa.array(np.full(n, block)), pa.array([words[x].tobytes() for x in spans], pa.binary()),
+                    pa.array([times[x].tobytes() for x in spans], pa.binary()), *(pa.nulls(n, t) for t in types)], names=names)
             lists = [[got.keys], [got.holders.astype(np.int32)], [got.pair_sizes.astype("<i4").tobytes()],
                      [got.pair_of.astype("<i4").tobytes()], [got.pair_times.astype("<i8").tobytes()]]
-            yield pa.RecordBatch.from_arrays(alike + [pa.array(x, t) for x, t in zip(lists, types, strict=True)], names=names)
+            yield pa.RecordBatch.from_arrays([
+                pa.nulls(1, ids.type), *[pa.nulls(1, pa.int64())] * 4, pa.nulls(1, pa.string()), pa.array([block]),
+                pa.nulls(1, pa.binary()), pa.nulls(1, pa.binary()),
+                *(pa.array(x, t) for x, t in zip(lists, types, strict=True))], names=names)
 
         for part in parts(batches):
-            held.append(part)
+            held.append((part.column(0), part.column(1)))
             size += part.column(1).nbytes
             if size >= BLOCK_BYTES:
                 yield from rows()
@@ -335,7 +357,7 @@ def pair_counts(docs: DataFrame, a_path: str, b_path: str, text_col: str = "text
     blocks = _blocks(docs.select(F.lit(None).cast("int").alias("id"), text_col), a_path, b_path, "id", text_col)
     kept = stored(blocks.filter("pair_keys is not null").select("block", "pair_keys", "holders"), "align-pairs")
     return _pair_counts(kept).filter("count > 0").select(
-        "a_id", F.col("pair").bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("b_id"), F.col("count").alias("n_docs"), "best")
+        "a_id", F.col("pair").bitwiseAND(F.lit(LOW)).cast("int").alias("b_id"), F.col("count").alias("n_docs"), "best")
 
 
 def _score(block, counts):
