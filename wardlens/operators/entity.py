@@ -86,7 +86,7 @@ def group_id(anchor) -> "F.Column":
     return F.when(anchor.isNotNull(), F.xxhash64(anchor))
 
 
-def _on_name(df: DataFrame, names: DataFrame, col: str) -> DataFrame:
+def on_name(df: DataFrame, names: DataFrame, col: str) -> DataFrame:
     """Rows with the columns of their name. Rows without a name match nothing; each gets a key of its own,
     so a third of the rows being nameless does not end in one partition."""
     spread = F.concat(F.lit("\x00"), F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).cast("string"))
@@ -94,7 +94,7 @@ def _on_name(df: DataFrame, names: DataFrame, col: str) -> DataFrame:
     return keyed.join(names.withColumnRenamed("entity_name", "_name"), "_name", "left").drop("_name")
 
 
-def _stripped(df: DataFrame, col: str, strip: str | None) -> DataFrame:
+def stripped(df: DataFrame, col: str, strip: str | None) -> DataFrame:
     return df.withColumn(col, strip_trailing(col, strip) if strip else F.col(col))
 
 
@@ -112,7 +112,7 @@ def resolve_entities(df: DataFrame, col: str = "hospital", strategy: str = "rare
         canonical = F.when(F.col("anchor") == "unknown", F.col("entity_name")).otherwise(canonical)
     m = m.select("entity_name", F.col("anchor").alias(anchor_col or f"{col}_anchor"),
                  canonical.alias(canonical_col or f"{col}_canonical")).filter(F.col("entity_name").isNotNull())
-    return _on_name(_stripped(df, col, strip), m, col)
+    return on_name(stripped(df, col, strip), m, col)
 
 
 def anchor_entity(df: DataFrame, col: str = "hospital", stopwords=ANCHOR_STOPWORDS, min_len: int = 3,
@@ -121,13 +121,13 @@ def anchor_entity(df: DataFrame, col: str = "hospital", stopwords=ANCHOR_STOPWOR
     names = cut_lineage(name_weights(df, col, strip))
     m = anchor_map(names, stopwords, min_len).filter(F.col("entity_name").isNotNull()).select(
         "entity_name", F.col("anchor").alias(f"{col}_anchor"))
-    return _on_name(_stripped(df, col, strip), m, col)
+    return on_name(stripped(df, col, strip), m, col)
 
 
 def first_long_token_entity(df: DataFrame, col: str = "hospital", stopwords=ANCHOR_STOPWORDS, min_len: int = 4,
                             strip: str | None = ",") -> DataFrame:
     """The first token of at least ``min_len`` letters, else the lowercased name: a row expression."""
-    return _stripped(df, col, strip).withColumn(
+    return stripped(df, col, strip).withColumn(
         f"{col}_anchor", F.coalesce(F.get(anchor_tokens(col, stopwords, min_len), 0), F.lower(col)))
 
 

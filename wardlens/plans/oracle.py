@@ -337,7 +337,28 @@ _ENTITY_CTES = f"WITH admissions AS ({ADMISSIONS}), {_NAMES}, {_TOKS}, {_COUNTS}
 _ROWS = "(SELECT rtrim(hospital, ',') AS hospital FROM admissions) r"
 STRIPPED = "rtrim(hospital, ',')"
 
+# Cosine of TF-IDF vectors over all pairs of names that share a token, in thousandths
+SIMILAR = 800
+_SIMILAR = (
+    f"WITH RECURSIVE admissions AS ({ADMISSIONS}), {_NAMES}, "
+    "words AS (SELECT hospital, unnest(list_filter(string_split(regexp_replace(lower(hospital), '[^a-z0-9]+', ' ', 'g'), ' '), "
+    "lambda x: x <> '')) AS token FROM names), "
+    "tf AS (SELECT hospital, token, count(*) AS n FROM words GROUP BY 1, 2), "
+    "idf AS (SELECT token, CAST(round(1000 * (ln(CAST(1 + (SELECT count(hospital) FROM names) AS DOUBLE) / (1 + count(*))) + 1)) "
+    "AS HUGEINT) AS w FROM tf GROUP BY 1), "
+    "vec AS (SELECT hospital, token, n * w AS w FROM tf JOIN idf USING (token)), "
+    "norm AS (SELECT hospital, sum(w * w) AS n2 FROM vec GROUP BY 1), "
+    "dots AS (SELECT a.hospital AS a, b.hospital AS b, sum(a.w * b.w) AS dot FROM vec a JOIN vec b "
+    "ON a.token = b.token AND a.hospital <> b.hospital GROUP BY 1, 2), "
+    "links AS (SELECT a, b FROM dots JOIN norm x ON x.hospital = a JOIN norm y ON y.hospital = b "
+    f"WHERE dot * dot * 1000000 >= x.n2 * y.n2 * {SIMILAR * SIMILAR}), "
+    "reach AS (SELECT hospital AS a, hospital AS b FROM names WHERE hospital IS NOT NULL "
+    "UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a) ")
+
 ENTITY = {
+    "similar_entities": _SIMILAR + (
+        "SELECT n.hospital AS entity_name, n.w AS name_rows, (SELECT min(b) FROM reach WHERE a = n.hospital) AS similar_group, "
+        "(SELECT count(*) FROM links WHERE a = n.hospital) AS n_links FROM names n"),
     "anchor_entity": (f"{_ENTITY_CTES} SELECT r.hospital, m.anchor AS hospital_anchor FROM {_ROWS} "
                       f"LEFT JOIN mapping m ON r.hospital = m.hospital"),
     "canonical_entity": (f"{_ENTITY_CTES} SELECT r.hospital, m.anchor AS hospital_anchor, c.canonical AS hospital_canonical "

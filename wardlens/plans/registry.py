@@ -16,6 +16,7 @@ from wardlens.operators import entity as EN
 from wardlens.operators import hierarchy as H
 from wardlens.operators import load as L
 from wardlens.operators import lookup as Y
+from wardlens.operators import similarity as SI
 from wardlens.operators.clean import clean_warehouse
 from wardlens.operators.errorlog import ErrorLog
 from wardlens.plans import oracle
@@ -141,6 +142,8 @@ ENTITY_QUERIES: dict[str, Query] = {
     "entity_audit_summary": lambda spark, d: EN.entity_audit_summary(standin.admissions(spark, d, ("hospital",))),
     "first_long_token_entity": lambda spark, d: EN.first_long_token_entity(
         standin.admissions(spark, d, ("hospital",))).select("hospital", "hospital_anchor"),
+    "similar_entities": lambda spark, d: SI.similar_entities(standin.admissions(spark, d, ("hospital",)),
+                                                             threshold=oracle.SIMILAR / 1000),
     "token_signature": lambda spark, d: EN.with_token_signature(standin.admissions(spark, d, ("hospital",))).select(
         "hospital", "hospital_clean"),
 }
