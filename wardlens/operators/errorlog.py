@@ -1,6 +1,6 @@
 """The central error log: a parquet table with one folder per run.
 
-A run (a batch load, a streaming epoch) writes its rows to its own folder, so a repeated run
+A run (a batch load, a streaming epoch) commits its rows as its own (``sources.committed``), so a repeated run
 replaces its rows instead of doubling them; rows of other runs are never touched. ``error_id`` is
 a hash of the run, the source row's key and the context: unique for a unique key.
 """
@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardlens.schema import ERROR_LOG
-from wardlens.session import path_exists, replace_folder
+from wardlens.sources.committed import Committed
 
 # Error numbers the reference's log carries for these failures.
 ERROR_NUMBERS = {"CAST_INVALID_INPUT": 8114, "DIVIDE_BY_ZERO": 8134, "RECURSION_LEVEL_LIMIT_EXCEEDED": 530}
@@ -52,19 +52,20 @@ class ErrorLog:
 
     def append(self, rows: DataFrame, run_id: str | None = None) -> None:
         """Write log rows; ``error_datetime`` defaults to the write time (GETDATE()). With a
-        ``run_id`` they take the place of what an earlier try of that run wrote (written beside
-        it first, then swapped); without one they are a run of their own."""
+        ``run_id`` they take the place of what an earlier try of that run wrote, by one commit;
+        without one they are a run of their own."""
         run = run_id or uuid.uuid4().hex
         out = rows.select(*LOG_COLUMNS).withColumn(
             "error_datetime", F.coalesce(F.col("error_datetime"), F.current_timestamp()))
-        written = f"{self.path}/_writing_{uuid.uuid4().hex}"
-        out.write.parquet(written)
-        replace_folder(self.spark, written, f"{self.path}/log_run={run}")
-
-    def read(self) -> DataFrame:
-        if not path_exists(self.spark, self.path):  # nothing logged yet; any read error raises
-            return self.spark.createDataFrame([], ERROR_LOG)
-        return self.spark.read.schema(ERROR_LOG).parquet(self.path).select(*LOG_COLUMNS)
+        self.table.replace_run(out, run)
+
+    @property
+    def table(self) -> Committed:
+        return Committed(self.spark, self.path, "log_run")
+
+    def read(self, run_id: str | None = None) -> DataFrame:
+        """The committed rows (of one run); none if nothing is logged yet, any read error raises."""
+        return self.table.read(ERROR_LOG, only=run_id)
 
     def search(self, context_like: str | None = None, columns: list[str] | None = None) -> DataFrame:
         """Newest first, optionally filtered by ``process_context LIKE``."""

@@ -4,24 +4,23 @@ row in one pass; bad rows are routed to the error log instead of failing the job
 The reference walks the batch with a cursor and a TRY/CATCH per row. Here every rule is a
 column expression; the batch is labelled once, then split into accepted and rejected rows.
 ``run_*`` helpers materialise the labelled batch once (a reliable checkpoint in the shared
-folder) before writing both outputs, so a non-deterministic input cannot land in both. A run owns
-one folder of the target and one of the log: a repeated run replaces both, and its own earlier
+folder) before writing both outputs, so a non-deterministic input cannot land in both. A run's rows
+in the target and in the log are commits (``sources.committed``): a repeated run replaces both, and its own earlier
 rows never count as existing.
 """
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 from wardlens.functions.dates import parse_date, stay_days
 from wardlens.functions.numeric import MONEY, money_per_day, safe_number, strict_number
 from wardlens.operators.errorlog import ErrorLog, log_rows
-from wardlens.session import cut_lineage, path_exists, replace_folder
+from wardlens.session import cut_lineage
+from wardlens.sources.committed import Committed
 
 
 @dataclass
@@ -240,33 +239,19 @@ def rejected_log_rows(rejected: DataFrame, name_col: str, run_id: str) -> DataFr
     return log_rows(rejected, run_id=run_id, key=key, number=number, message=reason, context=ctx, state=1)
 
 
-def existing_rows(spark: SparkSession, target_path: str, schema: StructType, part: str, own: str) -> DataFrame:
-    """Rows that other runs (folders ``<part>=<run>``) have loaded. Only a missing folder is an empty
-    table; anything that cannot be read raises."""
-    if not path_exists(spark, target_path):
-        return spark.createDataFrame([], schema)
-    whole = StructType([f for f in schema.fields if f.name != part] + [StructField(part, StringType())])
-    return spark.read.schema(whole).parquet(target_path).filter(F.col(part) != F.lit(own)).select(*schema.fieldNames())
-
-
-def write_run(df: DataFrame, target_path: str, part: str, run: str, partition_col: str | None = None) -> None:
-    """Write a run's rows beside the target, then put them in place of what the run wrote before."""
-    written = f"{target_path}/_writing_{uuid.uuid4().hex}"
-    writer = df.write.partitionBy(partition_col) if partition_col else df.write
-    writer.parquet(written)
-    replace_folder(df.sparkSession, written, f"{target_path}/{part}={run}")
-
-
 def run_constrained_load(batch: DataFrame, rules: Constraints, order_cols: list[str], target_path: str,
                          log: ErrorLog, name_col: str = "patient_name", run_id: str = "load", part: str = "run_id",
                          partition_col: str | None = None) -> dict:
-    """Label the batch once against what other runs have loaded into ``target_path``, write the
-    accepted rows to ``<target_path>/<part>=<run_id>`` and log every rejected row. A rerun of the same
-    ``run_id`` gives the same target and the same number of log rows."""
-    existing = existing_rows(batch.sparkSession, target_path, batch.schema, part, run_id)
+    """Label the batch once against the keys that other runs have loaded into ``target_path`` (their key index,
+    only the buckets that the batch's keys fall into; not the table), commit the accepted rows with their
+    keys as run ``run_id`` and log every rejected row. A rerun of the same ``run_id`` gives the same target and the
+    same number of log rows."""
+    target, keys = Committed(batch.sparkSession, target_path, part), list(rules.unique)
+    batch = cut_lineage(batch)
+    existing = target.existing_keys(batch.schema, keys, batch, without=run_id)
     labelled = cut_lineage(label_batch(batch, existing, rules, order_cols))
     res = split_labelled(labelled, batch.columns)
-    write_run(res.accepted, target_path, part, run_id, partition_col)
+    target.replace_run(res.accepted, run_id, partition_col, keys)
     log.append(rejected_log_rows(res.rejected, name_col, run_id), run_id)
     counts = labelled.agg(F.count(F.lit(1)).alias("rows"), F.count("reason").alias("rejected")).first()
     return {"rows": counts["rows"], "accepted": counts["rows"] - counts["rejected"], "rejected": counts["rejected"]}
@@ -274,12 +259,12 @@ def run_constrained_load(batch: DataFrame, rules: Constraints, order_cols: list[
 
 def run_typed_load(staging: DataFrame, target_path: str, log: ErrorLog, conversions: dict[str, str] | None = None,
                    *, key_col: str, name_col: str = "name", run_id: str = "load", part: str = "run_id") -> dict:
-    """Convert once (checkpointed), write the accepted rows to ``<target_path>/<part>=<run_id>`` and log the
-    failed conversions; a rerun replaces both. The counts come from the written rows."""
-    spark = staging.sparkSession
+    """Convert once (checkpointed), commit the accepted rows as run ``run_id`` and log the failed
+    conversions; a rerun replaces both. The counts come from the written rows."""
+    target = Committed(staging.sparkSession, target_path, part)
     res = load_typed(cut_lineage(staging), conversions, name_col=name_col, key_col=key_col, run_id=run_id)
-    write_run(res.accepted, target_path, part, run_id)
+    target.replace_run(res.accepted, run_id)
     log.append(res.rejected, run_id)
-    accepted = spark.read.schema(res.accepted.schema).parquet(f"{target_path}/{part}={run_id}").count()
-    rejected = spark.read.parquet(f"{log.path}/log_run={run_id}").count()
+    accepted = target.read(res.accepted.schema, only=run_id).count()
+    rejected = log.read(run_id).count()
     return {"rows": accepted + rejected, "accepted": accepted, "rejected": rejected}

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings that matter at scale. AQE re-plans joins (broadcast when the runtime size is
@@ -124,12 +126,56 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     fs.delete(target, True)
 
 
-def replace_folder(spark: SparkSession, written: str, final: str) -> None:
-    """Put a folder that was written whole in the place of ``final`` (which may exist)."""
-    fs, source = _file_system(spark, written)
-    target = spark._jvm.org.apache.hadoop.fs.Path(final)
-    fs.mkdirs(target.getParent())
-    if fs.exists(target):
-        fs.delete(target, True)
-    if not fs.rename(source, target):
-        raise OSError(f"cannot move {written} to {final}")
+def read_bytes(spark: SparkSession, path: str) -> bytes:
+    """A small file of the store that Spark reads."""
+    fs, target = _file_system(spark, path)
+    stream = fs.open(target)
+    try:
+        return bytes(stream.readAllBytes())
+    finally:
+        stream.close()
+
+
+def publish_bytes(spark: SparkSession, path: str, data: bytes) -> bool:
+    """A small file that appears whole or not at all, and only if there is none of that name (else False)."""
+    written = f"{path.rsplit('/', 1)[0]}/_{uuid.uuid4().hex}"
+    write_bytes(spark, written, data)
+    jvm = spark._jvm
+    options = spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 1)
+    options[0] = getattr(jvm.org.apache.hadoop.fs, "Options$Rename").NONE
+    _, source = _file_system(spark, written)
+    _, target = _file_system(spark, path)
+    files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(source.toUri(), spark._jsc.hadoopConfiguration())
+    try:
+        files.rename(source, target, options)
+    except Py4JJavaError as e:
+        delete_folder(spark, written)
+        if "FileAlreadyExists" in e.java_exception.getClass().getName():
+            return False
+        raise
+    return True
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its scheme, as Spark names files below it."""
+    fs, target = _file_system(spark, path)
+    return fs.makeQualified(target).toUri().toString()
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if there is no such folder."""
+    fs, target = _file_system(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(target)) if fs.exists(target) else []
+
+
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """Data files below a folder, relative to it: no name on the way begins with _ or . (as for Spark's readers)."""
+    fs, target = _file_system(spark, path)
+    if not fs.exists(target):
+        return []
+    base, out, found = fs.makeQualified(target).toUri().getPath().rstrip("/"), [], fs.listFiles(target, True)
+    while found.hasNext():
+        name = found.next().getPath().toUri().getPath()[len(base) + 1:]
+        if not any(part[0] in "_." for part in name.split("/")):
+            out.append(name)
+    return sorted(out)
