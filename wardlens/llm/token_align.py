@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from .common import map_arrow, parts, ship_code, stored
 
-BLOCK_BYTES = 4 << 20  # text of a block; results do not depend on it
+BLOCK_BYTES = 2 << 20  # text of a block; results do not depend on it
 STEP = 10_000  # chunks that are handled as Python objects at once; results do not depend on it
 LOW = (1 << 32) - 1  # lower half of a pair of ids
 _CHUNK = re.compile(r"[ \n]\s*\S*(?:[^\S \n]\s*\S*)*")
@@ -186,6 +186,19 @@ def _strings(vocabulary: int, last: bytes) -> list[bytes]:
     return [b"%d," % i for i in range(vocabulary)] + [b"%d%s" % (i, last) for i in range(vocabulary)]
 
 
+def _pack(values) -> bytes:
+    """32-bit numbers as four planes of bytes: the upper ones of small numbers are zeros, which stores compress away."""
+    return values.astype("<u4").view("u1").reshape(-1, 4).T.tobytes()
+
+
+def _unpack(packed: list[bytes]):
+    """All packed rows one after the other."""
+    import numpy as np
+
+    rows = [np.frombuffer(p, "u1").reshape(4, -1).T.reshape(-1) for p in packed]
+    return np.concatenate([np.zeros(0, "u1"), *rows]).view("<u4").astype(np.int64)
+
+
 class Block:
     """The alignment of a block of texts."""
 
@@ -301,17 +314,19 @@ def _blocks(docs: DataFrame, a_path: str, b_path: str, id_col: str, text_col: st
             got = Block(a, b, chain.from_iterable(t.to_pylist() for _, t in held))
             block = task << 32 | number
             ends = np.cumsum(got.sizes)
-            words, times = got.words.astype("<i4"), got.times.astype("<i4")
+            # a text's chunks rise: only the steps are stored
+            steps, starts = np.diff(got.words, prepend=0), (ends - got.sizes)[got.sizes > 0]
+            steps[starts] = got.words[starts]
             types = [pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary(), pa.binary(), pa.binary()]
             for k in range(0, len(ids), 500):
                 some = range(k, min(k + 500, len(ids)))
                 n, spans = len(some), [slice(ends[i] - got.sizes[i], ends[i]) for i in some]
                 yield pa.RecordBatch.from_arrays([
                     ids[k:k + n], *(pa.array(t[k:k + n]) for t in got.totals), pa.array([got.groups(i) for i in some], pa.string()),
-                    pa.array(np.full(n, block)), pa.array([words[x].tobytes() for x in spans], pa.binary()),
-                    pa.array([times[x].tobytes() for x in spans], pa.binary()), *(pa.nulls(n, t) for t in types)], names=names)
-            lists = [[got.keys], [got.holders.astype(np.int32)], [got.pair_sizes.astype("<i4").tobytes()],
-                     [got.pair_of.astype("<i4").tobytes()], [got.pair_times.astype("<i8").tobytes()]]
+                    pa.array(np.full(n, block)), pa.array([_pack(steps[x]) for x in spans], pa.binary()),
+                    pa.array([_pack(got.times[x]) for x in spans], pa.binary()), *(pa.nulls(n, t) for t in types)], names=names)
+            lists = [[got.keys], [got.holders.astype(np.int32)], [_pack(got.pair_sizes)], [_pack(got.pair_of)],
+                     [got.pair_times.astype("<i8").tobytes()]]
             yield pa.RecordBatch.from_arrays([
                 pa.nulls(1, ids.type), *[pa.nulls(1, pa.int64())] * 4, pa.nulls(1, pa.string()), pa.array([block]),
                 pa.nulls(1, pa.binary()), pa.nulls(1, pa.binary()),
@@ -371,15 +386,18 @@ def _score(block, counts):
     out = [block[c] for c in ("id", "n_a", "n_b", "n_groups", "n_links")]
     names = ["id", "n_a", "n_b", "n_groups", "n_links"]
     pos = counts["pos"].to_numpy()
-    sizes, pair_of, pair_times = (np.frombuffer(whole[c][0].as_py(), t) for c, t in (
-        ("pair_sizes", "<i4"), ("pair_of", "<i4"), ("pair_times", "<i8")))
-    words = [np.frombuffer(b"".join(block[c].to_pylist()), "<i4") for c in ("words", "times")]
-    per_doc = pc.binary_length(block["words"]).to_numpy() // 4
+    sizes, pair_of = (_unpack([whole[c][0].as_py()]) for c in ("pair_sizes", "pair_of"))
+    pair_times = np.frombuffer(whole["pair_times"][0].as_py(), "<i8")
+    steps, times = (_unpack(block[c].to_pylist()) for c in ("words", "times"))
+    per_doc = pc.binary_length(block["words"]).to_numpy().astype(np.int64) // 4
+    words = np.cumsum(steps)
+    start = np.cumsum(per_doc) - per_doc
+    words -= np.repeat(np.concatenate([[0], words])[start], per_doc)
     for name, column in (("n_best", "best"), ("count_sum", "count")):
         value = np.zeros(len(pos), np.int64)
         value[pos] = counts[column].to_numpy()
-        per_chunk = _sums(value[pair_of] * pair_times, sizes.astype(np.int64))
-        out.append(pa.array(_sums(per_chunk[words[0]] * words[1], per_doc.astype(np.int64))))
+        per_chunk = _sums(value[pair_of] * pair_times, sizes)
+        out.append(pa.array(_sums(per_chunk[words] * times, per_doc)))
         names.append(name)
     return pa.table([*out, block["digest"]], names=[*names, "digest"])
 
