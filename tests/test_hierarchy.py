@@ -102,3 +102,53 @@ def test_loop_equals_spark_recursive_cte(spark):
     got = H.walk_hierarchy(refs(spark)).select("patient_name", "depth", "from_department", "to_department",
                                                "referral_path").collect()
     assert sorted(map(tuple, got), key=repr) == expected
+
+
+def forest(seed, size=120):
+    """Trees with a deep chain, orphans and a cycle."""
+    import random
+    rng = random.Random(seed)
+    rows = []
+    for i in range(size):
+        parent = None if i == 0 or rng.random() < 0.05 else i - 1 if rng.random() < 0.8 else rng.randrange(i)
+        rows.append((i, f"p{i % 7}" if i % 11 else None, None, rng.choice(("A", "B", None)) if i % 5 == 0 else f"d{i % 4}", parent))
+    return rows + [(900, "o", None, "X", 899), (901, "o", None, "X", 900), (910, "c", None, "X", 911), (911, "c", None, "X", 910),
+                   (912, "c", None, "X", 912), (913, "c", None, "X", 910)]
+
+
+@pytest.mark.parametrize("seed,guard", [(1, None), (2, None), (3, 4), (4, 1), (5, 200)])
+def test_doubling_equals_the_walk(spark, seed, guard):
+    df = refs(spark, forest(seed))
+    want = H.walk_hierarchy(df, max_recursion=500, depth_guard=guard)
+    got = H.walk_by_doubling(df, max_recursion=500, depth_guard=guard)
+    assert got.columns == want.columns
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+
+
+def test_doubling_takes_log_rounds_and_keeps_the_limits(spark, monkeypatch):
+    chain = [(i, "p", None, f"d{i}", i - 1 if i else None) for i in range(100)]
+    cuts = []
+    real = H.cut_lineage
+    monkeypatch.setattr(H, "cut_lineage", lambda d: cuts.append(1) or real(d))
+    got = H.walk_by_doubling(refs(spark, chain), max_recursion=99).collect()
+    assert len(got) == 100 and max(r.depth for r in got) == 100 and len(cuts) == 1 + 7  # 2^7 steps reach over 99
+    two = refs(spark, chain + [(500 + i, "q", None, "e", 499 + i if i else None) for i in range(6)])
+    for limit in (98, 50, 3, 0):
+        with pytest.raises(H.RecursionLimitExceeded) as e:
+            H.walk_by_doubling(two, max_recursion=limit)
+        assert (e.value.max_recursion, e.value.unfinished) == (limit, 2 if limit < 5 else 1)
+    with pytest.raises(H.RecursionLimitExceeded) as e:
+        H.walk_hierarchy(two, max_recursion=3)
+    assert e.value.unfinished == 2
+    assert max(r.depth for r in H.walk_by_doubling(refs(spark, chain), max_recursion=9, depth_guard=10).collect()) == 10
+
+
+def test_doubling_refuses_repeated_ids_and_takes_composite_ones(spark):
+    with pytest.raises(ValueError):
+        H.walk_by_doubling(refs(spark, ROWS + [(2, "x", None, "y", 1)]))
+    rows = [(c, t, "p", "d", t - 1 if t else None) for c in (1, 2, None) for t in range(4)]
+    df = spark.createDataFrame(rows, "conv_id int, turn int, patient_name string, to_department string, parent_turn int")
+    ids, parents = ("conv_id", "turn"), ("conv_id", "parent_turn")
+    want = H.walk_hierarchy(df, ids, parents).collect()
+    assert sorted(map(tuple, H.walk_by_doubling(df, ids, parents).collect()), key=repr) == sorted(map(tuple, want), key=repr)
+    assert H.walk_by_doubling(refs(spark, [])).count() == 0

@@ -9,6 +9,9 @@ Limits, as in a recursive CTE: ``max_recursion`` counts recursive rounds (depth
 ``max_recursion + 1``); a walk that still has rows to expand after that many rounds fails with
 :class:`RecursionLimitExceeded`, never with a silently incomplete result. ``depth_guard``
 is the inline ``WHERE depth < n`` guard: rows at depth ``n`` are not expanded, silently.
+
+``walk_by_doubling`` gives the same rows for unique ids in about log2(depth) rounds: every row's pointer jumps to
+its ancestor's ancestor, and depths and paths are put together from the two halves.
 """
 
 from __future__ import annotations
@@ -133,3 +136,57 @@ def _walk(df, id_cols, parent_cols, root_label, step_label, max_recursion, depth
     for lv in levels[1:]:
         out = out.unionByName(lv)
     return out
+
+
+def walk_by_doubling(df: DataFrame, id_cols=("referral_id",), parent_cols=("parent_referral_id",),
+                     root_label: str = "patient_name", step_label: str = "to_department", max_recursion: int = 50,
+                     depth_guard: int | None = None, path_col: str = "referral_path", separator: str = " > ") -> DataFrame:
+    """H1-H3 from the roots, for ids that do not repeat: the rows, depths, paths and limits of ``walk_hierarchy``.
+
+    Each row holds a pointer to an ancestor, the number of steps to it and the path between. A round looks up the
+    pointer's own pointer (one equi-join on the id, so one match per row; AQE splits the rows below one ancestor), adds
+    the steps and joins the paths: after k rounds a pointer has gone 2^k steps or has arrived at a root. Rows that have
+    arrived are not looked up again. Each round is one reliable checkpoint. Rows below a missing parent or on a cycle
+    never arrive and are left out, as in a walk from the roots; they cost rounds up to log2 of the number of rows."""
+    id_cols, parent_cols = list(id_cols), list(parent_cols)
+    labels = [F.col(root_label), F.lit(separator), F.col(step_label)]
+    root = _no_parent(parent_cols)
+    keys = [F.col(c).alias(f"_k{i}") for i, c in enumerate(id_cols)]
+    state = cut_lineage(df.select(
+        F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), *keys,
+        *[F.when(~root, F.col(c)).alias(f"_a{i}") for i, c in enumerate(parent_cols)], root.alias("_done"),
+        F.when(root, 0).otherwise(1).alias("_steps"), F.when(root, F.concat(*labels)).otherwise(F.concat(*labels[1:])).alias("_path")))
+    known = [F.col(f"_k{i}") for i in range(len(id_cols))]
+    counted = state.filter(~_no_parent([f"_k{i}" for i in range(len(id_cols))])).groupBy(*known).count()
+    if not counted.filter("count > 1").isEmpty():
+        raise ValueError("ids repeat: a row may have several parents, use walk_hierarchy")
+    reach = state.count()  # no path is longer
+    if depth_guard is not None:
+        reach = min(reach, depth_guard)
+    gone = 1
+    while gone < reach and not state.filter("not _done").isEmpty():
+        up = state.select(*[F.col(f"_k{i}").alias(f"_u{i}") for i in range(len(id_cols))],
+                          *[F.col(f"_a{i}").alias(f"_b{i}") for i in range(len(id_cols))],
+                          F.col("_done").alias("_up_done"), F.col("_steps").alias("_up_steps"), F.col("_path").alias("_up_path"))
+        going, cond = state.filter("not _done"), None
+        for i in range(len(id_cols)):
+            x = going[f"_a{i}"] == up[f"_u{i}"]
+            cond = x if cond is None else cond & x
+        # an inner join: rows below a missing parent drop out
+        moved = going.join(up, cond).select(
+            "_row", *known, *[F.col(f"_b{i}").alias(f"_a{i}") for i in range(len(id_cols))], F.col("_up_done").alias("_done"),
+            (F.col("_steps") + F.col("_up_steps")).alias("_steps"), F.concat("_up_path", "_path").alias("_path"))
+        state = cut_lineage(state.filter("_done").unionByName(moved))
+        gone *= 2
+        deep = F.col("_done") & (F.col("_steps") > max_recursion)
+        if depth_guard is not None:
+            deep = deep & (F.col("_steps") < depth_guard)
+        over = state.filter(deep & (F.col("_steps") == max_recursion + 1)).count()
+        if over:
+            raise RecursionLimitExceeded(
+                f"The statement terminated. The maximum recursion {max_recursion} has been exhausted "
+                f"before statement completion.", max_recursion, over)
+    done = state.filter("_done")
+    if depth_guard is not None:
+        done = done.filter(F.col("_steps") < depth_guard)
+    return done.select("_row.*", (F.col("_steps") + 1).alias("depth"), F.col("_path").alias(path_col))
