@@ -27,6 +27,7 @@ columns of the input are ignored.
 from __future__ import annotations
 
 import json
+import os
 import re
 from collections.abc import Iterable, Iterator
 from itertools import chain
@@ -34,7 +35,7 @@ from itertools import chain
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow, parts, ship_code, stored
+from .common import give_back, map_arrow, parts, ship_code, stored
 
 BLOCK_BYTES = 2 << 20  # text of a block; results do not depend on it
 STEP = 10_000  # chunks that are handled as Python objects at once; results do not depend on it
@@ -49,6 +50,7 @@ class ByteSide:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; each further thread keeps memory of its own
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.library = Tokenizer.from_file(path)
@@ -318,8 +320,8 @@ def _blocks(docs: DataFrame, a_path: str, b_path: str, id_col: str, text_col: st
             steps, starts = np.diff(got.words, prepend=0), (ends - got.sizes)[got.sizes > 0]
             steps[starts] = got.words[starts]
             types = [pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary(), pa.binary(), pa.binary()]
-            for k in range(0, len(ids), 500):
-                some = range(k, min(k + 500, len(ids)))
+            for k in range(0, len(ids), 200):
+                some = range(k, min(k + 200, len(ids)))
                 n, spans = len(some), [slice(ends[i] - got.sizes[i], ends[i]) for i in some]
                 yield pa.RecordBatch.from_arrays([
                     ids[k:k + n], *(pa.array(t[k:k + n]) for t in got.totals), pa.array([got.groups(i) for i in some], pa.string()),
@@ -338,8 +340,11 @@ def _blocks(docs: DataFrame, a_path: str, b_path: str, id_col: str, text_col: st
             if size >= BLOCK_BYTES:
                 yield from rows()
                 number, size, held = number + 1, 0, []
+                give_back()
         if held:
             yield from rows()
+        held.clear()
+        give_back()
 
     names = ["id", *(c.split()[0] for c in _COLUMNS.split(", "))]
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
