@@ -101,3 +101,62 @@ def test_layout_prunes_and_reports_health(spark, scratch):
     health = {r.partition.rsplit("/", 1)[-1]: r for r in Y.layout_health(spark, path).collect()}
     assert set(health) == {"admission_type=Emergency", "admission_type=Elective", "admission_type=Urgent"}
     assert all(r.recommended_action == "REBUILD recommended" for r in health.values())  # all files are small
+
+
+def test_point_lookups_skip_files_by_either_column(spark, scratch):
+    import pyarrow.parquet as pq
+    rows = [(i, f"{(i * 7919) % 4000:05d}.{i % 100:02d}", i % 3) for i in range(4000)] + [(None, None, 1), (5, None, 2), (7, "", 3)]
+    df = spark.createDataFrame(rows, "id bigint, amount string, k int").repartition(5)
+    path = f"{scratch}/lookup"
+    Y.write_point_lookup_layout(df, path, "id", "amount", files=16)
+    table = spark.read.parquet(path)
+    files = [f.removeprefix("file://") for f in table.inputFiles()]
+    assert sorted(map(repr, table.collect())) == sorted(map(repr, df.collect())) and len(files) >= 12
+    spans = {}
+    for f in files:
+        meta = pq.ParquetFile(f).metadata
+        columns = {meta.schema.column(c).name: c for c in range(meta.num_columns)}
+        for name in ("id", "amount"):
+            stats = [meta.row_group(g).column(columns[name]).statistics for g in range(meta.num_row_groups)]
+            spans.setdefault(name, []).append((min(s.min for s in stats), max(s.max for s in stats)))
+    for name, value in (("id", 1234), ("amount", rows[1234][1])):
+        hit = sum(lo <= value <= hi for lo, hi in spans[name])
+        assert 1 <= hit <= len(files) // 2, (name, hit)  # min/max alone skip half of the files or more
+        got = K.typed_lookup(table, name, value)
+        assert [r.id for r in got.collect()] == [1234]
+        assert "EqualTo(" + name in got._jdf.queryExecution().executedPlan().toString()
+    Y.write_point_lookup_layout(df.limit(0), f"{scratch}/none", "id", "amount", files=4)
+    assert spark.read.schema(df.schema).parquet(f"{scratch}/none").count() == 0
+
+
+def test_rebuild_compacts_marked_folders_only(spark, scratch):
+    from wardlens.sources.committed import Committed
+    df = spark.range(6000).selectExpr("id", "case when id % 20 = 0 then 'rare' else 'often' end kind", "repeat(cast(id as string), 20) text")
+    table, schema = Committed(spark, f"{scratch}/t"), df.schema
+    table.replace_run(df.filter("kind = 'often'").repartition(9), "a", "kind")
+    table.replace_run(df.filter("kind = 'rare'").coalesce(1), "b", "kind", ["id"])
+    before = set(table.files())
+    small = 40_000
+    health = {r.partition: r for r in Y.table_health(table, schema, small).collect()}
+    assert set(health) == {"run_id=a/kind=often", "run_id=b/kind=rare"}
+    assert health["run_id=a/kind=often"].files == 9 and health["run_id=a/kind=often"].recommended_action.startswith("REBUILD")
+    size = health["run_id=a/kind=often"].bytes
+    done = Y.rebuild(table, schema, ["id"], "kind", target_bytes=size // 2, small_file_bytes=small)
+    assert done == {"folders": 1, "files": 9}
+    after = set(table.files())
+    assert {f for f in before if "kind=rare" in f} <= after and len(after) <= 4  # a folder of one file stays as it is
+    assert sorted(map(tuple, table.read(schema).collect())) == sorted(map(tuple, df.collect()))
+    again = {r.partition: r.recommended_action for r in Y.table_health(table, schema, 20_000).collect()}
+    assert again["run_id=a/kind=often"].startswith("OK")
+    assert Y.rebuild(table, schema, ["id"], "kind", small_file_bytes=20_000) == {"folders": 0, "files": 0}
+    assert table.existing_keys(schema, ["id"], df).filter("id % 20 = 0").count() == 300  # the other run keeps its index
+
+
+def test_health_of_paths_with_odd_names(spark, scratch):
+    from wardlens.sources.committed import Committed
+    df = spark.createDataFrame([(1, "a b"), (2, "x+y"), (3, "50%"), (4, None)], "id int, kind string")
+    table = Committed(spark, f"{scratch}/odd dir")
+    table.replace_run(df, "r 1", "kind")
+    assert {f.file for f in table.file_sizes(df.schema).collect()} == set(table.files())
+    assert table.delete(df.schema, F.col("kind") == "x+y", "kind") == {"files": 1, "rows": 1}
+    assert sorted((r.id, r.kind) for r in table.read(df.schema).collect()) == [(1, "a b"), (3, "50%"), (4, None)]

@@ -25,7 +25,7 @@ def test_query_matches_oracle(spark, con, name):
     assert res["status"] in ("match", "rows-only"), res
 
 
-ORDERED = ("monthly_report", "monthly_admissions", "cases_by_gender", "top_conditions_by_gender", "medication_by_condition",
+ORDERED = ("error_log_newest_first", "admissions_by_type_spread", "monthly_report", "monthly_admissions", "cases_by_gender", "top_conditions_by_gender", "medication_by_condition",
            "hospital_condition_summary", "top_conditions_by_hospital", "cost_by_condition_hospital", "condition_by_type",
            "results_by_type", "cost_bands", "filtered_summary", "admissions_by_type", "longest_stays", "busiest_hospitals",
            "quietest_hospitals", "referral_chain", "referral_chain_guarded", "billing_preview")

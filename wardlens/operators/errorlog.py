@@ -32,15 +32,15 @@ def error_id(*parts: Column) -> Column:
 
 def log_rows(df: DataFrame, *, run_id: str, key: Column, number: Column | int, message: Column | str,
              context: Column | str, severity: int = 16, state: int = 1, procedure: str | None = None,
-             line: int | None = None) -> DataFrame:
-    """Shape rejected rows as error-log rows (the timestamp is set at write time)."""
+             line: int | None = None, at: Column | None = None) -> DataFrame:
+    """Shape rejected rows as error-log rows (the timestamp is set at write time, unless ``at`` gives it)."""
     lit = lambda v, t: v if isinstance(v, Column) else F.lit(v).cast(t)
     return df.select(
         error_id(F.lit(run_id), key, lit(context, "string")).alias("error_id"),
         lit(number, "int").alias("error_number"), F.lit(severity).cast("int").alias("error_severity"),
         F.lit(state).cast("int").alias("error_state"), F.lit(procedure).cast("string").alias("error_procedure"),
         F.lit(line).cast("int").alias("error_line"), lit(message, "string").alias("error_message"),
-        F.lit(None).cast("timestamp").alias("error_datetime"), lit(context, "string").alias("process_context"))
+        (F.lit(None) if at is None else at).cast("timestamp").alias("error_datetime"), lit(context, "string").alias("process_context"))
 
 
 @dataclass

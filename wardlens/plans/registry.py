@@ -19,7 +19,7 @@ from wardlens.operators import lookup as Y
 from wardlens.operators import similarity as SI
 from wardlens.operators.clean import clean_warehouse
 from wardlens.operators.errorlog import ErrorLog
-from wardlens.plans import oracle
+from wardlens.plans import oracle, storage
 from wardlens.plans import reports as R
 from wardlens.session import scratch_path
 from wardlens.sources import standin
@@ -311,7 +311,7 @@ LOOKUP_QUERIES: dict[str, Query] = {
 def all_queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     for group in (REPORT_QUERIES, CLEANING_QUERIES, ENTITY_QUERIES, LOADING_QUERIES, HIERARCHY_QUERIES, SINK_QUERIES,
-                  LOOKUP_QUERIES):
+                  LOOKUP_QUERIES, storage.QUERIES):
         out.update(group)
     return out
 
@@ -319,6 +319,6 @@ def all_queries() -> dict[str, Query]:
 def all_oracles() -> dict[str, str]:
     out: dict[str, str] = {}
     for group in (oracle.REPORTS, oracle.CLEANING, oracle.ENTITY, oracle.LOADING, oracle.HIERARCHY, oracle.SINKS,
-                  oracle.LOOKUP):
+                  oracle.LOOKUP, storage.ORACLES):
         out.update(group)
     return out

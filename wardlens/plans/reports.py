@@ -15,6 +15,7 @@ from wardlens.functions.numeric import (
     RATIO_SCALE, cents, exact_round, exact_trunc, money_avg_rounded, pct, pct_decimal, ratio_avg, ratio_units,
     safe_number,
 )
+from wardlens.operators.numbering import total_order
 from wardlens.operators.ranking import labelled_counts, rank_within, share_of_total, share_within, top_n
 
 
@@ -260,12 +261,13 @@ def value_distribution(df: DataFrame, column: str) -> DataFrame:
     return share_of_total(counts, "row_count", "pct_of_total", share=pct_decimal)
 
 
-def admissions_by_type(df: DataFrame, admission_type: str) -> DataFrame:
+def admissions_by_type(df: DataFrame, admission_type: str, spread_copies: bool = False) -> DataFrame:
     """Q22: admissions of one type, newest first. The literal is typed like the column, so the
     equality reaches the scan as a pushed filter whatever the value's skew. The extra sort keys
-    make the order total, and let the range partitioner split a date that holds many rows."""
-    return (df.filter(F.col("admission_type") == F.lit(admission_type))
-              .select(F.col("name").alias("patient_name"), "medical_condition", "admission_type",
-                      "billing_amount", "admission_date")
-              .orderBy(F.col("admission_date").desc_nulls_last(), F.col("patient_name").asc_nulls_last(),
-                       F.col("medical_condition").asc_nulls_last(), F.col("billing_amount").asc_nulls_last()))
+    make the order total, and let the range partitioner split a date that holds many rows. ``spread_copies`` also
+    splits a group of equal rows, for one more write of the rows (``numbering.total_order``)."""
+    rows = df.filter(F.col("admission_type") == F.lit(admission_type)).select(
+        F.col("name").alias("patient_name"), "medical_condition", "admission_type", "billing_amount", "admission_date")
+    order = [F.col("admission_date").desc_nulls_last(), F.col("patient_name").asc_nulls_last(),
+             F.col("medical_condition").asc_nulls_last(), F.col("billing_amount").asc_nulls_last()]
+    return total_order(rows, order) if spread_copies else rows.orderBy(*order)

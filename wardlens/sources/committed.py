@@ -179,16 +179,23 @@ class Committed:
         gone = F.coalesce(predicate, F.lit(False))
         found = (rows.filter(gone).groupBy(F.col("_metadata.file_path").alias("file")).count().collect() if live else [])
         hit = {self._relative(r["file"]): r["count"] for r in found}  # names of files, not rows
-        if not hit:
-            return {"files": 0, "rows": 0}
+        self._rewrite(base, lists, set(hit), self._scan(schema, list(hit), [run]).filter(~gone), schema, partition_col, keys)
+        return {"files": len(hit), "rows": sum(hit.values())}
+
+    def _rewrite(self, base: dict, lists: dict[str, dict], hit: set[str], rows: DataFrame, schema: StructType,
+                 partition_col: str | None, keys: list[str] | None) -> None:
+        """Commit ``rows`` (with their run) in place of the files ``hit``; other files stay. With ``keys`` the index
+        of the runs concerned is written again, else they keep theirs."""
         changed = {r: entry for r, entry in lists.items() if any(f in hit for f in entry["files"])}
+        if not changed:
+            return
         before = {r: set(self._listed(f"{self.part}={r}")) for r in changed}
-        kept = self._scan(schema, list(hit), [run]).filter(~gone)
-        kept.write.mode("append").partitionBy(self.part, *([partition_col] if partition_col else [])).parquet(self.path)
+        rows.write.mode("append").partitionBy(self.part, *([partition_col] if partition_col else [])).parquet(self.path)
         for r in changed:
             files = [f for f in changed[r]["files"] if f not in hit]
             files += [f for f in self._listed(f"{self.part}={r}") if f not in before[r]]
-            changed[r] = {"files": files, "keys": self._write_keys(r, keys, self._scan(schema, files, [])) if keys else None}
+            index = self._write_keys(r, keys, self._scan(schema, files, [])) if keys else lists[r]["keys"]
+            changed[r] = {"files": files, "keys": index}
         try:
             self._commit(base, changed)
         except CommitConflict:  # other runs may have been added meanwhile, these must be as they were
@@ -197,7 +204,32 @@ class Committed:
                 raise StaleRewrite(f"runs {sorted(changed)} of {self.path} have changed") from None
             self._commit_on_latest(changed)
         self._clean(list(changed))
-        return {"files": len(hit), "rows": sum(hit.values())}
+
+    def file_sizes(self, schema: StructType) -> DataFrame:
+        """``file`` (relative), ``folder`` and ``bytes`` of every file that counts and has rows, from the scan's metadata."""
+        base = unquote(urlparse(S.qualified(self.spark, self.path)).path).rstrip("/")
+        names = self.spark.createDataFrame([], "file string, bytes bigint")
+        files = self.files()
+        if files:
+            names = (self._scan(schema, files, [StructField(self.part, StringType())])
+                     .groupBy(F.col("_metadata.file_path").alias("uri"), F.col("_metadata.file_size").alias("bytes")).count())
+            path = F.url_decode(F.replace(F.regexp_replace("uri", "^[a-z0-9]+:(//[^/]*)?/", "/"), F.lit("+"), F.lit("%2B")))
+            names = names.select(F.substring(path, len(base) + 2, 1 << 30).alias("file"), "bytes")
+        return names.withColumn("folder", F.regexp_extract("file", "^(.*)/[^/]+$", 1))
+
+    def compact(self, schema: StructType, folders: list[str], pieces: int, order: list[str], partition_col: str | None = None) -> int:
+        """Write the files of some folders again as about ``pieces`` files, sorted by ``order`` inside; the rows stay
+        in their folders and runs. The number of files that went."""
+        base = self.manifest()
+        lists = {run: self._lists(run, entry) for run, entry in base["runs"].items()}
+        wanted = set(folders)
+        hit = {f for entry in lists.values() for f in entry["files"] if f.rsplit("/", 1)[0] in wanted}
+        rows = self._scan(schema, sorted(hit), [StructField(self.part, StringType())])
+        keys = [self.part, *([partition_col] if partition_col else []), *order]
+        spread = F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns])
+        self._rewrite(base, lists, hit, rows.repartitionByRange(max(pieces, 1), *keys, spread).sortWithinPartitions(*keys),
+                      schema, partition_col, None)
+        return len(hit)
 
     def _relative(self, file: str) -> str:
         base = unquote(urlparse(S.qualified(self.spark, self.path)).path).rstrip("/")

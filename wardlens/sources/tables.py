@@ -63,10 +63,13 @@ def describe_columns(df: DataFrame) -> list[tuple[str, str]]:
     return [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
 
 
-def profile(df: DataFrame, distinct: bool = True) -> DataFrame:
+def profile(df: DataFrame, distinct: bool | str = True) -> DataFrame:
     """Per column: type, non-null count, null count and (``distinct``) the HyperLogLog++ distinct
-    count. One aggregate over the table: partial counts per task, no row is shuffled."""
+    count. One aggregate over the table: partial counts per task, no row is shuffled. ``distinct="exact"`` counts the
+    distinct values themselves, still in one scan: each column's values are counted per task and shuffled by value."""
     fields = df.schema.fields
+    if distinct == "exact":
+        return _exact_profile(df)
     names = ["non_null", "null_count"] + (["distinct_values"] if distinct else [])
     aggs = []
     for i, f in enumerate(fields):
@@ -78,3 +81,15 @@ def profile(df: DataFrame, distinct: bool = True) -> DataFrame:
     parts = [", ".join([f"'{f.name}'", f"'{f.dataType.simpleString()}'", *(f"{n}_{i}" for n in names)])
              for i, f in enumerate(fields)]
     return wide.select(F.expr(f"stack({len(parts)}, {', '.join(parts)}) as (column_name, data_type, {', '.join(names)})"))
+
+
+def _exact_profile(df: DataFrame) -> DataFrame:
+    cells = [F.struct(F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("data_type"),
+                      F.col(f"`{f.name}`").cast("string").alias("value"), F.lit(1).cast("bigint").alias("n")) for f in df.schema.fields]
+    values = df.select(F.inline(F.array(*cells)))
+    none = df.sparkSession.createDataFrame([(c, t, None, 0) for c, t in describe_columns(df)], values.schema)  # an empty table has columns
+    counts = values.unionByName(none).groupBy("column_name", "data_type", "value").agg(F.sum("n").alias("n"))
+    given = F.col("value").isNotNull()
+    return counts.groupBy("column_name", "data_type").agg(
+        F.sum(F.when(given, F.col("n")).otherwise(0)).alias("non_null"), F.sum(F.when(~given, F.col("n")).otherwise(0)).alias("null_count"),
+        F.count("value").alias("distinct_values"))
