@@ -113,3 +113,40 @@ def test_unparsed_dates_report(spark):
     assert got == {"admission_date": (2, 0), "discharge_date": (1, 1)}
     names = spark.createDataFrame([("o'neil-SMITH", "Smith Ltd")], "name string, hospital string")
     assert clean_warehouse(names, name_style="title").first().name == "O'Neil-Smith"
+
+
+def test_ratio_average_equals_exact_fractions(spark):
+    """Random signed sums over many denominators, ties and sums of fractions that make up whole numbers."""
+    import random
+    from fractions import Fraction
+    rng, rows, want = random.Random(3), [], {}
+
+    def add(group, parts):
+        rows.extend((group, *p) for p in parts)
+        used = [(c, d, n) for c, d, n in parts if d and c is not None]
+        want[group] = (sum(Fraction(c, d) for c, d, _ in used) / 100 / sum(n for *_, n in used)) if used else None
+
+    for g in range(300):
+        days = rng.sample(range(1, 61), rng.randint(1, 25))
+        add(g, [(rng.choice((-1, 1, 1)) * rng.randrange(10 ** rng.choice((1, 4, 18))), d, rng.randrange(1, 10 ** rng.choice((1, 3)))) for d in days])
+    for g in range(300, 500):  # a tie of half a cent exactly, made of fractions; and just beside it
+        days = rng.sample(range(2, 61), 12)
+        cents = [rng.randrange(10 ** 9) for _ in days]
+        short = -sum(Fraction(c, d) for c, d in zip(cents, days, strict=True)) % 1
+        n = rng.choice((1, 3))
+        add(g, [(c, d, n) for c, d in zip(cents, days, strict=True)] + ([(short.numerator, short.denominator, 1)] if short.denominator < 2**31 else [])
+            + [(rng.choice((0, 50, 49, 51)), 1, 1)])
+    add(500, [(None, 3, 0), (5, 0, 2), (7, None, 1)])
+    add(501, [(1, -3, 1), (-1, 6, 2), (10, 7, 1)])
+    add(502, [(-5, 10, 1)])  # half a cent below zero goes away from zero
+    add(503, [(1, 3, 1), (2, 3, 1), (-1, 2, 2)])
+    df = spark.createDataFrame([(g, None if c is None else Decimal(c), d, n) for g, c, d, n in rows], "g int, c decimal(38,0), d int, n bigint")
+    for scale in (2, 12):
+        got = {r.g: r.v for r in df.groupBy("g").agg(numeric.ratio_avg("c", "d", "n", scale).alias("v")).collect()}
+        for g, v in want.items():
+            if v is None:
+                assert got[g] is None
+                continue
+            x = abs(v) * 10 ** scale
+            units = (2 * x.numerator + x.denominator) // (2 * x.denominator)
+            assert got[g] == (units if v >= 0 else -units) / float(10 ** scale), (g, v)

@@ -64,6 +64,6 @@ def test_scale_conf_sizes_shuffles():
 
 def test_exact_profile(spark):
     df = spark.createDataFrame([(1, "a", None), (2, "a", None), (None, "b", None)], "i int, s string, n double")
-    got = {r.column_name: tuple(r)[1:] for r in T.profile(df, distinct="exact").collect()}
+    got = {r.column_name: tuple(r)[1:] for r in tables.profile(df, distinct="exact").collect()}
     assert got == {"i": ("int", 2, 1, 2), "s": ("string", 3, 0, 2), "n": ("double", 0, 3, 0)}
-    assert {tuple(r)[2:] for r in T.profile(df.limit(0), distinct="exact").collect()} == {(0, 0, 0)}
+    assert {tuple(r)[2:] for r in tables.profile(df.limit(0), distinct="exact").collect()} == {(0, 0, 0)}

@@ -7,6 +7,8 @@ double. This gives the same digits on every engine, where ``round(double)`` does
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -123,24 +125,44 @@ def money_avg(col) -> Column:
     return F.when(n > 0, s.cast("double") / (n * F.lit(100)).cast("double"))
 
 
-# Units of a ratio sum: 10^-RATIO_SCALE.
+# Decimals to which an average of ratios is given where it is not rounded to cents.
 RATIO_SCALE = 12
-
-
-def ratio_units(sum_cents, den) -> Column:
-    """sum_cents / 100 / den in units of 10^-RATIO_SCALE: the sum of a ratio over rows that share the
-    denominator, rounded once. NULL when the denominator is 0 or NULL (SAFE_DIVIDE)."""
-    return half_up_units(sum_cents, _c(den).cast("decimal(38,0)") * F.lit(100), RATIO_SCALE)
-
-
-def ratio_avg(units, count, scale: int) -> Column:
-    """ROUND(AVG(ratio), scale) from ``ratio_units`` per distinct denominator and their row counts: an
-    aggregate expression. Each part is at most half a unit off; half a unit per part, away from
-    zero, keeps an exact tie a tie."""
-    total = F.sum(_c(units))
-    slack = F.ceil(F.count(_c(units)) / 2).cast("decimal(38,0)")
-    nudged = total + F.when(total < 0, -slack).otherwise(slack)
-    return exact_round(nudged, F.sum(_c(count)).cast("decimal(38,0)") * F.lit(10 ** RATIO_SCALE), scale)
+# Units of the sum of the remainders of ratios: 10^-28, so a remainder of a 32-bit denominator fits 38 digits.
+_PART = Decimal(10 ** 28)
+
+
+def ratio_avg(sum_cents, den, count, scale: int) -> Column:
+    """ROUND(AVG(money / den), scale), half away from zero: an aggregate over rows that hold, per distinct denominator,
+    its sum of cents and its number of ratios (a zero or NULL denominator, or NULL sum, drops out, as SAFE_DIVIDE).
+
+    Twice the sum of ratios in units of the last decimal is, per denominator, a whole quotient and a remainder over the
+    denominator. The quotients add up as integers; of the remainders' sum only the whole part, and whether anything is
+    left, can change the rounding, and both are read from integers in units of 10^-28. Nothing is rounded per row or per
+    denominator. The number of rows does not matter; the result is exact if the least common multiple of the
+    denominators times their number is below 10^28, which holds for all lengths of stay up to 60 days, and beyond
+    unless a sum of fractions comes as near as that to a whole number without being one."""
+    whole = "decimal(38,0)"
+    zero, one = F.lit(0).cast(whole), F.lit(1).cast(whole)
+    d = F.nullif(_c(den).cast("bigint"), F.lit(0).cast("bigint")).cast(whole)
+    size = F.abs(d)
+    n = F.when(d < 0, -_c(sum_cents).cast(whole)).otherwise(_c(sum_cents).cast(whole)) * F.lit(2 * 10 ** scale)
+    over = F.abs(n) % size
+    down = (n < 0) & (over > 0)  # floor, not towards zero
+    quotient = F.when(n < 0, -_idiv(F.abs(n), size)).otherwise(_idiv(F.abs(n), size)) - F.when(down, one).otherwise(zero)
+    rest = F.when(down, size - over).otherwise(over).cast("decimal(10,0)") * F.lit(_PART)
+    used = d.isNotNull() & _c(sum_cents).isNotNull()
+    quotients, parts = F.sum(F.when(used, quotient)), F.sum(F.when(used, _idiv(rest.cast(whole), size)))
+    inexact = F.count_if(used & (rest.cast(whole) % size > 0)).cast(whole)
+    unit = F.lit(_PART).cast(whole)
+    ceiling = _idiv(parts, unit) + one
+    reached = (inexact > 0) & (parts + inexact >= ceiling * unit)  # the remainders make up the next whole number
+    low = quotients + F.when(reached, ceiling).otherwise(_idiv(parts, unit))
+    more = F.when(~reached & ((inexact > 0) | (parts % unit > 0)), one).otherwise(zero)
+    total = F.sum(F.when(used, _c(count))).cast(whole) * F.lit(100)
+    twice = F.nullif(total * F.lit(2), zero)
+    up = _idiv(low + total, twice)
+    units = F.when(low >= 0, up).otherwise(-_idiv(-(low + more) + total, twice))
+    return units.cast("double") / F.lit(float(10 ** scale))
 
 
 def pct_decimal(part, whole) -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from wardlens.functions.dates import between_dates, stay_days
 from wardlens.functions.numeric import (
-    RATIO_SCALE, cents, exact_round, exact_trunc, money_avg_rounded, pct, pct_decimal, ratio_avg, ratio_units,
+    RATIO_SCALE, cents, exact_round, exact_trunc, money_avg_rounded, pct, pct_decimal, ratio_avg,
     safe_number,
 )
 from wardlens.operators.numbering import total_order
@@ -138,19 +138,17 @@ def cost_by_condition_hospital(df: DataFrame, hospital: str = "hospital") -> Dat
     parts = _per_stay(df, ["medical_condition", hospital])
     return (parts.groupBy("medical_condition", hospital)
                  .agg(exact_round(F.sum("_cents"), F.sum("_bills") * F.lit(100), 2).alias("avg_total_bill"),
-                      ratio_avg("_units", "_ratios", 2).alias("avg_cost_per_day"),
+                      ratio_avg("_cents", "_stay", "_bills", 2).alias("avg_cost_per_day"),
                       F.coalesce(F.sum(F.when(F.col("_stay") == 0, F.col("_rows"))), F.lit(0)).alias("zero_stay_anomalies"))
                  .orderBy(*_by("-avg_cost_per_day", "medical_condition", hospital)))
 
 
 def _per_stay(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Exact sums per key and length of stay: rows, bills, cents, and the sum of cents per day over the
-    rows (``_units``, of ``_ratios`` rows). An average of ratios is then rounded once, not per row."""
-    parts = df.groupBy(*keys, _stay().alias("_stay")).agg(
+    """Exact sums per key and length of stay: rows, bills and cents. An average of ratios is then rounded once, not
+    per row."""
+    return df.groupBy(*keys, _stay().alias("_stay")).agg(
         F.count(F.lit(1)).alias("_rows"), F.count("billing_amount").alias("_bills"),
         F.sum(cents("billing_amount")).alias("_cents"))
-    return (parts.withColumn("_units", ratio_units("_cents", "_stay"))
-                 .withColumn("_ratios", F.when(F.col("_units").isNotNull(), F.col("_bills"))))
 
 
 def busiest_hospitals(df: DataFrame, n: int = 5, ascending: bool = False, hospital: str = "hospital") -> DataFrame:
@@ -217,7 +215,7 @@ def billing_vs_daily_cost(df: DataFrame) -> DataFrame:
     bill = F.when(F.sum("_bills") > 0, F.sum("_cents").cast("double") / (F.sum("_bills") * F.lit(100)).cast("double"))
     return labelled_counts(_per_stay(df, []), {"Average Billing": None, "Average Cost Per Day": None}, "metric", "value",
                            value_exprs={"Average Billing": bill,
-                                        "Average Cost Per Day": ratio_avg("_units", "_ratios", RATIO_SCALE)})
+                                        "Average Cost Per Day": ratio_avg("_cents", "_stay", "_bills", RATIO_SCALE)})
 
 
 def hospital_count(df: DataFrame, hospital: str = "hospital", approx: bool = False) -> DataFrame:
