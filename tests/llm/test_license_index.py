@@ -72,3 +72,69 @@ def test_words_elsewhere_in_the_file_hide_no_notice(make):
     rows += [doc(k, grant.replace("associated documentation ", "")) for k in range(1, 6)]
     got = {r.doc_id: r for r in lic.license_rows(make(rows)).collect()}
     assert got[0].labels == "mit-grant" and got[0].score == len(cut.split()) / len(grant.split())
+
+
+HEADERS = {
+    "gpl-3-header": "This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU General Public "
+                    "License as published by\n# the Free Software Foundation, either version 3 of the License, or\n# (at your option) any later version.",
+    "lgpl-2.1-header": "This library is free software; you can redistribute it and/or\nmodify it under the terms of the GNU Lesser General Public\n"
+                       "License as published by the Free Software Foundation; either\nversion 2.1 of the License, or (at your option) any later version.",
+    "agpl": "it under the terms of the GNU Affero General Public License as published by",
+    "apache-2.0-header": "you may not use this file except in compliance with the License.\nYou may obtain a copy of the License at\n\n"
+                         "    http://www.apache.org/licenses/LICENSE-2.0\n",
+    "bsd-3-clause": "3. Neither the name of the copyright holder nor the names of its\n   contributors may be used to endorse or promote products "
+                    "derived from\n   this software without specific prior written permission.",
+    "unlicense": "This is free and unencumbered software released into the public domain.",
+    "cc-by-sa-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "isc": "// SPDX-License-Identifier: ISC",
+    "mit-tag": "/* SPDX-License-Identifier: MIT */",
+    "gpl-2": "# SPDX-License-Identifier: GPL-2.0-or-later",
+}
+
+
+def test_real_headers(make):
+    docs = make([doc(i, f"Some file.\n{text}\nmore words") for i, text in enumerate(HEADERS.values())])
+    got = {r.doc_id: r.labels.split(",") for r in lic.license_rows(docs).collect()}
+    for i, label in enumerate(HEADERS):
+        assert label in got[i], (label, got[i])
+
+
+def places(text, t):
+    """Every place of a template, plainly."""
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.lower())
+    at, key = lambda k: words[k] if 0 <= k < len(words) else None, t.key.split()
+    out = []
+    for s in range(-len(t.words), len(words) + 1):
+        if all(at(s + t.key_at + k) == w for k, w in enumerate(key)):
+            n = sum(at(s + k) == w for k, w in enumerate(t.words)) / len(t.words)
+            out += [(t.label, s, n)] if n >= 0.7 else []
+    return out
+
+
+def test_places_equal_the_definition_on_edited_notices(make):
+    import random
+    rng = random.Random(4)
+    rows = []
+    for i in range(60):
+        parts = []
+        for _ in range(rng.randint(0, 4)):
+            words = rng.choice(lic.TEMPLATES).text.split()
+            for _ in range(rng.randint(0, 4)):
+                k = rng.randrange(len(words))
+                words[k:k + 1] = rng.choice(([], ["other"], [words[k], words[k]]))
+            parts += words + ["license"] * rng.randint(0, 2)
+        rows.append(doc(i, " ".join(parts)))
+    got = lic.license_scan(make(rows)).collect()
+    for r in got:
+        assert sorted((x.label, x.start, x.score) for x in r.found) == sorted(p for t in lic.TEMPLATES for p in places(r.text, t)), r.text
+
+
+def test_the_plan_does_not_grow_with_the_templates(make):
+    import time
+    many = tuple(lic.Template(f"t{k}", " ".join(f"w{k}x{j}" for j in range(200)), " ".join(f"w{k}x{j}" for j in range(90, 95))) for k in range(100))
+    docs = make([doc(i, "intro " + many[i].text + " end") for i in range(12)])
+    begin = time.time()
+    got = {r.doc_id: [(x.label, x.start, x.score) for x in r.found] for r in lic.license_scan(docs, templates=many).collect()}
+    assert got == {i: [(f"t{i}", 1, 1.0)] for i in range(12)} and time.time() - begin < 60
+    plans = [len(lic.license_scan(docs, templates=t)._jdf.queryExecution().analyzed().treeString()) for t in (many[:50], many)]
+    assert plans[1] < plans[0] * 2.2

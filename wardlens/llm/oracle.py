@@ -49,35 +49,29 @@ def line_rules() -> str:
 
 
 def license_scan() -> str:
+    """From the definition: every place where a template's key phrase could stand."""
     def words(ws: list[str]) -> str:
         return "[" + ", ".join(f"'{w}'" for w in ws) + "]"
 
-    templates = ", ".join(f"('{t.label}', {words(t.words)}, {t.key_at}, {len(t.key.split())})" for t in lic.TEMPLATES)
+    templates = ", ".join(f"({k}, '{t.label}', {words(t.words)}, {t.key_at}, {len(t.key.split())})" for k, t in enumerate(lic.TEMPLATES))
     phrases = ", ".join(f"('{label}', {words(p.split())})" for p, label in lic.BASE)
     return f"""
     WITH w AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(
                  translate(coalesce(text, ''), '{lic.UPPER}', '{lic.UPPER.lower()}'),
                  '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM documents),
-    t AS (SELECT * FROM (VALUES {templates}) v(label, tw, key_at, key_n)),
+    t AS (SELECT * FROM (VALUES {templates}) v(id, label, tw, key_at, key_n)),
     p AS (SELECT * FROM (VALUES {phrases}) v(label, pw)),
-    tp AS (SELECT label, unnest(tw) AS word, generate_subscripts(tw, 1) - 1 AS k FROM t),
+    tp AS (SELECT id, unnest(tw) AS word, generate_subscripts(tw, 1) - 1 AS k FROM t),
     vocabulary AS (SELECT DISTINCT word FROM tp UNION SELECT DISTINCT unnest(pw) FROM p),
     pos AS (SELECT * FROM (SELECT rid, unnest(ws) AS word, generate_subscripts(ws, 1) - 1 AS i FROM w)
             WHERE word IN (SELECT word FROM vocabulary)),
-    df AS (SELECT word, count(DISTINCT rid) AS n FROM vocabulary LEFT JOIN pos USING (word) GROUP BY word),
-    idx AS (SELECT label, word, row_number() OVER (PARTITION BY label ORDER BY n, word) AS r
-            FROM (SELECT DISTINCT label, word FROM tp) JOIN df USING (word) QUALIFY r <= 4),
-    present AS (SELECT rid, label, word, row_number() OVER (PARTITION BY rid, label ORDER BY r) AS q
-                FROM idx JOIN (SELECT DISTINCT rid, word FROM pos) USING (word) QUALIFY q <= 2),
-    starts AS (SELECT DISTINCT x.rid, x.label, pos.i - tp.k AS s
-               FROM present x JOIN pos ON pos.rid = x.rid AND pos.word = x.word
-               JOIN tp ON tp.label = x.label AND tp.word = x.word),
-    agree AS (SELECT starts.rid, starts.label, s,
-                     count(*) FILTER (s + k >= 0 AND ws[s + k + 1] = word) AS n,
-                     count(*) FILTER (s + k >= 0 AND ws[s + k + 1] = word AND k >= key_at AND k < key_at + key_n) AS nk,
-                     any_value(key_n) AS key_n, count(*) AS total
-              FROM starts JOIN tp USING (label) JOIN t USING (label) JOIN w ON w.rid = starts.rid
-              GROUP BY starts.rid, starts.label, s),
+    starts AS (SELECT pos.rid, t.id, pos.i - t.key_at AS s FROM t JOIN pos ON pos.word = t.tw[t.key_at + 1]),
+    agree AS (SELECT starts.rid, id, s, any_value(label) AS label,
+                 count(*) FILTER (s + k >= 0 AND ws[s + k + 1] = word) AS n,
+                 count(*) FILTER (s + k >= 0 AND ws[s + k + 1] = word AND k >= key_at AND k < key_at + key_n) AS nk,
+                 any_value(key_n) AS key_n, count(*) AS total
+              FROM starts JOIN tp USING (id) JOIN t USING (id) JOIN w ON w.rid = starts.rid
+              GROUP BY starts.rid, id, s),
     found AS (SELECT rid, label, n / total::DOUBLE AS score FROM agree WHERE nk = key_n AND n / total::DOUBLE >= 0.7::DOUBLE),
     base AS (SELECT pos.rid, label, pos.i FROM p JOIN pos ON pos.word = pw[1] JOIN w ON w.rid = pos.rid
              WHERE ws[i + 1:i + len(pw)] = pw),
