@@ -42,6 +42,7 @@ K, ROWS = 128, 4
 BANDS = K // ROWS
 SMALL = 16
 LEADERS = 3
+SALTS = 16  # keys over which a crowded bucket is dealt out; results do not depend on it
 
 
 def _mix(x):
@@ -316,8 +317,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     large = members.filter("large").select("bucket", "node")
     labelled = large.join(labels, "node", "left").select("bucket", "node", F.coalesce("label", "node").alias("label"))
     mixed = (labelled.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-             .filter("low <> high").select("bucket"))
-    open_nodes = stored(labelled.join(mixed, "bucket").select("node", "label").distinct(), "open")
+             .filter("low <> high").select("bucket", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")))
+    # a bucket may hold a third of all texts: each is dealt out over SALTS keys
+    dealt = labelled.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int"))
+    open_nodes = stored(dealt.join(mixed, ["bucket", "salt"]).select("node", "label").distinct(), "open")
     if not open_nodes.isEmpty():
         size = open_nodes.groupBy("label").agg(F.count(F.lit(1)).alias("size"))
         residue = stored(open_nodes.join(size, "label").select("node", "label", "size"), "residue")
