@@ -115,3 +115,53 @@ def test_names_of_a_layout_do_not_hide_the_article():
                    "<article><p>a</p></article><div id=comments><p>" + "c " * 500 + "</p></div>") == ["a"]
     assert article("<p>a short post of some words</p><div class='cookie-notice'><p>We use cookies here.</p></div>") == [
         "a short post of some words"]
+
+
+def test_names_decide_by_whole_tokens_only():
+    for name in ("id='related-work'", "class='search-methods'", "class='market-share'", "class='notice-period'", "id='socialHistory'",
+                 "class='x comments-open'", "class=banner-making", "role=note"):
+        page = f"<article><p>a</p><section {name}><p>Own words.</p></section><p {name}>More.</p></article>"
+        assert article(page) == ["a", "Own words.", "More."], name
+    for name in ("class=cookieBanner", "class='adBox'", "class='x commentlist'", "id=responses", "id='respond'", "class=related-posts",
+                 "class='share_buttons'", "class='ad-slot-3'", "class='site-footer'", "class=AD", "role=complementary", "id='top-nav'",
+                 "class='newsletter-signup'", "class='you-may-also-like-related'", "class='post-comments'", "class='cookie-consent__text'"):
+        page = f"<article><p>a</p><div {name}><p>Other words.</p></div></article>"
+        assert article(page) == ["a"], name
+
+
+def test_small_hosts_lose_their_menus_and_keep_their_prose(make):
+    menu = "<div><span>Home</span> <span>About</span></div>"
+    rows = [(k * 10 + i, f"http://{k}.example/{i}", f"<body>{menu}<p>Shared words of all.</p><p>Page {i} of {k}.</p></body>")
+            for k in (2, 3, 4) for i in range(k)]
+    rows += [(90, "http://4.example/x", f"<body>{menu}<p>One more page.</p></body>")]
+    got = {r.page_id: r.text for r in h.page_rows(make(rows, PAGES)).collect()}
+    assert got[20] == "Home About\n\nShared words of all.\n\nPage 0 of 2."  # two pages are too few to tell
+    assert got[30] == "Shared words of all.\n\nPage 0 of 3." and got[90] == "One more page."
+    assert [got[40 + i] for i in range(4)] == [f"Shared words of all.\n\nPage {i} of 4." for i in range(4)]
+
+
+def test_templates_equal_a_plain_count_per_host(make):
+    """The subtrees that recur, against counting them page by page."""
+    import random
+    from collections import defaultdict
+    rng = random.Random(3)
+    parts = [f"<div>Part {k}</div>" for k in range(6)] + [f"<div><p>Prose {k}</p></div>" for k in range(4)]
+    rows = [(i, f"http://h{i % 3}.example/{i}", "<body>" + "".join(p for p in parts if rng.random() < 0.6) + f"<p>Own {i % 17}.</p></body>")
+            for i in range(40)] + [(50 + i, "http://tiny.example/", f"<body>{parts[0]}<p>{i}</p></body>") for i in range(3)]
+    on, bodies = defaultdict(set), defaultdict(set)
+    for _, url, page in rows:
+        parsed, host = h.read(page), url.split("/")[2]
+        body = "|".join(parsed.text())
+        bodies[host].add(body)
+        for c in parsed.cuts:
+            on[host, c.digest].add(body)
+    want = {}
+    for (host, digest), pages in on.items():
+        n, size = len(pages), len(bodies[host])
+        if n >= 5 or (n >= 3 and n >= 0.75 * size):
+            want[host, digest] = n >= size / 2 if n >= 5 else None
+    pages = make(rows, PAGES).withColumn("host", h.host_of(F.col("url")))
+    found = h.subtrees(pages)
+    sites = {r.site: r.host for r in found.join(pages.select(h.page_key().alias("page"), "host"), "page").select("site", "host").collect()}
+    got = {(sites[r.site], r.hash): r.common for r in h.site_templates(found, 5, 0.5).collect()}
+    assert got == want

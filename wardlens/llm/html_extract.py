@@ -4,14 +4,17 @@
    of the children). Spark counts on how many distinct pages of each host a subtree stands: copies, pages with
    the same text, count once.
 2. Subtrees on ``min_pages`` distinct pages recur, whatever the size of the host; those that are also on
-   ``prose_share`` of the host's distinct pages are common. Each page gets the list of its own subtrees that
+   ``prose_share`` of the host's distinct pages are common. On a host of fewer pages, subtrees without prose recur from
+   ``SMALL_PAGES`` pages on if they are on ``SMALL_SHARE`` of them. Each page gets the list of its own subtrees that
    recur, so no list grows with the host.
 3. A second pass parses the pages again and deletes subtrees without prose, and outside the marked article
    containers of prose other than lists and tables, for recurring; paragraphs and the like outside the article, lists,
    tables and containers of prose inside the article for being common. Paragraphs inside the marked article stay:
    articles may quote each other. Containers of prose that are not common are not deleted where they would
    take over half of a page's text (near copies of an article), and nothing is where under a tenth would be left.
-   Elements that are no article by their kind (navigation, forms, scripts, adverts by class and so on) go in any case.
+   Elements that are no article by their kind (navigation, forms, scripts and so on) go in any case, and those of which a
+   whole name (of class, id or role) says so: each of its words names such a kind or a mere part of a layout
+   ("cookieBanner", "related-posts", but not "related-work" or "market-share").
    Where a page marks its article, text outside it is dropped last.
 
 Pages meet their lists in a join that Spark broadcasts only while the stored lists are below its
@@ -37,7 +40,7 @@ from .common import map_arrow, stored
 NAME = re.compile(r"<(/?)([a-zA-Z][^\s/<>]*)")
 UNQUOTED = re.compile(r"[^>\"']*")
 NAMES = re.compile(r"""(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
-WORD = re.compile(r"[a-z]+")
+WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")  # of a name, at its marks and capitals
 
 RAW = ("script", "style", "textarea", "title", "noscript", "iframe", "xmp", "noembed", "noframes")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -51,13 +54,20 @@ NO_ARTICLE = frozenset(
     "head script style noscript template nav footer aside form button select option input textarea iframe object "
     "embed svg canvas dialog menu title xmp noembed noframes audio video".split())
 NO_ARTICLE_WORDS = frozenset(
-    "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion cookie cookies consent "
+    "ad ads adbox adsbygoogle advert adverts advertisement advertising banner sponsor sponsored promo promotion cookie cookies consent "
     "gdpr notice notices popup modal overlay sidebar menu nav navbar navigation breadcrumb breadcrumbs comment "
-    "comments disqus share sharing social related recommended newsletter subscribe footer masthead toolbar "
-    "pagination pager search login signup complementary contentinfo".split())
-# Names with such a word tell a state of the layout (has-sidebar, comments-open), not a kind of element.
-STATE_WORDS = frozenset(
-    "has have no non not with without hide hides show shows open opened closed enabled disabled collapsed expanded free".split())
+    "comments commentlist commentform disqus respond responses share sharing social related recommended newsletter subscribe footer "
+    "masthead toolbar pagination pager search login signup complementary contentinfo".split())
+# Words that say no more than what part of a layout an element is: they may stand beside those. Others (has-sidebar,
+# comments-open, related-work) make a name one of something else.
+LAYOUT_WORDS = frozenset(
+    "area article articles author bar block body bottom box btn button buttons cell col column container content copyright count desktop "
+    "div element entry field fixed float form global group head header heading headline holder icon icons inner item items label "
+    "layer layout left legal link links list local main message meta middle mobile module more msg outer page panel part placeholder "
+    "policy post posts primary privacy region reply replies right row secondary section site slot small space stories story strip "
+    "tag tags terms text thread tile title tool tools top unit user view widget widgets wrap wrapper you may also like zone".split())
+# Text of a page of a small host recurs where it stands on so many of its distinct pages, and on such a share of them.
+SMALL_PAGES, SMALL_SHARE = 3, 0.75
 # Start tags that end an open paragraph, and elements that end their like.
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
             "th": {"td", "th"}, "option": {"option"}}
@@ -93,11 +103,17 @@ def _no_article(tag: str, in_main: bool) -> bool:
 
 
 def _no_article_name(tag: str, attrs: str) -> bool:
-    """Does a name (of class, id or role) say so: with a word of those, and none of state; of block--modifier the block."""
+    """Does a whole name (of class, id or role) say so: all its words name such a kind or a part of a layout, and one of them
+    such a kind; of block--modifier the block."""
     if not attrs or tag in ("html", "body"):
         return False
-    names = (WORD.findall(name.split("--")[0]) for m in NAMES.finditer(attrs) for name in m[1].lower().strip("\"'").split())
-    return any(not NO_ARTICLE_WORDS.isdisjoint(words) and STATE_WORDS.isdisjoint(words) for words in names)
+    for m in NAMES.finditer(attrs):
+        for name in m[1].strip("\"'").split():
+            words = {w.lower() for w in WORD.findall(name.split("--")[0])}
+            other = words - NO_ARTICLE_WORDS
+            if len(other) < len(words) and all(w in LAYOUT_WORDS or len(w) == 1 for w in other):
+                return True
+    return False
 
 
 @dataclass(slots=True)
@@ -121,9 +137,11 @@ class Parsed:
         article = any(main for main, _ in self.blocks)
         return [t for k, (main, t) in enumerate(self.blocks) if (main or not article) and k not in gone]
 
-    def without(self, recurring: dict[int, bool]) -> list[str]:
-        """The text without templates (``recurring``: is a hash that recurs on the host common there)."""
-        found = [c for c in self.cuts if c.digest in recurring and (recurring[c.digest] or not c.common)]
+    def without(self, recurring: dict[int, bool | None]) -> list[str]:
+        """The text without templates (``recurring``: is a hash that recurs on the host common there; None on a small
+        host, where only subtrees without prose go)."""
+        found = [c for c in self.cuts if c.digest in recurring and (
+            not c.prose if recurring[c.digest] is None else recurring[c.digest] or not c.common)]
         if not found:
             return self.text()
 
@@ -341,12 +359,14 @@ def subtrees(pages: DataFrame) -> DataFrame:
 
 def site_templates(found: DataFrame, min_pages: int, prose_share: float) -> DataFrame:
     """``site``, ``hash`` and ``common`` of the subtrees on at least ``min_pages`` distinct pages of their host;
-    common ones are on ``prose_share`` of its distinct pages."""
+    common ones are on ``prose_share`` of its distinct pages. ``common`` is null for those that recur by the rule for
+    small hosts alone."""
     sizes = found.select("site", "body").distinct().groupBy("site").agg(F.count(F.lit(1)).alias("bodies"))
     counts = (found.select("site", "body", F.explode("hashes").alias("hash")).distinct()
-              .groupBy("site", "hash").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_pages))
-    return counts.join(sizes, "site").select(
-        "site", "hash", (F.col("n") >= F.col("bodies") * prose_share).alias("common"))
+              .groupBy("site", "hash").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min(SMALL_PAGES, min_pages)))
+    many = F.col("n") >= min_pages
+    return (counts.join(sizes, "site").filter(many | (F.col("n") >= F.col("bodies") * SMALL_SHARE))
+            .select("site", "hash", F.when(many, F.col("n") >= F.col("bodies") * prose_share).alias("common")))
 
 
 def page_templates(pages: DataFrame, min_pages: int, prose_share: float) -> DataFrame:
