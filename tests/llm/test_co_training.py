@@ -33,7 +33,7 @@ def test_held_out_accuracy_and_the_kept_good(make):
     assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in scored if r.kept}
 
 
-def plain(features, rounds=5, share=0.05, trust=0.3, steps=2, keep=0.995):
+def plain(features, rounds=5, share=0.05, trust=0.3, steps=3, keep=0.995):
     """Co-training on whole arrays, by the definition."""
     import zlib
     rows = sorted(features, key=lambda r: (r.y is None, zlib.crc32(str(r.id).encode()), r.id or 0, r.text_view, r.meta_view))
@@ -45,17 +45,20 @@ def plain(features, rounds=5, share=0.05, trust=0.3, steps=2, keep=0.995):
         x[v] = np.c_[(x[v] - m) / np.where(s > 1e-9, s, 1), np.ones(len(rows))]
     shrink = [np.r_[np.ones(a.shape[1] - 1), 1e-6] for a in x]
 
-    def newton(v, w, parts, times):
-        for _ in range(times):
-            g, h = -shrink[v] * w, np.diag(shrink[v])
-            for a, t, weight in parts:
-                p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-                g, h = g + weight * a.T @ (t - p), h + weight * (a.T * np.maximum(p * (1 - p), 1e-6)) @ a
-            step = np.linalg.solve(h, g)
-            w = w + step * min(1, 5 / np.abs(step).max())
-        return w
+    def newton(v, w, parts):
+        g, h, f = -shrink[v] * w, np.diag(shrink[v]), -0.5 * (w[:-1] ** 2).sum()
+        for a, t, weight in parts:
+            z = a @ w
+            p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+            f += weight * (t * z - np.logaddexp(0, z)).sum()
+            g, h = g + weight * a.T @ (t - p), h + weight * (a.T * np.maximum(p * (1 - p), 1e-6)) @ a
+        step = np.linalg.solve(h, g)
+        return f, step * min(1, 5 / np.abs(step).max())
     train = [x[v][:n][~held] for v in (0, 1)]
-    ws = [newton(v, np.zeros(x[v].shape[1]), [(train[v], y[~held], 1)], 30) for v in (0, 1)]
+    ws = [np.zeros(x[v].shape[1]) for v in (0, 1)]
+    for v in (0, 1):
+        for _ in range(30):
+            ws[v] = ws[v] + newton(v, ws[v], [(train[v], y[~held], 1)])[1]
     pool, good = [a[n:] for a in x], y[~held].mean()
     owner, given, total = np.zeros(len(rows) - n, bool), [np.full(len(rows) - n, np.nan) for _ in x], 0
     for k in range(rounds):
@@ -69,14 +72,22 @@ def plain(features, rounds=5, share=0.05, trust=0.3, steps=2, keep=0.995):
                 given[1 - v][rows_] = label
                 taken |= rows_
         owner = taken
+        parts = []
+        for v in (0, 1):
+            has = ~np.isnan(given[v])
+            weight = trust * min(1, (~held).sum() / max(has.sum(), 1))
+            parts.append([(train[v], y[~held], 1), (pool[v][has], given[v][has], weight)])
+        part = [1, 1]
         for _ in range(steps if k < rounds - 1 else 4 * steps):
-            old = [w.copy() for w in ws]
-            for v in (0, 1):
-                has = ~np.isnan(given[v])
-                weight = trust * min(1, (~held).sum() / max(has.sum(), 1))
-                ws[v] = newton(v, ws[v], [(train[v], y[~held], 1), (pool[v][has], given[v][has], weight)], 1)
-            if max(np.abs(a - b).max() for a, b in zip(ws, old, strict=True)) < 1e-3:
+            old = [newton(v, ws[v], parts[v]) for v in (0, 1)]
+            if max(part[v] * np.abs(old[v][1]).max() for v in (0, 1)) < 1e-3:
                 break
+            for v in (0, 1):
+                new = ws[v] + part[v] * old[v][1]
+                if newton(v, new, parts[v])[0] >= old[v][0]:
+                    ws[v], part[v] = new, min(1, 2 * part[v])
+                else:
+                    part[v] /= 4
     return sum((~np.isnan(g)).sum() for g in given), [{r.id: m for r, m in zip(rows, a @ w, strict=True)} for a, w in zip(x, ws, strict=True)]
 
 

@@ -11,7 +11,7 @@ Features of all whole texts are computed by Spark in one pass and stored with th
 ``max_labelled`` labelled feature rows (a documented bound; those with a small hash of their id, so the choice does not
 depend on partitions) and never an unlabelled one. A round reads the whole feature table: one pass counts the margins of
 all documents that are still unlabelled (in steps of 1 / ``STEPS``), from which the margins follow beyond which the surest
-``share`` of them lie; then each Newton step is one pass that sums gradient and Hessian of all pseudo-labelled
+``share`` of them lie; then each Newton step (a shorter one where it would make the fit worse) is one pass that sums gradient and Hessian of all pseudo-labelled
 documents per task, added up by Spark. So the number of exchanged documents grows with the corpus. Together the
 pseudo-labels of a view weigh ``trust`` times its labelled documents at any size. Which documents have been handed over
 follows from the earlier rounds' models, so no state is kept: a lost task is run again from the stored features.
@@ -172,12 +172,13 @@ def handed_over(views, rounds: list[Round]):
 
 
 def newton_sums(x, y, w, b):
-    """Gradient and Hessian of the log likelihood at (w, b), summed over rows, as one vector; the number of rows first."""
+    """The log likelihood at (w, b), its gradient and Hessian, summed over rows, as one vector; the number of rows first."""
     import numpy as np
 
     a = np.c_[x, np.ones(len(x))]
-    p = 1 / (1 + np.exp(-np.clip(a @ np.r_[w, b], -30, 30)))
-    return np.concatenate([[len(y)], a.T @ (y - p), ((a * np.maximum(p * (1 - p), 1e-6)[:, None]).T @ a).ravel()])
+    z = a @ np.r_[w, b]
+    p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+    return np.concatenate([[len(y), (y * z - np.logaddexp(0, z)).sum()], a.T @ (y - p), ((a * np.maximum(p * (1 - p), 1e-6)[:, None]).T @ a).ravel()])
 
 
 def newton_step(w, b, sums, ridge: float = 1.0):
@@ -187,8 +188,8 @@ def newton_step(w, b, sums, ridge: float = 1.0):
     at = np.r_[w, b]
     shrink = np.full(len(at), ridge)
     shrink[-1] = 1e-6
-    gradient = sums[1:1 + len(at)] - shrink * at
-    hessian = sums[1 + len(at):].reshape(len(at), len(at)) + np.diag(shrink)
+    gradient = sums[2:2 + len(at)] - shrink * at
+    hessian = sums[2 + len(at):].reshape(len(at), len(at)) + np.diag(shrink)
     step = np.linalg.solve(hessian, gradient)
     step *= min(1.0, 5 / max(np.abs(step).max(), 1e-12))
     at = at + step
@@ -258,30 +259,45 @@ def _exchange(features: DataFrame, norms: list, models: list, train: list, y, go
         counts[list(counted)] = list(counted.values())
         limits = [sure_margins(counts[v * width:(v + 1) * width], round(n * (1 - good)), round(n * good)) for v in (0, 1)]
         done.append(Round(now, [lo for lo, _ in limits], [hi for _, hi in limits]))
-        for step in range(steps if k < rounds - 1 else 4 * steps):
-            at = list(models)
 
-            def sums(views, at=at):
+        def at_points(points):
+            """Per view: the objective and the sums at a point, labelled and pseudo-labelled documents together."""
+            def sums(views):
                 _, given = handed_over(views, done)
                 return np.concatenate([newton_sums(x[~np.isnan(g)], g[~np.isnan(g)], *m)
-                                       for x, g, m in zip(views, given, at, strict=True)])
-            sizes = [1 + (x.shape[1] + 1) * (x.shape[1] + 2) for x in train]
+                                       for x, g, m in zip(views, given, points, strict=True)])
+            sizes = [2 + (x.shape[1] + 1) * (x.shape[1] + 2) for x in train]
             total = np.zeros(sum(sizes))
             found = _sweep(features, norms, sums)
             total[list(found)] = list(found.values())
-            pseudo, moved = np.split(total, [sizes[0]]), 0.0
-            exchanged = int(round(sum(p[0] for p in pseudo)))
+            out = []
+            for v, pseudo in enumerate(np.split(total, [sizes[0]])):
+                weight = trust * min(1.0, len(y) / max(pseudo[0], 1.0))
+                both = newton_sums(train[v], y, *points[v]) + weight * pseudo
+                out.append((both[1] - 0.5 * float(points[v][0] @ points[v][0]), both, pseudo[0]))
+            return out
+
+        best = at_points(models)
+        exchanged = int(round(sum(n_given for _, _, n_given in best)))
+        part = [1.0, 1.0]  # of the Newton step that is tried: less after a step that made it worse
+        for _ in range(steps if k < rounds - 1 else 4 * steps):
+            tried, moved = [], 0.0
             for v in (0, 1):
-                weight = trust * min(1.0, len(y) / max(pseudo[v][0], 1.0))
-                w, b, size = newton_step(*models[v], newton_sums(train[v], y, *models[v]) + weight * pseudo[v])
-                models[v], moved = (w, b), max(moved, size)
+                (w, b), (w1, b1, size) = models[v], newton_step(*models[v], best[v][1])
+                tried.append((w + part[v] * (w1 - w), b + part[v] * (b1 - b)))
+                moved = max(moved, size * part[v])
             if moved < 1e-3:
                 break
+            for v, got in enumerate(at_points(tried)):
+                if got[0] >= best[v][0]:
+                    models[v], best[v], part[v] = tried[v], got, min(1.0, 2 * part[v])
+                else:
+                    part[v] /= 4
     return models, exchanged
 
 
 def fit(features: DataFrame, *, max_labelled: int = 20_000, rounds: int = 5, share: float = 0.05, trust: float = 0.3,
-        steps: int = 2, keep: float = 0.995) -> CoTrained | None:
+        steps: int = 3, keep: float = 0.995) -> CoTrained | None:
     """The model for a table of features with labels (``labelled_features``); None without labels of both classes. Every fourth
     labelled document is held out. ``share`` of the unlabelled documents per round and view is exchanged at most, and those of
     an equal margin as the last."""
