@@ -142,3 +142,60 @@ def test_no_labels_repeats_and_the_empty_table(make):
     rows = s.secret_rows(docs).collect()
     assert len(rows) == 5 and sorted(r.n_hex for r in rows) == [0, 0, 0, 1, 1]
     assert s.secret_rows(make([])).count() == 0
+
+
+def test_every_string_of_any_length_is_handed_on(make):
+    rng = random.Random(3)
+    card = drawn("0123456789", 16)
+    long = "".join(rng.choices("ABCDEFGHJK", k=700))
+    rows = [doc(i, f"password={drawn(HEX)(rng)}x {' '.join(card(rng) for _ in range(100))}") for i in range(40)]
+    docs = make([*rows, doc(99, f"token={long} {long[::-1]}"), *rows])
+    got = [(r.kind, r.value) for r in s.credential_values(docs, "text").collect()]
+    want = {(kind, value) for r in [*rows, (99, f"token={long} {long[::-1]}")] for kind, _, _, value in s.find_spans(r[1])}
+    assert sorted(got) == sorted(want) and len(got) > 4000
+
+
+def test_long_runs_of_a_known_format_are_found(make):
+    value, rng = drawn("0123456789ABCDEFGHJKMNPQRSTVWXYZ", 300), random.Random(5)
+    rows = [doc(i, f"some words here token: {value(rng)} and there") for i in range(40)]
+    bare = value(rng)
+    got = {r.doc_id: [(x.kind, x.start, x.end) for x in r.spans] for r in
+           s.secret_scan(make([*rows, doc(99, f"understanding {bare} information")])).collect()}
+    assert got[99] == [("grammar", 14, 314)]
+
+
+def plain_nodes(values, least):
+    nodes = {}
+    for v in values:
+        for d in range(min(len(v), s.DEPTH) + 1):
+            nodes.setdefault(v[:d], []).append(v[d:d + 1])
+    return {p: {c: after.count(c) for c in after} for p, after in nodes.items() if len(after) >= least}
+
+
+@pytest.mark.parametrize("least", [1, 2, 7, 40])
+def test_the_tree_holds_every_string(spark, least):
+    rng = random.Random(least)
+    values = {"".join(rng.choices("ab1", k=rng.randint(1, 9))) for _ in range(900)} | {"a" * k for k in (99, 100, 101, 250)} | {"a" * 100 + "1"}
+    table = spark.createDataFrame([(v,) for v in sorted(values)], "value string")
+    assert s.tree_nodes(table, least) == plain_nodes(values, least)
+    spread = s.fitted(table, len(values), -(-len(values) // least))
+    assert spread.states[0].n >= len(values) and sum(x.stops for x in spread.states) == len(values)
+    assert sum(sum(x.by.values()) for x in spread.states) == sum(map(len, values))
+
+
+def test_the_automata_count_all_strings(make):
+    """Far more strings than nodes: the frequencies are those of all, and leaks are found as by the driver's own fit."""
+    rng = random.Random(8)
+    words = lambda: " ".join("".join(rng.choices("etaoinshrdlu", k=rng.randint(8, 14))) for _ in range(30))
+    value = drawn(HEX)
+    rows = [doc(i, f"{words()} password={value(rng)} {words()} {drawn('0123456789', 16)(rng)}") for i in range(150)]
+    rows += [doc(1000 + i, f"{words()} {value(rng)} {words()}") for i in range(80)]
+    docs = make(rows)
+    labelled = {v for r in rows for k, _, _, v in s.find_spans(r[1]) if k == "assign"}
+    grammar = s.infer(docs, "text", 50, 0.4)
+    assert sum(x.stops for x in grammar.credentials["assign"].states) == len(labelled) == 150
+    assert sum(x.stops for x in grammar.others.states) > 8000
+    for states in (50, 100_000):
+        hits = {r.doc_id: [x.end - x.start for x in r.spans if x.kind == "grammar"] for r in s.secret_scan(docs, states=states).collect()}
+        assert sum(24 in hits[1000 + i] for i in range(80)) >= 76
+        assert not any(hits[i] for i in range(150))
