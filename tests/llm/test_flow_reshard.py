@@ -119,3 +119,34 @@ def test_many_equal_rows_spread_over_blocks_and_know_their_transfer(make):
             blocks[r.old_shard, r.shard][1] += r.size
     assert all([r.transfer_documents, r.transfer_bytes] == (blocks[r.old_shard, r.shard] if r.moved else [None, None]) for r in got)
     assert sum(n for n, _ in blocks.values()) > 200
+
+
+def test_the_query_reads_the_rewritten_shards(make, spark):
+    """Whole documents lie in the files of the shards that the plan gives them; what no transfer touches is not written again."""
+    from wardlens.llm import common
+    since = common.mark()
+    rows = rows_of(300) + [doc(7, None, None, None), doc(7, "twice"), doc(7, "twice")]
+    docs = make(rows).withColumn("shard", F.lit(-1)).withColumn("size", F.lit("x"))
+    got = f.shard_rows(docs).collect()
+    paths = {p.rsplit("/", 1)[1][:10]: p for p in common._STORED[since:] if "-shards-" in p}
+    assert set(paths) == {"old-shards", "new-shards"}
+    touched = {r.old_shard for r in got if r.moved} | {r.shard for r in got if r.moved}
+    new = spark.read.parquet(paths["new-shards"]).select("shard", "slot", "document.doc_id", "document.text", "document.size")
+    files = {(r.shard, r.slot): r for r in new.collect()}
+    assert {s for s, _ in files} == touched
+    assert {(r.shard, r.slot) for r in got if r.shard in touched} == set(files)
+    for r in got:
+        if r.shard in touched:
+            x = files[r.shard, r.slot]
+            assert (x.doc_id, x.size) == (r.doc_id, "x") and zlib.crc32((x.text or "").encode()) == r.text_crc32
+    old = spark.read.parquet(paths["old-shards"]).select("document.doc_id", "document.text").collect()
+    assert collections.Counter(map(tuple, old)) == collections.Counter(r[:2] for r in rows)
+
+
+def test_shards_that_keep_their_documents_are_not_written(make):
+    from wardlens.llm import common
+    since = common.mark()
+    got = f.shard_rows(make([doc(i, "x" * i, source=f"s{i}") for i in range(3)]), 1).collect()
+    assert sorted(r.slot for r in got) == [0, 1, 2] and not any(r.moved for r in got)
+    new = next(p for p in common._STORED[since:] if "new-shards-" in p)
+    assert not any(x.startswith("shard=") for x in (os.listdir(new.removeprefix("file:")) if os.path.exists(new.removeprefix("file:")) else []))

@@ -21,9 +21,13 @@ and without sending a shard to one task: each (old shard, size class) is cut int
 hash of the document, the blocks are counted (partial aggregates), their offsets are running sums over blocks, and
 rows are numbered within their block.
 
+The query carries the plan out: the documents (whole rows) are written as the old layout, a folder per shard, and every
+shard that gains or loses a document is written again with its new documents in place; the other shards keep their files.
+The result is read from the shards' files: sizes and checksums are those of the texts found there.
+
 Defined results: a null text has 16 bytes and the checksum of the empty text; rows with equal ids are documents
 of their own (the query numbers rows, so that many equal ones spread over blocks); a null source is a source
-of its own; an empty table gives an empty result; other columns are ignored.
+of its own; an empty table gives an empty result; other columns are carried along in the files.
 """
 
 from __future__ import annotations
@@ -34,7 +38,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import kept_path, stored
 
 HEADER = 16  # fixed value: bytes of a document beside its text
 
@@ -212,27 +216,52 @@ def rewrite_affected(placed: DataFrame, path: str) -> list[int]:
     moved = placed.filter("moved")
     touched = sorted({r[0] for r in moved.select(F.col("old_shard")).distinct()
                       .union(moved.select("shard").distinct()).distinct().collect()})  # bounded by the shard counts
-    (placed.filter(F.col("shard").isin(touched)).write.partitionBy("shard").mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").parquet(path))
+    _write_shards(placed.filter(F.col("shard").isin(touched)), "shard", path)
     return touched
 
 
+def _write_shards(rows: DataFrame, by: str, path: str) -> None:
+    (rows.write.partitionBy(by).mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .option("compression", "zstd").parquet(path))
+
+
 def old_layout(source: Column, shards: int) -> Column:
     """The layout that resharding starts from: a shard for each source, as a crawl writes it."""
     return F.pmod(F.crc32(F.coalesce(source, F.lit("")).cast("binary")), F.lit(shards)).cast("int")
 
 
-def shard_rows(docs: DataFrame, shards: int = 40) -> DataFrame:
-    """One row per document, resharded from the layout by source under the law of rows; a document that moves with the
-    documents and bytes of the block transfer it belongs to."""
+def sharded(docs: DataFrame, shards: int) -> DataFrame:
+    """The documents as they lie in the new shards' files: ``document`` (a struct of the input's columns), ``shard``, ``slot``,
+    ``old_shard`` and ``moved``."""
+    spark = docs.sparkSession
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select("doc_id", (text_bytes(F.col("text")) + HEADER).alias("size"),
-                       F.crc32(text.cast("binary")).alias("text_crc32"),
-                       old_layout(F.col("source"), shards).alias("old_shard"))
-    rows = stored(rows.withColumn("tag", F.monotonically_increasing_id()), "sizes")
-    placed = stored(reshard(rows, shards, [F.col("doc_id"), F.col("text_crc32"), F.col("size"), F.col("tag")]), "placed")
-    blocks = transfers(placed).select("old_shard", "shard", F.col("documents").alias("transfer_documents"),
-                                      F.col("bytes").alias("transfer_bytes"), F.lit(True).alias("moved"))
-    return placed.join(blocks, ["old_shard", "shard", "moved"], "left").select(
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("document"),
+                       (text_bytes(F.col("text")) + HEADER).alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
+                       old_layout(F.col("source"), shards).alias("old_shard"), F.monotonically_increasing_id().alias("tag"))
+    old, new = kept_path(spark, "old-shards"), kept_path(spark, "new-shards")
+    _write_shards(rows, "old_shard", old)
+    rows = spark.read.schema(rows.schema).parquet(old)
+    placed = reshard(rows, shards, [F.col("document.doc_id"), F.col("text_crc32"), F.col("size"), F.col("tag")]).select(
+        "document", "shard", "slot", "old_shard", "moved", "size")
+    touched = rewrite_affected(placed, new)
+    if not touched:
+        return placed.drop("size")
+    out = spark.read.schema(placed.schema).parquet(new)
+    if len(touched) < shards:
+        out = out.unionByName(placed.filter(~F.col("old_shard").isin(touched)))  # their files have stayed
+    return out.drop("size")
+
+
+def shard_rows(docs: DataFrame, shards: int = 40) -> DataFrame:
+    """One row per document, resharded from the layout by source under the law of rows, as read from the shards' files; a
+    document that moved with the documents and bytes of the block transfer it belongs to."""
+    text = F.col("document.text")
+    found = sharded(docs, shards).select(
+        F.col("document.doc_id").alias("doc_id"), (text_bytes(text) + HEADER).alias("size"),
+        F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"), "shard", "slot", "old_shard", "moved")
+    found = stored(found, "placed")
+    blocks = transfers(found).select("old_shard", "shard", F.col("documents").alias("transfer_documents"),
+                                     F.col("bytes").alias("transfer_bytes"), F.lit(True).alias("moved"))
+    return found.join(F.broadcast(blocks), ["old_shard", "shard", "moved"], "left").select(  # bounded by the pairs of shards
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"),
         "old_shard", "moved", "transfer_documents", "transfer_bytes")
