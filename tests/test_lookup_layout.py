@@ -160,3 +160,10 @@ def test_health_of_paths_with_odd_names(spark, scratch):
     assert {f.file for f in table.file_sizes(df.schema).collect()} == set(table.files())
     assert table.delete(df.schema, F.col("kind") == "x+y", "kind") == {"files": 1, "rows": 1}
     assert sorted((r.id, r.kind) for r in table.read(df.schema).collect()) == [(1, "a b"), (3, "50%"), (4, None)]
+
+
+def test_the_pieces_of_the_rebuilt_layout_grow_with_its_rows():
+    from wardlens.plans import storage
+    assert storage._small_pieces(0) == storage._small_pieces(600_000) == 12
+    for rows in (36_000_000, 216_000_000, 10 ** 10 + 1):
+        assert rows / storage._small_pieces(rows) <= storage.PIECE_ROWS

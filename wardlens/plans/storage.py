@@ -161,12 +161,20 @@ def naive_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Y.naive_lookup(staging, "billing_amount", O.LOOKUP_VALUE)
 
 
+PIECES, PIECE_ROWS = 12, 1_000_000
+
+
+def _small_pieces(rows: int) -> int:
+    """Pieces that a table of so many rows is written in: a task sorts ``PIECE_ROWS`` at most, whatever the table's size."""
+    return max(PIECES, -(-rows // PIECE_ROWS))
+
+
 def layout_rebuilt(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The admissions written in many small files by type, their health taken, the folders marked for it rebuilt, and
     read back."""
     rows = standin.admissions(spark, sf_dir, ("admission_type", "gender", "billing_amount"))
     table = Committed(spark, _scratch(spark, "rebuild"))
-    table.replace_run(rows.repartition(12), "admissions", "admission_type")
+    table.replace_run(rows.repartition(_small_pieces(T.read_table(spark, sf_dir, "lineitem").count())), "admissions", "admission_type")
     LY.rebuild(table, rows.schema, ["gender"], "admission_type")
     return table.read(rows.schema)
 
