@@ -228,3 +228,18 @@ def test_conversion_load_with_dates(spark):
     assert res.rejected.count() == 3
     with pytest.raises(Exception):
         L.load_typed(spark.createDataFrame(rows[-2:], STAGING), {"admission_date": "date"}, key_col="name", on_error="fail").accepted.collect()
+
+
+def test_a_batch_is_written_once_before_it_is_labelled(spark, scratch, monkeypatch):
+    rows = [(i, f"P{i % 7}", float(i * 900)) for i in range(40)] + [(50, None, 1.0), (50, None, 1.0)]
+    batch = spark.createDataFrame(rows, "k int, patient_name string, billing_amount double").withColumn(
+        "admission_date", F.lit("2024-01-01").cast("date"))
+    rules = L.Constraints(checks=(L.Constraints.billing_range(0, 20000),))
+    written, cut = [], L.cut_lineage
+    monkeypatch.setattr(L, "cut_lineage", lambda df: written.append(df.columns) or cut(df))
+    got = L.run_constrained_load(batch, rules, ["k"], f"{scratch}/t", L.ErrorLog(spark, f"{scratch}/log"))
+    assert got == {"rows": 42, "accepted": 7, "rejected": 35}
+    assert len(written) == 2  # the batch, and the labelled batch
+    empty = batch.limit(0)
+    assert sorted(L.label_batch(cut(batch), empty, rules, ["k"], written=True).drop("row_tag").collect(), key=str) == sorted(
+        L.label_batch(batch, empty, rules, ["k"]).drop("row_tag").collect(), key=str)
