@@ -66,8 +66,8 @@ def load_committed_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     through the key index; the second run is loaded twice, as after a lost driver. The table read back with its runs."""
     lines = standin.admission_lines(spark, sf_dir).withColumnRenamed("name", "patient_name").select("line_status", *LOAD_COLUMNS)
     rules = L.Constraints(checks=(L.Constraints.billing_range(0, 100000),), **LOAD_RULES)
-    staged = _scratch(spark, "load-lines")  # joined once, a folder per status
-    lines.write.partitionBy("line_status").parquet(staged)
+    staged = _scratch(spark, "load-lines")  # joined once
+    lines.write.parquet(staged)
     lines = spark.read.schema(lines.schema).parquet(staged)
     path, log = _scratch(spark, "load"), ErrorLog(spark, _scratch(spark, "load-log"))
     for status, run in (("F", "finished"), ("O", "open"), ("O", "open")):
