@@ -67,3 +67,22 @@ def test_run_and_empty_documents(spark, tables, tmp_path):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, sf_dir)
         assert docs.count() == 0
+
+
+def test_the_secrets_stage_fits_on_all_strings(spark, tmp_path):
+    from wardlens.llm import secret_grammar
+    rng = random.Random(6)
+
+    def value(alphabet, k):
+        return "".join(rng.choices(alphabet, k=k))
+    rows = [doc(i, " ".join(f"{value('etaoinshr', 9)} token: {value('0123456789ABCDEFGHJKMNPQRSTVWXYZ', 20)}" for _ in range(10)))
+            for i in range(130)]
+    bare = [value("0123456789ABCDEFGHJKMNPQRSTVWXYZ", 20) for _ in range(40)]
+    rows += [doc(1000 + i, f"understanding {b} information") for i, b in enumerate(bare)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    grammar = secret_grammar.infer(docs, "text", 1000, 0.4)
+    assert sum(x.stops for x in grammar.credentials["assign"].states) == 1300
+    assert sum(x.stops for x in grammar.others.states) > 1000
+    got = {r.doc_id: r for r in corpus_pipeline.secrets(spark, docs, str(tmp_path)).collect()}
+    assert sum(got[1000 + i].text == "understanding [REDACTED] information" for i in range(40)) >= 38
+    assert all(r.n_chars == len(r.text) for r in got.values())
