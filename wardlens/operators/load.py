@@ -11,6 +11,7 @@ rows never count as existing.
 
 from __future__ import annotations
 
+import weakref
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -171,8 +172,17 @@ def violations(batch: DataFrame, existing: DataFrame, rules: Constraints,
     return flagged.select(*[batch[k] for k in keys], F.explode(F.array_compact(F.array(*found))).alias("violation_type"))
 
 
-def label_batch(batch: DataFrame, existing: DataFrame, rules: Constraints, order_cols: list[str],
-                written: bool = False) -> DataFrame:
+_WRITTEN: weakref.WeakSet = weakref.WeakSet()  # frames that ``written`` made
+
+
+def written(df: DataFrame) -> DataFrame:
+    """A reliable checkpoint that ``label_batch`` does not write again."""
+    out = cut_lineage(df)
+    _WRITTEN.add(out)
+    return out
+
+
+def label_batch(batch: DataFrame, existing: DataFrame, rules: Constraints, order_cols: list[str]) -> DataFrame:
     """Every batch row with ``row_tag`` (unique in the batch) and ``reason`` (NULL when it is accepted).
 
     Rows arrive in ``order_cols`` order (ties broken by the remaining columns, then by the tag).
@@ -181,13 +191,13 @@ def label_batch(batch: DataFrame, existing: DataFrame, rules: Constraints, order
     keys equal.
 
     Scale: the batch is written once (a reliable checkpoint: tags of written rows do not change
-    when a task is retried), unless the caller has ``written`` it so. The first row per key is a ``min(struct(order..., tag))`` aggregate
+    when a task is retried), unless the caller has ``written`` it. The first row per key is a ``min(struct(order..., tag))`` aggregate
     with map-side combine (no per-key sort, a hot key is one row per task), joined back on the
     key (AQE splits a hot key's rows). Existing rows enter through a semi-join on the batch's keys."""
     cols = batch.columns
     keys = list(rules.unique)
     rest = [c for c in cols if c not in order_cols]
-    d = (batch if written else cut_lineage(batch)).withColumn("_check", _check_violation(rules))
+    d = (batch if batch in _WRITTEN else cut_lineage(batch)).withColumn("_check", _check_violation(rules))
     d = d.withColumn("row_tag", F.monotonically_increasing_id())
     d = d.withColumn("_order", F.struct(*[F.col(c) for c in [*order_cols, *rest, "row_tag"]]))
     first = (d.filter(F.col("_check").isNull()).groupBy(*[F.col(k).alias(f"_w{i}") for i, k in enumerate(keys)])
@@ -248,9 +258,9 @@ def run_constrained_load(batch: DataFrame, rules: Constraints, order_cols: list[
     keys as run ``run_id`` and log every rejected row. A rerun of the same ``run_id`` gives the same target and the
     same number of log rows."""
     target, keys = Committed(batch.sparkSession, target_path, part), list(rules.unique)
-    batch = cut_lineage(batch)
+    batch = written(batch)
     existing = target.existing_keys(batch.schema, keys, batch, without=run_id)
-    labelled = cut_lineage(label_batch(batch, existing, rules, order_cols, written=True))
+    labelled = cut_lineage(label_batch(batch, existing, rules, order_cols))
     res = split_labelled(labelled, batch.columns)
     target.replace_run(res.accepted, run_id, partition_col, keys)
     log.append(rejected_log_rows(res.rejected, name_col, run_id), run_id)
