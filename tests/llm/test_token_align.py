@@ -125,3 +125,55 @@ def test_chunks_are_safe(sides, text):
     got = token_align.Block(*sides, [text])
     want = ";".join(",".join(map(str, xs)) + "|" + ",".join(map(str, ys)) for xs, ys in plain(sides, text))
     assert got.groups(0).decode() == want
+
+
+class Counted:
+    """A side that counts the strings its library gets."""
+
+    def __init__(self, side):
+        self.raw, self.chunks_apart, self.side, self.strings = side.raw, side.chunks_apart, side, 0
+
+    def encode(self, chunks):
+        self.strings += len(chunks)
+        return self.side.encode(chunks)
+
+
+def apart(side, chunks):
+    ids = [side.encode([c])[0] for c in chunks]
+    return ([len(x) for x in ids], [b"".join(side.raw[i] for i in x) == c.encode() for x, c in zip(ids, chunks, strict=True)],
+            [i for x in ids for i in x])
+
+
+def chunks_of(texts):
+    return list(dict.fromkeys(c for t in texts if t for c in token_align._CHUNK.findall(" " + t)))
+
+
+@pytest.mark.parametrize("step", [token_align.STEP, 7])
+def test_chunks_go_to_the_libraries_in_long_strings(sides, monkeypatch, step):
+    monkeypatch.setattr(token_align, "STEP", step)
+    words = [f" {'xyzü'[i % 4]}{i}" for i in range(1000)]
+    for side in sides:
+        for chunks, most in ((words, 1000 / min(step, token_align.JOIN) + 1), (chunks_of(HARD), 1000), ([], 0)):
+            counted = Counted(side)
+            assert tuple(x.tolist() for x in token_align._encoded(counted, chunks)) == apart(side, chunks)
+            assert counted.strings <= most
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(alphabet="ab'sré1. ,\n\t\x1c\x85\u3000▁<>日😀", max_size=12), max_size=40))
+def test_joined_chunks_are_encoded_as_alone(sides, texts):
+    chunks = chunks_of(texts)
+    for side in sides:
+        assert tuple(x.tolist() for x in token_align._encoded(side, chunks)) == apart(side, chunks)
+
+
+def test_tokens_over_the_ends_of_chunks_are_not_used():
+    class Greedy:
+        """Two chunks in one string become one token."""
+        raw, chunks_apart = [b" a", b" b", b" a b", b" c"], True
+
+        def encode(self, chunks):
+            return [{" a": [0], " b": [1], " a b": [2], " c": [3], " a b c": [2, 3]}[c] for c in chunks]
+
+    got = token_align._encoded(Greedy(), [" a", " b", " c"])
+    assert [x.tolist() for x in got] == [[1, 1, 1], [True] * 3, [0, 1, 3]]

@@ -29,6 +29,7 @@ from __future__ import annotations
 import json
 import os
 import re
+from collections import defaultdict
 from collections.abc import Iterable, Iterator
 from itertools import chain
 
@@ -39,6 +40,7 @@ from .common import give_back, map_arrow, parts, ship_code, stored
 
 BLOCK_BYTES = 2 << 20  # text of a block; results do not depend on it
 STEP = 10_000  # chunks that are handled as Python objects at once; results do not depend on it
+JOIN = 16  # chunks that a library gets as one string; results do not depend on it
 LOW = (1 << 32) - 1  # lower half of a pair of ids
 _CHUNK = re.compile(r"[ \n]\s*\S*(?:[^\S \n]\s*\S*)*")
 _SPACE = "▁"
@@ -47,6 +49,8 @@ _SPACE = "▁"
 class ByteSide:
     """A byte-level tokenizer file; the text is given with one blank before it."""
 
+    chunks_apart = True  # by its pattern
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
@@ -158,6 +162,14 @@ def _sums(values, sizes):
     return total[ends] - total[ends - sizes]
 
 
+def _running(values, sizes):
+    """Running sums inside each run of the given sizes."""
+    import numpy as np
+
+    total = _sums(values, sizes)
+    return np.cumsum(values) - np.repeat(np.cumsum(total) - total, sizes)
+
+
 def _distinct(keys, weights=None):
     """Distinct keys in order, with the number (or summed weight) of each."""
     import numpy as np
@@ -171,17 +183,48 @@ def _distinct(keys, weights=None):
 
 
 def _encoded(side, chunks: list[str]):
-    """Per chunk its number of tokens and whether it is given back byte by byte, and all ids in a row."""
+    """Per chunk its number of tokens and whether it is given back byte by byte, and all ids in a row. The libraries get
+    ``JOIN`` chunks as one string, cut again at the chunks' ends. A chunk that ends with white space ends a string. The
+    chunks of a string that is not given back, or holds a token over a chunk's end, are encoded one by one."""
     import numpy as np
 
-    sizes, good, flat = [], [], [np.zeros(0, np.int64)]
+    width = np.array([len(t) for t in side.raw], np.int64)
+    sizes, good, flat = [np.zeros(0, np.int64)], [np.zeros(0, bool)], [np.zeros(0, np.int64)]
     for k in range(0, len(chunks), STEP):
         part = chunks[k:k + STEP]
-        ids = side.encode(part)
-        sizes += map(len, ids)
-        good += [b"".join([side.raw[i] for i in x]) == c.encode() for x, c in zip(ids, part, strict=True)]
-        flat.append(np.fromiter(chain.from_iterable(ids), np.int64, sum(sizes[k:])))
-    return np.array(sizes, np.int64), np.array(good, bool), np.concatenate(flat)
+        starts, last = [], -JOIN
+        for i, c in enumerate(part):
+            if i - last >= JOIN or not side.chunks_apart or part[i - 1][-1].isspace():
+                starts.append(i)
+                last = i
+        strings = ["".join(part[s:e]) for s, e in zip(starts, [*starts[1:], len(part)], strict=True)]
+        ids = side.encode(strings)
+        n = np.fromiter(map(len, ids), np.int64, len(ids))
+        tokens = np.fromiter(chain.from_iterable(ids), np.int64, n.sum())
+        whole = np.array([b"".join(map(side.raw.__getitem__, x)) == s.encode() for x, s in zip(ids, strings, strict=True)], bool)
+        # ends of tokens and chunks inside their string
+        count = np.diff(starts, append=len(part))
+        bytes_of = np.fromiter((len(c.encode()) for c in part), np.int64, len(part))
+        (of_token, _), (of_chunk, _) = _spread(n), _spread(count)
+        token_ends = of_token << 32 | _running(width[tokens], n)
+        chunk_ends = of_chunk << 32 | _running(bytes_of, count)
+        at = np.searchsorted(token_ends, chunk_ends)
+        met = np.append(token_ends, -1)[at] == chunk_ends
+        whole &= np.bincount(of_chunk[~met], minlength=len(ids)) == 0
+        size, fine = np.diff(at + 1, prepend=0), np.ones(len(part), bool)
+        size[starts] = at[starts] + 1 - (np.cumsum(n) - n)
+        if not whole.all():
+            lone = np.flatnonzero(~whole[of_chunk]).tolist()
+            found = dict(zip(lone, side.encode([part[i] for i in lone]), strict=True))
+            for i, x in found.items():
+                size[i], fine[i] = len(x), b"".join([side.raw[t] for t in x]) == part[i].encode()
+            tokens = np.fromiter(chain.from_iterable(
+                chain.from_iterable([x] if w else [found[i] for i in range(s, s + m)])
+                for x, w, s, m in zip(ids, whole.tolist(), starts, count.tolist(), strict=True)), np.int64, size.sum())
+        sizes.append(size)
+        good.append(fine)
+        flat.append(tokens)
+    return np.concatenate(sizes), np.concatenate(good), np.concatenate(flat)
 
 
 def _strings(vocabulary: int, last: bytes) -> list[bytes]:
@@ -207,11 +250,13 @@ class Block:
     def __init__(self, a: ByteSide, b: PieceSide, texts: Iterable[str | None]):
         import numpy as np
 
-        index: dict[str, int] = {}
+        index: dict[str, int] = defaultdict()
+        index.default_factory = index.__len__  # a new chunk gets the next number
         self.chunks = []  # of each text
         for t in texts:
             chunks = (_CHUNK.findall(" " + t) if b.chunks_apart else [" " + t]) if t else ()
-            self.chunks.append(np.array([index.setdefault(c, len(index)) for c in chunks], np.int32))
+            self.chunks.append(np.fromiter(map(index.__getitem__, chunks), np.int32, len(chunks)))
+        index.default_factory = None  # it holds the index
         self._align(a, b, list(index))
         del index
         sizes = np.array([len(c) for c in self.chunks], np.int64)
